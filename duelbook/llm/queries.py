@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import decontam, mixing
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,9 +42,31 @@ FROM run
 """
 
 
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+OP2_SQL = r"""
+WITH low AS (SELECT translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t, doc_id FROM documents),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM low),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS iw FROM benchmark),
+win AS (
+  SELECT item_id, least(len(iw), 10) AS l, unnest(range(1, len(iw) - least(len(iw), 10) + 2)) AS s, iw FROM b WHERE len(iw) > 0),
+keys AS (SELECT DISTINCT item_id, l, array_to_string(iw[s : s + l - 1], ' ') AS k FROM win),
+lens AS (SELECT DISTINCT l FROM keys),
+spots AS (SELECT r, l, ws, unnest(range(1, len(ws) - l + 2)) AS p FROM d, lens WHERE len(ws) >= l),
+hits AS (SELECT s.r, s.p, s.l, k.item_id FROM (SELECT r, l, p, array_to_string(ws[p : p + l - 1], ' ') AS k FROM spots) s JOIN keys k ON s.l = k.l AND s.k = k.k),
+pos AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + l)) AS q FROM hits) GROUP BY r),
+ids AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (r) LEFT JOIN ids USING (r)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_mix_sources": op1_mix_sources}
+    return {"op1_mix_sources": op1_mix_sources, "op2_decontaminate": op2_decontaminate}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1_SQL}
+    return {"op1_mix_sources": OP1_SQL, "op2_decontaminate": OP2_SQL}
