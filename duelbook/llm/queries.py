@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, mixing
+from . import decontam, mixing, neardup
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -64,8 +64,16 @@ FROM d LEFT JOIN pos USING (r) LEFT JOIN ids USING (r)
 """
 
 
+def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_mix_sources": op1_mix_sources, "op2_decontaminate": op2_decontaminate}
+    return {
+        "op1_mix_sources": op1_mix_sources,
+        "op2_decontaminate": op2_decontaminate,
+        "op8_near_duplicates": op8_near_duplicates,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
