@@ -16,6 +16,9 @@ from .common import maybe_broadcast, stored, words
 #: Rows of terms, seeds or items that a broadcast may carry (under 100 bytes a term, a few hundred an item).
 MOST_BROADCAST_TERMS = 500_000
 MOST_BROADCAST_ITEMS = 20_000
+#: Row keys that a broadcast may carry (8 bytes each).
+MOST_BROADCAST_ROWS = 2_000_000
+HITS = "array<struct<item_id:string,positions:array<int>>>"
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -77,7 +80,10 @@ def phrase_matches(docs: DataFrame, items: DataFrame, *, window: int = 10) -> Da
     found = diagonals(index, seeds, item).join(maybe_broadcast(item, MOST_BROADCAST_ITEMS), "item")
     # As many as the document has places where an item may stand.
     by_row = stored(found.groupBy("row").agg(F.collect_list(F.struct("item_id", "iw", "len", "diag")).alias("spots")), "decontam-spots")
-    joined = numbers.join(by_row, "row", "left").select("doc_id", words(F.col("text")).alias("ws"), F.coalesce("spots", F.array()).alias("spots"))
+    # Only keys decide which documents go on, so that the texts of the others are never shuffled.
+    keys = maybe_broadcast(by_row.select("row"), MOST_BROADCAST_ROWS)
+    asked = numbers.join(keys, "row", "left_semi").join(by_row, "row").select("doc_id", words(F.col("text")).alias("ws"), "spots")
+    clean = numbers.join(keys, "row", "left_anti").select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), F.array().cast(HITS).alias("hits"))
 
     def places(spot):
         flags = F.array_join(F.transform(spot["iw"], lambda w, o: F.when(F.get("ws", spot["diag"] + o) == w, "1").otherwise("0")), "")
@@ -86,7 +92,7 @@ def phrase_matches(docs: DataFrame, items: DataFrame, *, window: int = 10) -> Da
         return F.struct(spot["item_id"].alias("item_id"), F.array_distinct(inside).alias("positions"))
 
     hits = F.filter(F.transform("spots", places), lambda h: F.size(h["positions"]) > 0)
-    return joined.select("doc_id", F.size("ws").cast("long").alias("n_words"), F.when(F.size("spots") > 0, hits).otherwise(F.filter(F.transform("spots", places), lambda h: F.lit(False))).alias("hits"))
+    return asked.select("doc_id", F.size("ws").cast("long").alias("n_words"), hits.cast(HITS).alias("hits")).unionByName(clean)
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, *, terms: int = 3, slop: int = 20, window: int = 10) -> DataFrame:
