@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, mixing, neardup
+from . import decontam, langid, media, mixing, neardup, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -68,11 +68,26 @@ def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op6_media_columns(spark: SparkSession, folder: str) -> DataFrame:
+    return media.read_back(media.media_table(_table(spark, folder, "documents")))
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.predicted(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op2_decontaminate": op2_decontaminate,
+        "op6_media_columns": op6_media_columns,
+        "op7_toxicity": op7_toxicity,
         "op8_near_duplicates": op8_near_duplicates,
+        "op10_language_id": op10_language_id,
     }
 
 
