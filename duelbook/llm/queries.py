@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, media, mixing, neardup, toxicity
+from . import decontam, langid, media, mixing, neardup, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -80,6 +80,22 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predicted(_table(spark, folder, "documents"))
 
 
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(_table(spark, folder, "pages"))
+
+
+OP9_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS x, min(page_id) OVER (PARTITION BY sha1(h)) AS least FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 8), lambda i: translate(lpad(to_base(CAST('0x' || substr(x, CAST(5 * i + 1 AS BIGINT), 5) AS BIGINT), 32), 4, '0'),
+         '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')), '') AS payload_digest,
+       CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> least THEN least END AS refers_to
+FROM d
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -87,9 +103,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_media_columns": op6_media_columns,
         "op7_toxicity": op7_toxicity,
         "op8_near_duplicates": op8_near_duplicates,
+        "op9_warc": op9_warc,
         "op10_language_id": op10_language_id,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1_SQL, "op2_decontaminate": OP2_SQL}
+    return {"op1_mix_sources": OP1_SQL, "op2_decontaminate": OP2_SQL, "op9_warc": OP9_SQL}
