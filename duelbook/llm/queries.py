@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, media, mixing, neardup, toxicity, warc
+from . import decontam, langid, lm, media, mixing, neardup, substrings, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -96,10 +96,20 @@ FROM d
 """
 
 
+def op4_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.scored(_table(spark, folder, "documents"))
+
+
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.repeats(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op2_decontaminate": op2_decontaminate,
+        "op4_lm_scores": op4_lm_scores,
+        "op5_substring_dedup": op5_substring_dedup,
         "op6_media_columns": op6_media_columns,
         "op7_toxicity": op7_toxicity,
         "op8_near_duplicates": op8_near_duplicates,
