@@ -195,32 +195,132 @@ def _with_comp(buckets: DataFrame, links: DataFrame) -> DataFrame:
     return buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
-def leftover_pairs(buckets: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """Pairs of one bucket that are still in different components and whose signatures agree well enough.
+def _grouped(df: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
+    """Calls ``run`` with each key's rows as arrays by column; it returns an integer array, rows by columns of ``schema``.
 
-    A bucket of n nodes is cut into blocks of about BLOCK; every two blocks meet in a group of their
-    own, which compares signatures and gives back only what agrees.
+    Many small groups share one batch in and out; a group that goes on in the next batch is held back.
+    """
+    names = [x.split()[0] for x in schema.split(",")]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def over(batches):
+        held = None
+        for batch in _then_none(batches):
+            if batch is not None and not len(batch):
+                continue
+            if held is not None and batch is not None:
+                batch = pd.concat([held, batch], ignore_index=True)
+            last = batch is None
+            batch = held if last else batch
+            if batch is None:
+                return
+            cols = {c: batch[c].to_numpy() for c in batch.columns}
+            key = np.stack([cols[k] for k in keys], axis=1)
+            cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+            ends = [*cut, len(batch)] if last else list(cut)
+            out = [run({c: v[x:y] for c, v in cols.items()}) for x, y in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
+            if out:
+                yield pd.DataFrame(np.concatenate(out).reshape(-1, len(names)), columns=names)
+            held = None if last else batch.iloc[ends[-1] if ends else 0 :]
+
+    return df.repartition(n, *keys).sortWithinPartitions(*keys).mapInPandas(over, schema)
+
+
+def _then_none(batches):
+    yield from batches
+    yield None
+
+
+def _matrix(blobs: np.ndarray, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(blobs), dtype=kind).reshape(len(blobs), -1)
+
+
+def open_nodes(buckets: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(bucket, i, j, node, comp): nodes whose signature agrees well enough with one of another component in their bucket.
+
+    A bucket of n nodes is cut into blocks of about BLOCK; every two blocks (i, j) meet in a group of
+    their own, which compares signatures and gives back nodes, not pairs. A pair that shares several
+    buckets is looked at in the first band only.
     """
     with_comp = stored(_with_comp(buckets, links), "neardup-comps")
     open_ = with_comp.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("n")).filter("x <> y")
-    rows = with_comp.join(open_.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.join(nodes.select("node", "sig"), "node")
-    dealt = rows.select("bucket", "node", "comp", "sig", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("bucket", "node", "comp", "sig", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
-        left = batch[batch["block"] == batch["i"]]
-        right = batch[batch["block"] == batch["j"]]
-        one, two = (np.frombuffer(b"".join(x["sig"]), dtype=np.uint16).reshape(len(x), -1) if len(x) else np.zeros((0, 1), np.uint16) for x in (left, right))
-        out = []
-        for k in range(len(left) if len(right) else 0):
-            fits = (_agreement(one[k], two) >= THRESHOLD - ESTIMATE_MARGIN) & (right["comp"].to_numpy() != left["comp"].iat[k])
-            a, b = left["node"].iat[k], right["node"].to_numpy()[fits]
-            out.append(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1))
-        got = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": got[:, 0], "b": got[:, 1]})
-
-    return dealt.groupBy("bucket", "i", "j").applyInPandas(run, "a long, b long").distinct()
+    rows = with_comp.join(open_.select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks")), "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    rows = rows.join(nodes.select("node", "sig", "bands"), "node")
+    dealt = rows.select("bucket", "node", "comp", "sig", "bands", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "comp", "sig", "bands", "block")
+
+    def run(g):
+        sig, bands, comp, block, node = _matrix(g["sig"], np.uint16), np.stack(g["bands"]), g["comp"], g["block"], g["node"]
+        i, j, bucket = g["i"][0], g["j"][0], g["bucket"][0]
+        here = int(np.argmax(bands[0] == bucket))
+        right = np.flatnonzero(block == j)
+        hit = np.zeros(len(node), dtype=bool)
+        for k in np.flatnonzero(block == i):
+            other = right[comp[right] != comp[k]]
+            if len(other):
+                other = other[_agreement(sig[k], sig[other]) >= THRESHOLD - ESTIMATE_MARGIN]
+                other = other[(bands[other] == bands[k]).argmax(axis=1) == here]
+                hit[other] = True
+                hit[k] |= len(other) > 0
+        at = np.flatnonzero(hit)
+        return np.stack([np.full(len(at), bucket), np.full(len(at), i), np.full(len(at), j), node[at], comp[at]], axis=1)
+
+    return _grouped(dealt, ["bucket", "i", "j"], run, "bucket long, i long, j long, node long, comp long")
+
+
+def bag_bytes(hashed: DataFrame) -> DataFrame:
+    """(node, tokens) -> (node, bag): 32-bit hashes of (shingle, first / second / ... occurrence), so that bags become sets."""
+
+    def run(batches):
+        for batch in batches:
+            tokens = list(batch["tokens"])
+            for lo, hi in _chunks(tokens):
+                text, shingle, count = bags(tokens[lo:hi])
+                of = np.repeat(np.arange(len(text)), count)
+                nth = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+                with np.errstate(over="ignore"):
+                    member = (mix64(shingle[of] + mix64(nth.astype(np.uint64))) >> U(32)).astype(np.uint32)
+                cut = np.searchsorted(text[of], np.arange(1, hi - lo))
+                yield pd.DataFrame({"node": batch["node"].iloc[lo:hi].to_numpy(), "bag": [x.tobytes() for x in np.split(member, cut)]})
+
+    return hashed.mapInPandas(run, "node long, bag binary")
+
+
+def _merging(g: dict[str, np.ndarray]) -> np.ndarray:
+    """Links (a, b) at or above the threshold that join different components, as few as join them, by an all-pairs count of common members."""
+    sets = [np.frombuffer(x, dtype=np.uint32) for x in g["bag"]]
+    size = np.array([len(x) for x in sets], dtype=np.float64)
+    row = np.repeat(np.arange(len(sets)), size.astype(np.int64))
+    _, col, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.cumsum(seen > 1) - 1
+    row, col = row[seen[col] > 1], shared[col[seen[col] > 1]]
+    both = np.zeros((len(sets), len(sets)))
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    for start in range(0, int(col[-1]) + 1 if len(col) else 0, 4096):
+        lo, hi = np.searchsorted(col, [start, start + 4096])
+        x = np.zeros((len(sets), 4096), dtype=np.float32)
+        x[row[lo:hi], col[lo:hi] - start] = 1
+        both += x @ x.T
+    alike = both / np.maximum(size[:, None] + size[None, :] - both, 1)
+    label = g["comp"].copy()
+    out = []
+    for k in range(len(sets)):
+        # One link is enough to each component that k is alike to.
+        while len(other := np.flatnonzero((alike[k] >= THRESHOLD) & (label != label[k]))):
+            out.append((max(g["node"][k], g["node"][other[0]]), min(g["node"][k], g["node"][other[0]])))
+            label[label == label[other[0]]] = label[k]
+    return np.array(out, dtype=np.int64).reshape(-1, 2)
+
+
+def leftover_links(buckets: DataFrame, nodes: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links that the stars missed, between nodes of one bucket; as few as join the same components."""
+    left = stored(open_nodes(buckets, nodes, links), "neardup-open")
+    asked = stored(left.select("node").distinct().join(nodes.select("node", "row"), "node"), "neardup-asked")
+    text = texts.join(maybe_broadcast(asked, MOST_BROADCAST_NODES), "row").select("node", "text").dropDuplicates(["node"])
+    bag = stored(bag_bytes(text.select("node", token_hashes("text").alias("tokens"))), "neardup-bags")
+    found = _grouped(left.join(bag, "node"), ["bucket", "i", "j"], _merging, "a long, b long")
+    return verified(stored(found.distinct(), "neardup-found"), nodes, texts)
 
 
 def _doc_rows(docs: DataFrame) -> DataFrame:
@@ -240,9 +340,7 @@ def classified(docs: DataFrame) -> DataFrame:
     star = buckets.filter("node <> centre").select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct()
     texts = rows.select("row", "text")
     links = stored(verified(stored(estimated(star, nodes), "neardup-star"), nodes, texts), "neardup-links")
-    rest = stored(leftover_pairs(buckets.select("bucket", "node"), nodes, links), "neardup-rest")
-    if not rest.isEmpty():
-        links = links.unionByName(stored(verified(rest.join(links, ["a", "b"], "left_anti"), nodes, texts), "neardup-more"))
+    links = links.unionByName(stored(leftover_links(buckets.select("bucket", "node"), nodes, links, texts), "neardup-more"))
     comps = stored(components(links), "neardup-components")
     joined = signed.select("doc_id", "row", "node").join(comps, "node", "left")
     return joined.select("doc_id", "row", F.coalesce("comp", "node").alias("comp"))
