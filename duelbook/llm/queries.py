@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, lm, media, mixing, neardup, substrings, toxicity, warc
+from . import decontam, langid, lm, media, mixing, neardup, secrets, substrings, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -104,10 +104,15 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.repeats(_table(spark, folder, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.findings(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op2_decontaminate": op2_decontaminate,
+        "op3_secret_scan": op3_secret_scan,
         "op4_lm_scores": op4_lm_scores,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_media_columns": op6_media_columns,
