@@ -8,7 +8,7 @@ the word-by-word check, so that neither frequent terms nor whole posting lists a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import maybe_broadcast, stored, words
@@ -21,10 +21,13 @@ MOST_BROADCAST_ROWS = 2_000_000
 HITS = "array<struct<item_id:string,positions:array<int>>>"
 
 
+def row_key() -> Column:
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text"), F.lit("")))
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """doc_id, text and a row key. Repeated rows share a key: they have the same words."""
-    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text"), F.lit("")))
-    return docs.select("doc_id", "text", key.alias("row"))
+    return docs.select("doc_id", "text", row_key().alias("row"))
 
 
 def item_words(items: DataFrame, window: int) -> DataFrame:
@@ -67,23 +70,20 @@ def diagonals(index: DataFrame, seeds: DataFrame, items: DataFrame) -> DataFrame
     return met.filter((F.col("len") == 1) | close).select("row", "item", "diag")
 
 
-def phrase_matches(docs: DataFrame, items: DataFrame, *, window: int = 10) -> DataFrame:
-    """One row per document row: doc_id, n_words, hits: array of (item_id, positions).
+def spots(numbers: DataFrame, item: DataFrame) -> DataFrame:
+    """(row, spots): for each row with candidates, where which item may stand; stored.
 
-    ``positions`` are the document's word positions inside any occurrence of the item's windows.
+    As many as the document has places where an item may stand.
     """
-    numbers = numbered(docs)
-    item = stored(item_words(items, window), "decontam-items")
-    counts = term_counts(docs, item.select(F.explode("iw").alias("term")).distinct())
+    counts = term_counts(numbers, item.select(F.explode("iw").alias("term")).distinct())
     seeds = stored(seed_terms(item, counts), "decontam-seeds")
     index = stored(positional_index(numbers, seeds.select("term").distinct()), "decontam-index")
     found = diagonals(index, seeds, item).join(maybe_broadcast(item, MOST_BROADCAST_ITEMS), "item")
-    # As many as the document has places where an item may stand.
-    by_row = stored(found.groupBy("row").agg(F.collect_list(F.struct("item_id", "iw", "len", "diag")).alias("spots")), "decontam-spots")
-    # Only keys decide which documents go on, so that the texts of the others are never shuffled.
-    keys = maybe_broadcast(by_row.select("row"), MOST_BROADCAST_ROWS)
-    asked = numbers.join(keys, "row", "left_semi").join(by_row, "row").select("doc_id", words(F.col("text")).alias("ws"), "spots")
-    clean = numbers.join(keys, "row", "left_anti").select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), F.array().cast(HITS).alias("hits"))
+    return stored(found.groupBy("row").agg(F.collect_list(F.struct("item_id", "iw", "len", "diag")).alias("spots")), "decontam-spots")
+
+
+def confirmed() -> Column:
+    """HITS of a row with ``ws`` (its words) and ``spots``, each spot checked word by word."""
 
     def places(spot):
         flags = F.array_join(F.transform(spot["iw"], lambda w, o: F.when(F.get("ws", spot["diag"] + o) == w, "1").otherwise("0")), "")
@@ -91,8 +91,23 @@ def phrase_matches(docs: DataFrame, items: DataFrame, *, window: int = 10) -> Da
         inside = F.flatten(F.transform(starts, lambda s: F.sequence(spot["diag"] + s, spot["diag"] + s + spot["len"] - 1)))
         return F.struct(spot["item_id"].alias("item_id"), F.array_distinct(inside).alias("positions"))
 
-    hits = F.filter(F.transform("spots", places), lambda h: F.size(h["positions"]) > 0)
-    return asked.select("doc_id", F.size("ws").cast("long").alias("n_words"), hits.cast(HITS).alias("hits")).unionByName(clean)
+    return F.filter(F.transform("spots", places), lambda h: F.size(h["positions"]) > 0).cast(HITS)
+
+
+def phrase_matches(docs: DataFrame, items: DataFrame, *, window: int = 10) -> DataFrame:
+    """One row per document row: doc_id, n_words, hits: array of (item_id, positions).
+
+    ``positions`` are the document's word positions inside any occurrence of the item's windows.
+    """
+    numbers = numbered(docs)
+    item = stored(item_words(items, window), "decontam-items")
+    by_row = spots(numbers, item)
+    # Only keys decide which documents go on, so that the texts of the others are never shuffled.
+    keys = maybe_broadcast(by_row.select("row"), MOST_BROADCAST_ROWS)
+    asked = numbers.join(keys, "row", "left_semi").join(by_row, "row").select("doc_id", words(F.col("text")).alias("ws"), "spots")
+    clean = numbers.join(keys, "row", "left_anti").select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), F.array().cast(HITS).alias("hits"))
+
+    return asked.select("doc_id", F.size("ws").cast("long").alias("n_words"), confirmed().alias("hits")).unionByName(clean)
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, *, terms: int = 3, slop: int = 20, window: int = 10) -> DataFrame:
@@ -127,3 +142,13 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = 10) -> Dat
     return got.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated")
     )
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, *, window: int = 10) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no window of an item occurs."""
+    numbers = numbered(docs)
+    by_row = spots(numbers, stored(item_words(items, window), "decontam-items"))
+    keys = maybe_broadcast(by_row.select("row"), MOST_BROADCAST_ROWS)
+    asked = numbers.join(keys, "row", "left_semi").join(by_row, "row").withColumn("ws", words(F.col("text")))
+    bad = stored(asked.filter(F.size(confirmed()) > 0).select(F.col("row").alias("_row")).distinct(), "decontam-bad")
+    return docs.withColumn("_row", row_key()).join(maybe_broadcast(bad, MOST_BROADCAST_ROWS), "_row", "left_anti").drop("_row")
