@@ -5,11 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .plans import marts_base as mb
+from .plans import oracle_marts
+from .sources.adapter import Tables, with_views
+
+#: Query name -> function of the adapter's tables.
+PLANS: dict[str, Callable[[Tables], DataFrame]] = {
+    "K01": mb.team_season_summary, "K02": mb.game_epa, "K03": mb.team_epa_season, "K04": mb.situational_splits, "K05": mb.defensive_havoc, "K06": mb.scoring_opportunities,
+    "K07": mb.matchup_history, "K08": mb.recruiting_class, "K09": mb.coach_record, "K10": mb.play_epa, "K11": mb.player_game_epa, "K12": lambda t: mb.player_season_epa(t, 2),
+    "K13": mb.team_season_trajectory, "K14": mb.conference_era_summary, "K15": mb.team_style_profile, "K16": mb.matchup_edges, "K17": mb.team_talent_composite, "K19": mb.team_tempo_metrics,
+    "K21": mb.team_playcalling_tendencies, "K22": mb.team_situational_success, "K23": mb.coaching_tenure,
+}
+SQL: dict[str, str] = dict(oracle_marts.SQL)
+
+
+def _long(df: DataFrame) -> DataFrame:
+    """Ranks and other ints as longs: one integer type for all results."""
+    return df.select(*[F.col(f"`{c}`").cast("long").alias(c) if t == "int" else F.col(f"`{c}`") for c, t in df.dtypes])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: lambda spark, folder, f=f: _long(f(Tables(spark, folder))) for name, f in PLANS.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: with_views(SQL[name]) for name in PLANS if name in SQL}

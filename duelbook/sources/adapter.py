@@ -39,7 +39,7 @@ SELECT l.l_orderkey AS game_id, concat(CAST(l.l_orderkey AS VARCHAR(20)), '-', C
   CAST(1 + l.l_linenumber % 4 AS BIGINT) AS period, 1 + l.l_partkey % 4 AS down, 1 + l.l_suppkey % 15 AS distance,
   l.l_suppkey % 15 AS clock_minutes, l.l_partkey % 60 AS clock_seconds,
   1 + (l.l_partkey + l.l_suppkey) % 99 AS yards_to_goal, CAST(l.l_quantity AS BIGINT) - 10 AS yards_gained,
-  CASE WHEN l.l_quantity = 50 THEN NULL ELSE l.l_discount - CAST(0.05 AS DOUBLE) END AS ppa,
+  CASE WHEN l.l_quantity = 50 THEN NULL ELSE CAST(CAST(round(l.l_discount * 100) AS BIGINT) - 5 AS DOUBLE) / 8 END AS ppa,
   CASE l.l_partkey % 12 WHEN 0 THEN 'Rush' WHEN 1 THEN 'Pass Reception' WHEN 2 THEN 'Pass Incompletion' WHEN 3 THEN 'Sack' WHEN 4 THEN 'Rushing Touchdown'
     WHEN 5 THEN 'Passing Touchdown' WHEN 6 THEN 'Interception Return' WHEN 7 THEN 'Fumble Recovery (Opponent)' WHEN 8 THEN 'Kickoff' WHEN 9 THEN 'Penalty'
     WHEN 10 THEN 'Timeout' ELSE 'Run' END AS play_type,
@@ -62,7 +62,7 @@ UNION ALL SELECT CAST(100 + n_nationkey AS BIGINT), n_name, NULL, NULL, NULL, NU
     "sp_ratings": "SELECT year, team, conference, CAST((k * 37 + year * 11) % 61 - 30 AS DOUBLE) AS rating, (k * 37 + year * 11) % 130 + 1 AS ranking, CAST((k * 13 + year) % 40 AS DOUBLE) AS offense_rating, CAST((k * 17 + year) % 40 AS DOUBLE) AS defense_rating FROM {team_years} WHERE (k + year) % 11 <> 0",
     "elo_ratings": "SELECT year, team, CAST(1300 + (k * 53 + year * 7) % 500 AS DOUBLE) AS elo FROM {team_years} WHERE (k + year) % 13 <> 0",
     "fpi_ratings": "SELECT year, team, CAST((k * 29 + year * 3) % 50 - 25 AS DOUBLE) AS fpi FROM {team_years} WHERE (k + year) % 7 <> 0",
-    "core_ratings": "SELECT year, team, conference, CAST((k * 19 + year * 5) % 40 - 20 AS DOUBLE) AS offense, CAST((k * 23 + year * 3) % 40 - 20 AS DOUBLE) AS defense, CAST((k * 19 + year * 5) % 40 - (k * 23 + year * 3) % 40 AS DOUBLE) AS overall, 100 + k AS offense_plays, 90 + k AS defense_plays, 15 AS through_week FROM {team_years}",
+    "core_ratings": "SELECT year, team, conference, CAST((k * 19 + year * 5) % 40 - 20 AS DOUBLE) AS offense, CAST((k * 23 + year * 3) % 40 - 20 AS DOUBLE) AS defense, CAST((k * 19 + year * 5) % 40 - (k * 23 + year * 3) % 40 AS DOUBLE) AS overall, 100 + k AS offense_plays, 90 + k AS defense_plays, CAST(15 AS BIGINT) AS through_week FROM {team_years}",
     "team_recruiting": "SELECT year, team, (k * 31 + year * 17) % 60 + 1 AS rank, CAST((k * 41 + year * 13) % 300 AS DOUBLE) AS points FROM {team_years} WHERE (k + year) % 9 <> 0",
     "team_talent": "SELECT year, team, CAST((k * 43 + year * 29) % 1000 AS DOUBLE) AS talent FROM {team_years}",
     "recruits": """
@@ -70,18 +70,18 @@ SELECT c.c_custkey AS id, CASE WHEN c.c_custkey % 3 = 0 THEN NULL ELSE CAST(c.c_
   CASE WHEN c.c_custkey % 4 = 0 THEN NULL ELSE c.c_custkey % 300 + 1 END AS ranking, c.c_name AS name,
   CASE WHEN c.c_custkey % 17 = 0 THEN NULL ELSE n.n_name END AS committed_to,
   CASE c.c_custkey % 10 WHEN 0 THEN 'QB' WHEN 1 THEN 'RB' WHEN 2 THEN 'WR' WHEN 3 THEN 'TE' WHEN 4 THEN 'OT' WHEN 5 THEN 'EDGE' WHEN 6 THEN 'LB' WHEN 7 THEN 'CB' WHEN 8 THEN 'K' ELSE 'ATH' END AS position,
-  CASE WHEN c.c_custkey % 13 = 0 THEN NULL ELSE 1 + c.c_custkey % 5 END AS stars, CAST(7000 + c.c_custkey % 3000 AS DOUBLE) / 10000 AS rating
+  CASE WHEN c.c_custkey % 13 = 0 THEN NULL ELSE 1 + c.c_custkey % 5 END AS stars, CAST(700 + c.c_custkey % 300 AS DOUBLE) / 1024 AS rating
 FROM {customer} c JOIN {nation} n ON n.n_nationkey = c.c_nationkey""",
     "transfer_portal": """
 SELECT 2015 + e.event_id % 7 AS season, concat('F', CAST(e.user_id AS VARCHAR(9))) AS first_name, concat('L', CAST(e.event_id % 50 AS VARCHAR(9))) AS last_name, o.n_name AS origin,
   CASE WHEN e.event_id % 5 = 0 THEN NULL ELSE d.n_name END AS destination,
   CASE e.event_id % 4 WHEN 0 THEN 'QB' WHEN 1 THEN 'WR' WHEN 2 THEN 'LB' ELSE 'CB' END AS position,
-  CASE WHEN e.event_id % 6 = 0 THEN NULL ELSE 1 + e.event_id % 5 END AS stars, CASE WHEN e.event_id % 6 = 0 THEN NULL ELSE CAST(50 + e.event_id % 50 AS DOUBLE) / 100 END AS rating, e.ts AS transfer_date
+  CASE WHEN e.event_id % 6 = 0 THEN NULL ELSE 1 + e.event_id % 5 END AS stars, CASE WHEN e.event_id % 6 = 0 THEN NULL ELSE CAST(50 + e.event_id % 50 AS DOUBLE) / 128 END AS rating, e.ts AS transfer_date
 FROM {events} e JOIN {nation} o ON o.n_nationkey = e.user_id % 25 JOIN {nation} d ON d.n_nationkey = (e.user_id + 1 + e.event_id % 24) % 25""",
     "draft_picks": "SELECT 2015 + s.s_suppkey % 7 AS year, s.s_suppkey AS overall, 1 + s.s_suppkey % 7 AS round, n.n_name AS college_team FROM {supplier} s JOIN {nation} n ON n.n_nationkey = s.s_nationkey",
     "coach_seasons": """
 SELECT concat('C', CAST(s.s_suppkey % 40 AS VARCHAR(9))) AS first_name, concat('Coach', CAST(s.s_suppkey % 37 AS VARCHAR(9))) AS last_name, n.n_name AS school, y.year,
-  12 AS games, (s.s_suppkey * 3 + y.year) % 13 AS wins, 12 - (s.s_suppkey * 3 + y.year) % 13 AS losses, CASE WHEN s.s_suppkey % 4 = 0 THEN NULL ELSE 0 END AS ties,
+  CAST(12 AS BIGINT) AS games, (s.s_suppkey * 3 + y.year) % 13 AS wins, 12 - (s.s_suppkey * 3 + y.year) % 13 AS losses, CASE WHEN s.s_suppkey % 4 = 0 THEN NULL ELSE CAST(0 AS BIGINT) END AS ties,
   CASE WHEN (s.s_suppkey + y.year) % 3 = 0 THEN (s.s_suppkey + y.year) % 25 + 1 END AS preseason_rank, CASE WHEN (s.s_suppkey + y.year) % 4 = 0 THEN (s.s_suppkey * 3 + y.year) % 25 + 1 END AS postseason_rank,
   CAST((s.s_suppkey * 7 + y.year) % 50 - 25 AS DOUBLE) AS sp_overall
 FROM {supplier} s JOIN {nation} n ON n.n_nationkey = s.s_nationkey CROSS JOIN (SELECT DISTINCT season AS year FROM {games}) y WHERE (s.s_suppkey + y.year * y.year) % 4 <> 0""",
@@ -114,17 +114,17 @@ SELECT g.id AS game_id, CASE v.s WHEN 0 THEN g.home_team ELSE g.away_team END AS
   CASE WHEN g.id % 3 = 0 THEN NULL ELSE (g.id + v.s) % 12 END AS total_havoc, CASE WHEN g.id % 3 = 0 THEN CAST((g.id + v.s) % 12 AS DOUBLE) + CAST(0.5 AS DOUBLE) END AS total_havoc_v_double,
   (g.id + v.s) % 7 AS front_seven_havoc, (g.id + v.s) % 5 AS db_havoc, 50 + (g.id + v.s) % 30 AS total_plays
 FROM {games} g CROSS JOIN (SELECT 0 AS s UNION ALL SELECT 1) v WHERE g.id % 2 = 0""",
-    "eras": "SELECT 'A' AS code, 'Early' AS name, 2004 AS start_year, CAST(2013 AS INTEGER) AS end_year UNION ALL SELECT 'B', 'Playoff', 2014, 2021 UNION ALL SELECT 'C', 'Portal', 2018, 2021 UNION ALL SELECT 'D', 'Expansion', 2021, NULL",
-    "team_wepa": "SELECT year, team, conference, CAST((k * 3 + year) % 41 - 20 AS DOUBLE) / 100 AS epa, CAST((k * 5 + year) % 37 - 18 AS DOUBLE) / 100 AS epa_allowed, CAST((k * 7 + year) % 60 AS DOUBLE) / 100 AS success_rate FROM {team_years} WHERE (k + year) % 6 <> 0",
+    "eras": "SELECT 'A' AS code, 'Early' AS name, CAST(2004 AS BIGINT) AS start_year, CAST(2013 AS BIGINT) AS end_year UNION ALL SELECT 'B', 'Playoff', 2014, 2021 UNION ALL SELECT 'C', 'Portal', 2018, 2021 UNION ALL SELECT 'D', 'Expansion', 2021, NULL",
+    "team_wepa": "SELECT year, team, conference, CAST((k * 3 + year) % 41 - 20 AS DOUBLE) / 128 AS epa, CAST((k * 5 + year) % 37 - 18 AS DOUBLE) / 128 AS epa_allowed, CAST((k * 7 + year) % 60 AS DOUBLE) / 128 AS success_rate FROM {team_years} WHERE (k + year) % 6 <> 0",
     "player_wepa": """
 SELECT CAST(p.p_partkey % 997 AS VARCHAR(9)) AS athlete_id, p.p_name AS athlete_name, n.n_name AS team, y.year, CASE p.p_partkey % 3 WHEN 0 THEN 'passing' WHEN 1 THEN 'rushing' ELSE 'kicking' END AS category,
-  CASE WHEN p.p_partkey % 11 = 0 THEN NULL ELSE CAST((p.p_partkey * 7 + y.year) % 200 - 100 AS DOUBLE) / 100 END AS wepa, 10 + p.p_partkey % 90 AS plays
+  CASE WHEN p.p_partkey % 11 = 0 THEN NULL ELSE CAST((p.p_partkey * 7 + y.year) % 200 - 100 AS DOUBLE) / 128 END AS wepa, 10 + p.p_partkey % 90 AS plays
 FROM {part} p JOIN {nation} n ON n.n_nationkey = p.p_partkey % 25 CROSS JOIN (SELECT DISTINCT season AS year FROM {games}) y WHERE (p.p_partkey + y.year) % 7 = 0""",
-    "returning_production": "SELECT year AS season, team, conference, CASE WHEN k % 2 = 0 THEN CAST((k * 11 + year) % 100 AS BIGINT) END AS total_ppa, CASE WHEN k % 2 = 1 THEN CAST((k * 11 + year) % 100 AS DOUBLE) / 3 END AS total_ppa_v_double, CAST((k * 13 + year) % 100 AS DOUBLE) / 100 AS percent_ppa FROM {team_years}",
-    "player_usage": "SELECT athlete_id AS id, year AS season, team, athlete_name AS name, CASE WHEN plays % 2 = 0 THEN CAST(plays AS BIGINT) END AS usage_overall, CASE WHEN plays % 2 = 1 THEN CAST(plays AS DOUBLE) / 100 END AS usage_overall_v_double FROM {player_wepa}",
-    "team_ats": "SELECT year, team, conference, 12 AS games, (k * 3 + year) % 11 AS ats_wins, (k * 5 + year) % 9 AS ats_losses, (k + year) % 3 AS ats_pushes FROM {team_years}",
+    "returning_production": "SELECT year AS season, team, conference, CASE WHEN k % 2 = 0 THEN CAST((k * 11 + year) % 100 AS BIGINT) END AS total_ppa, CASE WHEN k % 2 = 1 THEN CAST((k * 11 + year) % 100 AS DOUBLE) / 4 END AS total_ppa_v_double, CAST((k * 13 + year) % 100 AS DOUBLE) / 128 AS percent_ppa FROM {team_years}",
+    "player_usage": "SELECT athlete_id AS id, year AS season, team, athlete_name AS name, CASE WHEN plays % 2 = 0 THEN CAST(plays AS BIGINT) END AS usage_overall, CASE WHEN plays % 2 = 1 THEN CAST(plays AS DOUBLE) / 128 END AS usage_overall_v_double FROM {player_wepa}",
+    "team_ats": "SELECT year, team, conference, CAST(12 AS BIGINT) AS games, (k * 3 + year) % 11 AS ats_wins, (k * 5 + year) % 9 AS ats_losses, (k + year) % 3 AS ats_pushes FROM {team_years}",
     "game_predictions": """
-SELECT g.id AS game_id, g.season, m.model_version, v.d AS prediction_day, CAST((g.id * (3 + m.k) + v.d) % 41 - 20 AS DOUBLE) AS expected_margin, CAST((g.id * (7 + m.k) + v.d) % 99 + 1 AS DOUBLE) / 100 AS home_win_prob,
+SELECT g.id AS game_id, g.season, m.model_version, CAST(v.d AS BIGINT) AS prediction_day, CAST((g.id * (3 + m.k) + v.d) % 41 - 20 AS DOUBLE) AS expected_margin, CAST((g.id * (7 + m.k) + v.d) % 127 + 1 AS DOUBLE) / 128 AS home_win_prob,
   CASE WHEN (g.id + m.k) % 5 = 0 THEN NULL ELSE CAST((g.id * 3) % 57 - 28 AS DOUBLE) / 2 END AS market_spread
 FROM {games} g CROSS JOIN (SELECT 'elo' AS model_version, 0 AS k UNION ALL SELECT 'blend', 1) m CROSS JOIN (SELECT 1 AS d UNION ALL SELECT 2 UNION ALL SELECT 3) v WHERE (g.id + v.d) % 3 <> 0""",
     "captures": "SELECT user_id AS game_id, ts AS captured_at, event_id, event_type AS status, CAST(floor(value / 50) AS BIGINT) AS points, md5(concat(event_type, '|', CAST(CAST(floor(value / 50) AS BIGINT) AS VARCHAR(20)))) AS state_hash FROM {events} WHERE value IS NOT NULL AND user_id IS NOT NULL",
