@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .plans import marts_base as mb
-from .plans import oracle_marts
+from .plans import marts_more as mm
+from .plans import oracle_marts, oracle_more
 from .sources.adapter import Tables, with_views
 
 #: Query name -> function of the adapter's tables.
@@ -17,8 +18,12 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "K07": mb.matchup_history, "K08": mb.recruiting_class, "K09": mb.coach_record, "K10": mb.play_epa, "K11": mb.player_game_epa, "K12": lambda t: mb.player_season_epa(t, 2),
     "K13": mb.team_season_trajectory, "K14": mb.conference_era_summary, "K15": mb.team_style_profile, "K16": mb.matchup_edges, "K17": mb.team_talent_composite, "K19": mb.team_tempo_metrics,
     "K21": mb.team_playcalling_tendencies, "K22": mb.team_situational_success, "K23": mb.coaching_tenure,
+    "K18": mm.data_quality_dashboard, "K20": mm.player_comparison, "K24": mm.recruiting_roi, "K25": mm.transfer_portal_impact, "K26": mm.conference_comparison, "K27": mm.conference_head_to_head, "K28": mm.freshness_of_events,
+    "K29": mm.team_wepa_season, "K30": mm.player_wepa_season, "K31": mm.returning_production, "K32": mm.player_usage, "K33": mm.team_ats_records, "K34": mm.house_elo, "K35": mm.house_elo_game, "K37": mm.scored_matchup_edges,
+    "K38": mm.prediction_accuracy, "K41": mm.penalty_log, "K42": mm.team_penalty_box, "K43": mm.core_ratings, "K44": mm.analytics_team_season, "K45": mm.player_career_stats, "K46": mm.conference_standings, "K47": mm.team_recruiting_trend,
+    "K48": mm.game_results, "K49": mm.player_mart, "K50": mm.alerts_of_events,
 }
-SQL: dict[str, str] = dict(oracle_marts.SQL)
+SQL: dict[str, str] = {**oracle_marts.SQL, **oracle_more.SQL}
 
 
 def _long(df: DataFrame) -> DataFrame:
