@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from .plans import marts_base as mb
 from .plans import marts_more as mm
-from .plans import oracle_marts, oracle_more
+from .plans import oracle_marts, oracle_more, oracle_serve
+from .plans import serve as sv
 from .sources.adapter import Tables, with_views
 
+#: What the lookups are asked for.
+TEAM, SEASON, CONFERENCE = oracle_serve.TEAM, oracle_serve.SEASON, "AMERICA"
 #: Query name -> function of the adapter's tables.
 PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "K01": mb.team_season_summary, "K02": mb.game_epa, "K03": mb.team_epa_season, "K04": mb.situational_splits, "K05": mb.defensive_havoc, "K06": mb.scoring_opportunities,
@@ -22,8 +25,15 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "K29": mm.team_wepa_season, "K30": mm.player_wepa_season, "K31": mm.returning_production, "K32": mm.player_usage, "K33": mm.team_ats_records, "K34": mm.house_elo, "K35": mm.house_elo_game, "K37": mm.scored_matchup_edges,
     "K38": mm.prediction_accuracy, "K41": mm.penalty_log, "K42": mm.team_penalty_box, "K43": mm.core_ratings, "K44": mm.analytics_team_season, "K45": mm.player_career_stats, "K46": mm.conference_standings, "K47": mm.team_recruiting_trend,
     "K48": mm.game_results, "K49": mm.player_mart, "K50": mm.alerts_of_events,
+    "L00": lambda t: sv.serve(mb.team_season_summary(t), ["team", "season", "wins", "losses"], [("season", "gte", 2017), ("wins", "gte", 3), ("conference", "in", ["AFRICA", "AMERICA", "ASIA"])], [F.col("wins").desc(), F.col("team"), F.col("season")], 20),
+    "L01": sv.team_detail, "L02": lambda t: sv.team_history(t, TEAM), "L03": sv.game_detail, "L04": sv.matchup, "L05": sv.leaderboard_teams, "L06": lambda t: sv.roster_lookup(t, TEAM, SEASON), "L07": sv.player_season_leaders, "L08": sv.player_detail, "L09": sv.game_player_leaders,
+    "L10": sv.game_box_score, "L11": sv.game_line_scores, "L12": sv.team_playcalling_profile, "L13": sv.line_movement, "L14": sv.game_drives, "L14_plays": sv.game_plays, "L15": sv.poll_rankings, "L16": sv.game_predictions, "L17": sv.game_win_probability, "L18": sv.live_scoreboard,
+    "L20": sv.coach_records, "L23": sv.expected_points_keys, "L24": sv.team_epa_public, "L25": sv.special_teams_sos, "L26": sv.available_seasons, "L27": lambda t: sv.home_away_splits(t, TEAM, SEASON), "L28": lambda t: sv.conference_splits(t, TEAM, SEASON), "L29": lambda t: sv.down_distance_splits(t, TEAM, SEASON),
+    "L30": lambda t: sv.field_position_splits(t, TEAM, SEASON), "L31": lambda t: sv.red_zone_splits(t, TEAM, SEASON), "L32": lambda t: sv.player_season_stats_pivoted(t, TEAM, 2017), "L33": lambda t: sv.trajectory_averages(t, CONFERENCE, 2016, 2020), "L34": lambda t: sv.player_search(t, "Customer 10"),
+    "L35": lambda t: sv.conference_h2h(t, "EUROPE", CONFERENCE, 2016), "L36": sv.stale_first, "L37": lambda t: sv.drive_patterns(t, TEAM, SEASON), "L39": lambda t: sv.player_game_log(t, "12", SEASON), "L40": lambda t: sv.player_percentiles(t, "100"), "L41": lambda t: sv.player_season_leaders(t, SEASON, "rushing", limit=20),
+    "L42": lambda t: sv.recruiting_class_history(t, TEAM), "L43": lambda t: sv.recruiting_roi_of(t, TEAM), "L44": lambda t: sv.team_portal_activity(t, TEAM, SEASON), "L45": lambda t: sv.team_signees(t, TEAM, SEASON), "L46": lambda t: sv.games_search(t, TEAM, SEASON),
 }
-SQL: dict[str, str] = {**oracle_marts.SQL, **oracle_more.SQL}
+SQL: dict[str, str] = {**oracle_marts.SQL, **oracle_more.SQL, **oracle_serve.SQL}
 
 
 def _long(df: DataFrame) -> DataFrame:
