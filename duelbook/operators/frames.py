@@ -48,11 +48,9 @@ def asof_latest(left: DataFrame, right: DataFrame, keys: list[str], at: str, val
 
 def range_join_years(left: DataFrame, right: DataFrame, keys: list[str], first: str, last: str, year: str, how: str = "inner") -> DataFrame:
     """right.year between left.first and left.last on equal keys; the equality keeps it a hash or merge join."""
-    on = [left[k] == right[k] for k in keys] + [right[year].between(left[first], left[last])]
-    out = left.join(right, on, how)
-    for k in keys:
-        out = out.drop(right[k])
-    return out
+    right = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = [F.col(k) == F.col(f"_right_{k}") for k in keys] + [F.col(year).between(F.col(first), F.col(last))]
+    return left.join(right, on, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def islands(df: DataFrame, keys: list[str], at: str, gap: int = 1, name: str = "island") -> DataFrame:
