@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .plans import marts_base as mb
+from .plans import jobs_catalog
 from .plans import marts_more as mm
 from .plans import oracle_marts, oracle_more, oracle_serve, primitives
 from .plans import serve as sv
@@ -33,8 +34,8 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "L35": lambda t: sv.conference_h2h(t, "EUROPE", CONFERENCE, 2016), "L36": sv.stale_first, "L37": lambda t: sv.drive_patterns(t, TEAM, SEASON), "L39": lambda t: sv.player_game_log(t, "12", SEASON), "L40": lambda t: sv.player_percentiles(t, "100"), "L41": lambda t: sv.player_season_leaders(t, SEASON, "rushing", limit=20),
     "L42": lambda t: sv.recruiting_class_history(t, TEAM), "L43": lambda t: sv.recruiting_roi_of(t, TEAM), "L44": lambda t: sv.team_portal_activity(t, TEAM, SEASON), "L45": lambda t: sv.team_signees(t, TEAM, SEASON), "L46": lambda t: sv.games_search(t, TEAM, SEASON),
 }
-PLANS |= primitives.PLANS
-SQL: dict[str, str] = {**oracle_marts.SQL, **oracle_more.SQL, **oracle_serve.SQL, **primitives.SQL}
+PLANS |= primitives.PLANS | jobs_catalog.PLANS
+SQL: dict[str, str] = {**oracle_marts.SQL, **oracle_more.SQL, **oracle_serve.SQL, **primitives.SQL, **jobs_catalog.SQL}
 
 
 def _long(df: DataFrame) -> DataFrame:
