@@ -149,6 +149,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame, *, window: int = 10)
     numbers = numbered(docs)
     by_row = spots(numbers, stored(item_words(items, window), "decontam-items"))
     keys = maybe_broadcast(by_row.select("row"), MOST_BROADCAST_ROWS)
-    asked = numbers.join(keys, "row", "left_semi").join(by_row, "row").withColumn("ws", words(F.col("text")))
+    # explode keeps the words in a column of their own: a filter moved below a projection would split the text for every word.
+    asked = numbers.join(keys, "row", "left_semi").join(by_row, "row").select("row", "spots", F.explode(F.array(words(F.col("text")))).alias("ws"))
     bad = stored(asked.filter(F.size(confirmed()) > 0).select(F.col("row").alias("_row")).distinct(), "decontam-bad")
     return docs.withColumn("_row", row_key()).join(maybe_broadcast(bad, MOST_BROADCAST_ROWS), "_row", "left_anti").drop("_row")
