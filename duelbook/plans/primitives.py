@@ -9,6 +9,8 @@ from ..functions import exprs as x
 from ..operators import frames as fr
 from . import marts_base as mb
 from . import marts_more as mm
+from . import oracle_more, oracle_serve
+from . import serve as sv
 
 C, L = F.col, F.lit
 SPECS: dict[str, tuple] = {}
@@ -133,5 +135,14 @@ add("H18", lambda t: t["events"].select("event_id", F.to_json(F.struct("event_ty
 add("H19", lambda t: t["games"].join(mm.best_line(t["lines"]).select(C("game_id").alias("id"), "spread"), "id").select("id", F.when(C("home_points") - C("away_points") + C("spread") > 0, "home").when(C("home_points") - C("away_points") + C("spread") < 0, "away").otherwise("push").alias("c")), f"SELECT g.id, CASE WHEN home_points - away_points + spread > 0 THEN 'home' WHEN home_points - away_points + spread < 0 THEN 'away' ELSE 'push' END AS c FROM {GAMES} g JOIN (SELECT * FROM {{lines}} QUALIFY row_number() OVER (PARTITION BY game_id ORDER BY provider <> 'consensus', provider) = 1) l ON l.game_id = g.id")
 add("H20", lambda t: mm.latest_predictions(t, None).select("game_id", "model_version", "edge", "edge_pick"), "SELECT game_id, model_version, expected_margin + market_spread AS edge, CASE WHEN expected_margin + market_spread >= 0 THEN 'home' WHEN expected_margin + market_spread < 0 THEN 'away' END AS edge_pick FROM {game_predictions} QUALIFY row_number() OVER (PARTITION BY game_id, model_version ORDER BY prediction_day DESC) = 1")
 
+# Joins and functions that marts and lookups are made of, by their own names
+add("C13", sv.game_line_scores, oracle_serve.L11)
+add("C14", *SPECS["E9"])
+add("C16", lambda t: mm.player_comparison(t).select("player_id", "team", "season", "height", "weight", "jersey"), f"SELECT player_id, team, season, height, weight, jersey FROM ({oracle_more.K20})")
+add("C19", lambda t: fr.latest_per_key(t["game_predictions"].join(t["games"].select(C("id").alias("game_id"), (C("week") % 3 + 1).alias("cut")), "game_id").filter(C("prediction_day") <= C("cut")), ["game_id", "model_version"], [C("prediction_day").desc()]).select("game_id", "model_version", "prediction_day", "expected_margin"), "SELECT p.game_id, model_version, prediction_day, expected_margin FROM {game_predictions} p JOIN {games} g ON g.id = p.game_id AND prediction_day <= week % 3 + 1 QUALIFY row_number() OVER (PARTITION BY p.game_id, model_version ORDER BY prediction_day DESC) = 1")
+add("C20", sv.game_player_leaders, oracle_serve.L09)
+add("H6", lambda t: t["part"].select("p_partkey", F.round(x.trigram_similarity("p_name", L("Part 12")), 9).alias("s")), None)
+add("H17", lambda t: t["rosters"].groupBy("team", "year").agg(F.sort_array(F.collect_list("weight")).alias("w")).select("team", "year", F.element_at("w", 1).alias("first"), F.aggregate(F.slice("w", 2, F.greatest(F.size("w") - 1, L(0))), L(0).cast("long"), lambda a, b: a + b).alias("rest")), "SELECT team, year, min(weight) AS first, (sum(weight) - min(weight))::BIGINT AS rest FROM {rosters} GROUP BY team, year")
+
 PLANS = {k: v[0] for k, v in SPECS.items()}
 SQL = {k: v[1] for k, v in SPECS.items() if v[1]}
