@@ -16,8 +16,8 @@ from .common import maybe_broadcast, stored, words
 #: Rows of terms, seeds or items that a broadcast may carry (under 100 bytes a term, a few hundred an item).
 MOST_BROADCAST_TERMS = 500_000
 MOST_BROADCAST_ITEMS = 20_000
-#: Row keys that a broadcast may carry (8 bytes each).
-MOST_BROADCAST_ROWS = 2_000_000
+#: Row keys that a broadcast may carry (about 100 bytes each as a hash table).
+MOST_BROADCAST_ROWS = 500_000
 HITS = "array<struct<item_id:string,positions:array<int>>>"
 
 

@@ -27,7 +27,7 @@ BANDS, BAND_ROWS = 20, 4
 #: Four standard deviations of the estimate below the threshold.
 ESTIMATE_MARGIN = 4 * (THRESHOLD * (1 - THRESHOLD) / (BANDS * BAND_ROWS)) ** 0.5
 CHUNK_TOKENS = 400_000
-MOST_BROADCAST_NODES = 1_000_000
+MOST_BROADCAST_NODES = 500_000
 BLOCK = 256
 U = np.uint64
 

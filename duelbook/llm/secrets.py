@@ -26,7 +26,7 @@ KNOWN_FORM = r"^(AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,})$
 #: The forest reads about this many labelled findings, drawn by a hash.
 MAX_TRAIN, TREES, DEPTH, SEED = 20_000, 20, 6, 17
 DICTIONARY_MIN = 3
-MOST_BROADCAST_TERMS, MOST_BROADCAST_ROWS = 500_000, 2_000_000
+MOST_BROADCAST_TERMS, MOST_BROADCAST_ROWS = 500_000, 500_000
 #: Character classes (a lower, A upper, 9 digit) that follow each other.
 PAIRS = ("a9", "9a", "A9", "9A", "aA", "Aa", "aa", "AA", "99")
 MOVES = [f"move_{i}" for i in range(len(PAIRS))]

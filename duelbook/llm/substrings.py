@@ -18,7 +18,7 @@ from .common import maybe_broadcast, stored
 
 #: Shorter units say too little to be called repeated.
 MIN_WORDS = 5
-MOST_BROADCAST_ROWS = 2_000_000
+MOST_BROADCAST_ROWS = 500_000
 #: A unit ends with its line break, or with a sentence mark and the blanks after it.
 UNIT = re.compile(r"[^\n.!?]*(?:[.!?]+(?![\s])[^\n.!?]*)*(?:[.!?]+[^\S\n]+|[.!?]*\n|[.!?]*$)")
 SPANS = "array<struct<start:int,end:int>>"
