@@ -82,21 +82,21 @@ add("D20", lambda t: t["team_recruiting"].select("team", C("year").alias("s")).j
 add("D21", lambda t: t["house_elo_game"].groupBy("season").agg(F.round(F.corr("expected_home_margin", C("actual_home_margin").cast("double")), 9).alias("r")), "SELECT season, round(corr(expected_home_margin, actual_home_margin), 9) AS r FROM {house_elo_game} GROUP BY season")
 add("D22", lambda t: t["plays"].groupBy((F.floor(C("yards_to_goal") / 10) * 10).alias("bin")).agg(F.count(L(1)).alias("n")), f"SELECT yards_to_goal // 10 * 10 AS bin, count(*) AS n FROM {PLAYS} GROUP BY 1")
 # E: windows
-_yr = W.partitionBy("team").orderBy("year")
+_yr = lambda: W.partitionBy("team").orderBy("year")
 add("E1", lambda t: t["sp_ratings"].select("team", "year", F.rank().over(W.partitionBy("year").orderBy(C("rating").desc(), C("ranking"))).alias("r")), "SELECT team, year, rank() OVER (PARTITION BY year ORDER BY rating DESC, ranking) AS r FROM {sp_ratings}")
 add("E2", lambda t: t["plays"].groupBy("season", "offense").agg(F.sum("yards_gained").alias("y")).withColumn("r", F.rank().over(W.partitionBy("season").orderBy(C("y").desc()))), f"SELECT season, offense, sum(yards_gained)::BIGINT AS y, rank() OVER (PARTITION BY season ORDER BY sum(yards_gained) DESC) AS r FROM {PLAYS} GROUP BY ALL".replace("GROUP BY ALL", "GROUP BY season, offense"))
 add("E3", lambda t: t["recruits"].select("id", F.rank().over(W.partitionBy("year").orderBy(F.coalesce("ranking", L(999)))).alias("r")), "SELECT id, rank() OVER (PARTITION BY year ORDER BY coalesce(ranking, 999)) AS r FROM {recruits}")
 add("E4", lambda t: fr.percent_ranks(t["recruits"].select("id", "year", "stars"), ["year"], {"stars": "p"}, "last", mask=True), "SELECT id, year, stars, CASE WHEN stars IS NOT NULL THEN percent_rank() OVER (PARTITION BY year ORDER BY stars NULLS LAST) END AS p FROM {recruits}")
 add("E5", lambda t: fr.latest_per_key(t["sp_ratings"], ["team"], [C("year").desc()]).select("team", "year", "rating"), "SELECT team, year, rating FROM {sp_ratings} QUALIFY row_number() OVER (PARTITION BY team ORDER BY year DESC) = 1")
-add("E6", lambda t: t["sp_ratings"].select("team", "year", (C("rating") - F.lag("rating").over(_yr)).alias("delta")), "SELECT team, year, rating - lag(rating) OVER (PARTITION BY team ORDER BY year) AS delta FROM {sp_ratings}")
+add("E6", lambda t: t["sp_ratings"].select("team", "year", (C("rating") - F.lag("rating").over(_yr())).alias("delta")), "SELECT team, year, rating - lag(rating) OVER (PARTITION BY team ORDER BY year) AS delta FROM {sp_ratings}")
 add("E7", lambda t: t["plays"].select("id", F.lead("id").over(W.partitionBy("drive_id").orderBy("play_number", "id")).alias("next_id")), f"SELECT id, lead(id) OVER (PARTITION BY drive_id ORDER BY play_number, id) AS next_id FROM {PLAYS}")
-add("E8", lambda t: t["team_recruiting"].select("team", "year", F.avg("rank").over(_yr.rowsBetween(-2, 0)).alias("m")), "SELECT team, year, avg(rank) OVER (PARTITION BY team ORDER BY year ROWS 2 PRECEDING) AS m FROM {team_recruiting}")
+add("E8", lambda t: t["team_recruiting"].select("team", "year", F.avg("rank").over(_yr().rowsBetween(-2, 0)).alias("m")), "SELECT team, year, avg(rank) OVER (PARTITION BY team ORDER BY year ROWS 2 PRECEDING) AS m FROM {team_recruiting}")
 add("E9", lambda t: fr.prior_sums(t["plays"].join(t["games"].select(C("id").alias("game_id"), x.week_index().alias("wk")), "game_id").withColumn("n", L(1)), ["offense", "season"], "wk", ["yards_gained", "n"]), f"SELECT offense, season, wk, sum(y) OVER w::BIGINT AS prior_yards_gained, sum(n) OVER w::BIGINT AS prior_n FROM (SELECT offense, p.season, {_WK} AS wk, sum(yards_gained) AS y, count(*) AS n FROM {PLAYS} p JOIN {GAMES} g ON g.id = p.game_id GROUP BY ALL) WINDOW w AS (PARTITION BY offense, season ORDER BY wk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
 add("E10", lambda t: fr.islands(t["coach_seasons"].select("first_name", "last_name", "school", "year").distinct(), ["first_name", "last_name", "school"], "year"), "SELECT first_name, last_name, school, year, sum(CASE WHEN g <= 1 THEN 0 ELSE 1 END) OVER (PARTITION BY first_name, last_name, school ORDER BY year)::BIGINT AS island FROM (SELECT DISTINCT first_name, last_name, school, year, year - lag(year) OVER (PARTITION BY first_name, last_name, school ORDER BY year) AS g FROM {coach_seasons})")
-_sp = W.partitionBy("first_name", "last_name", "school")
-add("E11", lambda t: t["coach_seasons"].select("first_name", "last_name", "school", "year").withColumn("k", C("year") - F.row_number().over(_sp.orderBy("year"))).select("first_name", "last_name", "school", "year", F.min("year").over(W.partitionBy("first_name", "last_name", "school", "k")).alias("start")), "SELECT first_name, last_name, school, year, min(year) OVER (PARTITION BY first_name, last_name, school, k) AS start FROM (SELECT *, year - row_number() OVER (PARTITION BY first_name, last_name, school ORDER BY year) AS k FROM {coach_seasons})")
-_tw = W.partitionBy("team").orderBy("start_date", "id")
-add("E12", lambda t: fr.unpivot_sides(t["games"]).withColumns({"n": F.row_number().over(_tw) - 1, "last4": F.avg("points").over(_tw.rowsBetween(-4, -1)), "allp": F.avg("points").over(_tw.rowsBetween(W.unboundedPreceding, -1)), "sd": F.stddev_pop("points").over(_tw.rowsBetween(W.unboundedPreceding, -1))}).select("id", "team", F.when(C("n") >= 4, C("last4") - C("allp")).alias("form"), F.when(C("n") >= 2, F.round("sd", 9)).alias("spread")),
+_sp = lambda: W.partitionBy("first_name", "last_name", "school")
+add("E11", lambda t: t["coach_seasons"].select("first_name", "last_name", "school", "year").withColumn("k", C("year") - F.row_number().over(_sp().orderBy("year"))).select("first_name", "last_name", "school", "year", F.min("year").over(W.partitionBy("first_name", "last_name", "school", "k")).alias("start")), "SELECT first_name, last_name, school, year, min(year) OVER (PARTITION BY first_name, last_name, school, k) AS start FROM (SELECT *, year - row_number() OVER (PARTITION BY first_name, last_name, school ORDER BY year) AS k FROM {coach_seasons})")
+_tw = lambda: W.partitionBy("team").orderBy("start_date", "id")
+add("E12", lambda t: fr.unpivot_sides(t["games"]).withColumns({"n": F.row_number().over(_tw()) - 1, "last4": F.avg("points").over(_tw().rowsBetween(-4, -1)), "allp": F.avg("points").over(_tw().rowsBetween(W.unboundedPreceding, -1)), "sd": F.stddev_pop("points").over(_tw().rowsBetween(W.unboundedPreceding, -1))}).select("id", "team", F.when(C("n") >= 4, C("last4") - C("allp")).alias("form"), F.when(C("n") >= 2, F.round("sd", 9)).alias("spread")),
     f"SELECT id, team, CASE WHEN n >= 4 THEN avg(p) OVER (w ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) - avg(p) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS form, CASE WHEN n >= 2 THEN round(stddev_pop(p) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 9) END AS spread FROM (SELECT *, row_number() OVER (PARTITION BY team ORDER BY start_date, id) - 1 AS n FROM (SELECT id, home_team AS team, start_date, home_points AS p FROM {GAMES} UNION ALL SELECT id, away_team, start_date, away_points FROM {GAMES})) WINDOW w AS (PARTITION BY team ORDER BY start_date, id)")
 add("E13", lambda t: t["captures"].withColumn("d", C("points") - F.lag("points").over(W.partitionBy("game_id").orderBy("captured_at", "event_id"))).groupBy("game_id").agg(F.max(F.abs("d")).alias("swing")), "SELECT game_id, max(abs(d)) AS swing FROM (SELECT game_id, points - lag(points) OVER (PARTITION BY game_id ORDER BY captured_at, event_id) AS d FROM {captures}) GROUP BY game_id")
 add("E14", lambda t: t["house_elo_game"].withColumns({"r": F.row_number().over(W.partitionBy("season").orderBy("expected_home_margin", "game_id")) - 1, "n": F.count(L(1)).over(W.partitionBy("season"))}).withColumn("decile", F.expr("((r + 1) * 10 - 1) div n")).groupBy("season", "decile").agg(F.count(L(1)).alias("n"), F.avg("actual_home_margin").alias("mean")),
