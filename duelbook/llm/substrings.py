@@ -2,7 +2,8 @@
 
 A text is cut into units: lines, and inside a line sentences. Units are normalised (case and white space)
 and hashed to 128 bits; of each digest the occurrence that is first by (doc_id, row key, unit) stays,
-the others are cut out, and their original character offsets are kept.
+the others are cut out, and their original character offsets are kept. A short unit is hashed as a whole
+line, and as part of the runs of units around it, so that it goes with what repeats and a lone common sentence stays.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 
 from .common import maybe_broadcast, stored
 
-#: Shorter units say too little to be called repeated.
+#: Shorter units say too little to be called repeated by themselves.
 MIN_WORDS = 5
+#: Characters of scripts that are written without blanks (Thai to Khmer, kana, Han); each counts as a word.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 MOST_BROADCAST_ROWS = 500_000
 #: A unit ends with its line break, or with a sentence mark and the blanks after it.
 UNIT = re.compile(r"[^\n.!?]*(?:[.!?]+(?![\s])[^\n.!?]*)*(?:[.!?]+[^\S\n]+|[.!?]*\n|[.!?]*$)")
@@ -29,12 +32,56 @@ def units(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in UNIT.finditer(text) if m.end() > m.start()]
 
 
+def _hashed(*parts: str) -> bytes:
+    return hashlib.blake2b("\n".join(parts).encode("utf-8", "replace"), digest_size=16).digest()
+
+
+def _normal(unit: str) -> tuple[str, int]:
+    """The normalised unit and its number of words."""
+    found = unit.casefold().split()
+    return " ".join(found), len(found) if unit.isascii() else max(len(found), len(UNSPACED.findall(unit)))
+
+
 def digest(unit: str) -> bytes | None:
     """128-bit digest of the normalised unit; None for one of under MIN_WORDS words."""
-    found = unit.casefold().split()
-    if len(found) < MIN_WORDS:
-        return None
-    return hashlib.blake2b(" ".join(found).encode("utf-8", "replace"), digest_size=16).digest()
+    text, size = _normal(unit)
+    return _hashed(text) if size >= MIN_WORDS else None
+
+
+def digests(text: str) -> list[tuple[bytes, int]]:
+    """(digest, number of the unit): a unit goes if any of its digests has come before.
+
+    A long unit has its own. A short one has one for the line that it makes up alone, and one for its
+    place in each least run of units around it that has MIN_WORDS words. Units without words are passed
+    over, and have none. Wherever a unit comes first, so do its digests: one copy of each stays.
+    """
+    spans = units(text)
+    found = [(at, *_normal(text[a:b])) for at, (a, b) in enumerate(spans)]
+    found = [f for f in found if f[2]]
+    out = []
+    for i, (at, unit, size) in enumerate(found):
+        if size >= MIN_WORDS:
+            out.append((_hashed(unit), at))
+            continue
+        # Marked by a line break, which a long unit's digest has not.
+        a, b = spans[at]
+        if (a == 0 or text[a - 1] == "\n") and (b == len(text) or text[b - 1] == "\n"):
+            out.append((_hashed("line", unit), at))
+        first, last, total = i, i, size
+        while total < MIN_WORDS and last + 1 < len(found):
+            last += 1
+            total += found[last][2]
+        while True:
+            while last > i and total - found[last][2] >= MIN_WORDS:
+                total -= found[last][2]
+                last -= 1
+            if total >= MIN_WORDS and (first == i or total - found[first][2] < MIN_WORDS):
+                out.append((_hashed(f"run {i - first}", *(u for _, u, _ in found[first : last + 1])), at))
+            if first == 0 or (last == i and total >= MIN_WORDS):
+                break
+            first -= 1
+            total += found[first][2]
+    return out
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -53,10 +100,7 @@ def repeated_units(docs: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for doc_id, row, text in zip(batch["doc_id"], batch["_row"], batch["text"], strict=True):
-                for at, (a, b) in enumerate(units(text)):
-                    d = digest(text[a:b])
-                    if d is not None:
-                        out.append((d, doc_id, row, at))
+                out.extend((d, doc_id, row, at) for d, at in digests(text))
             yield pd.DataFrame(out, columns=["digest", "doc_id", "row", "at"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -187,6 +187,27 @@ def test_substrings(rows, docs, empty):
         assert "".join(text[a:b] for a, b in substrings.units(text)) == text
 
 
+def test_substrings_short_units(spark):
+    verse = "Rain falls.\nWind blows.\n\nWe wait.\n"
+    texts = [
+        (1, "One long line that stands here alone.\n" + verse + "Yes. All rights reserved.\n"),
+        (2, "Quite another line stands in this place.\n" + verse + "He said so. Yes. And then they left.\n"),
+        (3, "Red. Green. Blue. Dark grey. White. Then it ended differently this time."),
+        (4, "It began in some other way here. Red. Green. Blue. Dark grey. White. No. Yes."),
+        (5, "All rights reserved.\n"),
+        (6, "A closing word of five. All rights reserved.\n"),
+        (7, "All rights reserved."),
+        (8, "\u4eca\u5929\u5929\u6c14\u5f88\u597d. Eins zwei."),
+        (9, "Drei vier. \u4eca\u5929\u5929\u6c14\u5f88\u597d. "),
+    ]
+    got = {r["doc_id"]: r["clean_text"] for r in substrings.deduplicated(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert [got[i] for i in (1, 3, 5)] == [texts[0][1], texts[2][1], texts[4][1]]
+    assert got[2] == "Quite another line stands in this place.\n\nHe said so. Yes. And then they left.\n"
+    assert got[4] == "It began in some other way here. No. Yes."
+    assert got[6] == texts[5][1] and got[7] == ""
+    assert got[8] == texts[7][1] and got[9] == "Drei vier. "
+
+
 def test_media(rows, docs, empty):
     for n in (0, 1, 64, 146, 147, 148, 162, 163, 346, 347, 16353, 16354, 16355, 16354 * 5 + 9):
         data = random.Random(n).randbytes(n)
