@@ -1,7 +1,7 @@
 """Secret scans with a random forest that removes false positives (DataFrame functions and Spark ML only).
 
-Candidates are runs of key-like characters with a digit. Their features: length, entropy, transitions between
-character classes, share covered by dictionary words of the corpus, path and address signs
+Candidates are what stands after a key word with = or :, and runs of key-like characters with a digit. Their
+features: length, entropy, share of digits, transitions between character classes, share covered by dictionary words of the corpus, path and address signs
 around them, and neighbouring words. The forest is trained from labelled findings and decides which
 candidates are reported.
 """
@@ -16,13 +16,20 @@ from pyspark.sql import functions as F
 
 from .common import maybe_broadcast, stored, words
 
-#: A run of 12 or more of these characters, of which one is a digit.
-CHARS = r"A-Za-z0-9_+/\-"
-CANDIDATE = rf"(?<![{CHARS}])(?=[A-Za-z_+/\-]*[0-9])[{CHARS}]{{12,}}"
 CONTEXT = 60
 #: Words that stand before credentials, and forms that credentials have. Fixed values.
 KEY_WORDS = r"(?i)(token|password|passwd|pwd|secret|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth|bearer|credential)"
 KNOWN_FORM = r"^(AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,})$"
+#: A run of 12 or more of these characters, of which one is a digit.
+CHARS = r"A-Za-z0-9_+/\-"
+RUN = rf"(?<![{CHARS}])(?=[A-Za-z_+/\-]*[0-9])[{CHARS}]{{12,}}"
+#: After a key word with = or :, all up to the closing quote, or up to a blank and the marks before it. The first
+#: test of each is cheap, and fails nearly everywhere.
+ASSIGNED = r"[\"']?\s{0,3}[=:]{1,2}>?\s{0,3}"
+_AFTER = rf"(?<={KEY_WORDS}{ASSIGNED}%s)"
+_QUOTED = rf"(?<=%s){_AFTER}(?=[^%s\n]*[^%s\s])[^%s\\\n]*+(?:\\.[^%s\\\n]*+)*+(?=%s)"
+_BARE = r"""(?<=[=:>\s"'])(?<=[=:]>?\s{0,3}["']?)""" + _AFTER % "[\"']?" + r"""(?![=:>]+\s)[^\s"']\S*?(?=[.,;"']*(?:\s|$))"""
+CANDIDATE = "|".join([*(_QUOTED % ((q,) * 7) for q in "\"'"), _BARE, RUN])
 #: The forest reads about this many labelled findings, drawn by a hash.
 MAX_TRAIN, TREES, DEPTH, SEED = 20_000, 20, 6, 17
 DICTIONARY_MIN = 3
@@ -30,7 +37,7 @@ MOST_BROADCAST_TERMS, MOST_BROADCAST_ROWS = 500_000, 500_000
 #: Character classes (a lower, A upper, 9 digit) that follow each other.
 PAIRS = ("a9", "9a", "A9", "9A", "aA", "Aa", "aa", "AA", "99")
 MOVES = [f"move_{i}" for i in range(len(PAIRS))]
-FEATURES = ["length", "entropy", *MOVES, "classes", "hex", "known_form", "coverage", "slashes", "in_url", "in_mail", "key_word", "assigned", "quoted", "digits_only"]
+FEATURES = ["length", "entropy", "digits", *MOVES, "classes", "hex", "known_form", "coverage", "slashes", "in_url", "in_mail", "key_word", "assigned", "quoted", "digits_only"]
 REDACTED = "[REDACTED]"
 
 
@@ -86,6 +93,7 @@ def with_features(found: DataFrame, docs: DataFrame) -> DataFrame:
         *found.columns,
         n.alias("length"),
         entropy.alias("entropy"),
+        (F.regexp_count("value", F.lit("[0-9]")) / n).alias("digits"),
         *moves,
         (F.length(F.regexp_replace("shape", r"(.)\1+", "$1")) / n).alias("classes"),
         flag(v.rlike("^([0-9a-f]+|[0-9A-F]+)$")).alias("hex"),
@@ -94,8 +102,8 @@ def with_features(found: DataFrame, docs: DataFrame) -> DataFrame:
         ((n - F.length(F.replace(v, F.lit("/"), F.lit("")))) / n).alias("slashes"),
         flag(F.coalesce(tail.rlike(r"(?i)(https?:|www\.|[./]$)"), F.lit(False))).alias("in_url"),
         flag(F.coalesce(tail.contains("@") | rest.startswith("@"), F.lit(False))).alias("in_mail"),
-        flag(F.col("before").rlike(KEY_WORDS + r"\W{0,6}$")).alias("key_word"),
-        flag(F.col("before").rlike(r"[=:]\s{0,3}[\"']?$")).alias("assigned"),
+        flag(F.col("before").rlike(KEY_WORDS + r"\W{0,6}$") | F.col("before").rlike(KEY_WORDS + ASSIGNED + r"[\"']?$")).alias("key_word"),
+        flag(F.col("before").rlike(r"[=:]>?\s{0,3}[\"']?$")).alias("assigned"),
         flag(F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']")).alias("quoted"),
         flag(v.rlike("^[0-9_+/-]+$")).alias("digits_only"),
     )
@@ -104,7 +112,9 @@ def with_features(found: DataFrame, docs: DataFrame) -> DataFrame:
 def rule_labels(features: DataFrame) -> DataFrame:
     """Findings labelled by what a reviewer can tell at sight: 1, 0, or null where that takes judgement."""
     yes = (F.col("known_form") == 1) | ((F.col("key_word") == 1) & (F.col("assigned") == 1) & (F.col("digits_only") == 0) & (F.col("coverage") < 0.5))
-    no = (F.col("digits_only") == 1) | (F.col("in_mail") == 1) | (F.col("in_url") == 1) | ((F.col("key_word") == 0) & (F.col("assigned") == 0) & (F.col("known_form") == 0) & ((F.col("coverage") >= 0.5) | (F.col("entropy") < 2.5)))
+    # Plain words after a colon are prose, not keys; a number after a key word may be either.
+    prose = (F.col("key_word") == 1) & (F.col("quoted") == 0) & (F.col("digits") == 0) & (F.col("coverage") == 1)
+    no = prose | ((F.col("digits_only") == 1) & ((F.col("key_word") == 0) | (F.col("assigned") == 0))) | (F.col("in_mail") == 1) | (F.col("in_url") == 1) | ((F.col("key_word") == 0) & (F.col("assigned") == 0) & (F.col("known_form") == 0) & ((F.col("coverage") >= 0.5) | (F.col("entropy") < 2.5)))
     return features.withColumn("label", F.when(yes & ~no, 1.0).when(no & ~yes, 0.0))
 
 

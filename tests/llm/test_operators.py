@@ -144,6 +144,22 @@ def test_secrets(spark):
     assert secrets.findings(docs.limit(0)).count() == 0
 
 
+def test_secrets_by_context(spark):
+    hidden = ["Tr0ub4dor&3", "hunter2", "abcdefghijklmnopqrst", "correct zebra: battery staple", "it\\'s_s3cret", "pa.ss,wd", "S3cr3t(x)", "=q9Zx"]
+    forms = ['password = "{}"', "pwd: {}, ok", 'api_key = "{}"', 'passwd="{}"', "'secret': '{}'", "password={}; next", "token := {}", "access-key: {}"]
+    text = [f.format(v) + " and plain words" for f, v in zip(forms, hidden, strict=True)]
+    rng = random.Random(2)
+    text += [f"card {rng.randrange(10**15, 10**16)} or abcdefgh12.xyz1234567890@host.org" for _ in range(20)]
+    text += ["the password: never"] * 3 + ["he said: nothing, author: unknown", "token:", 'secret = "" ']
+    docs = spark.createDataFrame(list(enumerate(text)), "doc_id long, text string")
+    got = secrets.scan(docs).collect()
+    assert {(r["doc_id"], r["value"]) for r in got if r["is_secret"]} == set(enumerate(hidden))
+    assert all(text[r["doc_id"]][r["start"] : r["end"]] == r["value"] for r in got)
+    clean = {r["doc_id"]: r["text"] for r in secrets.redacted(docs).collect()}
+    want = [f.format("[REDACTED]") + " and plain words" for f in forms] + text[len(forms) :]
+    assert [clean[i] for i in range(len(text))] == want
+
+
 def test_lm(rows, docs, empty, monkeypatch):
     monkeypatch.setattr(lm, "BLOCK_CHARS", 1500)
     monkeypatch.setattr(lm, "RANGE_CHARS", 3000)
