@@ -189,9 +189,9 @@ def best_share(replicates: DataFrame, group: str, key: str, value: str) -> DataF
 
 
 def _season_replicates(t) -> DataFrame:
-    """Each week of a season as a replicate: wins of each side in it."""
+    """Each (season, week) as a replicate: wins of each side in it."""
     rows = mb.team_rows(t["games"])
-    return rows.groupBy("season", F.col("week").alias("replicate"), "conference", "team").agg(count_if(F.col("points") > F.col("opp_points")).alias("wins"))
+    return rows.groupBy("season", F.struct("season", "week").alias("replicate"), "conference", "team").agg(count_if(F.col("points") > F.col("opp_points")).alias("wins"))
 
 
 def schedule_strength(t) -> DataFrame:

@@ -83,6 +83,14 @@ def test_chain(spark):
     assert all(abs(v - 1) < 1e-12 for v in sums.values()) and len(sums) == 3
 
 
+def test_replicates_of_seasons_stay_apart(spark):
+    rows = [(s, w, h, "c", a, "c", x, y, True) for s, w, h, a, x, y in ((2018, 1, "A", "B", 9, 0), (2019, 1, "C", "D", 9, 0), (2019, 2, "A", "C", 0, 9))]
+    games = spark.createDataFrame(rows, "season long, week long, home_team string, home_conference string, away_team string, away_conference string, home_points long, away_points long, completed boolean")
+    games = games.withColumns({"id": F.monotonically_increasing_id(), "start_date": F.current_date(), "neutral_site": F.lit(False), "season_type": F.lit("regular"), "conference_game": F.lit(True), "home_classification": F.lit("fbs"), "away_classification": F.lit("fbs")})
+    share = {r["team"]: r["title_share"] for r in jobs.best_share(jobs._season_replicates({"games": games}), "conference", "team", "wins").collect()}
+    assert share == {"A": 0.5, "B": 0.0, "C": 1.0, "D": 0.0}
+
+
 def test_replicates(spark):
     rows = [(r, k, v) for r, vs in enumerate([(1, 3), (2, 2), (5, 1), (4, 4)]) for k, v in zip("ab", vs)]
     df = spark.createDataFrame(rows, "replicate long, team string, wins long").withColumn("conf", F.lit("c"))
