@@ -19,7 +19,7 @@ TEAM, SEASON, CONFERENCE = oracle_serve.TEAM, oracle_serve.SEASON, "AMERICA"
 #: Query name -> function of the adapter's tables.
 PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "K01": mb.team_season_summary, "K02": mb.game_epa, "K03": mb.team_epa_season, "K04": mb.situational_splits, "K05": mb.defensive_havoc, "K06": mb.scoring_opportunities,
-    "K07": mb.matchup_history, "K08": mb.recruiting_class, "K09": mb.coach_record, "K10": mb.play_epa, "K11": mb.player_game_epa, "K12": lambda t: mb.player_season_epa(t, 2),
+    "K07": mb.matchup_history, "K08": mb.recruiting_class, "K09": mb.coach_record, "K10": mb.play_epa, "K11": mb.player_game_epa, "K12": mb.player_season_epa,
     "K13": mb.team_season_trajectory, "K14": mb.conference_era_summary, "K15": mb.team_style_profile, "K16": mb.matchup_edges, "K17": mb.team_talent_composite, "K19": mb.team_tempo_metrics,
     "K21": mb.team_playcalling_tendencies, "K22": mb.team_situational_success, "K23": mb.coaching_tenure,
     "K18": mm.data_quality_dashboard, "K20": mm.player_comparison, "K24": mm.recruiting_roi, "K25": mm.transfer_portal_impact, "K26": mm.conference_comparison, "K27": mm.conference_head_to_head, "K28": mm.freshness_of_events,

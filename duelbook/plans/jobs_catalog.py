@@ -76,11 +76,11 @@ add("M26", m.projection_eval, f"SELECT model_version, least(floor(home_win_prob
 add("M28", m.residual_sigma, f"SELECT model_version, count(*) AS n, round(stddev_pop(m - expected_margin), 9) AS sigma FROM {_PRED} GROUP BY model_version")
 _REPL = "(SELECT season, week AS replicate, conference, team, count(*) FILTER (pf > pa) AS wins FROM (SELECT season, week, home_conference AS conference, home_team AS team, home_points AS pf, away_points AS pa FROM {games} WHERE completed UNION ALL SELECT season, week, away_conference, away_team, away_points, home_points FROM {games} WHERE completed) GROUP BY ALL)"
 add("M29", lambda t: m.replicate_summary(m._season_replicates(t), "team", "wins").drop("distribution"), f"SELECT team, count(*) AS n, avg(wins) AS mean, {', '.join(f'list(wins ORDER BY wins)[floor({p} * (count(*) - 1))::BIGINT + 1] AS p{round(p * 100)}' for p in (0.1, 0.25, 0.5, 0.75, 0.9))} FROM {_REPL} GROUP BY team")
-add("M30", lambda t: m.best_share(m._season_replicates(t).filter("season = 2018"), "conference", "team", "wins"), f"SELECT conference, team, avg(sh) AS title_share FROM (SELECT conference, team, (wins = max(wins) OVER w)::INT / sum((wins = mx)::INT) OVER w AS sh, count(*) OVER w AS k FROM (SELECT *, max(wins) OVER (PARTITION BY conference, replicate) AS mx FROM {_REPL} WHERE season = 2018) WINDOW w AS (PARTITION BY conference, replicate)) WHERE k >= 2 GROUP BY conference, team")
-# M30's SQL looks at one season; this one takes every week of every season.
-add("M30_seasons", lambda t: m.best_share(m._season_replicates(t), "conference", "team", "wins"), f"SELECT conference, team, avg(sh) AS title_share FROM (SELECT conference, team, (wins = mx)::INT / sum((wins = mx)::INT) OVER w AS sh, count(*) OVER w AS k FROM (SELECT *, max(wins) OVER (PARTITION BY conference, season, replicate) AS mx FROM {_REPL}) WINDOW w AS (PARTITION BY conference, season, replicate)) WHERE k >= 2 GROUP BY conference, team")
+_SHARE = "SELECT {key} AS conference, team, avg(sh) AS title_share FROM (SELECT season, conference, team, (wins = mx)::INT / sum((wins = mx)::INT) OVER w AS sh, count(*) OVER w AS k FROM (SELECT *, max(wins) OVER (PARTITION BY conference, season, replicate) AS mx FROM {rows}) WINDOW w AS (PARTITION BY conference, season, replicate)) WHERE k >= 2 GROUP BY ALL"
+add("M30", lambda t: m.best_share(m._season_replicates(t), "conference", "team", "wins"), _SHARE.replace("{key}", "conference").replace("{rows}", _REPL))
+add("M30_seasons", lambda t: m.best_share(m._season_replicates(t).withColumn("conference", F.concat_ws(" ", "season", "conference")), "conference", "team", "wins"), _SHARE.replace("{key}", "season || ' ' || conference").replace("{rows}", _REPL))
 add("M31", m.schedule_strength, "SELECT season, team, avg(rating) AS strength, count(rating) AS rated_games, rank() OVER (PARTITION BY season ORDER BY round(avg(rating), 9) DESC NULLS LAST) AS strength_rank FROM (SELECT season, home_team AS team, away_team AS opp FROM {games} UNION ALL SELECT season, away_team, home_team FROM {games}) g LEFT JOIN {sp_ratings} s ON s.team = opp AND s.year = season GROUP BY season, g.team".replace("SELECT season, team, avg", "SELECT season, g.team, avg"))
-add("M33", lambda t: m.stale_fit_seasons(t, t["games"].filter("season < 2018").select("season").distinct(), 0.5), "SELECT season, count(*) AS games, avg(completed::INT) AS done FROM {games} WHERE season >= 2018 GROUP BY season HAVING avg(completed::INT) >= 0.5 AND count(*) >= 100")
+add("M33", lambda t: m.stale_fit_seasons(t, t["games"].filter("season < 2018").select("season").distinct()), "SELECT season, count(*) AS games, avg(completed::INT) AS done FROM {games} WHERE season >= 2018 GROUP BY season HAVING avg(completed::INT) >= 0.99 AND count(*) >= 100")
 add("M35", lambda t: m.match_entities(t["nation"].select(F.concat(C("n_name"), L("s")).alias("name")).unionByName(t["nation"].select(F.lower("n_name").alias("name"))).unionByName(t["nation"].select(C("n_name").alias("name"))), t["nation"].select(C("n_name").alias("name"))))
 add("M36", m.accuracy_rollup)
 

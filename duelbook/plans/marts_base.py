@@ -205,11 +205,12 @@ def player_game_rows(t, least_plays: int = 3) -> DataFrame:
     return out.filter(F.col("plays") >= least_plays).join(names, ["game_id", "athlete_id"], "left")
 
 
-def player_game_epa(t, history: DataFrame | None = None, horizon: int = 2018, least_plays: int = 1) -> DataFrame:
-    """Stored history up to the horizon, live rows after it. Without stored rows the history is built the same way."""
+def player_game_epa(t, history: DataFrame | None = None, horizon: int = 2018, least_plays: int = 3) -> DataFrame:
+    """Stored history up to the horizon, live rows after it. Without stored rows all are live."""
     live = player_game_rows(t, least_plays)
-    old = live if history is None else history
-    return old.filter(F.col("season") <= horizon).unionByName(live.filter(F.col("season") > horizon))
+    if history is None:
+        return live
+    return history.filter(F.col("season") <= horizon).unionByName(live.filter(F.col("season") > horizon))
 
 
 def player_season_epa(t, least_plays: int = 20) -> DataFrame:

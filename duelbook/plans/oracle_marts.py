@@ -93,12 +93,12 @@ _K11 = f"""SELECT w.game_id, p.season, w.team, n.player_name, w.athlete_id, w.pl
 FROM (SELECT DISTINCT game_id, play_id, athlete_id, team, CASE stat_type WHEN 'Rush' THEN 'rushing' WHEN 'Reception' THEN 'receiving' WHEN 'Target' THEN 'receiving' WHEN 'Completion' THEN 'passing' WHEN 'Incompletion' THEN 'passing' END AS play_category FROM {{play_stats}} WHERE stat_type <> 'Sack') w
 JOIN ({K10}) p ON p.game_id = w.game_id AND p.play_id = w.play_id AND p.offense = w.team AND NOT p.is_garbage_time
 JOIN (SELECT game_id, athlete_id, max(athlete_name) AS player_name FROM {{play_stats}} GROUP BY ALL) n ON n.game_id = w.game_id AND n.athlete_id = w.athlete_id
-GROUP BY w.game_id, p.season, w.team, n.player_name, w.athlete_id, w.play_category"""
+GROUP BY w.game_id, p.season, w.team, n.player_name, w.athlete_id, w.play_category HAVING count(*) >= 3"""
 K11 = _K11
 
 K12 = f"""SELECT season, team, athlete_id, play_category, max(player_name) AS player_name, count(DISTINCT game_id) AS games, sum(plays)::BIGINT AS total_plays, sum(total_epa) AS total_epa, sum(total_epa) / sum(plays) AS epa_per_play, sum(plays * success_rate) / sum(plays) AS success_rate,
   sum(explosive_plays)::BIGINT AS explosive_plays, sum(total_yards)::BIGINT AS total_yards, sum(plays) / count(DISTINCT game_id) AS plays_per_game, rank() OVER (PARTITION BY season, play_category ORDER BY round(sum(total_epa), 9) DESC) AS epa_rank
-FROM ({_K11}) GROUP BY season, team, athlete_id, play_category HAVING sum(plays) >= 2"""
+FROM ({_K11}) GROUP BY season, team, athlete_id, play_category HAVING sum(plays) >= 20"""
 
 ERA = "season >= e.start_year AND season <= coalesce(e.end_year, 9999)"
 

@@ -236,17 +236,17 @@ def _splits(rows: DataFrame, key: list) -> DataFrame:
 
 def home_away_splits(t, team: str, season: int) -> DataFrame:
     """L27."""
-    return _splits(mb.team_rows(t["games"]).filter(all_of(optional("team", team), optional("season", season))), ["side"])
+    return _splits(mb.team_rows(t.of_team(team, season)["games"]).filter(all_of(optional("team", team), optional("season", season))), ["side"])
 
 
 def conference_splits(t, team: str, season: int) -> DataFrame:
     """Contests inside and outside the conference."""
-    rows = mb.team_rows(t["games"]).filter(all_of(optional("team", team), optional("season", season)))
+    rows = mb.team_rows(t.of_team(team, season)["games"]).filter(all_of(optional("team", team), optional("season", season)))
     return _splits(rows.withColumn("kind", F.when(F.col("conference") == F.col("opp_conference"), "conference").otherwise("non_conference")), ["kind"])
 
 
 def _side_plays(t, team: str, season: int) -> DataFrame:
-    plays = mb.play_epa(t).filter((F.col("season") == season) & ((F.col("offense") == team) | (F.col("defense") == team)))
+    plays = mb.play_epa(t.of_team(team, season)).filter((F.col("season") == season) & ((F.col("offense") == team) | (F.col("defense") == team)))
     return plays.withColumn("side", F.when(F.col("offense") == team, "offense").otherwise("defense"))
 
 
@@ -269,7 +269,7 @@ def field_position_splits(t, team: str, season: int) -> DataFrame:
 def red_zone_splits(t, team: str, season: int) -> DataFrame:
     """Trips are drives with a play inside the 20."""
     trips = _side_plays(t, team, season).filter("yards_to_goal <= 20").select("side", "drive_id", "offense").distinct()
-    drives = t["drives"].select(F.col("id").alias("drive_id"), "offense", "drive_result")
+    drives = t.of_team(team, season)["drives"].select(F.col("id").alias("drive_id"), "offense", "drive_result")
     result = F.col("drive_result")
     return trips.join(drives, ["drive_id", "offense"], "left").groupBy("side").agg(F.count(F.lit(1)).alias("trips"), count_if(result.isin(mb.TD)).alias("touchdowns"), count_if(result.isin(mb.FG)).alias("field_goals"), share(result.isin(mb.TD)).alias("td_rate"), share(result.isin(mb.TD + mb.FG)).alias("score_rate"))
 

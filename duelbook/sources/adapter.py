@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
@@ -17,7 +18,7 @@ VIEWS: dict[str, str] = {
 SELECT o.o_orderkey AS id, CAST(year(o.o_orderdate) + 20 AS BIGINT) AS season,
   CAST(floor((dayofyear(o.o_orderdate) + 6) / 7) AS BIGINT) AS week,
   CASE WHEN month(o.o_orderdate) >= 11 THEN 'postseason' ELSE 'regular' END AS season_type,
-  o.o_orderdate AS start_date, o.o_orderstatus <> 'O' AS completed, o.o_orderpriority = '5-LOW' AS neutral_site,
+  o.o_orderdate AS start_date, o.o_orderstatus <> 'O' OR year(o.o_orderdate) < 2000 AS completed, o.o_orderpriority = '5-LOW' AS neutral_site,
   hr.r_name = ar.r_name AS conference_game,
   h.n_name AS home_team, hr.r_name AS home_conference, CASE WHEN h.n_nationkey % 5 = 0 THEN 'fcs' ELSE 'fbs' END AS home_classification,
   a.n_name AS away_team, ar.r_name AS away_conference, CASE WHEN a.n_nationkey % 5 = 0 THEN 'fcs' ELSE 'fbs' END AS away_classification,
@@ -58,7 +59,8 @@ SELECT CAST(n.n_nationkey AS BIGINT) AS id, n.n_name AS school, concat(n.n_name,
   CASE WHEN n.n_nationkey % 5 = 0 THEN 'fcs' ELSE 'fbs' END AS classification, concat('#', CAST(100000 + n.n_nationkey AS VARCHAR(9))) AS color
 FROM {nation} n JOIN {region} r ON r.r_regionkey = n.n_regionkey
 UNION ALL SELECT CAST(100 + n_nationkey AS BIGINT), n_name, NULL, NULL, NULL, NULL, NULL FROM {nation} WHERE n_nationkey < 5""",
-    "team_years": "SELECT n.n_name AS team, CAST(n.n_nationkey AS BIGINT) AS k, r.r_name AS conference, y.year FROM {nation} n JOIN {region} r ON r.r_regionkey = n.n_regionkey CROSS JOIN (SELECT DISTINCT season AS year FROM {games}) y",
+    "seasons": "SELECT DISTINCT CAST(year(o_orderdate) + 20 AS BIGINT) AS year FROM {orders}",
+    "team_years": "SELECT n.n_name AS team, CAST(n.n_nationkey AS BIGINT) AS k, r.r_name AS conference, y.year FROM {nation} n JOIN {region} r ON r.r_regionkey = n.n_regionkey CROSS JOIN {seasons} y",
     "sp_ratings": "SELECT year, team, conference, CAST((k * 37 + year * 11) % 61 - 30 AS DOUBLE) AS rating, (k * 37 + year * 11) % 130 + 1 AS ranking, CAST((k * 13 + year) % 40 AS DOUBLE) AS offense_rating, CAST((k * 17 + year) % 40 AS DOUBLE) AS defense_rating FROM {team_years} WHERE (k + year) % 11 <> 0",
     "elo_ratings": "SELECT year, team, CAST(1300 + (k * 53 + year * 7) % 500 AS DOUBLE) AS elo FROM {team_years} WHERE (k + year) % 13 <> 0",
     "fpi_ratings": "SELECT year, team, CAST((k * 29 + year * 3) % 50 - 25 AS DOUBLE) AS fpi FROM {team_years} WHERE (k + year) % 7 <> 0",
@@ -66,7 +68,7 @@ UNION ALL SELECT CAST(100 + n_nationkey AS BIGINT), n_name, NULL, NULL, NULL, NU
     "team_recruiting": "SELECT year, team, (k * 31 + year * 17) % 60 + 1 AS rank, CAST((k * 41 + year * 13) % 300 AS DOUBLE) AS points FROM {team_years} WHERE (k + year) % 9 <> 0",
     "team_talent": "SELECT year, team, CAST((k * 43 + year * 29) % 1000 AS DOUBLE) AS talent FROM {team_years}",
     "recruits": """
-SELECT c.c_custkey AS id, CASE WHEN c.c_custkey % 3 = 0 THEN NULL ELSE CAST(c.c_custkey % 997 AS VARCHAR(9)) END AS athlete_id, 2013 + c.c_custkey % 9 AS year,
+SELECT c.c_custkey AS id, CASE WHEN c.c_custkey % 3 = 0 THEN NULL ELSE CAST(c.c_custkey AS VARCHAR(20)) END AS athlete_id, 2013 + c.c_custkey % 9 AS year,
   CASE WHEN c.c_custkey % 4 = 0 THEN NULL ELSE c.c_custkey % 300 + 1 END AS ranking, c.c_name AS name,
   CASE WHEN c.c_custkey % 17 = 0 THEN NULL ELSE n.n_name END AS committed_to,
   CASE c.c_custkey % 10 WHEN 0 THEN 'QB' WHEN 1 THEN 'RB' WHEN 2 THEN 'WR' WHEN 3 THEN 'TE' WHEN 4 THEN 'OT' WHEN 5 THEN 'EDGE' WHEN 6 THEN 'LB' WHEN 7 THEN 'CB' WHEN 8 THEN 'K' ELSE 'ATH' END AS position,
@@ -78,37 +80,38 @@ SELECT 2015 + e.event_id % 7 AS season, concat('F', CAST(e.user_id AS VARCHAR(9)
   CASE e.event_id % 4 WHEN 0 THEN 'QB' WHEN 1 THEN 'WR' WHEN 2 THEN 'LB' ELSE 'CB' END AS position,
   CASE WHEN e.event_id % 6 = 0 THEN NULL ELSE 1 + e.event_id % 5 END AS stars, CASE WHEN e.event_id % 6 = 0 THEN NULL ELSE CAST(50 + e.event_id % 50 AS DOUBLE) / 128 END AS rating, e.ts AS transfer_date
 FROM {events} e JOIN {nation} o ON o.n_nationkey = e.user_id % 25 JOIN {nation} d ON d.n_nationkey = (e.user_id + 1 + e.event_id % 24) % 25""",
-    "draft_picks": "SELECT 2015 + s.s_suppkey % 7 AS year, s.s_suppkey AS overall, 1 + s.s_suppkey % 7 AS round, n.n_name AS college_team FROM {supplier} s JOIN {nation} n ON n.n_nationkey = s.s_nationkey",
+    "draft_picks": "SELECT 2015 + s.s_suppkey % 7 AS year, s.s_suppkey AS overall, 1 + s.s_suppkey % 7 AS round, n.n_name AS college_team FROM {supplier} s JOIN {nation} n ON n.n_nationkey = s.s_nationkey WHERE n.n_nationkey % 6 <> 0",
     "coach_seasons": """
 SELECT concat('C', CAST(s.s_suppkey % 40 AS VARCHAR(9))) AS first_name, concat('Coach', CAST(s.s_suppkey % 37 AS VARCHAR(9))) AS last_name, n.n_name AS school, y.year,
   CAST(12 AS BIGINT) AS games, (s.s_suppkey * 3 + y.year) % 13 AS wins, 12 - (s.s_suppkey * 3 + y.year) % 13 AS losses, CASE WHEN s.s_suppkey % 4 = 0 THEN NULL ELSE CAST(0 AS BIGINT) END AS ties,
   CASE WHEN (s.s_suppkey + y.year) % 3 = 0 THEN (s.s_suppkey + y.year) % 25 + 1 END AS preseason_rank, CASE WHEN (s.s_suppkey + y.year) % 4 = 0 THEN (s.s_suppkey * 3 + y.year) % 25 + 1 END AS postseason_rank,
   CAST((s.s_suppkey * 7 + y.year) % 50 - 25 AS DOUBLE) AS sp_overall
-FROM {supplier} s JOIN {nation} n ON n.n_nationkey = s.s_nationkey CROSS JOIN (SELECT DISTINCT season AS year FROM {games}) y WHERE (s.s_suppkey + y.year * y.year) % 4 <> 0""",
+FROM {supplier} s JOIN {nation} n ON n.n_nationkey = s.s_nationkey CROSS JOIN {seasons} y WHERE (s.s_suppkey + y.year * y.year) % 4 <> 0""",
     "rosters": """
-SELECT CAST(c.c_custkey % 997 AS VARCHAR(9)) AS id, n.n_name AS team, 2015 + (c.c_custkey + v.d) % 7 AS year, concat('F', CAST(c.c_custkey % 50 AS VARCHAR(9))) AS first_name, c.c_name AS last_name,
+SELECT CAST(c.c_custkey AS VARCHAR(20)) AS id, n.n_name AS team, 2015 + (c.c_custkey + v.d) % 7 AS year, concat('F', CAST(c.c_custkey % 50 AS VARCHAR(9))) AS first_name, c.c_name AS last_name,
   CASE c.c_custkey % 10 WHEN 0 THEN 'QB' WHEN 1 THEN 'RB' WHEN 2 THEN 'WR' WHEN 3 THEN 'TE' WHEN 4 THEN 'OT' WHEN 5 THEN 'EDGE' WHEN 6 THEN 'LB' WHEN 7 THEN 'CB' WHEN 8 THEN 'K' ELSE 'ATH' END AS position,
   70 + c.c_custkey % 10 AS height, 180 + c.c_custkey % 120 AS weight, c.c_custkey % 99 AS jersey
 FROM {customer} c JOIN {nation} n ON n.n_nationkey = c.c_nationkey CROSS JOIN (SELECT 0 AS d UNION ALL SELECT 1) v""",
     "lines": """
 SELECT g.id AS game_id, p.provider, CAST((g.id * (3 + p.k)) % 57 - 28 AS DOUBLE) / 2 AS spread, CAST(40 + (g.id * (5 + p.k)) % 31 AS DOUBLE) AS over_under
-FROM {games} g CROSS JOIN (SELECT 'consensus' AS provider, 0 AS k UNION ALL SELECT 'alpha', 1 UNION ALL SELECT 'beta', 2) p WHERE (g.id + p.k) % 4 <> 0""",
+FROM {games} g CROSS JOIN (SELECT 'consensus' AS provider, 0 AS k UNION ALL SELECT 'alpha', 1 UNION ALL SELECT 'beta', 2) p WHERE (g.id + p.k) % 4 <> 0 AND g.id % 10 <> 7""",
     "player_season_stats": """
-SELECT CAST(p.p_partkey % 997 AS VARCHAR(9)) AS player_id, y.year AS season, n.n_name AS team, t.category, t.stat_type, p.p_name AS player,
+SELECT CAST(p.p_partkey AS VARCHAR(20)) AS player_id, y.year AS season, n.n_name AS team, t.category, t.stat_type, p.p_name AS player,
   CASE p.p_partkey % 5 WHEN 0 THEN 'QB' WHEN 1 THEN 'RB' WHEN 2 THEN 'WR' WHEN 3 THEN 'LB' ELSE 'CB' END AS position, r.r_name AS conference,
   CASE WHEN (p.p_partkey + t.k) % 19 = 0 THEN '' ELSE CAST((p.p_partkey * (t.k + 3) + y.year) % 900 AS VARCHAR(9)) END AS stat
 FROM {part} p JOIN {nation} n ON n.n_nationkey = p.p_partkey % 25 JOIN {region} r ON r.r_regionkey = n.n_regionkey
-CROSS JOIN (SELECT DISTINCT season AS year FROM {games}) y
+CROSS JOIN {seasons} y
 CROSS JOIN (SELECT 'passing' AS category, 'YDS' AS stat_type, 0 AS k UNION ALL SELECT 'passing', 'TD', 1 UNION ALL SELECT 'passing', 'INT', 2 UNION ALL SELECT 'passing', 'ATT', 3 UNION ALL SELECT 'passing', 'COMPLETIONS', 4
   UNION ALL SELECT 'rushing', 'CAR', 5 UNION ALL SELECT 'rushing', 'YDS', 6 UNION ALL SELECT 'rushing', 'TD', 7 UNION ALL SELECT 'receiving', 'REC', 8 UNION ALL SELECT 'receiving', 'YDS', 9 UNION ALL SELECT 'receiving', 'TD', 10
   UNION ALL SELECT 'defensive', 'TOT', 11 UNION ALL SELECT 'defensive', 'SOLO', 12 UNION ALL SELECT 'defensive', 'SACKS', 13 UNION ALL SELECT 'defensive', 'TFL', 14 UNION ALL SELECT 'kicking', 'FGM', 15 UNION ALL SELECT 'kicking', 'FGA', 16) t
-WHERE p.p_partkey <= 997 AND (p.p_partkey + y.year) % 5 = 0 AND (p.p_partkey + t.k) % 3 <> 0""",
+WHERE (p.p_partkey + y.year) % 5 = 0 AND (p.p_partkey + t.k) % 3 <> 0""",
     "play_stats": """
 SELECT l.l_orderkey AS game_id, concat(CAST(l.l_orderkey AS VARCHAR(20)), '-', CAST(l.l_linenumber AS VARCHAR(9)), '-', CAST(l.l_partkey AS VARCHAR(20)), '-', CAST(l.l_suppkey AS VARCHAR(20))) AS play_id,
-  CAST(l.l_partkey % 300 AS VARCHAR(9)) AS athlete_id, concat('Athlete ', CAST(l.l_partkey % 300 AS VARCHAR(9))) AS athlete_name,
+  CAST(x.n_nationkey + 25 * (l.l_orderkey % o.athletes) AS VARCHAR(20)) AS athlete_id, concat('Athlete ', CAST(x.n_nationkey + 25 * (l.l_orderkey % o.athletes) AS VARCHAR(20))) AS athlete_name,
   CASE l.l_partkey % 6 WHEN 0 THEN 'Rush' WHEN 1 THEN 'Completion' WHEN 2 THEN 'Incompletion' WHEN 3 THEN 'Reception' WHEN 4 THEN 'Target' ELSE 'Sack' END AS stat_type,
-  CASE WHEN l.l_returnflag <> 'R' THEN g.home_team ELSE g.away_team END AS team, g.season
-FROM {lineitem} l JOIN {games} g ON g.id = l.l_orderkey""",
+  x.n_name AS team, g.season
+FROM {lineitem} l JOIN {games} g ON g.id = l.l_orderkey JOIN {nation} x ON x.n_name = CASE WHEN l.l_returnflag <> 'R' THEN g.home_team ELSE g.away_team END
+CROSS JOIN (SELECT CAST(1 + floor(count(*) / 30000) AS BIGINT) AS athletes FROM {orders}) o""",
     "game_havoc": """
 SELECT g.id AS game_id, CASE v.s WHEN 0 THEN g.home_team ELSE g.away_team END AS team, g.season,
   CASE WHEN g.id % 3 = 0 THEN NULL ELSE (g.id + v.s) % 12 END AS total_havoc, CASE WHEN g.id % 3 = 0 THEN CAST((g.id + v.s) % 12 AS DOUBLE) + CAST(0.5 AS DOUBLE) END AS total_havoc_v_double,
@@ -117,9 +120,9 @@ FROM {games} g CROSS JOIN (SELECT 0 AS s UNION ALL SELECT 1) v WHERE g.id % 2 =
     "eras": "SELECT 'A' AS code, 'Early' AS name, CAST(2004 AS BIGINT) AS start_year, CAST(2013 AS BIGINT) AS end_year UNION ALL SELECT 'B', 'Playoff', 2014, 2021 UNION ALL SELECT 'C', 'Portal', 2018, 2021 UNION ALL SELECT 'D', 'Expansion', 2021, NULL",
     "team_wepa": "SELECT year, team, conference, CAST((k * 3 + year) % 41 - 20 AS DOUBLE) / 128 AS epa, CAST((k * 5 + year) % 37 - 18 AS DOUBLE) / 128 AS epa_allowed, CAST((k * 7 + year) % 60 AS DOUBLE) / 128 AS success_rate FROM {team_years} WHERE (k + year) % 6 <> 0",
     "player_wepa": """
-SELECT CAST(p.p_partkey % 997 AS VARCHAR(9)) AS athlete_id, p.p_name AS athlete_name, n.n_name AS team, y.year, CASE p.p_partkey % 3 WHEN 0 THEN 'passing' WHEN 1 THEN 'rushing' ELSE 'kicking' END AS category,
+SELECT CAST(p.p_partkey AS VARCHAR(20)) AS athlete_id, p.p_name AS athlete_name, n.n_name AS team, y.year, CASE p.p_partkey % 3 WHEN 0 THEN 'passing' WHEN 1 THEN 'rushing' ELSE 'kicking' END AS category,
   CASE WHEN p.p_partkey % 11 = 0 THEN NULL ELSE CAST((p.p_partkey * 7 + y.year) % 200 - 100 AS DOUBLE) / 128 END AS wepa, 10 + p.p_partkey % 90 AS plays
-FROM {part} p JOIN {nation} n ON n.n_nationkey = p.p_partkey % 25 CROSS JOIN (SELECT DISTINCT season AS year FROM {games}) y WHERE (p.p_partkey + y.year) % 7 = 0""",
+FROM {part} p JOIN {nation} n ON n.n_nationkey = p.p_partkey % 25 CROSS JOIN {seasons} y WHERE (p.p_partkey + y.year) % 7 = 0""",
     "returning_production": "SELECT year AS season, team, conference, CASE WHEN k % 2 = 0 THEN CAST((k * 11 + year) % 100 AS BIGINT) END AS total_ppa, CASE WHEN k % 2 = 1 THEN CAST((k * 11 + year) % 100 AS DOUBLE) / 4 END AS total_ppa_v_double, CAST((k * 13 + year) % 100 AS DOUBLE) / 128 AS percent_ppa FROM {team_years}",
     "player_usage": "SELECT athlete_id AS id, year AS season, team, athlete_name AS name, CASE WHEN plays % 2 = 0 THEN CAST(plays AS BIGINT) END AS usage_overall, CASE WHEN plays % 2 = 1 THEN CAST(plays AS DOUBLE) / 128 END AS usage_overall_v_double FROM {player_wepa}",
     "team_ats": "SELECT year, team, conference, CAST(12 AS BIGINT) AS games, (k * 3 + year) % 11 AS ats_wins, (k * 5 + year) % 9 AS ats_losses, (k + year) % 3 AS ats_pushes FROM {team_years}",
@@ -139,26 +142,34 @@ def _needs(sql: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", sql)))
 
 
-def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A base table or a derived view as a lazy DataFrame."""
-    if name in BASE:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-    sql = VIEWS[name]
-    return spark.sql(sql.replace("VARCHAR(9)", "STRING").replace("VARCHAR(20)", "STRING"), **{n: view(spark, folder, n) for n in _needs(sql)})
-
-
 class Tables:
-    """Views by attribute or key, each made once."""
+    """Base tables and views by key, each made once as a lazy DataFrame; ``given`` ones take the place of their own."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder, self._made = spark, folder, {}
+    def __init__(self, spark: SparkSession, folder: str, given: dict[str, DataFrame] | None = None):
+        self.spark, self.folder, self._made = spark, folder, dict(given or {})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = view(self.spark, self.folder, name)
+            self._made[name] = self._view(name)
         return self._made[name]
 
-    __getattr__ = __getitem__
+    def _view(self, name: str) -> DataFrame:
+        if name in BASE:
+            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        sql = VIEWS[name]
+        return self.spark.sql(sql.replace("VARCHAR(9)", "STRING").replace("VARCHAR(20)", "STRING"), **{n: self[n] for n in _needs(sql)})
+
+    def of_team(self, team: str | None, season: int | None) -> Tables:
+        """The tables over one side's contests of one season: a date range that the scan of contests can use, and its
+        few contests before plays and drives are joined or grouped."""
+        given = {}
+        if season is not None:
+            day = F.col("o_orderdate")
+            given["orders"] = self["orders"].filter((day >= F.lit(f"{season - 20}-01-01").cast("timestamp_ntz")) & (day < F.lit(f"{season - 19}-01-01").cast("timestamp_ntz")))
+        out = Tables(self.spark, self.folder, given)
+        if team is not None:
+            out._made["games"] = out["games"].filter((F.col("home_team") == team) | (F.col("away_team") == team))
+        return out
 
 
 def with_views(sql: str) -> str:
