@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from duelbook.plans import serve
 from duelbook.sources import adapter, io
 from duelbook.streaming import snapshots
 
@@ -56,21 +57,32 @@ def test_reshapes(spark):
         io.orphan_filter(spark.range(10), spark.range(1), ["id"])
 
 
-def test_changes_stream_equals_batch(spark, tmp_path):
-    caps = adapter.Tables(spark, FOLDER)["captures"].select("game_id", "captured_at", "event_id", "status", "points", "state_hash")
+def streamed(spark, caps, tmp_path, job, mode):
+    """Rows that a stream job emits over the captures, given in two files by time."""
+    edge = sorted(r[0] for r in caps.select("captured_at").collect())[caps.count() // 2]
+    for name, part in (("1", caps.filter(F.col("captured_at") <= edge)), ("2", caps.filter(F.col("captured_at") > edge))):
+        part.coalesce(1).write.parquet(str(tmp_path / "in" / name))
+    source = spark.readStream.schema(caps.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    table = job.__name__
+    query = job(source).writeStream.format("memory").queryName(table).option("checkpointLocation", str(tmp_path / "c")).outputMode(mode).trigger(availableNow=True).start()
+    assert query.awaitTermination(120)
+    return spark.table(table)
+
+
+@pytest.fixture(scope="module")
+def caps(spark):
+    return adapter.Tables(spark, FOLDER)["captures"].select("game_id", "captured_at", "event_id", "status", "points", "state_hash")
+
+
+def test_changes_stream_equals_batch(spark, caps, tmp_path):
     want = {r["event_id"] for r in snapshots.changes(caps).collect()}
-    path = str(tmp_path / "in")
-    half = caps.agg(F.percentile_approx("event_id", 0.5)).first()[0]
-    ordered = caps.withColumn("k", F.row_number().over(__import__("pyspark").sql.Window.orderBy("captured_at", "event_id")))
-    mid = ordered.count() // 2
-    del half
-    ordered.filter(F.col("k") <= mid).drop("k").coalesce(1).write.parquet(path + "/1")
-    ordered.filter(F.col("k") > mid).drop("k").coalesce(1).write.parquet(path + "/2")
-    stream = spark.readStream.schema(caps.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(path)
-    query = snapshots.changes_stream(stream).writeStream.format("memory").queryName("changes").option("checkpointLocation", str(tmp_path / "c")).outputMode("append").start()
-    query.processAllAvailable()
-    query.stop()
-    assert {r["event_id"] for r in spark.table("changes").collect()} == want
+    assert {r["event_id"] for r in streamed(spark, caps, tmp_path, snapshots.changes_stream, "append").collect()} == want
+
+
+def test_latest_stream_equals_batch(spark, caps, tmp_path):
+    got = snapshots.live_now(streamed(spark, caps, tmp_path, snapshots.latest_in_horizon, "update"))
+    want = serve.live_scoreboard(adapter.Tables(spark, FOLDER))
+    assert {(r["game_id"], r["captured_at"], r["state_hash"]) for r in got.collect()} == {(r["game_id"], r["captured_at"], r["state_hash"]) for r in want.collect()}
 
 
 def test_capture_appends_once(spark, tmp_path):
