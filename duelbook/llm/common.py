@@ -8,40 +8,119 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType
 
 #: White space of the word rules: space and the controls from tab to carriage return.
 TOKEN = r"[^\x20\x09-\x0D]+"
 #: Letters, digits and everything outside ASCII.
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: A character of such a word, before A-Z are lower-cased.
+WORD_CHAR = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: A key is hot if it has over 1 / MOST_HOT of all rows, so that there are at most so many; fewer rows than LEAST_HOT are never hot.
+MOST_HOT, LEAST_HOT = 100_000, 64
+#: Bytes of values that a broadcast may carry.
+MOST_BROADCAST_BYTES = 48_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; where that is unset, one of our own."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    own = os.path.join(tempfile.gettempdir(), "duelbook-shared")
-    spark.sparkContext.setCheckpointDir(own)
-    return own
+    """This application's folder in ``spark.checkpoint.dir``, which driver and executors share.
 
+    Where that is unset, a local master (one machine, as in tests) takes a temporary folder; a cluster raises an error.
+    """
+    context = spark.sparkContext
+    found = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = os.path.join(tempfile.gettempdir(), "duelbook-shared")
+    return f"{found.rstrip('/')}/duelbook-{context.applicationId}"
+
+
+def stored(df: DataFrame, name: str, compression: str = "snappy", **options: str) -> DataFrame:
+    """Writes the rows to the shared folder and reads them back: cuts lineage, survives lost executors.
 
-def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Writes the rows to the shared folder and reads them back: cuts lineage, survives lost executors."""
+    Results are lazy, so what they read stays until ``clear``; ``forget`` removes what nothing reads any more.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.options(compression=compression, **options).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._duelbook_path = path
+    return back
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def forget(df: DataFrame) -> None:
+    """Removes the files of a ``stored`` frame that is not needed any more."""
+    if path := getattr(df, "_duelbook_path", None):
+        _remove(df.sparkSession, path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes everything that this application stored; call it when all results have been written."""
+    _remove(spark, shared_dir(spark))
 
 
-def small(df: DataFrame, most_rows: int) -> bool:
-    """True if the frame has at most so many rows; reads no more than that."""
-    return df.limit(most_rows + 1).count() <= most_rows
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def _bytes(df: DataFrame) -> Column:
+    """About how many bytes the values of a row take."""
+    out = F.lit(16)
+    for f in df.schema:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            out = out + F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        elif isinstance(f.dataType, ArrayType) and isinstance(f.dataType.elementType, StringType):
+            out = out + F.coalesce(F.octet_length(F.array_join(c, " ")), F.lit(0)) + 24 * F.coalesce(F.size(c), F.lit(0))
+        elif isinstance(f.dataType, ArrayType):
+            out = out + 32 * F.coalesce(F.size(c), F.lit(0))
+        else:
+            out = out + 8
+    return out
+
+
+def small(df: DataFrame, most_rows: int, most_bytes: int = MOST_BROADCAST_BYTES) -> bool:
+    """True if the frame has at most so many rows and bytes; reads no more rows than that."""
+    got = df.select(_bytes(df).alias("b")).limit(most_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
+    return got["n"] <= most_rows and (got["b"] or 0) <= most_bytes
+
+
+def maybe_broadcast(df: DataFrame, most_rows: int, most_bytes: int = MOST_BROADCAST_BYTES) -> DataFrame:
+    """Hints a broadcast only behind a count of rows and bytes; beyond it, the join shuffles and AQE splits hot keys."""
+    return F.broadcast(df) if small(df, most_rows, most_bytes) else df
+
+
+def joined(many: DataFrame, one: DataFrame, keys: list[str], n: str, total: int, how: str = "inner") -> DataFrame:
+    """``many`` with the row of ``one`` for its keys; ``n`` is a column of ``one``: the number of rows that ``many`` has for the keys.
+
+    Rows of hot keys (at most MOST_HOT keys) meet them by broadcast where they lie; the others are shuffled, and no key
+    of those has more than 1 / MOST_HOT of ``total``, the rows of ``many``.
+    """
+    edge = max(LEAST_HOT, total // MOST_HOT)
+    hot = F.broadcast(one.filter(F.col(n) > edge))
+    rest = many.join(F.broadcast(one.filter(F.col(n) > edge).select(*keys)), keys, "left_anti").join(one.filter(F.col(n) <= edge), keys, how)
+    return many.join(hot, keys).unionByName(rest)
 
 
-def maybe_broadcast(df: DataFrame, most_rows: int) -> DataFrame:
-    """Hints a broadcast only behind a count; beyond it, the join shuffles and AQE splits hot keys."""
-    return F.broadcast(df) if small(df, most_rows) else df
+def row_key(text: str = "text", doc_id: str = "doc_id") -> Column:
+    """128-bit key of a document row (binary); null and empty are told apart."""
+    part = lambda c: F.coalesce(F.concat(F.lit("s"), F.col(c).cast("string")), F.lit("n"))
+    return F.unhex(F.md5(F.concat(part(doc_id), F.lit("\n"), part(text))))
 
 
 def ascii_lower(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import forget, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -30,7 +30,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     now = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "components")
     mark = None
     for _ in range(most_rounds):
-        now = stored(_star(_star(now, True), False), "components")
+        before, now = now, stored(_star(_star(now, True), False), "components")
+        forget(before)
         seen = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if seen == mark:
             break

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, stored, words
+from .common import WORD_CHAR, fresh, joined, maybe_broadcast, row_key, stored, words
 from .graph import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -115,7 +115,7 @@ def _chunks(rows: list[np.ndarray]):
 
 
 def signatures(hashed: DataFrame) -> DataFrame:
-    """(doc_id, row, tokens) -> doc_id, row, node (digest of the bag, null without words), sig, bands."""
+    """(doc_id, row, tokens) -> doc_id, row, k1 and k2 (128-bit digest of the bag, null without words), sig, bands."""
     m = BANDS * BAND_ROWS
 
     def run(batches):
@@ -124,26 +124,28 @@ def signatures(hashed: DataFrame) -> DataFrame:
             for lo, hi in _chunks(tokens):
                 text, shingle, count = bags(tokens[lo:hi])
                 sig = bag_minhash(text, shingle, count, hi - lo, m)
+                digest = np.zeros((2, hi - lo), dtype=np.uint64)
                 with np.errstate(over="ignore"):
                     each = mix64(shingle * U(0x9E3779B97F4A7C15) + mix64(count.astype(np.uint64)))
-                    node = np.zeros(hi - lo, dtype=np.uint64)
-                    np.add.at(node, text, each)
+                    np.add.at(digest[0], text, each)
+                    np.add.at(digest[1], text, mix64(each ^ U(0xA0761D6478BD642F)))
                     band = sig.reshape(hi - lo, BANDS, BAND_ROWS)
                     key = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], hi - lo, axis=0)
                     for r in range(BAND_ROWS):
                         key = mix64(key * U(0x9E3779B97F4A7C15) + band[:, :, r])
-                has = np.bincount(text, minlength=hi - lo) > 0
+                none = np.bincount(text, minlength=hi - lo) == 0
                 yield pd.DataFrame(
                     {
                         "doc_id": batch["doc_id"].iloc[lo:hi].to_numpy(),
                         "row": batch["row"].iloc[lo:hi].to_numpy(),
-                        "node": pd.arrays.IntegerArray(node.view(np.int64).copy(), ~has),
+                        "k1": pd.arrays.IntegerArray(digest[0].view(np.int64).copy(), none),
+                        "k2": pd.arrays.IntegerArray(digest[1].view(np.int64).copy(), none),
                         "sig": [x.tobytes() for x in (sig & U(0xFFFF)).astype(np.uint16)],
                         "bands": list(key.view(np.int64)),
                     }
                 )
 
-    return hashed.mapInPandas(run, "doc_id string, row long, node long, sig binary, bands array<long>")
+    return hashed.mapInPandas(run, "doc_id string, row binary, k1 long, k2 long, sig binary, bands array<long>")
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -160,41 +162,6 @@ def _agreement(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left == right).mean(axis=-1)
 
 
-def estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Of pairs (a, b), those whose signatures agree about as often as the threshold asks."""
-    sigs = nodes.select("node", "sig")
-    met = pairs.join(sigs.withColumnsRenamed({"node": "b", "sig": "sig_b"}), "b").join(sigs.withColumnsRenamed({"node": "a", "sig": "sig_a"}), "a")
-
-    def run(batches):
-        for batch in batches:
-            if len(batch):
-                both = [np.frombuffer(b"".join(batch[c]), dtype=np.uint16).reshape(len(batch), -1) for c in ("sig_a", "sig_b")]
-                yield batch.loc[_agreement(*both) >= THRESHOLD - ESTIMATE_MARGIN, ["a", "b"]]
-
-    return met.select("a", "b", "sig_a", "sig_b").mapInPandas(run, "a long, b long")
-
-
-def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of pairs (a, b), those whose bags have the threshold's similarity, counted exactly on whole texts."""
-    asked = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "row"), "node"), "neardup-asked")
-    text = texts.join(maybe_broadcast(asked, MOST_BROADCAST_NODES), "row").select("node", "text").dropDuplicates(["node"])
-    text = stored(text, "neardup-texts")
-    met = pairs.join(text.withColumnsRenamed({"node": "b", "text": "text_b"}), "b").join(text.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
-    hashed = met.select("a", "b", *[token_hashes(f"text_{x}").alias(f"tokens_{x}") for x in "ab"])
-
-    def run(batches):
-        for batch in batches:
-            keep = [similarity(x, y) >= THRESHOLD for x, y in zip(batch["tokens_a"], batch["tokens_b"], strict=True)]
-            yield batch.loc[keep, ["a", "b"]]
-
-    return hashed.mapInPandas(run, "a long, b long")
-
-
-def _with_comp(buckets: DataFrame, links: DataFrame) -> DataFrame:
-    comps = components(links)
-    return buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-
-
 def _grouped(df: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
     """Calls ``run`` with each key's rows as arrays by column; it returns an integer array, rows by columns of ``schema``.
 
@@ -235,27 +202,107 @@ def _matrix(blobs: np.ndarray, kind) -> np.ndarray:
     return np.frombuffer(b"".join(blobs), dtype=kind).reshape(len(blobs), -1)
 
 
-def open_nodes(buckets: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
+def bag_bytes(hashed: DataFrame) -> DataFrame:
+    """(node, tokens) -> (node, bag): sorted 64-bit hashes of (shingle, first / second / ... occurrence), so that bags become sets."""
+
+    def run(batches):
+        for batch in batches:
+            tokens = list(batch["tokens"])
+            for lo, hi in _chunks(tokens):
+                text, shingle, count = bags(tokens[lo:hi])
+                of = np.repeat(np.arange(len(text)), count)
+                nth = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+                with np.errstate(over="ignore"):
+                    member = mix64(shingle[of] + mix64(nth.astype(np.uint64)))
+                owner = text[of]
+                order = np.lexsort((member, owner))
+                cut = np.searchsorted(owner, np.arange(1, hi - lo))
+                yield pd.DataFrame({"node": batch["node"].iloc[lo:hi].to_numpy(), "bag": [x.tobytes() for x in np.split(member[order], cut)]})
+
+    return hashed.mapInPandas(run, "node long, bag binary")
+
+
+def bags_of(asked: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, bag) of the asked nodes, from one whole text of each; stored."""
+    wanted = stored(asked.select("node").distinct().join(nodes.select("node", "row"), "node"), "neardup-asked")
+    # Rows that repeat a doc_id and a text share a row key.
+    text = texts.join(maybe_broadcast(wanted, MOST_BROADCAST_NODES), "row").select("node", "text").dropDuplicates(["node"])
+    return stored(bag_bytes(text.select("node", token_hashes("text").alias("tokens"))), "neardup-bags")
+
+
+def _members(stars: DataFrame) -> DataFrame:
+    """(centre, block, node, head): each block's nodes, and the centre once a block as its head."""
+    heads = stars.select("centre", "block").distinct().select("centre", "block", F.col("centre").alias("node"), F.lit(1).cast("long").alias("head"))
+    return stars.select("centre", "block", "node", F.lit(0).cast("long").alias("head")).unionByName(heads)
+
+
+def _near_head(stars: DataFrame, values: DataFrame, column: str, alike) -> DataFrame:
+    """Of (centre, block, node), those that are ``alike`` to the centre by ``column``: (a column of values, the centre's value) -> flags."""
+    met = _members(stars).join(values.select("node", column), "node")
+
+    def run(g):
+        at = int(np.argmax(g["head"]))
+        rest = np.flatnonzero(g["head"] == 0)
+        rest = rest[alike(g[column][rest], g[column][at])] if len(rest) else rest
+        return np.stack([np.full(len(rest), g["centre"][at]), np.full(len(rest), g["block"][at]), g["node"][rest]], axis=1)
+
+    return _grouped(met, ["centre", "block"], run, "centre long, block long, node long")
+
+
+def _signatures_alike(many: np.ndarray, one: bytes) -> np.ndarray:
+    return _agreement(_matrix(many, np.uint16), np.frombuffer(one, dtype=np.uint16)[None, :]) >= THRESHOLD - ESTIMATE_MARGIN
+
+
+def _bags_alike(many: np.ndarray, one: bytes) -> np.ndarray:
+    own = np.frombuffer(one, dtype=np.uint64)
+    out = np.zeros(len(many), dtype=bool)
+    for i, blob in enumerate(many):
+        other = np.frombuffer(blob, dtype=np.uint64)
+        both = len(np.intersect1d(own, other, assume_unique=True))
+        out[i] = both > 0 and both / (len(own) + len(other) - both) >= THRESHOLD
+    return out
+
+
+def star_links(buckets: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between each bucket's nodes and its centre, counted exactly on whole texts.
+
+    A centre's members are dealt into blocks of about BLOCK; the centre's value is sent once a block, not once a pair.
+    """
+    pairs = stored(buckets.filter("node <> centre").select("centre", "node").distinct(), "neardup-stars")
+    sizes = stored(pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("n")), "neardup-sizes")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    stars = joined(pairs, sizes, ["centre"], "n", total).select("centre", "node", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block"))
+    near = stored(_near_head(stars, nodes, "sig", _signatures_alike), "neardup-near")
+    bag = bags_of(near.select(F.explode(F.array("centre", "node")).alias("node")), nodes, texts)
+    alike = _near_head(near, bag, "bag", _bags_alike)
+    return stored(alike.select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")), "neardup-links")
+
+
+def open_nodes(buckets: DataFrame, nodes: DataFrame, links: DataFrame, total: int) -> DataFrame:
     """(bucket, i, j, node, comp): nodes whose signature agrees well enough with one of another component in their bucket.
 
-    A bucket of n nodes is cut into blocks of about BLOCK; every two blocks (i, j) meet in a group of
-    their own, which compares signatures and gives back nodes, not pairs. A pair that shares several
-    buckets is looked at in the first band only.
+    Of a bucket's n nodes, r are outside its largest component. Blocks of the r (i) meet blocks of all n (j), each
+    two in a group of their own, which compares signatures and gives back nodes, not pairs: the largest component is never
+    compared with itself. A pair that shares several buckets is looked at in the first band only.
     """
-    with_comp = stored(_with_comp(buckets, links), "neardup-comps")
-    open_ = with_comp.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("n")).filter("x <> y")
-    rows = with_comp.join(open_.select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks")), "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    rows = rows.join(nodes.select("node", "sig", "bands"), "node")
-    dealt = rows.select("bucket", "node", "comp", "sig", "bands", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "comp", "sig", "bands", "block")
+    with_comp = stored(buckets.join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node")), "neardup-comps")
+    parts = with_comp.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"))
+    open_ = parts.groupBy("bucket").agg(F.max_by("comp", F.struct("k", "comp")).alias("major"), F.max("k").alias("most"), F.sum("k").alias("n")).filter("n > most")
+    open_ = stored(open_.select("bucket", "major", "n", F.ceil((F.col("n") - F.col("most")) / BLOCK).alias("few"), F.ceil(F.col("n") / BLOCK).alias("all")), "neardup-open-buckets")
+    rows = joined(with_comp, open_, ["bucket"], "n", total)
+    deal = lambda c: F.pmod(F.xxhash64("node"), c)
+    span = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+    right = rows.select("bucket", "node", "comp", F.explode(span("few")).alias("i"), deal(F.col("all")).alias("j"), F.lit(0).cast("long").alias("left"))
+    left = rows.filter("comp <> major").select("bucket", "node", "comp", deal(F.col("few")).alias("i"), F.explode(span("all")).alias("j"), F.lit(1).cast("long").alias("left"))
+    dealt = right.unionByName(left).join(nodes.select("node", "sig", "bands"), "node")
 
     def run(g):
-        sig, bands, comp, block, node = _matrix(g["sig"], np.uint16), np.stack(g["bands"]), g["comp"], g["block"], g["node"]
+        sig, bands, comp, node = _matrix(g["sig"], np.uint16), np.stack(g["bands"]), g["comp"], g["node"]
         i, j, bucket = g["i"][0], g["j"][0], g["bucket"][0]
         here = int(np.argmax(bands[0] == bucket))
-        right = np.flatnonzero(block == j)
+        right = np.flatnonzero(g["left"] == 0)
         hit = np.zeros(len(node), dtype=bool)
-        for k in np.flatnonzero(block == i):
+        for k in np.flatnonzero(g["left"]):
             other = right[comp[right] != comp[k]]
             if len(other):
                 other = other[_agreement(sig[k], sig[other]) >= THRESHOLD - ESTIMATE_MARGIN]
@@ -263,32 +310,16 @@ def open_nodes(buckets: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFr
                 hit[other] = True
                 hit[k] |= len(other) > 0
         at = np.flatnonzero(hit)
+        _, first = np.unique(node[at], return_index=True)
+        at = at[first]
         return np.stack([np.full(len(at), bucket), np.full(len(at), i), np.full(len(at), j), node[at], comp[at]], axis=1)
 
     return _grouped(dealt, ["bucket", "i", "j"], run, "bucket long, i long, j long, node long, comp long")
 
 
-def bag_bytes(hashed: DataFrame) -> DataFrame:
-    """(node, tokens) -> (node, bag): 32-bit hashes of (shingle, first / second / ... occurrence), so that bags become sets."""
-
-    def run(batches):
-        for batch in batches:
-            tokens = list(batch["tokens"])
-            for lo, hi in _chunks(tokens):
-                text, shingle, count = bags(tokens[lo:hi])
-                of = np.repeat(np.arange(len(text)), count)
-                nth = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-                with np.errstate(over="ignore"):
-                    member = (mix64(shingle[of] + mix64(nth.astype(np.uint64))) >> U(32)).astype(np.uint32)
-                cut = np.searchsorted(text[of], np.arange(1, hi - lo))
-                yield pd.DataFrame({"node": batch["node"].iloc[lo:hi].to_numpy(), "bag": [x.tobytes() for x in np.split(member, cut)]})
-
-    return hashed.mapInPandas(run, "node long, bag binary")
-
-
 def _merging(g: dict[str, np.ndarray]) -> np.ndarray:
     """Links (a, b) at or above the threshold that join different components, as few as join them, by an all-pairs count of common members."""
-    sets = [np.frombuffer(x, dtype=np.uint32) for x in g["bag"]]
+    sets = [np.frombuffer(x, dtype=np.uint64) for x in g["bag"]]
     size = np.array([len(x) for x in sets], dtype=np.float64)
     row = np.repeat(np.arange(len(sets)), size.astype(np.int64))
     _, col, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -313,37 +344,43 @@ def _merging(g: dict[str, np.ndarray]) -> np.ndarray:
     return np.array(out, dtype=np.int64).reshape(-1, 2)
 
 
-def leftover_links(buckets: DataFrame, nodes: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
+def leftover_links(buckets: DataFrame, nodes: DataFrame, links: DataFrame, texts: DataFrame, total: int) -> DataFrame:
     """Links that the stars missed, between nodes of one bucket; as few as join the same components."""
-    left = stored(open_nodes(buckets, nodes, links), "neardup-open")
-    asked = stored(left.select("node").distinct().join(nodes.select("node", "row"), "node"), "neardup-asked")
-    text = texts.join(maybe_broadcast(asked, MOST_BROADCAST_NODES), "row").select("node", "text").dropDuplicates(["node"])
-    bag = stored(bag_bytes(text.select("node", token_hashes("text").alias("tokens"))), "neardup-bags")
-    found = _grouped(left.join(bag, "node"), ["bucket", "i", "j"], _merging, "a long, b long")
-    return verified(stored(found.distinct(), "neardup-found"), nodes, texts)
-
+    left = stored(open_nodes(buckets, nodes, links, total), "neardup-open")
+    return _grouped(left.join(bags_of(left, nodes, texts), "node"), ["bucket", "i", "j"], _merging, "a long, b long").distinct()
 
-def _doc_rows(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text"), F.lit(""))).alias("row"), "text")
 
+def classified(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(doc_id, row, k1, k2 of each document row; the class of each distinct bag; number of rows).
 
-def classified(docs: DataFrame) -> DataFrame:
-    """doc_id, row (key of the document row), comp (null for texts without words)."""
-    rows = _doc_rows(docs)
+    Equal bags are one node, however many documents share it. All links are between nodes; classes are counted over nodes,
+    and only then carried back to rows. The table of bags has k1, k2, n_rows, class_id, class_size and kept (row key that stays).
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", "text", row_key().alias("row"))
     signed = stored(signatures(rows.select(F.col("doc_id").cast("string").alias("doc_id"), "row", token_hashes("text").alias("tokens"))), "neardup-signed")
-    # Equal bags are one node from here on, however many documents share it.
-    nodes = stored(signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "neardup-nodes")
+    first = F.min(F.struct(F.col("doc_id").cast(kind).alias("doc_id"), "row"))
+    known = signed.filter("k1 IS NOT NULL")
+    least = F.min(F.col("doc_id").cast(kind))
+    nodes = known.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n_rows"), first.alias("first"), least.alias("least"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    # Stored, so that the numbers stay.
+    nodes = stored(nodes.select("k1", "k2", "n_rows", "first", "least", "sig", "bands", F.col("first.row").alias("row"), F.monotonically_increasing_id().alias("node")), "neardup-nodes")
+    sums = nodes.agg(F.count(F.lit(1)).alias("n"), F.sum("n_rows").alias("rows")).first()
+    n_nodes, n_rows = sums["n"], int(sums["rows"] or 0)
     every = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = every.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket", "centre")
-    buckets = stored(every.join(shared, "bucket"), "neardup-buckets")
-    # Each bucket as a star: all members against one. What that leaves apart meets block by block.
-    star = buckets.filter("node <> centre").select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct()
+    shared = stored(every.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "neardup-shared")
+    buckets = stored(joined(every, shared, ["bucket"], "n", n_nodes * BANDS).select("bucket", "node", "centre"), "neardup-buckets")
     texts = rows.select("row", "text")
-    links = stored(verified(stored(estimated(star, nodes), "neardup-star"), nodes, texts), "neardup-links")
-    links = links.unionByName(stored(leftover_links(buckets.select("bucket", "node"), nodes, links, texts), "neardup-more"))
+    # Each bucket as a star: all members against one. What that leaves apart meets block by block.
+    links = star_links(buckets, nodes, texts)
+    links = links.unionByName(stored(leftover_links(buckets.select("bucket", "node"), nodes, links, texts, n_nodes * BANDS), "neardup-more"))
     comps = stored(components(links), "neardup-components")
-    joined = signed.select("doc_id", "row", "node").join(comps, "node", "left")
-    return joined.select("doc_id", "row", F.coalesce("comp", "node").alias("comp"))
+    of_node = stored(nodes.select("node", "k1", "k2", "n_rows", "first", "least").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "neardup-of-node")
+    # A null doc_id comes after all others when the kept row is chosen.
+    kept = F.min(F.struct(F.col("first.doc_id").isNull().alias("none"), F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row")))["row"]
+    heads = stored(of_node.groupBy("comp").agg(F.min("least").alias("class_id"), F.sum("n_rows").alias("class_size"), F.count(F.lit(1)).alias("n_nodes"), kept.alias("kept")), "neardup-heads")
+    classes = joined(of_node, heads, ["comp"], "n_nodes", n_nodes).select("k1", "k2", "n_rows", "class_id", "class_size", "kept")
+    return signed.select("doc_id", "row", "k1", "k2"), stored(classes, "neardup-classes"), n_rows
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -354,26 +391,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     least doc_id. A null doc_id gets the class of its text. An empty table gives no rows; extra
     columns are left out.
     """
-    got = stored(classified(docs).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)), "neardup-classes")
-    heads = got.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    out = got.join(heads, "comp", "left")
-    return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"), F.coalesce(F.col("doc_id") != F.col("class_id"), F.lit(False)).alias("is_duplicate"))
+    rows, classes, n_rows = classified(docs)
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    out = joined(rows.filter("k1 IS NOT NULL"), classes, ["k1", "k2"], "n_rows", n_rows).select("doc_id", "class_id", "class_size")
+    alone = rows.filter("k1 IS NULL").select("doc_id", F.lit(None).cast(rows.schema["doc_id"].dataType).alias("class_id"), F.lit(1).cast("long").alias("class_size"))
+    every = out.unionByName(alone)
+    return every.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "class_size", F.coalesce(F.col("doc_id") != F.col("class_id"), F.lit(False)).alias("is_duplicate"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) without near duplicates: of each class the least (doc_id, row key) stays.
 
-    Texts without words stay. Rows that repeat both doc_id and text count once.
+    All rows whose text has no words (null, empty, signs only) stay, repeated ones too. Of other rows that repeat both
+    doc_id and text one stays: the least by all columns, written as JSON. A null doc_id stays only where
+    its class has no other. An empty table gives no rows; columns of any name are carried through.
     """
-    got = classified(docs)
-    order = F.struct(F.col("doc_id").cast("long").alias("n"), F.col("doc_id").alias("s"), F.col("row").alias("row"))
-    kept = got.filter("comp IS NOT NULL").groupBy("comp").agg(F.min(order).alias("m")).select(F.col("m.row").alias("_row"))
-    kept = stored(kept.unionByName(got.filter("comp IS NULL").select(F.col("row").alias("_row"))).distinct(), "neardup-kept")
-    keyed = docs.withColumn("_row", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text"), F.lit(""))))
-    out = keyed.join(maybe_broadcast(kept, MOST_BROADCAST_NODES), "_row", "left_semi")
-    twice = stored(out.groupBy("_row").count().filter("count > 1").select("_row"), "neardup-twice")
-    if twice.isEmpty():
-        return out.drop("_row")
-    twice = maybe_broadcast(twice, MOST_BROADCAST_NODES)
-    once = out.join(twice, "_row", "left_anti").unionByName(out.join(twice, "_row", "left_semi").dropDuplicates(["_row"]))
-    return once.drop("_row")
+    rows, classes, n_rows = classified(docs)
+    (key,) = fresh(docs, "_row")
+    met = joined(rows.filter("k1 IS NOT NULL"), classes, ["k1", "k2"], "n_rows", n_rows)
+    gone = stored(met.filter(F.col("row") != F.col("kept")).select(F.col("row").alias(key)).distinct(), "neardup-gone")
+    twice = stored(met.filter(F.col("row") == F.col("kept")).groupBy(F.col("row").alias(key)).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key), "neardup-twice")
+    wordless = ~F.coalesce(F.col("text").rlike(WORD_CHAR), F.lit(False))
+    keyed = docs.withColumn(key, row_key())
+    out = keyed.filter(~wordless).join(maybe_broadcast(gone, MOST_BROADCAST_NODES), key, "left_anti")
+    if not twice.isEmpty():
+        twice = maybe_broadcast(twice, MOST_BROADCAST_NODES)
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        one = out.join(twice, key, "left_semi").groupBy(key).agg(F.min_by(whole, F.to_json(whole)).alias("_whole")).select("_whole.*")
+        out = out.join(twice, key, "left_anti").select(*docs.columns).unionByName(one)
+    return out.select(*docs.columns).unionByName(docs.filter(wordless))
