@@ -57,10 +57,23 @@ lens AS (SELECT DISTINCT l FROM keys),
 spots AS (SELECT r, l, ws, unnest(range(1, len(ws) - l + 2)) AS p FROM d, lens WHERE len(ws) >= l),
 hits AS (SELECT s.r, s.p, s.l, k.item_id FROM (SELECT r, l, p, array_to_string(ws[p : p + l - 1], ' ') AS k FROM spots) s JOIN keys k ON s.l = k.l AND s.k = k.k),
 pos AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + l)) AS q FROM hits) GROUP BY r),
-ids AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r)
+ids AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r),
+df AS (SELECT term, count(*) AS n FROM (SELECT unnest(ws) AS term FROM d) GROUP BY term),
+it AS (SELECT DISTINCT item_id, iw FROM b WHERE len(iw) > 0),
+rare AS (
+  SELECT item_id, iw, term, count(*) OVER (PARTITION BY item_id, iw) AS need FROM (
+    SELECT item_id, iw, t.term FROM (SELECT item_id, iw, unnest(list_distinct(iw)) AS term FROM it) t LEFT JOIN df USING (term)
+    QUALIFY row_number() OVER (PARTITION BY item_id, iw ORDER BY coalesce(n, 0), t.term) <= 3)),
+at AS (SELECT r, p, ws[p] AS term FROM (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS p FROM d)),
+spot AS (SELECT at.r, at.p, item_id, iw, rare.term, need FROM at JOIN rare USING (term)),
+near AS (
+  SELECT r, count(DISTINCT item_id) AS n_near FROM (
+    SELECT a.r, a.p, a.item_id FROM (SELECT DISTINCT r, p, item_id, iw, need FROM spot) a
+    JOIN spot z ON z.r = a.r AND z.item_id = a.item_id AND z.iw = a.iw AND z.p BETWEEN a.p AND a.p + 20
+    GROUP BY a.r, a.p, a.item_id, a.iw, a.need HAVING count(DISTINCT z.term) = a.need) GROUP BY r)
 SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN pos USING (r) LEFT JOIN ids USING (r)
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN pos USING (r) LEFT JOIN ids USING (r) LEFT JOIN near USING (r)
 """
 
 
