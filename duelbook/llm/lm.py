@@ -1,14 +1,16 @@
 """Language-model scores by deleted interpolation.
 
-P(w | h) = l2[b] c(h w) / c(h) + l1[b] c(w) / N + l0[b] / (V + 1), where b is the bucket of the context's
-frequency c(h). The weights are learned by expectation-maximisation: the counts come from the
-retained part of the training documents, the likelihood from the deleted part. The final model has
-those weights and the counts of both parts. Unseen tokens share one of the V + 1 equal parts.
-
-Counts meet documents without a row for each token: documents are dealt into blocks of bounded size;
-a block sends its distinct n-grams, sorted and packed, one row for each range of hash values; a range
-adds up all blocks' counts and sends back to each block the totals in the block's own order. An n-gram
-thus weighs on a range once a block, however frequent it is, and nothing is kept by a driver.
+P(w | u v) = l3[b] c(u v w) / c(u v) + l2[b] c(v w) / c(v) + l1[b] c(w) / N + l0[b] / (V + 1), where b is the bucket of the
+context's frequency: of c(u v) where that is above zero, else of c(v). The weights are learned by
+expectation-maximisation: the counts come from the retained part of the training documents, the likelihood
+from the deleted part. The final model has those weights and the counts of both parts. Unseen tokens
+share one of the V + 1 equal parts.
+
+Texts are read and split once, where they lie: each task packs its documents into blocks of bounded size (distinct words
+and each token's number). Counts meet documents without a row for each token: a block sends its distinct n-grams, sorted and
+packed, to the ranges of hash values that it has some of; a range adds up all blocks' counts and sends back to each block
+the totals in the block's own order. An n-gram thus weighs on a range once a block, however frequent it is, and nothing
+is kept by a driver.
 """
 
 from __future__ import annotations
@@ -17,22 +19,27 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, stored
 
 GAP = r"[\x20\x09-\x0D]+"
-#: Characters in a block, and in all texts for each range of hash values.
-BLOCK_CHARS, RANGE_CHARS = 4_000_000, 20_000_000
+#: Tokens in a block, and bytes of text for each range of hash values. Both grow with the root of the corpus up to
+#: GROWTH times, so that a block's row for a range keeps some hundred n-grams and rows grow in proportion to the text.
+BLOCK_TOKENS, RANGE_BYTES, ROOT_AT, GROWTH = 700_000, 20_000_000, 2_000_000_000, 6
 #: One in so many training documents is in the deleted part.
 DELETED_OF = 12
-EM_ROUNDS = 15
-DEFAULT_WEIGHTS = (0.1, 0.3, 0.6)  # uniform, unigram, bigram
+#: EM ends when a round improves the log-likelihood by less than this share of it, or after so many rounds.
+EM_GAIN, EM_ROUNDS = 1e-5, 40
+#: Mixture weights at the start (uniform, unigram, bigram, trigram): unseen context, known word, known pair.
+START_WEIGHTS = ((0.1, 0.9, 0.0, 0.0), (0.1, 0.3, 0.6, 0.0), (0.05, 0.15, 0.3, 0.5))
+BUCKETS = 64
 U = np.uint64
 END, START = U(0x656E64), U(0x7374617274)
-#: Bits of a bigram's key. Two of a billion bigrams share a key with a chance of a few in a million each.
-PAIR_BITS = 48
+#: Bits of the key of a pair or triple. Two of a trillion n-grams share a key with a chance of one in 70,000 each.
+GRAM_BITS = 56
 
 
 def held_out(doc_id: Column) -> Column:
@@ -40,6 +47,11 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 7 == 2
 
 
+def deleted(doc_id: Column) -> Column:
+    """Whether a training document is in the deleted part."""
+    return ~held_out(doc_id) & (F.pmod(F.xxhash64(F.lit("deleted"), doc_id.cast("string")), F.lit(DELETED_OF)) == 0)
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
@@ -63,30 +75,38 @@ def unpack(data: bytes, n: int) -> np.ndarray:
 
 
 class Block:
-    """The n-grams of a block's texts: token keys and pair keys, with where each token's are."""
-
-    def __init__(self, tokens: list[np.ndarray]):
-        sizes = np.array([len(t) for t in tokens], dtype=np.int64)
-        ends = np.cumsum(sizes + 1) - 1
-        self.text = np.repeat(np.arange(len(tokens)), sizes + 1)
-        flat = np.zeros(len(self.text), dtype=np.uint64)
-        inside = np.ones(len(flat), dtype=bool)
-        inside[ends] = False
-        if sizes.sum():
-            flat[inside] = np.concatenate([np.asarray(t, dtype=np.int64) for t in tokens]).view(np.uint64)
-        flat[ends] = END
-        before = np.empty_like(flat)
-        before[1:] = flat[:-1]
-        before[ends[:-1] + 1] = START
-        before[0] = START
-        self.first = before == START
+    """The n-grams of a block's texts, as keys with where each token's are: from its distinct words, each token's word and the texts' sizes."""
+
+    def __init__(self, words: np.ndarray, word_at: np.ndarray, sizes: np.ndarray):
+        self.words, self.word_at = words, word_at
+        self.text = np.repeat(np.arange(len(sizes)), sizes)
+        flat = words[word_at]
+        self.first = np.zeros(len(flat), dtype=bool)
+        self.first[np.cumsum(sizes)[:-1]] = True
+        self.first[:1] = True
+        before = np.roll(flat, 1)
+        before[self.first] = START
         with np.errstate(over="ignore"):
-            pair = _mix(_mix(before + U(0x9E3779B97F4A7C15)) + flat) >> U(64 - PAIR_BITS)
-        self.words, self.word_at = np.unique(flat, return_inverse=True)
-        self.pairs, self.pair_at = np.unique(pair, return_inverse=True)
+            pair = _mix(_mix(before + U(0x9E3779B97F4A7C15)) + flat)
+            triple = _mix(np.roll(pair, 1) * U(0x9E3779B97F4A7C15) + flat + U(3)) >> U(64 - GRAM_BITS)
+        # A text's first token has no word before it but the start: its triple is never looked at.
+        triple[self.first] = 0
+        self.pairs, self.pair_at = np.unique(pair >> U(64 - GRAM_BITS), return_inverse=True)
+        self.triples, self.triple_at = np.unique(triple, return_inverse=True)
 
     def kinds(self):
-        return ((0, self.words, self.word_at, 64), (1, self.pairs, self.pair_at, PAIR_BITS))
+        return ((0, self.words, self.word_at, 64), (1, self.pairs, self.pair_at, GRAM_BITS), (2, self.triples, self.triple_at, GRAM_BITS))
+
+    def context(self, word: np.ndarray, pair: np.ndarray, texts: float) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of each token's contexts: of the word before it (or of text starts), and of the pair before it (0 for a first token)."""
+        one, two = np.roll(word, 1), np.roll(pair, 1)
+        one[self.first], two[self.first] = texts, 0
+        return one, two
+
+
+def _unpacked(row) -> Block:
+    words = np.cumsum(unpack(row["words"], row["n_words"]), dtype=np.uint64)
+    return Block(words, unpack(row["word_at"], row["n_tokens"]).astype(np.int64), unpack(row["sizes"], len(row["train"])).astype(np.int64))
 
 
 def _edges(ranges: int, bits: int) -> np.ndarray:
@@ -94,124 +114,159 @@ def _edges(ranges: int, bits: int) -> np.ndarray:
     return np.array([i * (1 << bits) // ranges for i in range(ranges)], dtype=np.uint64)
 
 
-def dealt(docs: DataFrame) -> tuple[DataFrame, int]:
-    """doc_id, block, train, tokens of every row, shuffled as text by block; and the number of ranges.
+BLOCKS = "block long, deleted boolean, doc_ids array<string>, train binary, sizes binary, n_tokens long, n_words long, words binary, word_at binary, train_texts long, train_tokens long"
 
-    Deleted training documents are in blocks of their own (negative numbers).
-    """
-    chars = docs.agg(F.sum(F.length("text") + 1)).first()[0] or 1
-    blocks = max(1, math.ceil(chars / BLOCK_CHARS))
-    few = max(1, math.ceil(blocks / DELETED_OF))
-    train = ~held_out(F.col("doc_id"))
-    draw = F.xxhash64(F.lit("deleted"), F.col("doc_id").cast("string"))
-    deal = F.xxhash64(F.lit("block"), F.col("doc_id").cast("string"), F.length("text"))
-    block = F.when(train & (F.pmod(draw, F.lit(DELETED_OF)) == 0), -1 - F.pmod(deal, F.lit(few))).otherwise(F.pmod(deal, F.lit(blocks)))
-    rows = docs.select("doc_id", "text", train.alias("train"), block.alias("block")).repartition("block")
-    split = F.filter(F.split(ascii_lower(F.coalesce("text", F.lit(""))), GAP), lambda w: w != "")
-    return rows.select("doc_id", "block", "train", F.transform(split, lambda w: F.xxhash64(w)).alias("tokens")), max(1, math.ceil(chars / RANGE_CHARS))
 
+def blocks(docs: DataFrame, most_tokens: int) -> DataFrame:
+    """Documents packed where they lie (BLOCKS), stored. Deleted training documents are in blocks of their own.
 
-def counts(rows: DataFrame, ranges: int) -> DataFrame:
-    """(block, kind, range, n_total, n_distinct, total, kept): totals of each block's n-grams, in the block's order.
+    A block's number is its task's and the order in that; repeated rows spread over blocks like any others.
+    """
+    gap = F.filter(F.split(ascii_lower(F.coalesce("text", F.lit(""))), GAP), lambda w: w != "")
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), (~held_out(F.col("doc_id"))).alias("train"), deleted(F.col("doc_id")).alias("deleted"), F.transform(gap, lambda w: F.xxhash64(w)).alias("tokens"))
+
+    def run(batches):
+        part, made = TaskContext.get().partitionId(), 0
+        held = {False: ([], [], [], 0), True: ([], [], [], 0)}
+
+        def block(kind):
+            nonlocal made
+            ids, train, tokens, _ = held[kind]
+            held[kind] = ([], [], [], 0)
+            sizes = np.array([len(t) + 1 for t in tokens], dtype=np.int64)
+            flat = np.concatenate([np.append(np.asarray(t, dtype=np.int64).view(np.uint64), END) for t in tokens])
+            words, at = np.unique(flat, return_inverse=True)
+            flags = np.array(train, dtype=bool)
+            row = (part << 32 | made, kind, ids, flags.tobytes(), pack(sizes.astype(np.uint64)), len(flat), len(words), pack(np.diff(words, prepend=U(0))), pack(at.astype(np.uint64)), int(flags.sum()), int(sizes[flags].sum()))
+            made += 1
+            return pd.DataFrame([row], columns=[c.split()[0] for c in BLOCKS.split(", ")])
+
+        for batch in batches:
+            for doc_id, train, kind, tokens in zip(batch["doc_id"], batch["train"], batch["deleted"], batch["tokens"], strict=True):
+                ids, flags, texts, size = held[bool(kind)]
+                ids.append(doc_id)
+                flags.append(train)
+                texts.append(tokens)
+                held[bool(kind)] = (ids, flags, texts, size + len(tokens) + 1)
+                if size + len(tokens) + 1 >= most_tokens:
+                    yield block(bool(kind))
+        for kind in (False, True):
+            if held[kind][0]:
+                yield block(kind)
+
+    return stored(rows.mapInPandas(run, BLOCKS), "lm-blocks", "zstd")
+
+
+def counts(packed: DataFrame, ranges: int) -> DataFrame:
+    """(block, kind, range, n_total, n_distinct, total, kept): totals of each block's n-grams, in the block's order. Stored.
 
     ``total`` has the counts in all training documents, ``kept`` those in the retained ones (deleted
     blocks only).
     """
 
-    def send(batch: pd.DataFrame) -> pd.DataFrame:
-        block, train = Block(list(batch["tokens"])), batch["train"].to_numpy(dtype=bool)
-        out = []
-        for kind, keys, at, bits in block.kinds():
-            seen = np.bincount(at, train[block.text], len(keys)).astype(np.uint64)
-            edges = _edges(ranges, bits)
-            cut = np.append(np.searchsorted(keys, edges), len(keys))
-            for r in range(ranges):
-                own = keys[cut[r] : cut[r + 1]]
-                if len(own):
-                    step = np.diff(own, prepend=edges[r])
-                    out.append((int(batch["block"].iloc[0]), kind, r, len(own), pack(step), pack(seen[cut[r] : cut[r + 1]])))
-        return pd.DataFrame(out, columns=["block", "kind", "range", "n", "keys", "seen"])
+    def send(batches):
+        for batch in batches:
+            for _, row in batch.iterrows():
+                block, train = _unpacked(row), np.frombuffer(row["train"], dtype=bool)
+                out = []
+                for kind, keys, at, bits in block.kinds():
+                    seen = np.bincount(at, train[block.text], len(keys)).astype(np.uint64)
+                    edges = _edges(ranges, bits)
+                    cut = np.append(np.searchsorted(keys, edges), len(keys))
+                    # Only ranges that the block has n-grams of: at most as many rows as n-grams.
+                    for r in np.flatnonzero(np.diff(cut)):
+                        own = keys[cut[r] : cut[r + 1]]
+                        out.append((row["block"], row["deleted"], kind, r, len(own), pack(np.diff(own, prepend=edges[r])), pack(seen[cut[r] : cut[r + 1]])))
+                yield pd.DataFrame(out, columns=["block", "deleted", "kind", "range", "n", "keys", "seen"])
 
     def add(batch: pd.DataFrame) -> pd.DataFrame:
         kind, r = int(batch["kind"].iloc[0]), int(batch["range"].iloc[0])
-        edge = _edges(ranges, 64 if kind == 0 else PAIR_BITS)[r]
+        edge = U(r * (1 << (64 if kind == 0 else GRAM_BITS)) // ranges)
         with np.errstate(over="ignore"):
             keys = [np.cumsum(unpack(k, n), dtype=np.uint64) + edge for k, n in zip(batch["keys"], batch["n"], strict=True)]
         seen = np.concatenate([unpack(s, n) for s, n in zip(batch["seen"], batch["n"], strict=True)]).astype(np.float64)
-        of_kept = np.repeat(batch["block"].to_numpy() >= 0, batch["n"])
+        of_kept = np.repeat(~batch["deleted"].to_numpy(dtype=bool), batch["n"])
         distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(at, seen, len(distinct)).astype(np.uint64)[at]
         kept = np.bincount(at, seen * of_kept, len(distinct)).astype(np.uint64)[at]
         ends = np.cumsum(batch["n"].to_numpy())
         known = int(np.unique(at[total > 0]).size)
         return pd.DataFrame(
-            [(int(b), kind, r, int(seen.sum()), known, pack(total[e - n : e]), pack(kept[e - n : e]) if b < 0 else b"") for b, n, e in zip(batch["block"], batch["n"], ends, strict=True)],
+            [(int(b), kind, r, int(seen.sum()), known, pack(total[e - n : e]), pack(kept[e - n : e]) if d else b"") for b, d, n, e in zip(batch["block"], batch["deleted"], batch["n"], ends, strict=True)],
             columns=["block", "kind", "range", "n_total", "n_distinct", "total", "kept"],
         )
 
-    sent = rows.groupBy("block").applyInPandas(send, "block long, kind int, range int, n long, keys binary, seen binary")
+    sent = packed.mapInPandas(send, "block long, deleted boolean, kind int, range int, n long, keys binary, seen binary")
     return stored(sent.groupBy("kind", "range").applyInPandas(add, "block long, kind int, range int, n_total long, n_distinct long, total binary, kept binary"), "lm-counts", "zstd")
 
 
-def _looked_up(block: Block, right: pd.DataFrame, column: str, ranges: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of each token and of each pair, token by token."""
+def _looked_up(block: Block, right: pd.DataFrame, column: str, ranges: int) -> list[np.ndarray]:
+    """Counts of each token's word, pair and triple."""
     out = []
     for kind, keys, at, bits in block.kinds():
         cut = np.append(np.searchsorted(keys, _edges(ranges, bits)), len(keys))
         own = right[right["kind"] == kind].sort_values("range")
         parts = [unpack(data, int(cut[r + 1] - cut[r])) for r, data in zip(own["range"], own[column], strict=True)]
         out.append(np.concatenate(parts).astype(np.float64)[at])
-    return out[0], out[1]
+    return out
 
 
-def context_counts(block: Block, word: np.ndarray, texts_in_train: float) -> np.ndarray:
-    """Frequency of each token's context: of the word before it, or of text starts."""
-    before = np.empty_like(word)
-    before[1:] = word[:-1]
-    before[block.first] = texts_in_train
-    return before
+def buckets(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """0 for unseen contexts; 1 to 31, one for each doubling of the word's frequency, where the pair is unseen; 32 to 63 by the pair's."""
+    doubling = lambda c: np.minimum(np.floor(np.log2(np.maximum(c, 1))) + 1, 31)
+    return np.where(two > 0, 31 + doubling(two), np.where(one > 0, doubling(one), 0)).astype(np.int64)
 
 
-def buckets(context: np.ndarray) -> np.ndarray:
-    """0 for unseen contexts, then one bucket for each doubling of the frequency."""
-    return np.where(context > 0, np.floor(np.log2(np.maximum(context, 1))) + 1, 0).astype(np.int64)
+def _parts(block: Block, found: list[np.ndarray], tokens: float, texts: float) -> tuple[np.ndarray, np.ndarray]:
+    """Each token's bucket, and its relative frequencies (unigram, bigram, trigram)."""
+    word, pair, triple = found
+    one, two = block.context(word, pair, texts)
+    triple = np.where(two > 0, triple, 0)
+    return buckets(one, two), np.stack([word / max(tokens, 1), pair / np.maximum(one, 1), triple / np.maximum(two, 1)], axis=1)
 
 
-def learned_weights(rows: DataFrame, got: DataFrame, ranges: int, kept_tokens: float, kept_texts: float, vocabulary: int) -> dict[int, tuple[float, float, float]]:
-    """Mixture weights (uniform, unigram, bigram) by bucket: EM on the deleted part's counts against the retained part's."""
+def learned_weights(packed: DataFrame, got: DataFrame, ranges: int, kept_tokens: float, kept_texts: float, vocabulary: int) -> tuple[dict[int, tuple[float, ...]], list[float]]:
+    """Mixture weights (uniform, unigram, bigram, trigram) by bucket, and the log-likelihood of each round: EM on the deleted part's counts against the retained part's."""
 
     def collect(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"bucket": [], "f2": [], "f1": [], "n": []})
-        block = Block(list(left["tokens"]))
-        word, pair = _looked_up(block, right, "kept", ranges)
-        context = context_counts(block, word, kept_texts)
-        f = pd.DataFrame({"bucket": buckets(context), "f2": pair / np.maximum(context, 1), "f1": word / max(kept_tokens, 1)})
-        return f.groupby(["bucket", "f2", "f1"]).size().rename("n").reset_index()
-
-    tuples = rows.filter("block < 0").groupBy("block").cogroup(got.filter("block < 0").groupBy("block")).applyInPandas(collect, "bucket long, f2 double, f1 double, n long")
-    tuples = stored(tuples, "lm-deleted")
-    weights: dict[int, tuple[float, float, float]] = {}
+            return pd.DataFrame({"bucket": [], "f1": [], "f2": [], "f3": [], "n": []})
+        block = _unpacked(left.iloc[0])
+        bucket, f = _parts(block, _looked_up(block, right, "kept", ranges), kept_tokens, kept_texts)
+        f = pd.DataFrame({"bucket": bucket, "f1": f[:, 0], "f2": f[:, 1], "f3": f[:, 2]})
+        return f.groupby(["bucket", "f1", "f2", "f3"]).size().rename("n").reset_index()
+
+    tuples = packed.filter("deleted").groupBy("block").cogroup(got.filter(F.length("kept") > 0).groupBy("block")).applyInPandas(collect, "bucket long, f1 double, f2 double, f3 double, n long")
+    tuples = stored(tuples.groupBy("bucket", "f1", "f2", "f3").agg(F.sum("n").alias("n")), "lm-deleted")
+    weights: dict[int, tuple[float, ...]] = {}
+    seen: list[float] = []
     f0 = F.lit(1.0 / (vocabulary + 1))
     for _ in range(EM_ROUNDS):
-        now = [weights.get(b, (0.1, 0.9, 0.0) if b == 0 else DEFAULT_WEIGHTS) for b in range(64)]
-        l0, l1, l2 = (F.element_at(F.array(*[F.lit(float(w[i])) for w in now]), (F.col("bucket") + 1).cast("int")) for i in range(3))
-        p = l0 * f0 + l1 * F.col("f1") + l2 * F.col("f2")
-        parts = [F.sum(F.col("n") * x / p).alias(f"g{i}") for i, x in enumerate((l0 * f0, l1 * F.col("f1"), l2 * F.col("f2")))]
-        for r in tuples.groupBy("bucket").agg(*parts).collect():  # at most 64 rows
-            total = r["g0"] + r["g1"] + r["g2"]
-            if total > 0:
-                # A trace of the uniform part stays, so that unseen tokens keep some probability.
-                raw = np.maximum([r["g0"] / total, r["g1"] / total, r["g2"] / total if r["bucket"] else 0.0], [1e-6, 1e-6, 0.0])
-                weights[r["bucket"]] = tuple(float(x) for x in raw / raw.sum())
-    return weights
-
-
-def filled(weights: dict[int, tuple[float, float, float]]) -> np.ndarray:
-    """A row of weights for each bucket; those without data take the next lower one's."""
-    out = np.zeros((64, 3))
-    for b in range(64):
-        out[b] = weights.get(b, (0.1, 0.9, 0.0) if b == 0 else out[b - 1] if b > 1 else DEFAULT_WEIGHTS)
+        now = [weights.get(b, _start(b)) for b in range(BUCKETS)]
+        share = [F.element_at(F.array(*[F.lit(float(w[i])) for w in now]), (F.col("bucket") + 1).cast("int")) * f for i, f in enumerate((f0, F.col("f1"), F.col("f2"), F.col("f3")))]
+        p = share[0] + share[1] + share[2] + share[3]
+        sums = [F.sum(F.col("n") * x / p).alias(f"g{i}") for i, x in enumerate(share)]
+        rows = tuples.groupBy("bucket").agg(F.sum(F.col("n") * F.log(p)).alias("ll"), *sums).collect()  # at most BUCKETS rows
+        seen.append(sum(r["ll"] for r in rows))
+        for r in rows:
+            total = sum(r[f"g{i}"] for i in range(4))
+            # A trace of the uniform and unigram parts stays, so that unseen tokens keep some probability.
+            raw = np.maximum([r[f"g{i}"] / total for i in range(4)], [1e-6, 1e-6, 0.0, 0.0])
+            weights[r["bucket"]] = tuple(float(x) for x in raw / raw.sum())
+        if not rows or (len(seen) > 1 and seen[-1] - seen[-2] <= EM_GAIN * abs(seen[-2])):
+            break
+    return weights, seen
+
+
+def _start(bucket: int) -> tuple[float, ...]:
+    return START_WEIGHTS[0 if bucket == 0 else 1 if bucket < 32 else 2]
+
+
+def filled(weights: dict[int, tuple[float, ...]]) -> np.ndarray:
+    """A row of weights for each bucket; those without data take the next lower one's of their kind."""
+    out = np.zeros((BUCKETS, 4))
+    for b in range(BUCKETS):
+        out[b] = weights.get(b, _start(b) if b in (0, 1, 32) else out[b - 1])
     return out
 
 
@@ -222,36 +277,33 @@ def scored(docs: DataFrame) -> DataFrame:
     scores; repeated rows each count. Without any training document, all probabilities are uniform.
     An empty table gives no rows; extra columns are left out.
     """
-    rows, ranges = dealt(docs)
-    got = counts(rows, ranges)
+    size = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 1
+    growth = min(GROWTH, max(1.0, math.sqrt(size / ROOT_AT)))
+    ranges = max(1, math.ceil(size / (RANGE_BYTES * growth)))
+    packed = blocks(docs, int(BLOCK_TOKENS * growth))
+    got = counts(packed, ranges)
     sums = got.filter("kind = 0").groupBy("range").agg(F.max("n_total").alias("n"), F.max("n_distinct").alias("v")).agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n_all, vocabulary = int(sums["n"] or 0), int(sums["v"] or 0)
-    draw = F.pmod(F.xxhash64(F.lit("deleted"), F.col("doc_id").cast("string")), F.lit(DELETED_OF)) != 0
-    tokens = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")) + 1
-    kept = docs.filter(~held_out(F.col("doc_id"))).agg(F.count(F.lit(1)).alias("all"), F.count_if(draw).alias("texts"), F.sum(F.when(draw, tokens)).alias("tokens")).first()
-    weight = filled(learned_weights(rows, got, ranges, float(kept["tokens"] or 0), float(kept["texts"]), vocabulary))
-    train_texts = float(kept["all"])
+    parts = {r["deleted"]: r for r in packed.groupBy("deleted").agg(F.sum("train_texts").alias("texts"), F.sum("train_tokens").alias("tokens")).collect()}
+    kept = parts.get(False, {"texts": 0, "tokens": 0})
+    weight = filled(learned_weights(packed, got, ranges, float(kept["tokens"]), float(kept["texts"]), vocabulary)[0])
+    train_texts = float(sum(r["texts"] for r in parts.values()))
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
 
     def score(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
-            return pd.DataFrame({c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")})
-        block = Block(list(left["tokens"]))
-        word, pair = _looked_up(block, right, "total", ranges)
-        context = context_counts(block, word, train_texts)
-        w = weight[buckets(context)]
-        p = w[:, 0] / (vocabulary + 1) + w[:, 1] * word / max(n_all, 1) + w[:, 2] * pair / np.maximum(context, 1)
-        size = len(left)
-        return pd.DataFrame(
-            {
-                "doc_id": left["doc_id"].to_numpy(),
-                "held_out": ~left["train"].to_numpy(dtype=bool),
-                "n_tokens": np.bincount(block.text, minlength=size),
-                "n_known": np.bincount(block.text, word > 0, size).astype(np.int64),
-                "base_score": np.bincount(block.text, np.log10((word + 1) / (n_all + vocabulary + 1)), size),
-                "score": np.bincount(block.text, np.log10(p), size),
-            }
-        )
+            return pd.DataFrame({c: [] for c in names})
+        row = left.iloc[0]
+        block = _unpacked(row)
+        found = _looked_up(block, right, "total", ranges)
+        bucket, f = _parts(block, found, n_all, train_texts)
+        w = weight[bucket]
+        p = w[:, 0] / (vocabulary + 1) + (w[:, 1:] * f).sum(axis=1)
+        n = len(row["doc_ids"])
+        train = np.frombuffer(row["train"], dtype=bool)
+        sums = [np.bincount(block.text, x, n) for x in (found[0] > 0, np.log10((found[0] + 1) / (n_all + vocabulary + 1)), np.log10(p))]
+        return pd.DataFrame(dict(zip(names, [list(row["doc_ids"]), ~train, np.bincount(block.text, minlength=n), sums[0].astype(np.int64), sums[1], sums[2]], strict=True)))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = rows.withColumn("doc_id", F.col("doc_id").cast("string")).groupBy("block").cogroup(got.groupBy("block")).applyInPandas(score, "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    out = packed.groupBy("block").cogroup(got.groupBy("block")).applyInPandas(score, "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select(F.col("doc_id").cast(kind).alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score")

@@ -161,24 +161,67 @@ def test_secrets_by_context(spark):
 
 
 def test_lm(rows, docs, empty, monkeypatch):
-    monkeypatch.setattr(lm, "BLOCK_CHARS", 1500)
-    monkeypatch.setattr(lm, "RANGE_CHARS", 3000)
+    """All columns against a plain model: counts, buckets, EM and scores."""
+    monkeypatch.setattr(lm, "BLOCK_TOKENS", 250)
+    monkeypatch.setattr(lm, "RANGE_BYTES", 3000)
     got = lm.scored(docs).collect()
     train = lambda k: zlib.crc32(str("" if k is None else k).encode()) % 7 != 2
+    gone = {r[0] for r in docs.filter(lm.deleted(common.F.col("doc_id"))).select("doc_id").collect()}
+    assert gone and all(train(k) for k in gone)
     texts = [(k, TOKEN.findall((t or "").translate(LOW)) + ["\n"]) for k, t, *_ in rows[0]]
-    seen = Counter(w for k, ws in texts if train(k) for w in ws)
-    n, v = sum(seen.values()), len(seen)
-    want = sorted((k is None, k or 0, len(ws), sum(seen[w] > 0 for w in ws), round(sum(math.log10((seen[w] + 1) / (n + v + 1)) for w in ws), 6)) for k, ws in texts)
-    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in got) == want
+
+    def model(keep):
+        """Counts of words, pairs and triples; a text's start stands before its first word and has no triple."""
+        c = [Counter(), Counter(), Counter()]
+        n_texts = 0
+        for k, ws in texts:
+            if keep(k):
+                n_texts += 1
+                c[0].update(ws)
+                c[1].update(zip([None, *ws], ws, strict=False))
+                c[2].update(zip([None, *ws], ws, ws[1:], strict=False))
+        return c, sum(c[0].values()), n_texts
+
+    def parts(m, ws):
+        c, n, n_texts = m
+        for i, w in enumerate(ws):
+            v = ws[i - 1] if i else None
+            one = c[0][v] if i else n_texts
+            two = c[1][(ws[i - 2] if i > 1 else None, v)] if i else 0
+            bucket = 31 + min(31, int(math.log2(two)) + 1) if two else min(31, int(math.log2(one)) + 1) if one else 0
+            three = c[2][(ws[i - 2] if i > 1 else None, v, w)] if two else 0
+            yield bucket, (c[0][w] / n, c[1][(v, w)] / max(one, 1), three / max(two, 1))
+
+    all_, kept = model(train), model(lambda k: train(k) and k not in gone)
+    n, v = all_[1], len(all_[0][0])
+    held = [x for k, ws in texts if k in gone for x in parts(kept, ws)]
+    weights, before = {}, None
+    for _ in range(lm.EM_ROUNDS):
+        likelihood, sums = 0.0, defaultdict(lambda: np.zeros(4))
+        for b, f in held:
+            share = np.array(weights.get(b, lm._start(b))) * np.array([1 / (v + 1), *f])
+            likelihood += math.log(share.sum())
+            sums[b] += share / share.sum()
+        for b, g in sums.items():
+            g = np.maximum(g / g.sum(), [1e-6, 1e-6, 0, 0])
+            weights[b] = g / g.sum()
+        if before is not None and likelihood - before <= lm.EM_GAIN * abs(before):
+            break
+        before = likelihood
+    table = lm.filled(weights)
+    score = lambda ws: sum(math.log10(table[b] @ np.array([1 / (v + 1), *f])) for b, f in parts(all_, ws))
+    base = lambda ws: sum(math.log10((all_[0][0][w] + 1) / (n + v + 1)) for w in ws)
+    want = sorted((k is None, k or 0, len(ws), sum(all_[0][0][w] > 0 for w in ws), round(base(ws), 6), round(score(ws), 6)) for k, ws in texts)
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in got) == want
     assert {r["train_tokens"] for r in got} == {n} and all(r["held_out"] != train(r["doc_id"]) for r in got)
-    assert all(r["score"] < 0 for r in got) and sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
+    assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
     assert lm.scored(empty).count() == 0
 
 
 def test_lm_pieces():
     values = np.array([0, 1, 255, 256, 2**40, 2**63], dtype=np.uint64)
     assert (lm.unpack(lm.pack(values), 6) == values).all() and len(lm.pack(np.zeros(5, np.uint64))) == 1
-    assert lm.buckets(np.array([0, 1, 2, 3, 4, 1024])).tolist() == [0, 1, 2, 2, 3, 11]
+    assert lm.buckets(np.array([0, 1, 2, 3, 4, 1024, 9]), np.array([0, 0, 0, 0, 0, 0, 2])).tolist() == [0, 1, 2, 2, 3, 11, 33]
 
 
 def test_substrings(rows, docs, empty):
