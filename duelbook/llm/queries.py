@@ -64,8 +64,8 @@ rare AS (
   SELECT item_id, iw, term, count(*) OVER (PARTITION BY item_id, iw) AS need FROM (
     SELECT item_id, iw, t.term FROM (SELECT item_id, iw, unnest(list_distinct(iw)) AS term FROM it) t LEFT JOIN df USING (term)
     QUALIFY row_number() OVER (PARTITION BY item_id, iw ORDER BY coalesce(n, 0), t.term) <= 3)),
-at AS (SELECT r, p, ws[p] AS term FROM (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS p FROM d)),
-spot AS (SELECT at.r, at.p, item_id, iw, rare.term, need FROM at JOIN rare USING (term)),
+occ AS (SELECT r, p, ws[p] AS term FROM (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS p FROM d)),
+spot AS (SELECT occ.r, occ.p, item_id, iw, rare.term, need FROM occ JOIN rare USING (term)),
 near AS (
   SELECT r, count(DISTINCT item_id) AS n_near FROM (
     SELECT a.r, a.p, a.item_id FROM (SELECT DISTINCT r, p, item_id, iw, need FROM spot) a
