@@ -1,10 +1,10 @@
 """WARC archives with a two-level capture index.
 
 Records are written as gzip members into archive segments of a few MB, one row each, through Spark's
-own writer, so that any shared store will do. The capture index sorts lines of (reversed-host URL key,
+own writer, so that any shared store will do, and one a Parquet page, so that a page is read by its name. The capture index sorts lines of (reversed-host URL key,
 page, archive, offset, length) into compressed blocks; a sparse directory holds the first and last
 key of each block. A lookup binary-searches the directory, opens only the blocks that may
-hold the key, searches those, and reads just the byte ranges found.
+hold the key, searches those, and reads just the byte ranges found: of the files, the pages with those blocks and segments.
 """
 
 from __future__ import annotations
@@ -18,10 +18,11 @@ from bisect import bisect_left, bisect_right
 from urllib.parse import quote, urlsplit
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, prefix_sums, small, stored
+from .common import joined, prefix_sums, small, stored
 
 SEGMENT_BYTES = 2_000_000
 BLOCK_LINES = 1_000
@@ -29,7 +30,9 @@ WARC_DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Repeated payload digests that a broadcast may carry (60 bytes each), and directory rows that a task may hold.
 MOST_BROADCAST_DIGESTS = 500_000
-MOST_DIRECTORY_ROWS = 200_000
+MOST_DIRECTORY_ROWS, MOST_DIRECTORY_BYTES = 200_000, 8_000_000
+#: Blocks or segments that a look-up asks for by name.
+MOST_NAMES = 1_000
 
 
 def url_key(url: str | None) -> str:
@@ -84,23 +87,43 @@ def parse(raw: bytes) -> dict:
 
 
 def with_first(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """page_id, url, html, first: the page to revisit, null for responses."""
+    """page_id, url, html, first: the page to revisit, null for responses.
+
+    Where repeated digests are too many to broadcast, they meet page numbers and digests alone; payloads are then joined
+    by page and digest, which no frequent payload can load onto one task.
+    """
     text = F.coalesce("html", F.lit(""))
-    rows = pages.select("page_id", "url", text.alias("html"), F.when(F.octet_length(text) >= min_bytes, F.sha1(text.cast("binary"))).alias("sha"))
-    twice = stored(rows.filter("sha IS NOT NULL").groupBy("sha").agg(F.min("page_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("sha", "least"), "warc-twice")
-    met = rows.join(maybe_broadcast(twice, MOST_BROADCAST_DIGESTS), "sha", "left")
-    return met.select("page_id", "url", "html", F.when(F.col("page_id").isNull() | (F.col("page_id") > F.col("least")), F.col("least")).alias("first"))
+    sha = F.when(F.octet_length(text) >= min_bytes, F.sha1(text.cast("binary"))).alias("sha")
+    rows = pages.select("page_id", "url", text.alias("html"), sha)
+    keys = pages.select("page_id", sha).filter("sha IS NOT NULL")
+    twice = stored(keys.groupBy("sha").agg(F.min("page_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "warc-twice")
+    first = F.when(F.col("page_id").isNull() | (F.col("page_id") > F.col("least")), F.col("least"))
+    if small(twice, MOST_BROADCAST_DIGESTS):
+        met = rows.join(F.broadcast(twice.select("sha", "least")), "sha", "left")
+        return met.select("page_id", "url", "html", first.alias("first"))
+    revisits = joined(keys.distinct(), twice, ["sha"], "n", keys.count()).select("page_id", "sha", first.alias("first")).filter("first IS NOT NULL")
+    revisits = revisits.withColumnsRenamed({"page_id": "_page", "sha": "_sha"})
+    met = rows.join(revisits, rows["page_id"].eqNullSafe(F.col("_page")) & (rows["sha"] == F.col("_sha")), "left")
+    return met.select("page_id", "url", "html", "first")
+
+
+#: One segment or block a Parquet page, found by the page's least and greatest name: a read by name touches that page only.
+ONE_A_PAGE = {"parquet.page.row.count.limit": "1", "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.enable.dictionary": "false"}
 
 
 def write_archives(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(archive, data, entries): archive segments with the index entries of their records, stored."""
+    """(archive, data, entries): archive segments with the index entries of their records, stored.
+
+    A segment's name is its task's number, its order in that and a digest of its bytes: unique, and in order within a file.
+    """
 
     def run(batches):
+        part, made = TaskContext.get().partitionId(), 0
         parts, entries, size = [], [], 0
 
         def segment():
             data = b"".join(parts)
-            return pd.DataFrame({"archive": [hashlib.sha1(data).hexdigest()[:24]], "data": [data], "entries": [list(entries)]})
+            return pd.DataFrame({"archive": [f"{part:08d}-{made:08d}-{hashlib.sha1(data).hexdigest()[:12]}"], "data": [data], "entries": [list(entries)]})
 
         for batch in batches:
             for page_id, url, html, first in zip(batch["page_id"], batch["url"], batch["html"], batch["first"], strict=True):
@@ -112,11 +135,12 @@ def write_archives(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
                 if size >= SEGMENT_BYTES:
                     yield segment()
                     parts, entries, size = [], [], 0
+                    made += 1
         if parts:
             yield segment()
 
     rows = with_first(pages, min_bytes).select(F.col("page_id").cast("string").alias("page_id"), "url", "html", F.col("first").cast("string").alias("first"))
-    return stored(rows.mapInPandas(run, "archive string, data binary, entries array<struct<key:string,page_id:long,offset:long,length:long>>"), "warc-archives", "uncompressed")
+    return stored(rows.mapInPandas(run, "archive string, data binary, entries array<struct<key:string,page_id:long,offset:long,length:long>>"), "warc-archives", "uncompressed", **ONE_A_PAGE)
 
 
 def capture_index(archives: DataFrame) -> DataFrame:
@@ -125,11 +149,14 @@ def capture_index(archives: DataFrame) -> DataFrame:
     order = ["key", "page_id", "archive", "offset"]
 
     def run(batches):
+        part, made = TaskContext.get().partitionId(), 0
         held: list[tuple[str, str]] = []
 
         def block(rows):
+            nonlocal made
+            made += 1
             data = zlib.compress("\n".join(x[1] for x in rows).encode(), 6)
-            return {"block": hashlib.sha1(data).hexdigest()[:24], "first_key": rows[0][0], "last_key": rows[-1][0], "n": len(rows), "data": data}
+            return {"block": f"{part:08d}-{made:08d}", "first_key": rows[0][0], "last_key": rows[-1][0], "n": len(rows), "data": data}
 
         for batch in batches:
             held += [(k, json.dumps([k, a, o, n])) for k, a, o, n in zip(batch["key"], batch["archive"], batch["offset"].tolist(), batch["length"].tolist(), strict=True)]
@@ -140,13 +167,13 @@ def capture_index(archives: DataFrame) -> DataFrame:
         if held:
             yield pd.DataFrame([block(held)])
 
-    return stored(lines.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(run, "block string, first_key string, last_key string, n long, data binary"), "warc-index", "uncompressed")
+    return stored(lines.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(run, "block string, first_key string, last_key string, n long, data binary"), "warc-index", "uncompressed", **ONE_A_PAGE)
 
 
 def blocks_of(index: DataFrame, keys: DataFrame) -> DataFrame:
     """(key, block): the blocks that may hold each key, by binary search in the sparse directory."""
     directory = index.select("first_key", "last_key", "block")
-    if small(directory, MOST_DIRECTORY_ROWS):
+    if small(directory, MOST_DIRECTORY_ROWS, MOST_DIRECTORY_BYTES):
         rows = sorted(tuple(r) for r in directory.collect())
         firsts, blocks = [r[0] for r in rows], [r[2] for r in rows]
         lasts = [r[1] for r in rows]
@@ -167,10 +194,16 @@ def blocks_of(index: DataFrame, keys: DataFrame) -> DataFrame:
     return met.filter((F.col("first_key") <= F.col("key")) & (F.col("last_key") >= F.col("key"))).select("key", "block")
 
 
+def _named(table: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Rows of ``table`` whose ``column`` is in ``wanted``: of few names as a filter that the scan uses to skip files and pages, else by the join alone."""
+    names = [r[0] for r in wanted.select(column).distinct().limit(MOST_NAMES + 1).collect()]
+    return table.filter(F.col(column).isin(names)) if len(names) <= MOST_NAMES else table
+
+
 def lookup(index: DataFrame, keys: DataFrame) -> DataFrame:
-    """(key, archive, offset, length) of every capture of the given distinct keys."""
+    """(key, archive, offset, length) of every capture of the given distinct keys. Few keys read no more than their blocks."""
     # At most as many keys as a block has lines, or that lie between its ends.
-    wanted = blocks_of(index, keys.select("key").distinct()).groupBy("block").agg(F.collect_set("key").alias("wanted"))
+    wanted = stored(blocks_of(index, keys.select("key").distinct()).groupBy("block").agg(F.collect_set("key").alias("wanted")), "warc-wanted")
 
     def run(batches):
         for batch in batches:
@@ -179,16 +212,16 @@ def lookup(index: DataFrame, keys: DataFrame) -> DataFrame:
                 keys = [x[0] for x in lines]
                 yield pd.DataFrame([lines[i] for k in wanted for i in range(bisect_left(keys, k), bisect_right(keys, k))], columns=["key", "archive", "offset", "length"])
 
-    return index.select("block", "data").join(wanted, "block").select("data", "wanted").mapInPandas(run, "key string, archive string, offset long, length long")
+    return _named(index, "block", wanted).select("block", "data").join(wanted, "block").select("data", "wanted").mapInPandas(run, "key string, archive string, offset long, length long")
 
 
 READ = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
 
 def read_ranges(archives: DataFrame, found: DataFrame, with_payload: bool = True) -> DataFrame:
-    """The records at the given (archive, offset, length), parsed and checked."""
+    """The records at the given (archive, offset, length), parsed and checked. Few ranges read no more than their segments."""
     # At most as many ranges as a segment has records.
-    ranges = found.groupBy("archive").agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("ranges"))
+    ranges = stored(found.groupBy("archive").agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("ranges")), "warc-ranges")
 
     def run(batches):
         for batch in batches:
@@ -199,7 +232,7 @@ def read_ranges(archives: DataFrame, found: DataFrame, with_payload: bool = True
                     out["payload"] = None
                 yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    return archives.select("archive", "data").join(ranges, "archive").select("data", "ranges").mapInPandas(run, READ)
+    return _named(archives, "archive", ranges).select("archive", "data").join(ranges, "archive").select("data", "ranges").mapInPandas(run, READ)
 
 
 def archived(pages: DataFrame, min_bytes: int = 0) -> DataFrame:

@@ -392,6 +392,43 @@ def test_warc(spark, monkeypatch):
     assert {tuple(r) for r in warc.lookup(index, keys).collect()} == near and len(near) == 8
     assert {r["page_id"] for r in warc.read_ranges(archives, warc.lookup(index, keys)).collect()} == set(range(0, 80, 10))
     assert warc.archived(df.limit(0)).count() == 0
+    twice = df.unionByName(df).withColumns({"archive": common.F.lit("x"), "sha": common.F.lit(1), "first": common.F.lit(2)})
+    for most in (warc.MOST_BROADCAST_DIGESTS, 0):  # by broadcast, and by the way for more digests
+        monkeypatch.setattr(warc, "MOST_BROADCAST_DIGESTS", most)
+        got = Counter((r["page_id"], *tuple(r)[1:]) for r in warc.archived(twice).collect())
+        assert got == {(k, *v): 2 for k, v in want.items()}
+
+
+def scanned_rows(df):
+    """Rows that the scans of a frame give out when it is run, by a column of theirs."""
+    df.collect()
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif name == "FileSourceScanExec":
+            out.append(("data" in node.output().mkString(","), node.metrics().apply("numOutputRows").value()))
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return sum(n for data, n in out if data)
+
+
+def test_warc_range_reads(spark, monkeypatch):
+    """A look-up of one key reads one block and one segment, of many."""
+    monkeypatch.setattr(warc, "BLOCK_LINES", 5)
+    monkeypatch.setattr(warc, "SEGMENT_BYTES", 600)
+    df = spark.createDataFrame([(i, f"http://h{i % 9}.org/p{i}", f"own text {i}") for i in range(90)], "page_id long, url string, html string").coalesce(2)
+    archives = warc.write_archives(df)
+    index = warc.capture_index(archives)
+    found = warc.lookup(index, spark.createDataFrame([(warc.url_key("http://h4.org/p40"),)], "key string"))
+    assert index.count() > 15 and scanned_rows(found) == 1
+    got = warc.read_ranges(archives, found)
+    assert archives.count() > 30 and scanned_rows(got) == 1
+    assert [(r["page_id"], bytes(r["payload"])) for r in got.collect()] == [(40, b"own text 40")]
 
 
 def test_language(spark):
