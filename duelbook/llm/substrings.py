@@ -1,145 +1,99 @@
-"""Substring dedup by hashing lines and sentences.
+"""Substring dedup by hashing lines or paragraphs.
 
-A text is cut into units: lines, and inside a line sentences. Units are normalised (case and white space)
-and hashed to 128 bits; of each digest the occurrence that is first by (doc_id, row key, unit) stays,
-the others are cut out, and their original character offsets are kept. A short unit is hashed as a whole
-line, and as part of the runs of units around it, so that it goes with what repeats and a lone common sentence stays.
+A text is cut into units: lines, or paragraphs (lines up to a blank one). Units are normalised (case and white space) and
+hashed to 128 bits; of each digest the occurrence that is first by (doc_id, row key, unit) stays, the others are
+cut out, and their original character offsets are kept.
 """
 
 from __future__ import annotations
 
-import hashlib
-import re
-
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, stored
+from .common import fresh, joined, maybe_broadcast, row_key, stored
 
-#: Shorter units say too little to be called repeated by themselves.
-MIN_WORDS = 5
-#: Characters of scripts that are written without blanks (Thai to Khmer, kana, Han); each counts as a word.
-UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+#: What ends a unit: a line break, or one with blank lines after it.
+ENDS = {"line": r"\n", "paragraph": r"\n(?:[ \t\r\x0b\f]*\n)+"}
+#: Units of fewer words are never taken for repeated; 1 looks at every unit that has a word.
+MIN_WORDS = 1
 MOST_BROADCAST_ROWS = 500_000
-#: A unit ends with its line break, or with a sentence mark and the blanks after it.
-UNIT = re.compile(r"[^\n.!?]*(?:[.!?]+(?![\s])[^\n.!?]*)*(?:[.!?]+[^\S\n]+|[.!?]*\n|[.!?]*$)")
 SPANS = "array<struct<start:int,end:int>>"
 
 
-def units(text: str) -> list[tuple[int, int]]:
-    """(start, end) of the units; together they are the whole text."""
-    return [m.span() for m in UNIT.finditer(text) if m.end() > m.start()]
-
-
-def _hashed(*parts: str) -> bytes:
-    return hashlib.blake2b("\n".join(parts).encode("utf-8", "replace"), digest_size=16).digest()
+def pieces(text: Column, unit: str) -> Column:
+    """The units of a text, without what ends them."""
+    return F.split(text, ENDS[unit], -1)
 
 
-def _normal(unit: str) -> tuple[str, int]:
-    """The normalised unit and its number of words."""
-    found = unit.casefold().split()
-    return " ".join(found), len(found) if unit.isascii() else max(len(found), len(UNSPACED.findall(unit)))
+def normal(unit: Column) -> Column:
+    """Lower case, runs of white space as one blank, none at the ends."""
+    return F.trim(F.regexp_replace(F.lower(unit), r"(?U)\s+", " "))
 
 
-def digest(unit: str) -> bytes | None:
-    """128-bit digest of the normalised unit; None for one of under MIN_WORDS words."""
-    text, size = _normal(unit)
-    return _hashed(text) if size >= MIN_WORDS else None
+def _units(docs: DataFrame, unit: str, min_words: int) -> DataFrame:
+    """(d1, d2: digest, doc_id, row, at) of every unit of every document row with so many words; stored."""
+    rows = docs.filter("text IS NOT NULL").select("doc_id", row_key().alias("row"), F.posexplode(pieces(F.col("text"), unit)).alias("at", "unit"))
+    kept = rows.select("doc_id", "row", "at", normal(F.col("unit")).alias("unit")).filter(F.col("unit") != "")
+    if min_words > 1:
+        kept = kept.filter(F.size(F.split("unit", " ")) >= min_words)
+    return stored(kept.select(F.xxhash64(F.lit(1), "unit").alias("d1"), F.xxhash64(F.lit(2), "unit").alias("d2"), "doc_id", "row", "at"), "substrings", "zstd")
 
 
-def digests(text: str) -> list[tuple[bytes, int]]:
-    """(digest, number of the unit): a unit goes if any of its digests has come before.
+def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
+    """(row, at): the units of each document row, by number, that are not the first of their digest.
 
-    A long unit has its own. A short one has one for the line that it makes up alone, and one for its
-    place in each least run of units around it that has MIN_WORDS words. Units without words are passed
-    over, and have none. Wherever a unit comes first, so do its digests: one copy of each stays.
+    Digests are counted before the shuffle; only those that occur twice are ranked, and the rows of a frequent unit meet
+    its first place by broadcast where they lie.
     """
-    spans = units(text)
-    found = [(at, *_normal(text[a:b])) for at, (a, b) in enumerate(spans)]
-    found = [f for f in found if f[2]]
-    out = []
-    for i, (at, unit, size) in enumerate(found):
-        if size >= MIN_WORDS:
-            out.append((_hashed(unit), at))
-            continue
-        # Marked by a line break, which a long unit's digest has not.
-        a, b = spans[at]
-        if (a == 0 or text[a - 1] == "\n") and (b == len(text) or text[b - 1] == "\n"):
-            out.append((_hashed("line", unit), at))
-        first, last, total = i, i, size
-        while total < MIN_WORDS and last + 1 < len(found):
-            last += 1
-            total += found[last][2]
-        while True:
-            while last > i and total - found[last][2] >= MIN_WORDS:
-                total -= found[last][2]
-                last -= 1
-            if total >= MIN_WORDS and (first == i or total - found[first][2] < MIN_WORDS):
-                out.append((_hashed(f"run {i - first}", *(u for _, u, _ in found[first : last + 1])), at))
-            if first == 0 or (last == i and total >= MIN_WORDS):
-                break
-            first -= 1
-            total += found[first][2]
-    return out
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text"), F.lit("")))
-    return docs.withColumn("_row", key)
-
-
-def repeated_units(docs: DataFrame) -> DataFrame:
-    """(_row, at): the units of each document row, by number, that are not the first of their digest.
-
-    Digests are counted before the shuffle and joined with those that occur twice; a frequent line
-    spreads over many tasks.
-    """
-
-    def run(batches):
-        for batch in batches:
-            out = []
-            for doc_id, row, text in zip(batch["doc_id"], batch["_row"], batch["text"], strict=True):
-                out.extend((d, doc_id, row, at) for d, at in digests(text))
-            yield pd.DataFrame(out, columns=["digest", "doc_id", "row", "at"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = _keyed(docs).filter("text IS NOT NULL").select("doc_id", "_row", "text")
-    # Rows that repeat both doc_id and text send the same units twice; they count once.
-    every = stored(rows.mapInPandas(run, f"digest binary, doc_id {kind}, row long, at int"), "substrings", "zstd")
+    every = _units(docs, unit, min_words)
+    twice = stored(every.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "substrings-twice")
+    total = every.count()
+    again = joined(every, twice, ["d1", "d2"], "n", total).select("d1", "d2", "doc_id", "row", "at")
     place = F.struct("doc_id", "row", "at")
-    twice = every.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last").select("digest", "first")
-    return every.join(stored(twice, "substrings-twice"), "digest").filter(place != F.col("first")).select(F.col("row").alias("_row"), "at").distinct()
+    first = again.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"), F.max(place).alias("last"))
+    # Rows that repeat both doc_id and text have the same places: they count once.
+    first = stored(first.filter("first <> last").select("d1", "d2", "n", "first"), "substrings-first")
+    return joined(again, first, ["d1", "d2"], "n", total).filter(place != F.col("first")).select("row", "at").distinct()
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
     """All columns of ``docs`` plus clean_text, removed (spans of characters cut out, by original offsets) and n_removed.
 
-    Null and empty texts stay as they are. Of rows that repeat doc_id and text each is treated alike.
-    Ties by doc_id are broken by a hash of the row. An empty table gives no rows.
+    A unit goes with what ends it. Null and empty texts stay as they are. Of rows that repeat doc_id and text each is
+    treated alike; a null doc_id ranks first. Ties by doc_id are broken by a hash of the row. An empty table gives no rows.
+    Columns of ``docs`` that have one of the three names are replaced.
     """
+    end = ENDS[unit]
 
     @F.pandas_udf(f"clean_text string, removed {SPANS}")
     def cut(text: pd.Series, gone: pd.Series) -> pd.DataFrame:
+        import re
+
         out = []
         for t, numbers in zip(text, gone, strict=True):
-            spans, drop = units(t), set(numbers)
-            kept = "".join(t[a:b] for i, (a, b) in enumerate(spans) if i not in drop)
-            out.append((kept, [{"start": spans[i][0], "end": spans[i][1]} for i in sorted(drop)]))
+            edges = [0, *[m.end() for m in re.finditer(end, t)], len(t)]
+            drop = sorted(numbers)
+            keep = [True] * (len(edges) - 1)
+            for i in drop:
+                keep[i] = False
+            out.append(("".join(t[a:b] for a, b, k in zip(edges, edges[1:], keep, strict=False) if k), [{"start": edges[i], "end": edges[i + 1]} for i in drop]))
         return pd.DataFrame(out, columns=["clean_text", "removed"])
 
+    docs = docs.drop("clean_text", "removed", "n_removed")
+    key, numbers, cuts = fresh(docs, "_row", "_gone", "_cut")
     # As many as a document has units.
-    gone = stored(repeated_units(docs).groupBy("_row").agg(F.collect_list("at").alias("_gone")), "substrings-gone")
-    keyed = _keyed(docs)
-    keys = maybe_broadcast(gone.select("_row"), MOST_BROADCAST_ROWS)
-    hit = keyed.join(keys, "_row", "left_semi").join(gone, "_row").withColumn("_c", cut("text", "_gone"))
-    hit = hit.select(*docs.columns, "_c.clean_text", "_c.removed")
-    rest = keyed.join(keys, "_row", "left_anti").select(*docs.columns, F.col("text").alias("clean_text"), F.array().cast(SPANS).alias("removed"))
+    gone = stored(repeated_units(docs, unit, min_words).groupBy(F.col("row").alias(key)).agg(F.collect_list("at").alias(numbers)), "substrings-gone")
+    keyed = docs.withColumn(key, row_key())
+    keys = maybe_broadcast(gone.select(key), MOST_BROADCAST_ROWS)
+    hit = keyed.join(keys, key, "left_semi").join(gone, key).withColumn(cuts, cut("text", numbers))
+    hit = hit.select(*docs.columns, f"{cuts}.clean_text", f"{cuts}.removed")
+    rest = keyed.join(keys, key, "left_anti").select(*docs.columns, F.col("text").alias("clean_text"), F.array().cast(SPANS).alias("removed"))
     return hit.unionByName(rest).withColumn("n_removed", F.size("removed").cast("long"))
 
 
-def repeats(docs: DataFrame) -> DataFrame:
+def repeats(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
     """One row per document row: doc_id, n_removed, removed (spans), chars_removed, clean_sha256, has_repeats."""
-    got = deduplicated(docs.select("doc_id", "text"))
+    got = deduplicated(docs.select("doc_id", "text"), unit, min_words)
     lost = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     return got.select("doc_id", "n_removed", "removed", lost.alias("chars_removed"), F.sha2(F.coalesce("clean_text", F.lit("")), 256).alias("clean_sha256"), (F.col("n_removed") > 0).alias("has_repeats"))
