@@ -14,11 +14,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words
+from .common import fresh, row_key, stored, words
 
 #: The chain, in order, with what makes a row of ``labels`` positive.
 CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
-#: The fit reads a sample of labelled rows of about this many, drawn by a hash of doc_id.
+#: The fit reads at most so many labelled document rows, drawn by a hash of their doc_id and text.
 MAX_TRAIN = 12_000
 MAX_FEATURES, MIN_DOCS, FOLDS, L2 = 4096, 3, 3, 0.2
 CHUNK_TOKENS = 400_000
@@ -29,6 +29,7 @@ class Chain:
     names: list[str]
     vocab: np.ndarray  # sorted word hashes
     weights: list[np.ndarray]  # of category k: vocabulary, k earlier log-odds, constant
+    threshold: float  # of the last category, from out-of-fold predictions
 
 
 def token_hashes(text: str) -> Column:
@@ -105,6 +106,19 @@ def fit_logistic(x: _Design, y: np.ndarray, l2: float = L2, steps: int = 25) ->
     return w
 
 
+def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
+    """The probability from which on calling positive has the best F1; half way to the next lower prediction. 0.5 where nothing is positive."""
+    if not y.any():
+        return 0.5
+    order = np.argsort(-p, kind="stable")
+    hits = np.cumsum(y[order])
+    f1 = 2 * hits / (np.arange(1, len(p) + 1) + y.sum())
+    ends = np.append(p[order][1:] < p[order][:-1], True)  # ties go together
+    at = int(np.argmax(np.where(ends, f1, -1)))
+    below = p[order][at + 1] if at + 1 < len(p) else 0.0
+    return float((p[order][at] + below) / 2)
+
+
 def fit_chain(row, col, n: int, vocab: np.ndarray, y: dict[str, np.ndarray], fold: np.ndarray) -> Chain:
     """Trains each category on the features and the earlier categories' out-of-fold log-odds."""
     earlier, weights = [], []
@@ -116,19 +130,24 @@ def fit_chain(row, col, n: int, vocab: np.ndarray, y: dict[str, np.ndarray], fol
             held = fold == f
             out[held] = x.take(held).dot(fit_logistic(x.take(~held), y[name][~held]))
         earlier.append(_logit(_sigmoid(out)))
-    return Chain(list(y), vocab, weights)
+    return Chain(list(y), vocab, weights, best_threshold(_sigmoid(out), y[name]))
 
 
 def train(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN) -> Chain:
     """Fits the chain on a bounded sample of labelled documents; ``labels`` has doc_id and the label columns.
 
-    Of repeated labels of a document, any positive one counts. Null labels are negative.
+    Of repeated labels of a document, any positive one counts. Null labels are negative. Documents that repeat a doc_id
+    with other texts are rows of their own; rows that repeat both count once.
     """
     marks = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(*[F.max(F.coalesce(F.expr(rule), F.lit(False)).cast("int")).alias(f"y_{k}") for k, rule in CATEGORIES.items()])
     n = marks.count()
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, max_train / max(n, 1)))
-    sample = docs.select("doc_id", "text").join(F.broadcast(marks.filter(draw)), "doc_id")  # about max_train rows of a few integers
-    sample = sample.select("doc_id", *[f"y_{k}" for k in CATEGORIES], F.array_distinct(token_hashes("text")).alias("tokens")).persist()
+    # Somewhat more than can be taken, so that the exact cut below sorts few rows.
+    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, 1.2 * max_train / max(n, 1)))
+    marks = F.broadcast(stored(marks.filter(draw), "toxicity-marks"))  # about max_train rows of a few integers
+    met = docs.select("doc_id", "text").join(marks, "doc_id").withColumn("row", row_key())
+    chosen = stored(met.select("row").distinct().orderBy(F.xxhash64("row"), "row").limit(max_train), "toxicity-rows")
+    sample = met.join(F.broadcast(chosen), "row", "left_semi").dropDuplicates(["row"])
+    sample = stored(sample.select("row", *[f"y_{k}" for k in CATEGORIES], F.array_distinct(token_hashes("text")).alias("tokens")), "toxicity-sample")
     totals = sample.agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"y_{k}").alias(k) for k in CATEGORIES]).first()
     by_word = sample.select(F.explode("tokens").alias("word"), *[f"y_{k}" for k in CATEGORIES]).groupBy("word").agg(F.count(F.lit(1)).alias("df"), *[F.sum(f"y_{k}").alias(k) for k in CATEGORIES])
     # How far a category's share among the word's texts lies from its share among all, in standard errors.
@@ -142,9 +161,9 @@ def train(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN) ->
             cut = np.searchsorted(row, np.arange(1, len(batch)))
             yield batch.drop(columns="tokens").assign(cols=np.split(col, cut) if len(batch) else [])
 
-    got = sample.mapInPandas(features, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, " + "".join(f"y_{k} int, " for k in CATEGORIES) + "cols array<long>").toPandas() if totals["n"] else pd.DataFrame({"doc_id": [], "cols": [], **{f"y_{k}": [] for k in CATEGORIES}})
-    sample.unpersist()
-    got = got.sort_values("doc_id", kind="stable").reset_index(drop=True)
+    # At most max_train rows.
+    got = sample.mapInPandas(features, "row binary, " + "".join(f"y_{k} int, " for k in CATEGORIES) + "cols array<long>").toPandas() if totals["n"] else pd.DataFrame({"row": [], "cols": [], **{f"y_{k}": [] for k in CATEGORIES}})
+    got = got.assign(row=got["row"].map(bytes)).sort_values("row", kind="stable").reset_index(drop=True)
     size = got["cols"].map(len).to_numpy(dtype=np.int64)
     row = np.repeat(np.arange(len(got)), size)
     col = np.concatenate(list(got["cols"])).astype(np.int64) if size.sum() else np.zeros(0, np.int64)
@@ -181,18 +200,23 @@ def probabilities(chain: Chain, text: str = "text") -> Column:
     return run(token_hashes(text))
 
 
-def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.35) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, threshold: float | None = None) -> DataFrame:
     """One row per document row: doc_id, p_<category> ..., is_toxic (last category at or above the threshold).
 
-    Null and empty texts have probabilities 0. Unlabelled documents are scored like the others; with no
-    labelled ones nothing is toxic. Repeated rows and ties get equal values. Extra columns are left out.
+    Without a threshold, the one with the best F1 of the out-of-fold predictions is taken. Null and empty texts have
+    probabilities 0. Unlabelled documents are scored like the others; with no labelled ones nothing is toxic.
+    Repeated rows and ties get equal values. Extra columns are left out.
     """
     chain = train(docs, labels)
     got = docs.select("doc_id", probabilities(chain).alias("p"))
-    return got.select("doc_id", *[F.col(f"p.{k}").alias(f"p_{k}") for k in chain.names], (F.col(f"p.{chain.names[-1]}") >= threshold).alias("is_toxic"))
+    return got.select("doc_id", *[F.col(f"p.{k}").alias(f"p_{k}") for k in chain.names], (F.col(f"p.{chain.names[-1]}") >= (chain.threshold if threshold is None else threshold)).alias("is_toxic"))
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.35) -> DataFrame:
-    """The rows of ``docs``, all columns, that the chain does not reject."""
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, that the chain does not reject.
+
+    Null and empty texts stay; repeated rows go or stay together; columns of any name are carried through.
+    """
     chain = train(docs, labels)
-    return docs.withColumn("_p", probabilities(chain)).filter(F.col(f"_p.{chain.names[-1]}") < threshold).drop("_p")
+    (p,) = fresh(docs, "_p")
+    return docs.withColumn(p, probabilities(chain)).filter(F.col(f"{p}.{chain.names[-1]}") < (chain.threshold if threshold is None else threshold)).drop(p)
