@@ -17,8 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GRAMS, BUCKETS = (2, 3), 1 << 14
-#: Documents, drawn by hash, from which the bits' error rates are taken.
+#: Documents, drawn by hash, from which the bits' error rates are taken, by tables counted without their part of the documents.
 CALIBRATION_DOCS = 4_000
+#: Languages that are learned: those with the most training documents.
+MAX_LANGS = 256
 CHUNK_CHARS = 2_000_000
 AMBIGUOUS_BELOW = 0.2
 UNKNOWN = "und"
@@ -41,7 +43,8 @@ def codewords(n: int) -> np.ndarray:
         return np.array(columns).T
     bits, rng = int(np.ceil(10 * np.log2(n))), np.random.default_rng(7)
     tried = [np.sign(rng.permuted(np.tile(np.where(np.arange(n) % 2, 1, -1), (bits, 1)), axis=1)).T for _ in range(50)]
-    apart = [min((x[i] != x[j]).sum() for i in range(n) for j in range(i)) for x in tried]
+    # Bits that differ between two codewords: half of what the bits lack to their inner product.
+    apart = [((bits - x @ x.T) // 2 + bits * np.eye(n, dtype=int)).min() for x in tried]
     return tried[int(np.argmax(apart))]
 
 
@@ -115,49 +118,66 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4 == 2
 
 
+def log_odds(seen: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """(bits x buckets): of each bit, log of the mean n-gram share of the languages with a 1 over that of those with a 0."""
+    table = np.zeros((code.shape[1], seen.shape[1]))
+    if len(seen) > 1:
+        share = (seen + 0.5) / (seen + 0.5).sum(axis=1, keepdims=True)
+        for b in range(code.shape[1]):
+            table[b] = np.log(share[code[:, b] > 0].mean(axis=0)) - np.log(share[code[:, b] < 0].mean(axis=0))
+    return table
+
+
 def train(docs: DataFrame) -> Codes:
-    """Learns from the text and the non-null ``lang`` of all rows of ``docs``; pass no held-out rows."""
+    """Learns from the text and the non-null ``lang`` of all rows of ``docs``; pass no held-out rows.
+
+    The bits are weighed by their error rates on a quarter of the texts (at most about CALIBRATION_DOCS of it), under tables
+    counted on the other three; the final tables have all counts.
+    """
     letters = _letters()
-    labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64(F.lit("bits"), "text").alias("draw"))
+    known = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64(F.lit("bits"), "text").alias("draw"))
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGS).collect()
+    langs, n = sorted(r["lang"] for r in sizes), sum(r["n"] for r in sizes)
+    labelled = known.filter(F.col("lang").isin(langs)).withColumn("held", F.pmod("draw", F.lit(4)) == 0)
 
     def count(batches):
         for batch in batches:
-            total: dict[str, np.ndarray] = {}
-            texts, lang = list(batch["text"]), batch["lang"].to_numpy()
+            total: dict[tuple, np.ndarray] = {}
+            texts, lang, held = list(batch["text"]), batch["lang"].to_numpy(), batch["held"].to_numpy(dtype=bool)
             for lo, hi in _chunks(texts):
                 text, bucket, _ = grams(texts[lo:hi], letters)
                 for name in pd.unique(lang[lo:hi]):
-                    seen = np.bincount(bucket[(lang[lo:hi] == name)[text]], minlength=BUCKETS)
-                    total[name] = total.get(name, 0) + seen
-            for name, seen in total.items():
+                    for h in (False, True):
+                        seen = np.bincount(bucket[((lang[lo:hi] == name) & (held[lo:hi] == h))[text]], minlength=BUCKETS)
+                        total[name, h] = total.get((name, h), 0) + seen
+            for (name, h), seen in total.items():
                 at = np.flatnonzero(seen)
-                yield pd.DataFrame({"lang": name, "bucket": at, "n": seen[at]})
+                yield pd.DataFrame({"lang": name, "held": h, "bucket": at, "n": seen[at]})
 
-    # At most languages x buckets rows.
-    counted = labelled.select("lang", "text").mapInPandas(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    langs = sorted(counted["lang"].unique())
+    # At most two rows for each of MAX_LANGS languages and BUCKETS buckets.
+    counted = labelled.select("lang", "text", "held").mapInPandas(count, "lang string, held boolean, bucket long, n long").groupBy("lang", "held", "bucket").agg(F.sum("n").alias("n")).toPandas()
     code = codewords(len(langs))
-    seen = np.zeros((len(langs), BUCKETS))
-    seen[counted["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(dtype=int), counted["bucket"].to_numpy(dtype=int)] = counted["n"]
-    share = (seen + 0.5) / (seen + 0.5).sum(axis=1, keepdims=True) if len(langs) else seen
-    table = np.zeros((code.shape[1], BUCKETS))
+    seen = np.zeros((2, len(langs), BUCKETS))
+    seen[counted["held"].to_numpy(dtype=int), counted["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(dtype=int), counted["bucket"].to_numpy(dtype=int)] = counted["n"]
+    codes = Codes(langs, code, log_odds(seen.sum(axis=0), code), np.ones(code.shape[1]))
     if len(langs) > 1:
-        for b in range(code.shape[1]):
-            table[b] = np.log(share[code[:, b] > 0].mean(axis=0)) - np.log(share[code[:, b] < 0].mean(axis=0))
-    codes = Codes(langs, code, table, np.ones(code.shape[1]))
-    if len(langs) > 1:
-        n = labelled.count()
-        drawn = labelled.filter(F.pmod("draw", F.lit(1_000_000)) < int(1_000_000 * min(1.0, CALIBRATION_DOCS / max(n, 1))))
+        tried = log_odds(seen[0], code)
+        share = min(1.0, 4 * CALIBRATION_DOCS / max(n, 1))
+        drawn = labelled.filter(F.col("held") & (F.pmod(F.shiftright("draw", 8), F.lit(1_000_000)) < int(1_000_000 * share)))
 
         def measure(batches):
             for batch in batches:
-                margin, _ = margins(table, list(batch["text"]), letters)
-                yield pd.DataFrame({"lang": batch["lang"].to_numpy(), "m": list(margin)})
-
-        got = drawn.select("lang", "text").mapInPandas(measure, "lang string, m array<double>").toPandas()
+                margin, _ = margins(tried, list(batch["text"]), letters)
+                for name in pd.unique(batch["lang"]):
+                    own = (batch["lang"] == name).to_numpy()
+                    wrong = (margin[own] * code[langs.index(name)][None, :] <= 0).sum(axis=0)
+                    yield pd.DataFrame({"bit": np.arange(code.shape[1]), "wrong": wrong, "n": int(own.sum())})
+
+        # One row for each bit.
+        got = drawn.select("lang", "text").mapInPandas(measure, "bit long, wrong long, n long").groupBy("bit").agg(F.sum("wrong").alias("wrong"), F.sum("n").alias("n")).toPandas()
         if len(got):
-            want = code[got["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(dtype=int)]
-            wrong = (np.stack(got["m"]) * want <= 0).mean(axis=0)
+            wrong = np.zeros(code.shape[1])
+            wrong[got["bit"].to_numpy(dtype=int)] = got["wrong"] / got["n"]
             wrong = np.clip(wrong, 1e-3, 0.49)
             codes.bit_weight = np.log((1 - wrong) / wrong)
             codes.bit_weight /= codes.bit_weight.mean()
