@@ -184,6 +184,17 @@ def encoded(text: Column) -> Column:
     return run(text)
 
 
+def sample_feature(payload: bytes) -> str:
+    """Statistics of the samples (bytes, unsigned): mean, deviation, entropy in bits, shares of zeros, of blanks and of samples over 127, mean step between neighbours."""
+    x = np.frombuffer(payload, dtype=np.uint8)
+    share = np.bincount(x, minlength=256) / len(x)
+    entropy = -(share[share > 0] * np.log2(share[share > 0])).sum() + 0.0
+    level = np.arange(256)
+    mean = (share * level).sum()
+    step = np.abs(np.diff(x.astype(np.int16))).mean()
+    return f"mean={mean:.4f};deviation={np.sqrt((share * (level - mean) ** 2).sum()):.4f};entropy={entropy:.4f};zeros={share[0]:.4f};blanks={share[32]:.4f};high={share[128:].sum():.4f};step={step:.4f}"
+
+
 READ = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, timestamps array<struct<pts:long,byte_offset:long,random_access:boolean>>"
 
 
@@ -198,7 +209,7 @@ def decoded(media: Column) -> Column:
             p, stamps = got["payload"], got["stamps"]
             feature = (
                 f"program={PROGRAM};pmt_pid={got['pmt_pid']};es_pid={got['es_pid']};stream_type={got['stream_type']};packets={got['packets']};tables={got['tables']};"
-                f"pes={len(stamps)};random_access={sum(s[2] for s in stamps)};continuity_errors={got['continuity_errors']};last_pts={stamps[-1][0]}"
+                f"pes={len(stamps)};random_access={sum(s[2] for s in stamps)};continuity_errors={got['continuity_errors']};last_pts={stamps[-1][0]};{sample_feature(p)}"
             )
             times = [{"pts": s[0], "byte_offset": s[1], "random_access": s[2]} for s in stamps]
             rows.append((len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-UNIT:]), len(m), hashlib.sha256(m).hexdigest(), feature, times))
