@@ -224,47 +224,44 @@ def test_lm_pieces():
     assert lm.buckets(np.array([0, 1, 2, 3, 4, 1024, 9]), np.array([0, 0, 0, 0, 0, 0, 2])).tolist() == [0, 1, 2, 2, 3, 11, 33]
 
 
-def test_substrings(rows, docs, empty):
-    got = substrings.deduplicated(docs).collect()
-    first, want = {}, {}
-    key = {}
+def brute_units(texts, unit):
+    """{(doc_id, text): spans to cut}: of equal units (case and white space aside) the first by doc_id stays; null doc_ids come first."""
+    first, out = {}, {}
+    for k, t in sorted(texts, key=lambda x: (x[0] is not None, x[0] or 0)):
+        at = 0
+        for piece in re.split(r"(\n)" if unit == "line" else r"(\n(?:[ \t\r\x0b\f]*\n)+)", t or "")[0::2]:
+            end = re.compile(r"\n" if unit == "line" else r"\n(?:[ \t\r\x0b\f]*\n)+").match(t or "", at + len(piece))
+            span = (at, end.end() if end else at + len(piece))
+            norm = " ".join(piece.lower().split())
+            if norm and first.setdefault(norm, (k, at)) != (k, at):
+                out.setdefault((k, t), []).append(span)
+            at = span[1]
+    return out
+
+
+@pytest.mark.parametrize("unit", ["line", "paragraph"])
+def test_substrings(spark, rows, empty, unit):
+    rng = random.Random(11)
+    lines = [sentence(rng, n) for n in (1, 2, 4, 9, 30, 60)] + ["", "  ", "\t", "All rights reserved.", "\u4eca\u5929\u5929\u6c14"]
+    table = [(r[0], r[1]) for r in rows[0]] + [(100 + i, "\n".join([f"own {i} line", *rng.choices([*lines, lines[3].upper() + "  "], k=rng.randrange(1, 9)), f"end {i}"])) for i in range(60)]
+    table += [(2**60 + 1, "big id\n" + lines[4]), (2**60, "big id too\n\n" + lines[4]), (None, "none\n" + lines[4]), (200, "\n".join(f"l{i % 900}" for i in range(3000)))]
+    docs = spark.createDataFrame([(k, t, 1, 2, 3, "x", "y") for k, t in table], "doc_id long, text string, row long, at long, n_removed long, _row string, _gone string")
+    got = substrings.deduplicated(docs, unit).collect()
+    want = brute_units(set(table), unit)
+    assert len(got) == len(table) and sum(r["n_removed"] > 0 for r in got) > 5
     for r in got:
-        key.setdefault((r["doc_id"], r["text"]), r)
-    # Of equal units the first by (doc_id, ...) stays; doc_ids without a number come first.
-    for k, t in sorted({(r[0], r[1]) for r in rows[0]}, key=lambda x: (x[0] is not None, x[0] or 0)):
-        for at, (a, b) in enumerate(substrings.units(t or "")):
-            d = substrings.digest(t[a:b])
-            if d is not None and first.setdefault(d, (k, at)) != (k, at):
-                want.setdefault((k, t), []).append((a, b))
-    for (k, t), r in key.items():
         spans = [(s["start"], s["end"]) for s in r["removed"]]
-        assert spans == want.get((k, t), [])
-        cut = "".join(t[a:b] for a, b in zip([0, *[s[1] for s in spans]], [*[s[0] for s in spans], len(t)])) if t is not None else None
+        t = r["text"]
+        assert spans == want.get((r["doc_id"], t), []) and (r["_row"], r["_gone"], r["row"]) == ("x", "y", 1)
+        cut = "".join(t[a:b] for a, b in zip([0, *[s[1] for s in spans]], [*[s[0] for s in spans], len(t)], strict=True)) if t is not None else None
         assert r["clean_text"] == cut
-    assert len(got) == len(rows[0]) and substrings.repeats(empty).count() == 0
-    for text in ("a. b! c\n\nd", "", "3.14 x.y. \n", "..."):
-        assert "".join(text[a:b] for a, b in substrings.units(text)) == text
-
-
-def test_substrings_short_units(spark):
-    verse = "Rain falls.\nWind blows.\n\nWe wait.\n"
-    texts = [
-        (1, "One long line that stands here alone.\n" + verse + "Yes. All rights reserved.\n"),
-        (2, "Quite another line stands in this place.\n" + verse + "He said so. Yes. And then they left.\n"),
-        (3, "Red. Green. Blue. Dark grey. White. Then it ended differently this time."),
-        (4, "It began in some other way here. Red. Green. Blue. Dark grey. White. No. Yes."),
-        (5, "All rights reserved.\n"),
-        (6, "A closing word of five. All rights reserved.\n"),
-        (7, "All rights reserved."),
-        (8, "\u4eca\u5929\u5929\u6c14\u5f88\u597d. Eins zwei."),
-        (9, "Drei vier. \u4eca\u5929\u5929\u6c14\u5f88\u597d. "),
-    ]
-    got = {r["doc_id"]: r["clean_text"] for r in substrings.deduplicated(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
-    assert [got[i] for i in (1, 3, 5)] == [texts[0][1], texts[2][1], texts[4][1]]
-    assert got[2] == "Quite another line stands in this place.\n\nHe said so. Yes. And then they left.\n"
-    assert got[4] == "It began in some other way here. No. Yes."
-    assert got[6] == texts[5][1] and got[7] == ""
-    assert got[8] == texts[7][1] and got[9] == "Drei vier. "
+    assert substrings.repeats(empty, unit).count() == 0
+
+
+def test_substrings_min_words(spark):
+    docs = spark.createDataFrame([(1, "one two\nthree four five"), (2, "One  two\nthree four five\nsix")], "doc_id long, text string")
+    for least, want in ((1, "six"), (3, "One  two\nsix")):
+        assert {r["doc_id"]: r["clean_text"] for r in substrings.deduplicated(docs, min_words=least).collect()}[2] == want
 
 
 def test_media(rows, docs, empty):
@@ -277,12 +274,22 @@ def test_media(rows, docs, empty):
     del broken[188 * 5 : 188 * 6]
     with pytest.raises(ValueError, match="PES"):
         media.demux(bytes(broken))
+    broken = bytearray(media.mux(bytes(5000)))
+    broken[188 * 6 + 3] ^= 5  # another counter: a break before it and one after it
+    assert media.demux(bytes(broken))["continuity_errors"] == 2
+    tables = bytearray(media.mux(bytes(5000)))
+    tables[20] ^= 1  # a table whose CRC does not hold is none
+    with pytest.raises(IndexError):
+        media.demux(bytes(tables))
     got = media.read_back(media.media_table(docs)).collect()
     assert len(got) == len(rows[0])
     texts = {k: t for k, t, *_ in rows[0]}
     for r in got:
         data = (texts[r["doc_id"]] or "").encode()
         assert r["n_bytes"] == len(data) and r["payload_sha256"] == media.hashlib.sha256(media.padded(data)).hexdigest() and r["tail_crc32"] == zlib.crc32(media.padded(data)[-64:])
+        counts = Counter(media.padded(data))
+        n = sum(counts.values())
+        assert f"entropy={-sum(c / n * math.log2(c / n) for c in counts.values()) + 0.0:.4f};zeros={counts[0] / n:.4f}" in r["feature"]
     assert media.read_back(media.media_table(empty)).count() == 0
 
 
@@ -308,6 +315,55 @@ def test_toxicity(spark):
     assert not any(r["is_toxic"] for r in toxicity.scored(docs, marks.limit(0)).collect()) and toxicity.scored(docs.limit(0), marks).count() == 0
 
 
+def test_toxicity_chain():
+    """The chain's weights against plain gradient descent of the same loss on dense matrices; folds, log-odds and threshold as told."""
+    rng = np.random.default_rng(6)
+    n, d = 90, 7
+    x = (rng.random((n, d)) < 0.4).astype(float)
+    y = {"low": (x[:, 0] + rng.random(n) > 0.9).astype(float), "bad": (x[:, 1] + x[:, 0] + rng.random(n) > 1.4).astype(float)}
+    row, col = np.nonzero(x)
+    fold = np.arange(n) % toxicity.FOLDS
+    chain = toxicity.fit_chain(row, col, n, np.arange(d), y, fold)
+
+    def plain(a, b):
+        w = np.zeros(a.shape[1])
+        ridge = np.full(a.shape[1], toxicity.L2)
+        ridge[-1] = 1e-6
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-a @ w))
+            w -= np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(ridge), a.T @ (p - b) + ridge * w)
+        return w
+
+    earlier = []
+    for k, name in enumerate(y):
+        a = np.column_stack([x, *earlier, np.ones(n)])
+        assert np.allclose(plain(a, y[name]), chain.weights[k], atol=2e-3)
+        out = np.zeros(n)
+        for f in range(toxicity.FOLDS):
+            out[fold == f] = a[fold == f] @ plain(a[fold != f], y[name][fold != f])
+        p = np.clip(1 / (1 + np.exp(-out)), 1e-4, 1 - 1e-4)
+        earlier.append(np.log(p / (1 - p)))
+    f1 = lambda t: 2 * y["bad"][p >= t].sum() / ((p >= t).sum() + y["bad"].sum())
+    assert f1(chain.threshold) == max(f1(t) for t in p)
+    tokens = [np.flatnonzero(r) for r in x] + [np.zeros(0, np.int64)]
+    got = toxicity.predict(chain, tokens)
+    first = 1 / (1 + np.exp(-np.column_stack([x, np.ones(n)]) @ chain.weights[0]))
+    q = np.clip(first, 1e-4, 1 - 1e-4)
+    second = 1 / (1 + np.exp(-np.column_stack([x, np.log(q / (1 - q)), np.ones(n)]) @ chain.weights[1]))
+    assert np.allclose(got[:-1], np.stack([first, second], axis=1)) and (got[-1] == 0).all()
+
+
+def test_toxicity_sample_is_bounded(spark, monkeypatch):
+    seen = []
+    fit = toxicity.fit_chain
+    monkeypatch.setattr(toxicity, "fit_chain", lambda row, col, n, *a: (seen.append(n), fit(row, col, n, *a))[1])
+    docs = spark.createDataFrame([(i, f"word{i % 3} other text {i % 2}") for i in range(40)] + [(1, f"word variant {i}") for i in range(300)] + [(2, "the same")] * 300, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    toxicity.train(docs, marks, max_train=40)
+    toxicity.train(docs, marks)
+    assert seen == [40, 341]
+
+
 def brute_classes(rows):
     bag = {}
     for i, r in enumerate(rows):
@@ -443,4 +499,32 @@ def test_language(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got if r["doc_id"] is not None)
     assert langid.predicted(docs.limit(0)).count() == 0
     code = langid.codewords(6)
-    assert len({tuple(c) for c in code}) == 6
+    assert len({tuple(c) for c in code}) == 6 and langid.codewords(langid.MAX_LANGS).shape[0] == langid.MAX_LANGS
+    # Tables, weights and decoding against a plain version.
+    known = [(t, x) for i, t, x in [*rows, rows[0]] if zlib.crc32(str(i).encode()) % 4 != 2]
+    codes = langid.train(spark.createDataFrame(known, "text string, lang string"))
+
+    def plain_grams(t):
+        t = "".join(c if c.isalpha() else " " for c in f" {t.lower()} ")
+        t = re.sub(" +", " ", t)
+        for size in langid.GRAMS:
+            for i in range(len(t) - size + 1):
+                h = size
+                for c in t[i : i + size]:
+                    h = (h ^ ord(c)) * 0x01000193 & 0xFFFFFFFF
+                yield (h ^ h >> 15) & (langid.BUCKETS - 1)
+
+    seen = np.full((6, langid.BUCKETS), 0.5)
+    for t, x in known:
+        for g in plain_grams(t):
+            seen[codes.langs.index(x), g] += 1
+    share = seen / seen.sum(axis=1, keepdims=True)
+    table = np.stack([np.log(share[c > 0].mean(axis=0)) - np.log(share[c < 0].mean(axis=0)) for c in codes.code.T])
+    assert np.allclose(table, codes.table)
+    by_id = {r["doc_id"]: r for r in got}
+    for i, t, _ in rows[:40]:
+        g = list(plain_grams(t))
+        margin = table[:, g].sum(axis=1) / math.sqrt(len(g))
+        loss = np.array([sum(w * math.log(1 + math.exp(-c * m)) for w, c, m in zip(codes.bit_weight, word, margin, strict=True)) for word in codes.code])
+        near = np.exp(loss.min() - loss)
+        assert by_id[i]["lang_pred"] == codes.langs[int(loss.argmin())] and math.isclose(by_id[i]["score"], near.max() / near.sum(), rel_tol=1e-6)
