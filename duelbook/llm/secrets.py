@@ -1,9 +1,12 @@
 """Secret scans with a random forest that removes false positives (DataFrame functions and Spark ML only).
 
-Candidates are what stands after a key word with = or :, and runs of key-like characters with a digit. Their
-features: length, entropy, share of digits, transitions between character classes, share covered by dictionary words of the corpus, path and address signs
-around them, and neighbouring words. The forest is trained from labelled findings and decides which
-candidates are reported.
+Candidates are what stands after a key word with = or :, and key-like runs: ten characters or more with a digit or a change
+from lower to upper case. The forest looks at their length, entropy, transitions between character classes, the share
+covered by dictionary words of the corpus, path signs in and around them, and the words beside them. How far a
+neighbouring word speaks for a secret is learned from the labelled findings, out of fold where those train the forest.
+
+Labels are findings of which something else than the inputs tells what they are: the form that an issuer gives its tokens, an assignment to a
+key word, the form of mail addresses, links, numbers and plain words.
 """
 
 from __future__ import annotations
@@ -14,15 +17,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, stored, words
+from .common import fresh, joined, maybe_broadcast, row_key, stored, words
 
 CONTEXT = 60
-#: Words that stand before credentials, and forms that credentials have. Fixed values.
+#: Words that stand before credentials, and forms that issuers give to theirs. Fixed values.
 KEY_WORDS = r"(?i)(token|password|passwd|pwd|secret|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth|bearer|credential)"
-KNOWN_FORM = r"^(AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,})$"
-#: A run of 12 or more of these characters, of which one is a digit.
-CHARS = r"A-Za-z0-9_+/\-"
-RUN = rf"(?<![{CHARS}])(?=[A-Za-z_+/\-]*[0-9])[{CHARS}]{{12,}}"
+KNOWN_FORM = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|[sr]k_live_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*)$"
+#: A run of ten or more of these characters, with a digit or a capital after a small letter, that ends in a letter or digit or with base64's filling.
+CHARS = r"A-Za-z0-9_+/\-.~!@#$%^&*"
+RUN = rf"(?<![{CHARS}])(?=[{CHARS}]*?(?:[0-9]|[a-z][A-Z]))[{CHARS}]{{9,}}[A-Za-z0-9]={{0,2}}"
 #: After a key word with = or :, all up to the closing quote, or up to a blank and the marks before it. The first
 #: test of each is cheap, and fails nearly everywhere.
 ASSIGNED = r"[\"']?\s{0,3}[=:]{1,2}>?\s{0,3}"
@@ -30,21 +33,18 @@ _AFTER = rf"(?<={KEY_WORDS}{ASSIGNED}%s)"
 _QUOTED = rf"(?<=%s){_AFTER}(?=[^%s\n]*[^%s\s])[^%s\\\n]*+(?:\\.[^%s\\\n]*+)*+(?=%s)"
 _BARE = r"""(?<=[=:>\s"'])(?<=[=:]>?\s{0,3}["']?)""" + _AFTER % "[\"']?" + r"""(?![=:>]+\s)[^\s"']\S*?(?=[.,;"']*(?:\s|$))"""
 CANDIDATE = "|".join([*(_QUOTED % ((q,) * 7) for q in "\"'"), _BARE, RUN])
-#: The forest reads about this many labelled findings, drawn by a hash.
-MAX_TRAIN, TREES, DEPTH, SEED = 20_000, 20, 6, 17
+#: The forest reads at most so many labelled findings, drawn by a hash, half of each kind where there are enough.
+MAX_TRAIN, TREES, DEPTH, SEED, FOLDS = 20_000, 40, 8, 17, 5
 DICTIONARY_MIN = 3
 MOST_BROADCAST_TERMS, MOST_BROADCAST_ROWS = 500_000, 500_000
-#: Character classes (a lower, A upper, 9 digit) that follow each other.
-PAIRS = ("a9", "9a", "A9", "9A", "aA", "Aa", "aa", "AA", "99")
+#: Character classes (a lower, A upper, 9 digit, - other) that follow each other.
+PAIRS = ("a9", "9a", "A9", "9A", "aA", "Aa", "aa", "AA", "99", "a-", "-a", "9-", "-9")
 MOVES = [f"move_{i}" for i in range(len(PAIRS))]
-FEATURES = ["length", "entropy", "digits", *MOVES, "classes", "hex", "known_form", "coverage", "slashes", "in_url", "in_mail", "key_word", "assigned", "quoted", "digits_only"]
+#: What the forest gets; the last two are learned.
+FEATURES = ["length", "entropy", "digits", *MOVES, "classes", "coverage", "slashes", "dots", "path_around", "word_before", "word_after"]
 REDACTED = "[REDACTED]"
 
 
-def row_key() -> Column:
-    return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text"), F.lit("")))
-
-
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, row, start, end, value, before, after: every candidate with its character offsets and surroundings."""
     has = docs.select("doc_id", "text", row_key().alias("row")).filter(F.col("text").rlike(CANDIDATE))
@@ -64,20 +64,21 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def dictionary_coverage(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """(value, coverage): share of a candidate's characters in letter runs that the corpus uses as words.
+    """(value, n: rows of ``found`` with it, coverage): share of a candidate's characters in letter runs that the corpus uses as words.
 
     Words are counted over all documents; only runs that some candidate has are kept while counting.
     """
-    values = found.select("value").distinct()
+    values = stored(found.groupBy("value").agg(F.count(F.lit(1)).alias("n")), "secret-values")
     runs = values.select("value", F.explode(F.regexp_extract_all(F.lower("value"), F.lit("[a-z]{3,}"), F.lit(0))).alias("term"))
     terms = stored(runs.select("term").distinct(), "secret-terms")
     each = docs.select(F.explode(words(F.col("text"))).alias("term"))
     known = each.join(maybe_broadcast(terms, MOST_BROADCAST_TERMS), "term", "left_semi").groupBy("term").count().filter(F.col("count") >= DICTIONARY_MIN)
-    return runs.join(known.select("term"), "term").groupBy("value").agg((F.sum(F.length("term")) / F.max(F.length("value"))).alias("coverage"))
+    share = runs.join(known.select("term"), "term").groupBy("value").agg((F.sum(F.length("term")) / F.max(F.length("value"))).alias("coverage"))
+    return values.join(share, "value", "left")
 
 
 def with_features(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """Adds the columns of FEATURES."""
+    """Adds the columns of FEATURES but for the learned two, left and right (neighbouring words, for these), and what labels are told by."""
     v = F.col("value")
     n = F.length(v).cast("double")
     chars = F.split(v, "")
@@ -85,10 +86,11 @@ def with_features(found: DataFrame, docs: DataFrame) -> DataFrame:
     entropy = F.aggregate(F.filter(F.array_distinct(chars), lambda c: c != ""), F.lit(0.0), lambda a, c: a - share(c) * F.log2(share(c)))
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(v, "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "9"), "[^aA9]", "-")
     moves = [(F.regexp_count("shape", F.lit(f"{p[0]}(?={p[1]})")) / n).alias(k) for k, p in zip(MOVES, PAIRS, strict=True)]
-    flag = lambda c: c.cast("double")
-    tail = F.regexp_substr("before", F.lit(r"\S*$"))
-    rest = F.regexp_substr("after", F.lit(r"^\S*"))
-    out = found.withColumn("shape", shape).join(dictionary_coverage(found, docs), "value", "left")
+    tail = F.coalesce(F.regexp_substr("before", F.lit(r"\S*$")), F.lit(""))
+    rest = F.coalesce(F.regexp_substr("after", F.lit(r"^\S*")), F.lit(""))
+    word = lambda text, pattern: F.substring(F.lower(F.coalesce(F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")), F.lit("-"))), 1, 30)
+    total = found.count()
+    out = joined(found, dictionary_coverage(found, docs), ["value"], "n", total, "left").withColumn("shape", shape)
     return out.select(
         *found.columns,
         n.alias("length"),
@@ -96,54 +98,96 @@ def with_features(found: DataFrame, docs: DataFrame) -> DataFrame:
         (F.regexp_count("value", F.lit("[0-9]")) / n).alias("digits"),
         *moves,
         (F.length(F.regexp_replace("shape", r"(.)\1+", "$1")) / n).alias("classes"),
-        flag(v.rlike("^([0-9a-f]+|[0-9A-F]+)$")).alias("hex"),
-        flag(v.rlike(KNOWN_FORM)).alias("known_form"),
         F.coalesce("coverage", F.lit(0.0)).alias("coverage"),
-        ((n - F.length(F.replace(v, F.lit("/"), F.lit("")))) / n).alias("slashes"),
-        flag(F.coalesce(tail.rlike(r"(?i)(https?:|www\.|[./]$)"), F.lit(False))).alias("in_url"),
-        flag(F.coalesce(tail.contains("@") | rest.startswith("@"), F.lit(False))).alias("in_mail"),
-        flag(F.col("before").rlike(KEY_WORDS + r"\W{0,6}$") | F.col("before").rlike(KEY_WORDS + ASSIGNED + r"[\"']?$")).alias("key_word"),
-        flag(F.col("before").rlike(r"[=:]>?\s{0,3}[\"']?$")).alias("assigned"),
-        flag(F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']")).alias("quoted"),
-        flag(v.rlike("^[0-9_+/-]+$")).alias("digits_only"),
+        share(F.lit("/")).alias("slashes"),
+        share(F.lit(".")).alias("dots"),
+        (tail.rlike(r"[./]") | rest.rlike(r"^[./]")).cast("double").alias("path_around"),
+        word(F.col("before"), r"(\p{L}+)\P{L}*$").alias("left"),
+        word(F.col("after"), r"^\P{L}*(\p{L}+)").alias("right"),
+        v.rlike(KNOWN_FORM).alias("is_issued"),
+        (F.col("before").rlike(KEY_WORDS + ASSIGNED + "[\"']?$")).alias("is_assigned"),
+        (F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']")).alias("is_quoted"),
+        v.rlike(r"^[a-z]+$").alias("is_plain"),
+        v.rlike(r"^[0-9.,:/_+\-]+$").alias("is_number"),
+        (v.rlike(r"@[A-Za-z0-9-]+\.[A-Za-z]") | rest.startswith("@") | tail.contains("@")).alias("is_mail"),
+        (F.concat(tail, v).rlike(r"(?i)(https?:|www\.|^/|\.(com|org|net|html?)\b)")).alias("is_link"),
+        (v.rlike(r"^[A-Za-z]+([._/-][A-Za-z]+)+$") | v.rlike(r"^[A-Za-z]+[0-9]{0,2}$")).alias("is_name"),
     )
 
 
 def rule_labels(features: DataFrame) -> DataFrame:
     """Findings labelled by what a reviewer can tell at sight: 1, 0, or null where that takes judgement."""
-    yes = (F.col("known_form") == 1) | ((F.col("key_word") == 1) & (F.col("assigned") == 1) & (F.col("digits_only") == 0) & (F.col("coverage") < 0.5))
-    # Plain words after a colon are prose, not keys; a number after a key word may be either.
-    prose = (F.col("key_word") == 1) & (F.col("quoted") == 0) & (F.col("digits") == 0) & (F.col("coverage") == 1)
-    no = prose | ((F.col("digits_only") == 1) & ((F.col("key_word") == 0) | (F.col("assigned") == 0))) | (F.col("in_mail") == 1) | (F.col("in_url") == 1) | ((F.col("key_word") == 0) & (F.col("assigned") == 0) & (F.col("known_form") == 0) & ((F.col("coverage") >= 0.5) | (F.col("entropy") < 2.5)))
-    return features.withColumn("label", F.when(yes & ~no, 1.0).when(no & ~yes, 0.0))
+    issued, assigned, quoted = F.col("is_issued"), F.col("is_assigned"), F.col("is_quoted")
+    # An unquoted plain word after a key word is prose; a number after one may be either.
+    prose = assigned & ~quoted & F.col("is_plain")
+    no = ~issued & (prose | (~assigned & (F.col("is_number") | F.col("is_mail") | F.col("is_link") | F.col("is_name"))))
+    yes = issued | (assigned & ~F.col("is_number") & ~prose)
+    return features.withColumn("label", F.when(yes, 1.0).when(no, 0.0))
+
+
+def sampled(labelled: DataFrame) -> DataFrame:
+    """At most MAX_TRAIN labelled findings, as even as can be by label, drawn by a hash of where they are; with ``fold``. Stored."""
+    usable = labelled.filter("label IS NOT NULL")
+    sizes = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
+    place = F.xxhash64("row", "start", "value")
+    parts = []
+    for label, other in ((1.0, 0.0), (0.0, 1.0)):
+        most = max(MAX_TRAIN // 2, MAX_TRAIN - sizes.get(other, 0))
+        # Somewhat more than can be taken, so that the exact cut sorts few rows.
+        share = min(1.0, 1.2 * most / max(sizes.get(label, 0), 1))
+        drawn = usable.filter((F.col("label") == label) & (F.pmod(place, F.lit(1_000_000)) < int(1_000_000 * share) + 1))
+        parts.append(drawn.orderBy(F.xxhash64(F.lit("cut"), "row", "start"), "row", "start").limit(most))
+    return stored(parts[0].unionByName(parts[1]).withColumn("fold", F.pmod(F.xxhash64("value"), F.lit(FOLDS))), "secret-sample")
+
+
+def neighbours(sample: DataFrame) -> DataFrame:
+    """(side, word, fold, yes, n): labelled findings beside each word, by fold: at most two rows for each of the sample's. Stored."""
+    each = sample.select("fold", "label", F.explode(F.array(F.struct(F.lit("left").alias("side"), F.col("left").alias("word")), F.struct(F.lit("right").alias("side"), F.col("right").alias("word")))).alias("w"))
+    return stored(each.groupBy("w.side", "w.word", "fold").agg(F.sum("label").alias("yes"), F.count(F.lit(1)).alias("n")), "secret-neighbours")
+
+
+def with_neighbours(rows: DataFrame, counts: DataFrame, own_fold: bool) -> DataFrame:
+    """Adds word_before and word_after: log-odds of the words beside a candidate; without the row's own fold where that is asked."""
+    odds = lambda yes, n: F.log((yes + 0.5) / (n - yes + 0.5))
+    total = counts.groupBy("side", "word").agg(F.sum("yes").alias("yes"), F.sum("n").alias("n"))
+    for side, name in (("left", "word_before"), ("right", "word_after")):
+        # Bounded by the sample: at most MAX_TRAIN words of 30 letters.
+        table = F.broadcast(total.filter(F.col("side") == side).select(F.col("word").alias(side), F.col("yes").alias("_yes"), F.col("n").alias("_n")))
+        rows = rows.join(table, side, "left")
+        yes, n = F.coalesce("_yes", F.lit(0.0)), F.coalesce("_n", F.lit(0))
+        if own_fold:
+            part = F.broadcast(counts.filter(F.col("side") == side).select(F.col("word").alias(side), "fold", F.col("yes").alias("_own"), F.col("n").alias("_own_n")))
+            rows = rows.join(part, [side, "fold"], "left")
+            yes, n = yes - F.coalesce("_own", F.lit(0.0)), n - F.coalesce("_own_n", F.lit(0))
+        rows = rows.withColumn(name, odds(yes, n)).drop("_yes", "_n", "_own", "_own_n")
+    return rows
 
 
 def judged(features: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Adds probability: the forest's, trained on ``labelled`` (FEATURES and label).
+    """Adds probability: the forest's, trained on ``labelled`` (the columns of ``with_features`` and label).
 
     With labels of one kind only there is nothing to tell apart: that kind's value is the probability; with
     none it is 0.
     """
-    usable = labelled.filter("label IS NOT NULL").select(*FEATURES, "label")
-    sizes = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
-    if len(sizes) < 2:
-        return features.withColumn("probability", F.lit(float(next(iter(sizes), 0.0))))
-    # Each kind gets half of the sample, so that rare findings are not lost in it.
-    draw = F.pmod(F.xxhash64(*FEATURES), F.lit(1_000_000)) / 1e6
-    quota = F.when(F.col("label") == 1, F.lit(MAX_TRAIN / 2 / sizes.get(1.0, 1))).otherwise(F.lit(MAX_TRAIN / 2 / sizes.get(0.0, 1)))
+    sample = sampled(labelled)
+    kinds = sorted(r["label"] for r in sample.select("label").distinct().collect())
+    if len(kinds) < 2:
+        return features.withColumn("probability", F.lit(float(kinds[0] if kinds else 0.0)))
+    counts = neighbours(sample)
     gather = VectorAssembler(inputCols=FEATURES, outputCol="_features")
-    # One sorted partition: the forest draws by row order, and so the same each time.
-    sample = gather.transform(usable.filter(draw < quota).coalesce(1).sortWithinPartitions(*FEATURES, "label"))
+    # One sorted partition of the bounded sample: the forest draws by row order, and so the same each time.
+    rows = with_neighbours(sample, counts, True).select(*FEATURES, "label").repartition(1).sortWithinPartitions(*FEATURES, "label")
     forest = RandomForestClassifier(featuresCol="_features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED, probabilityCol="_p", rawPredictionCol="_r", predictionCol="_y")
-    return forest.fit(sample).transform(gather.transform(features)).withColumn("probability", vector_to_array("_p")[1]).drop("_features", "_p", "_r", "_y")
+    model = forest.fit(gather.transform(rows))
+    return model.transform(gather.transform(with_neighbours(features, counts, False))).withColumn("probability", vector_to_array("_p")[1]).drop("_features", "_p", "_r", "_y")
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
     """doc_id, row, start, end, value, probability, is_secret for every candidate.
 
-    ``labelled`` has FEATURES and label (0 or 1); without it, ``rule_labels`` of these findings are used.
+    ``labelled`` has the columns of ``with_features`` and label (0 or 1); without it, ``rule_labels`` of these findings are used.
     Null and empty texts have no candidates; repeated rows give repeated findings; an empty table
-    gives no rows; extra columns are left out.
+    gives no rows; extra columns are left out. Whole texts are searched, however long.
     """
     found = stored(candidates(docs), "secret-candidates")
     features = stored(with_features(found, docs), "secret-features")
@@ -157,15 +201,20 @@ def findings(docs: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """All rows and columns of ``docs``; secrets in ``text`` are replaced, and ``n_chars`` (if there) set anew where they were."""
+    """All rows and columns of ``docs``; secrets in ``text`` are replaced, and ``n_chars`` (if there) set anew where they were.
+
+    Null and empty texts stay as they are; repeated rows are treated alike; an empty table gives no rows; columns of any
+    name are carried through.
+    """
+    key, spans_, at = fresh(docs, "_row", "_spans", "_at")
     spans = scan(docs).filter("is_secret").select("row", F.struct("start", "end").alias("s")).distinct()
     # As many as a document has secrets.
-    spans = stored(spans.groupBy("row").agg(F.sort_array(F.collect_list("s")).alias("_spans")), "secret-spans")
-    keyed = docs.withColumn("_row", row_key())
-    keys = maybe_broadcast(spans.select(F.col("row").alias("_row")), MOST_BROADCAST_ROWS)
-    hit = keyed.join(keys, "_row", "left_semi").join(spans.withColumnRenamed("row", "_row"), "_row")
+    spans = stored(spans.groupBy(F.col("row").alias(key)).agg(F.sort_array(F.collect_list("s")).alias(spans_)), "secret-spans")
+    keyed = docs.withColumn(key, row_key())
+    keys = maybe_broadcast(spans.select(key), MOST_BROADCAST_ROWS)
+    hit = keyed.join(keys, key, "left_semi").join(spans, key)
     cut = F.aggregate(
-        "_spans",
+        spans_,
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring("text", acc["at"] + 1, s["start"] - acc["at"]), F.lit(REDACTED)).alias("out")),
         lambda acc: F.concat(acc["out"], F.substring("text", acc["at"] + 1, F.length("text"))),
@@ -173,4 +222,4 @@ def redacted(docs: DataFrame) -> DataFrame:
     hit = hit.withColumn("text", cut)
     if "n_chars" in docs.columns:
         hit = hit.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return hit.select(*docs.columns).unionByName(keyed.join(keys, "_row", "left_anti").select(*docs.columns))
+    return hit.select(*docs.columns).unionByName(keyed.join(keys, key, "left_anti").select(*docs.columns))

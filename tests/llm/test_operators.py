@@ -160,6 +160,72 @@ def test_secrets_by_context(spark):
     assert [clean[i] for i in range(len(text))] == want
 
 
+def planted(rng, n):
+    """Texts of prose with secrets, or with what looks like one, and the true values."""
+    import string
+
+    prose = ["the report", "we saw", "then call", "for example", "it was", "see also", "please use", "all of", "remember that"]
+    draw = lambda chars, k: "".join(rng.choice(chars) for _ in range(k))
+    letters = string.ascii_letters + string.digits
+    texts, true = [], []
+    for i in range(n):
+        kind = i % 10
+        value, form = None, ""
+        if kind == 0:
+            value, form = draw("0123456789abcdef", 40), 'token = "{}"'
+        elif kind == 1:
+            value, form = "AKIA" + draw(string.ascii_uppercase + string.digits, 16), "key {} used"
+        elif kind == 2:
+            value, form = "ghp_" + draw(letters, 36), "with {} in it"
+        elif kind == 3:
+            value, form = draw(letters + "!#$%", 14), "password: {}"
+        elif kind == 4:
+            value, form = draw(letters, 24), "the api_key='{}' is"
+        elif kind == 5:
+            form = f"{rng.choice(['anna', 'bob', 'carl'])}{rng.randrange(1900, 2030)}@{draw('abcdefgh', 6)}.org"
+        elif kind == 6:
+            form = f"https://www.{draw('abcdefgh', 7)}.com/{draw('xyz', 3)}/page{rng.randrange(1000)}"
+        elif kind == 7:
+            form = f"on 20{rng.randrange(10, 30)}-0{rng.randrange(1, 10)}-1{rng.randrange(10)} number {rng.randrange(10**11, 10**12)}"
+        elif kind == 8:
+            form = rng.choice(["myLongVariable", "theOtherFunction", "readTheFileNow", "anotherClassName2"]) + " and /usr/share/doc/python3/readme"
+        else:
+            form = "the password: unknown"
+        texts.append(f"{rng.choice(prose)} {form.replace('{}', value or '')} {rng.choice(prose)} {i}")
+        true.append(value)
+    return texts, true
+
+
+def test_secrets_recall_and_precision(spark):
+    """Planted secrets of five kinds among five kinds of others: at least 0.9 of both."""
+    texts, true = planted(random.Random(8), 400)
+    docs = spark.createDataFrame([(i, t, 1, "x", "y") for i, t in enumerate(texts)], "doc_id long, text string, row long, value string, _row string")
+    got = secrets.scan(docs).filter("is_secret").collect()
+    caught = {(r["doc_id"], r["value"]) for r in got}
+    want = {(i, v) for i, v in enumerate(true) if v}
+    assert len(caught & want) >= 0.9 * len(want) and len(caught & want) >= 0.9 * len(caught), (len(caught), len(want), len(caught & want))
+    clean = secrets.redacted(docs)
+    assert clean.columns == docs.columns and {(r["row"], r["value"], r["_row"]) for r in clean.collect()} == {(1, "x", "y")}
+
+
+def test_secret_candidates(spark):
+    """Spans and surroundings against a plain search with the same pattern; one very long text, repeated rows, nulls."""
+    import regex
+
+    texts = planted(random.Random(3), 60)[0]
+    texts += [" ".join(texts) * 40, "", None, texts[0], 'token="a\\"b" pwd=\u00e9\u00e8 secret : x', "A1b2C3d4E5==", "endsWith12."]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(0, texts[0])], "doc_id long, text string")
+    pattern = regex.compile(secrets.CANDIDATE, regex.ASCII)
+    want = Counter()
+    for i, t in [*enumerate(texts), (0, texts[0])]:
+        spans = [m.span() for m in pattern.finditer(t or "")]
+        for k, (a, b) in enumerate(spans):
+            last, after = spans[k - 1][1] if k else 0, spans[k + 1][0] if k + 1 < len(spans) else len(t)
+            want[i, a, b, t[a:b], t[last:a][-secrets.CONTEXT :], t[b:after][: secrets.CONTEXT]] += 1
+    got = Counter((r["doc_id"], r["start"], r["end"], r["value"], r["before"], r["after"]) for r in secrets.candidates(docs).collect())
+    assert got == want and sum(want.values()) > 1500
+
+
 def test_lm(rows, docs, empty, monkeypatch):
     """All columns against a plain model: counts, buckets, EM and scores."""
     monkeypatch.setattr(lm, "BLOCK_TOKENS", 250)
