@@ -28,7 +28,8 @@ BANDS, BAND_ROWS = 20, 4
 ESTIMATE_MARGIN = 4 * (THRESHOLD * (1 - THRESHOLD) / (BANDS * BAND_ROWS)) ** 0.5
 CHUNK_TOKENS = 400_000
 MOST_BROADCAST_NODES = 500_000
-BLOCK = 256
+#: Nodes that meet in one group: a star's members, and half of what is left of a bucket.
+STAR_BLOCK, BLOCK = 64, 256
 U = np.uint64
 
 
@@ -263,46 +264,58 @@ def _bags_alike(many: np.ndarray, one: bytes) -> np.ndarray:
     return out
 
 
-def star_links(buckets: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) between each bucket's nodes and its centre, counted exactly on whole texts.
+def star_links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Of distinct pairs (centre, node), the links (a, b), counted exactly on whole texts. Stored.
 
-    A centre's members are dealt into blocks of about BLOCK; the centre's value is sent once a block, not once a pair.
+    A centre's members are dealt into blocks of about STAR_BLOCK; the centre's value is sent once a block, not once a pair.
     """
-    pairs = stored(buckets.filter("node <> centre").select("centre", "node").distinct(), "neardup-stars")
+    pairs = stored(pairs, "neardup-stars")
     sizes = stored(pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("n")), "neardup-sizes")
     total = sizes.agg(F.sum("n")).first()[0] or 0
-    stars = joined(pairs, sizes, ["centre"], "n", total).select("centre", "node", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block"))
+    stars = joined(pairs, sizes, ["centre"], "n", total).select("centre", "node", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / STAR_BLOCK)).alias("block"))
     near = stored(_near_head(stars, nodes, "sig", _signatures_alike), "neardup-near")
     bag = bags_of(near.select(F.explode(F.array("centre", "node")).alias("node")), nodes, texts)
     alike = _near_head(near, bag, "bag", _bags_alike)
     return stored(alike.select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")), "neardup-links")
 
 
+def _with_comp(buckets: DataFrame, links: DataFrame) -> DataFrame:
+    """(bucket, node, comp), stored."""
+    return stored(buckets.select("bucket", "node").join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node")), "neardup-comps")
+
+
 def open_nodes(buckets: DataFrame, nodes: DataFrame, links: DataFrame, total: int) -> DataFrame:
     """(bucket, i, j, node, comp): nodes whose signature agrees well enough with one of another component in their bucket.
 
-    Of a bucket's n nodes, r are outside its largest component. Blocks of the r (i) meet blocks of all n (j), each
-    two in a group of their own, which compares signatures and gives back nodes, not pairs: the largest component is never
-    compared with itself. A pair that shares several buckets is looked at in the first band only.
+    Of a bucket's n nodes, r are outside its largest component. Where these are the lesser half, blocks of the r (i) meet
+    blocks of all n (j), so that the largest component is never compared with itself; else every two blocks of all
+    meet (i <= j). Each two blocks are a group of their own, which compares signatures and gives back nodes, not pairs.
+    A pair that shares several buckets is looked at in the first band only.
     """
-    with_comp = stored(buckets.join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node")), "neardup-comps")
+    with_comp = _with_comp(buckets, links)
     parts = with_comp.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"))
-    open_ = parts.groupBy("bucket").agg(F.max_by("comp", F.struct("k", "comp")).alias("major"), F.max("k").alias("most"), F.sum("k").alias("n")).filter("n > most")
-    open_ = stored(open_.select("bucket", "major", "n", F.ceil((F.col("n") - F.col("most")) / BLOCK).alias("few"), F.ceil(F.col("n") / BLOCK).alias("all")), "neardup-open-buckets")
+    open_ = parts.groupBy("bucket").agg(F.max_by("comp", F.struct("k", "comp")).alias("major"), F.max("k").alias("most"), F.sum("k").alias("n")).filter("n > most").withColumn("even", 2 * F.col("most") < F.col("n"))
+    open_ = stored(open_.select("bucket", "major", "n", "even", F.ceil((F.col("n") - F.col("most")) / BLOCK).alias("few"), F.ceil(F.col("n") / BLOCK).alias("all")), "neardup-open-buckets")
     rows = joined(with_comp, open_, ["bucket"], "n", total)
     deal = lambda c: F.pmod(F.xxhash64("node"), c)
     span = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
-    right = rows.select("bucket", "node", "comp", F.explode(span("few")).alias("i"), deal(F.col("all")).alias("j"), F.lit(0).cast("long").alias("left"))
-    left = rows.filter("comp <> major").select("bucket", "node", "comp", deal(F.col("few")).alias("i"), F.explode(span("all")).alias("j"), F.lit(1).cast("long").alias("left"))
-    dealt = right.unionByName(left).join(nodes.select("node", "sig", "bands"), "node")
+    uneven, even = rows.filter("NOT even"), rows.filter("even").withColumn("own", deal(F.col("all")))
+    right = uneven.select("bucket", "node", "comp", F.explode(span("few")).alias("i"), deal(F.col("all")).alias("j"), F.lit(0).cast("long").alias("role"))
+    left = uneven.filter("comp <> major").select("bucket", "node", "comp", deal(F.col("few")).alias("i"), F.explode(span("all")).alias("j"), F.lit(1).cast("long").alias("role"))
+    # Roles 2 and 3: the first and the second of two blocks of all; in a group of one block it meets itself.
+    each = even.select("bucket", "node", "comp", "own", F.explode(span("all")).alias("other"))
+    each = each.select("bucket", "node", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), 2).otherwise(3).cast("long").alias("role"))
+    dealt = right.unionByName(left).unionByName(each).join(nodes.select("node", "sig", "bands"), "node")
 
     def run(g):
         sig, bands, comp, node = _matrix(g["sig"], np.uint16), np.stack(g["bands"]), g["comp"], g["node"]
         i, j, bucket = g["i"][0], g["j"][0], g["bucket"][0]
         here = int(np.argmax(bands[0] == bucket))
-        right = np.flatnonzero(g["left"] == 0)
+        role = g["role"]
+        left, right = np.flatnonzero((role == 1) | (role == 2)), np.flatnonzero((role == 0) | (role == 3))
+        right = left if i == j and role.max() >= 2 else right
         hit = np.zeros(len(node), dtype=bool)
-        for k in np.flatnonzero(g["left"]):
+        for k in left:
             other = right[comp[right] != comp[k]]
             if len(other):
                 other = other[_agreement(sig[k], sig[other]) >= THRESHOLD - ESTIMATE_MARGIN]
@@ -372,8 +385,8 @@ def classified(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     buckets = stored(joined(every, shared, ["bucket"], "n", n_nodes * BANDS).select("bucket", "node", "centre"), "neardup-buckets")
     texts = rows.select("row", "text")
     # Each bucket as a star: all members against one. What that leaves apart meets block by block.
-    links = star_links(buckets, nodes, texts)
-    links = links.unionByName(stored(leftover_links(buckets.select("bucket", "node"), nodes, links, texts, n_nodes * BANDS), "neardup-more"))
+    links = star_links(buckets.filter("node <> centre").select("centre", "node").distinct(), nodes, texts)
+    links = links.unionByName(stored(leftover_links(buckets, nodes, links, texts, n_nodes * BANDS), "neardup-more"))
     comps = stored(components(links), "neardup-components")
     of_node = stored(nodes.select("node", "k1", "k2", "n_rows", "first", "least").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "neardup-of-node")
     # A null doc_id comes after all others when the kept row is chosen.
