@@ -38,8 +38,8 @@ START_WEIGHTS = ((0.1, 0.9, 0.0, 0.0), (0.1, 0.3, 0.6, 0.0), (0.05, 0.15, 0.3, 0
 BUCKETS = 64
 U = np.uint64
 END, START = U(0x656E64), U(0x7374617274)
-#: Bits of the key of a pair or triple. Two of a trillion n-grams share a key with a chance of one in 70,000 each.
-GRAM_BITS = 56
+#: Bits of the key of a pair or triple. Of a billion n-grams one in 280,000 shares its key with another, of a trillion one in 280.
+GRAM_BITS = 48
 
 
 def held_out(doc_id: Column) -> Column:
@@ -157,6 +157,10 @@ def blocks(docs: DataFrame, most_tokens: int) -> DataFrame:
     return stored(rows.mapInPandas(run, BLOCKS), "lm-blocks", "zstd")
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def counts(packed: DataFrame, ranges: int) -> DataFrame:
     """(block, kind, range, n_total, n_distinct, total, kept): totals of each block's n-grams, in the block's order. Stored.
 
@@ -197,6 +201,8 @@ def counts(packed: DataFrame, ranges: int) -> DataFrame:
         )
 
     sent = packed.mapInPandas(send, "block long, deleted boolean, kind int, range int, n long, keys binary, seen binary")
+    # As many tasks as groups: what one task reads stays the same as the corpus grows.
+    sent = sent.repartition(max(_partitions(packed), 3 * ranges), "kind", "range")
     return stored(sent.groupBy("kind", "range").applyInPandas(add, "block long, kind int, range int, n_total long, n_distinct long, total binary, kept binary"), "lm-counts", "zstd")
 
 
@@ -236,7 +242,8 @@ def learned_weights(packed: DataFrame, got: DataFrame, ranges: int, kept_tokens:
         f = pd.DataFrame({"bucket": bucket, "f1": f[:, 0], "f2": f[:, 1], "f3": f[:, 2]})
         return f.groupby(["bucket", "f1", "f2", "f3"]).size().rename("n").reset_index()
 
-    tuples = packed.filter("deleted").groupBy("block").cogroup(got.filter(F.length("kept") > 0).groupBy("block")).applyInPandas(collect, "bucket long, f1 double, f2 double, f3 double, n long")
+    own = got.filter(F.length("kept") > 0).select("block", "kind", "range", "kept")
+    tuples = packed.filter("deleted").groupBy("block").cogroup(own.groupBy("block")).applyInPandas(collect, "bucket long, f1 double, f2 double, f3 double, n long")
     tuples = stored(tuples.groupBy("bucket", "f1", "f2", "f3").agg(F.sum("n").alias("n")), "lm-deleted")
     weights: dict[int, tuple[float, ...]] = {}
     seen: list[float] = []
@@ -284,7 +291,7 @@ def scored(docs: DataFrame) -> DataFrame:
     got = counts(packed, ranges)
     sums = got.filter("kind = 0").groupBy("range").agg(F.max("n_total").alias("n"), F.max("n_distinct").alias("v")).agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n_all, vocabulary = int(sums["n"] or 0), int(sums["v"] or 0)
-    parts = {r["deleted"]: r for r in packed.groupBy("deleted").agg(F.sum("train_texts").alias("texts"), F.sum("train_tokens").alias("tokens")).collect()}
+    parts = {r["deleted"]: r for r in packed.groupBy("deleted").agg(F.count(F.lit(1)).alias("blocks"), F.sum("train_texts").alias("texts"), F.sum("train_tokens").alias("tokens")).collect()}
     kept = parts.get(False, {"texts": 0, "tokens": 0})
     weight = filled(learned_weights(packed, got, ranges, float(kept["tokens"]), float(kept["texts"]), vocabulary)[0])
     train_texts = float(sum(r["texts"] for r in parts.values()))
@@ -305,5 +312,7 @@ def scored(docs: DataFrame) -> DataFrame:
         return pd.DataFrame(dict(zip(names, [list(row["doc_ids"]), ~train, np.bincount(block.text, minlength=n), sums[0].astype(np.int64), sums[1], sums[2]], strict=True)))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = packed.groupBy("block").cogroup(got.groupBy("block")).applyInPandas(score, "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    tasks = max(_partitions(packed), sum(r["blocks"] for r in parts.values()))
+    sides = [df.repartition(tasks, "block").groupBy("block") for df in (packed, got.select("block", "kind", "range", "total"))]
+    out = sides[0].cogroup(sides[1]).applyInPandas(score, "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select(F.col("doc_id").cast(kind).alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score")
