@@ -29,7 +29,7 @@ ESTIMATE_MARGIN = 4 * (THRESHOLD * (1 - THRESHOLD) / (BANDS * BAND_ROWS)) ** 0.5
 CHUNK_TOKENS = 400_000
 MOST_BROADCAST_NODES = 500_000
 #: Nodes that meet in one group: a star's members, and half of what is left of a bucket.
-STAR_BLOCK, BLOCK = 64, 256
+STAR_BLOCK, BLOCK = 64, 512
 U = np.uint64
 
 
