@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import height_inches
+from ..functions.exprs import GARBAGE_SQL, height_inches
 from ..operators import quality as q
 from ..sources import io
+from ..stats import chain as ch
 from ..stats import jobs as m
 from ..streaming import snapshots as sn
 from . import marts_more as mm
@@ -53,23 +54,37 @@ add("N8_grid", lambda t: q.missing_grid(t["sp_ratings"], t["team_years"], "team"
 add("N9", lambda t: q.imputation_audit(t["recruits"], ["stars", "ranking", "athlete_id"]), "SELECT count(*) AS rows, count(*) - count(stars) AS stars, count(*) - count(ranking) AS ranking, count(*) - count(athlete_id) AS athlete_id FROM {recruits}")
 add("N10", lambda t: q.key_overlap(t["recruits"].select("athlete_id"), t["rosters"].select(C("id").alias("athlete_id")), "athlete_id"), "SELECT count(*) AS keys, count(*) FILTER (ok) AS matched, avg(ok::INT) AS share FROM (SELECT athlete_id, athlete_id IN (SELECT id FROM {rosters}) AS ok FROM (SELECT DISTINCT athlete_id FROM {recruits} WHERE athlete_id IS NOT NULL))")
 add("K36", m.team_adjusted_epa)
-add("M01", lambda t: m.two_way_ridge(t["plays"]))
+add("M01", lambda t: m.two_way_ridge(m.ridge_plays(t)))
 add("M02", m.ridge_validate)
-add("M03", lambda t: m.two_way_ridge_asof(t["plays"], t["games"]))
-add("K40", lambda t: m.two_way_ridge_asof(t["plays"], t["games"]).select("season", "week_index", "team", "off_coef", "def_coef", "plays"))
+add("M03", lambda t: m.two_way_ridge_asof(m.ridge_plays(t), t["games"]))
+add("K40", lambda t: m.two_way_ridge_asof(m.ridge_plays(t), t["games"]).select("season", "week_index", "team", "off_coef", "def_coef", "plays"))
 add("M06", m.coach_prior, "SELECT first_name, last_name, year, sum(w) OVER o::BIGINT AS prior_wins, sum(l) OVER o::BIGINT AS prior_losses, sum(w) OVER o / nullif(sum(w + l) OVER o, 0) AS prior_win_pct, sum(w) OVER o IS NULL AS unproven FROM (SELECT first_name, last_name, year, sum(wins) AS w, sum(losses) AS l FROM {coach_seasons} GROUP BY ALL) WINDOW o AS (PARTITION BY first_name, last_name ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
 add("M10", m.margin_model)
-_ST = "down || '|' || CASE WHEN distance <= 3 THEN 'short' WHEN distance <= 7 THEN 'medium' ELSE 'long' END || '|' || (yards_to_goal + 9) // 10"
-_M15 = f"""SELECT CASE WHEN season >= 2021 THEN '2021+' WHEN season >= 2014 THEN '2014-2020' WHEN season >= 2004 THEN '2004-2013' END AS era, from_state, coalesce(nxt, CASE drive_result WHEN 'INT' THEN 'TURNOVER' WHEN 'FUMBLE' THEN 'TURNOVER' ELSE drive_result END) AS to_state, count(*) AS n
-FROM (SELECT drive_id, offense, season, {_ST} AS from_state, lead({_ST}) OVER (PARTITION BY drive_id, offense ORDER BY play_number, id) AS nxt FROM {{plays}}) p JOIN (SELECT id, offense, drive_result FROM {{drives}}) d ON d.id = drive_id AND d.offense = p.offense GROUP BY ALL"""
-add("M15", m.drive_state_transitions, _M15)
-add("M16", lambda t: m.shrink(m.drive_state_transitions(t)), f"""WITH x AS (SELECT *, split_part(from_state, '|', 1) AS g, split_part(from_state, '|', 1) || '|' || split_part(from_state, '|', 3) AS p FROM ({_M15})),
+_ZONE = "least(10, greatest(1, ({} + 9) // 10))"
+_ERA = "CASE WHEN season >= 2021 THEN '2021+' WHEN season >= 2014 THEN '2014-2020' WHEN season >= 2004 THEN '2004-2013' END"
+_ENDS = "CASE drive_result " + " ".join(f"WHEN '{r}' THEN '{e}'" for e, rs in ch.RESULTS.items() for r in rs) + " END"
+_ST = f"""'d' || down || '|' || CASE WHEN distance >= yards_to_goal THEN 'goal' WHEN down = 1 AND distance = 10 THEN 'standard' WHEN down = 1 AND distance < 10 THEN 'short' WHEN down = 1 THEN 'long'
+  WHEN distance <= 3 THEN 'short' WHEN distance <= 6 THEN 'med' WHEN distance <= 10 THEN 'long' ELSE 'xlong' END || '|z' || {_ZONE.format("yards_to_goal")}"""
+_SNAPS = f"(SELECT * FROM {{plays}} WHERE play_type IN ({', '.join(repr(x) for x in ch.SCRIMMAGE)}) AND down BETWEEN 1 AND 4 AND distance BETWEEN 1 AND 45 AND yards_to_goal BETWEEN 1 AND 99 AND NOT {GARBAGE_SQL})"
+_ROWS = f"""(SELECT {_ERA} AS era, game_id, from_state, coalesce(nxt, e) AS to_state FROM (
+  SELECT season, p.game_id, {_ST} AS from_state, lead({_ST}) OVER (PARTITION BY p.game_id, drive_id ORDER BY play_number, p.id) AS nxt, e
+  FROM {_SNAPS} p JOIN (SELECT id, game_id, {_ENDS} AS e FROM {{drives}} WHERE drive_result <> '{ch.OVERTIME}') d ON d.id = drive_id AND d.game_id = p.game_id) WHERE e IS NOT NULL)"""
+_M15 = f"SELECT era, from_state, to_state, count(*) AS n FROM {_ROWS} WHERE era IS NOT NULL GROUP BY ALL"
+add("M15", ch.drive_state_transitions, _M15)
+add("M16", lambda t: ch.shrink(ch.drive_state_transitions(t)), f"""WITH x AS (SELECT *, split_part(from_state, '|', 1) AS g, split_part(from_state, '|', 1) || '|' || split_part(from_state, '|', 3) AS p FROM ({_M15})),
 s AS (SELECT era, from_state, g, p, sum(n) AS nf FROM x GROUP BY ALL), gt AS (SELECT era, g, to_state, sum(n) AS ng FROM x GROUP BY ALL), pt AS (SELECT era, p, to_state, sum(n) AS np FROM x GROUP BY ALL)
 SELECT s.era, s.from_state, gt.to_state, (coalesce(x.n, 0) + 50 * (coalesce(np, 0) + 50 * ng / sum_g) / (sum_p + 50)) / (nf + 50) AS p FROM s JOIN gt ON gt.era = s.era AND gt.g = s.g JOIN (SELECT era, g, sum(n) AS sum_g FROM x GROUP BY ALL) a ON a.era = s.era AND a.g = s.g JOIN (SELECT era, p, sum(n) AS sum_p FROM x GROUP BY ALL) b ON b.era = s.era AND b.p = s.p
 LEFT JOIN pt ON pt.era = s.era AND pt.p = s.p AND pt.to_state = gt.to_state LEFT JOIN x ON x.era = s.era AND x.from_state = s.from_state AND x.to_state = gt.to_state""")
-add("M17", lambda t: m.absorbing_chain(m.shrink(m.drive_state_transitions(t))))
-add("M18", m.drive_handoffs)
-add("M21", m.chain_gates)
+add("M17", lambda t: ch.absorbing_chain(ch.shrink(ch.drive_state_transitions(t))))
+add("M18", ch.drive_handoffs, f"""WITH ls AS (SELECT game_id, drive_id, {_ZONE.format("yards_to_goal")} AS exit_zone FROM {_SNAPS} QUALIFY row_number() OVER (PARTITION BY game_id, drive_id ORDER BY play_number DESC, id DESC) = 1),
+sq AS (SELECT *, lead(offense) OVER w AS no, lead(start_yards_to_goal) OVER w AS ns, lead(start_period <= 2) OVER w AS nh FROM {{drives}} WHERE start_period BETWEEN 1 AND 4 WINDOW w AS (PARTITION BY game_id ORDER BY drive_number, offense, id)),
+c AS (SELECT {_ERA} AS era, {_ENDS} AS ending, exit_zone, {_ZONE.format("ns")} AS zone, count(*) AS n FROM sq JOIN ls ON ls.game_id = sq.game_id AND ls.drive_id = sq.id WHERE no <> offense AND nh = (start_period <= 2) AND ns BETWEEN 1 AND 99 GROUP BY ALL),
+gr AS (SELECT * FROM (SELECT DISTINCT {_ERA} AS era FROM {{drives}}), (SELECT unnest(['PUNT', 'TURNOVER', 'DOWNS', 'MISSED_FG']) AS ending), (SELECT unnest(range(1, 11)) AS exit_zone), (SELECT unnest(range(1, 11)) AS zone) WHERE era IS NOT NULL),
+f AS (SELECT gr.*, coalesce(n, 0) AS n FROM gr LEFT JOIN c USING (era, ending, exit_zone, zone))
+SELECT era, ending, exit_zone, zone, n, (n + 20 * coalesce(sum(n) OVER (PARTITION BY era, ending, zone) / nullif(sum(n) OVER (PARTITION BY era, ending), 0), 0.1)) / (sum(n) OVER (PARTITION BY era, ending, exit_zone) + 20) AS p FROM f""")
+add("M19", lambda t: ch.net_expected_points(ch.shrink(ch.drive_state_transitions(t)), ch.drive_handoffs(t)))
+add("M20", lambda t: ch.cluster_bootstrap_se(ch.check_mapped(ch.chain_rows(t))))
+add("M21", ch.chain_gates)
 add("M22", m.live_wp_calibration)
 _PRED = "(SELECT p.*, home_points, away_points, (home_points - away_points)::DOUBLE AS m FROM {game_predictions} p JOIN {games} g ON g.id = p.game_id AND completed QUALIFY row_number() OVER (PARTITION BY p.game_id, model_version ORDER BY prediction_day DESC) = 1)"
 add("M26", m.projection_eval, f"SELECT model_version, least(floor(home_win_prob * 10), 9)::BIGINT AS bucket, count(*) AS n, avg(abs(expected_margin - m)) AS mae, sqrt(avg((expected_margin - m) ** 2)) AS rmse, avg(expected_margin - m) AS bias, avg(home_win_prob) AS predicted, avg((m > 0)::INT) AS observed FROM {_PRED} GROUP BY 1, 2")

@@ -4,20 +4,26 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import bucket, count_if, ratio, week_index
+from ..functions.exprs import count_if, ratio, week_index
 from ..operators.frames import latest_per_key, unpivot_sides
 from ..plans import marts_base as mb
 from ..plans import marts_more as mm
 
-RIDGE_LAMBDA, SHRINK_ALPHA, TOUCHDOWN, FIELD_GOAL, MAX_UNMAPPED = 100.0, 50.0, 6.97, 3.0, 0.02
+RIDGE_LAMBDA, MAX_UNMAPPED = 100.0, 0.02
+
+
+def ridge_plays(t) -> DataFrame:
+    """Plays that M1 and M3 fit: those of K10 outside garbage time; ``home`` is null on neutral sites, so that no side is at home."""
+    sites = t["games"].select(F.col("id").alias("game_id"), F.when(~F.coalesce("neutral_site", F.lit(False)), F.col("home_team")).alias("home"))
+    return mb.play_epa(t).filter("NOT is_garbage_time").select("game_id", "season", "offense", "defense", F.col("epa").alias("ppa")).join(sites, "game_id")
 
 
 def effect_cells(plays: DataFrame, extra: list[str] = ()) -> DataFrame:
     """Rows of (season, offense, defense, at home) with count and sum: at most 2 T^2 a season, however many plays."""
-    home = (F.col("offense") == F.col("home")).cast("int")
+    home = F.coalesce((F.col("offense") == F.col("home")).cast("int"), F.lit(0))
     return plays.filter("ppa IS NOT NULL").groupBy("season", *extra, "offense", "defense", home.alias("at_home")).agg(F.count(F.lit(1)).alias("n"), F.sum("ppa").alias("s"))
 
 
@@ -79,97 +85,15 @@ def two_way_ridge_asof(plays: DataFrame, games: DataFrame, lam: float = RIDGE_LA
 def team_adjusted_epa(t) -> DataFrame:
     """Effects, net value and three ranks; of the defence, less is better."""
     rank = lambda o: F.rank().over(Window.partitionBy("season").orderBy(o))
-    return two_way_ridge(t["plays"]).withColumn("net", F.col("off_coef") - F.col("def_coef")).withColumns({"off_rank": rank(F.round("off_coef", 9).desc()), "def_rank": rank(F.round("def_coef", 9)), "net_rank": rank(F.round("net", 9).desc())})
+    return two_way_ridge(ridge_plays(t)).withColumn("net", F.col("off_coef") - F.col("def_coef")).withColumns({"off_rank": rank(F.round("off_coef", 9).desc()), "def_rank": rank(F.round("def_coef", 9)), "net_rank": rank(F.round("net", 9).desc())})
 
 
 def ridge_validate(t) -> DataFrame:
     """M2: correlation of the net effect with an outside rating, by season."""
-    out = two_way_ridge(t["plays"]).withColumn("net", F.col("off_coef") - F.col("def_coef")).join(t["sp_ratings"].select("team", F.col("year").alias("season"), "rating"), ["team", "season"])
+    out = two_way_ridge(ridge_plays(t)).withColumn("net", F.col("off_coef") - F.col("def_coef")).join(t["sp_ratings"].select("team", F.col("year").alias("season"), "rating"), ["team", "season"])
     return out.groupBy("season").agg(F.corr("net", "rating").alias("r"), F.count(F.lit(1)).alias("n"))
 
 
-ABSORBING = {"TD": "TD", "FG": "FG", "PUNT": "PUNT", "INT": "TURNOVER", "FUMBLE": "TURNOVER", "DOWNS": "DOWNS"}
-#: Eras of the chain, by first season.
-ERAS = [(2021, "2021+"), (2014, "2014-2020"), (2004, "2004-2013")]
-
-
-def state_key() -> Column:
-    return F.concat_ws("|", F.col("down").cast("string"), bucket("distance", [(3, "short"), (7, "medium")], "long"), F.expr("cast((yards_to_goal + 9) div 10 as string)"))
-
-
-def era_of(season: str = "season") -> Column:
-    out = F.lit(None).cast("string")
-    for first, name in reversed(ERAS):
-        out = F.when(F.col(season) >= first, name).otherwise(out)
-    return out
-
-
-def drive_state_transitions(t) -> DataFrame:
-    """State to next state in a drive; the last play to what the drive's result absorbs into."""
-    end = F.lit(None).cast("string")
-    for k, v in ABSORBING.items():
-        end = F.when(F.col("drive_result") == k, v).otherwise(end)
-    results = t["drives"].select(F.col("id").alias("drive_id"), "offense", end.alias("_end"))
-    plays = t["plays"].select("drive_id", "offense", "season", "play_number", "id", state_key().alias("from_state"))
-    follow = F.lead("from_state").over(Window.partitionBy("drive_id", "offense").orderBy("play_number", "id"))
-    rows = plays.withColumn("_next", follow).join(results, ["drive_id", "offense"]).withColumn("to_state", F.coalesce("_next", "_end"))
-    return rows.filter("to_state IS NOT NULL").groupBy(era_of().alias("era"), "from_state", "to_state").agg(F.count(F.lit(1)).alias("n"))
-
-
-def shrink(transitions: DataFrame, alpha: float = SHRINK_ALPHA) -> DataFrame:
-    """Each row pulled to its parent (down and zone), the parent to the grandparent (down), over all of their targets."""
-    down, zone = F.split_part("from_state", F.lit("|"), F.lit(1)), F.split_part("from_state", F.lit("|"), F.lit(3))
-    rows = transitions.withColumns({"g": down, "p": F.concat_ws("|", down, zone)})
-    total = lambda key, name: rows.groupBy("era", key).agg(F.sum("n").alias(name))
-    pair = lambda key, name: rows.groupBy("era", key, "to_state").agg(F.sum("n").alias(name))
-    states = rows.groupBy("era", "from_state", "p", "g").agg(F.sum("n").alias("n_from"))
-    # The targets of the grandparent include those of the parent and of the state itself.
-    out = states.join(pair("g", "n_g"), ["era", "g"]).join(total("g", "t_g"), ["era", "g"]).join(total("p", "t_p"), ["era", "p"])
-    out = out.join(pair("p", "n_p"), ["era", "p", "to_state"], "left").join(transitions.select("era", "from_state", "to_state", "n"), ["era", "from_state", "to_state"], "left")
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    parent = (zero("n_p") + alpha * F.col("n_g") / F.col("t_g")) / (F.col("t_p") + alpha)
-    return out.select("era", "from_state", "to_state", ((zero("n") + alpha * parent) / (F.col("n_from") + alpha)).alias("p"))
-
-
-def absorbing_chain(probs: DataFrame) -> DataFrame:
-    """Absorption probabilities and expected points of each state; one small solve for each era."""
-    ends = sorted(set(ABSORBING.values()))
-
-    def solve(g: pd.DataFrame) -> pd.DataFrame:
-        states = np.unique(g["from_state"])
-        q, r = np.zeros((len(states), len(states))), np.zeros((len(states), len(ends)))
-        at = np.searchsorted(states, g["from_state"])
-        inside = g["to_state"].isin(states).to_numpy()
-        q[at[inside], np.searchsorted(states, g["to_state"][inside])] = g["p"][inside]
-        stop = g["to_state"].isin(ends).to_numpy()
-        r[at[stop], np.searchsorted(ends, g["to_state"][stop])] = g["p"][stop]
-        b = np.linalg.solve(np.eye(len(states)) - q, r)
-        out = pd.DataFrame(b, columns=[f"p_{e.lower()}" for e in ends])
-        return out.assign(era=g["era"].iloc[0], state=states, expected_points=TOUCHDOWN * b[:, ends.index("TD")] + FIELD_GOAL * b[:, ends.index("FG")])[["era", "state", *out.columns, "expected_points"]]
-
-    return probs.groupBy("era").applyInPandas(solve, "era string, state string, " + ", ".join(f"p_{e.lower()} double" for e in ends) + ", expected_points double")
-
-
-def drive_handoffs(t, alpha: float = 20.0) -> DataFrame:
-    """What follows a drive of the other side in the same contest, smoothed towards all drives' mean."""
-    w = Window.partitionBy("game_id").orderBy("drive_number", "offense", "id")
-    rows = t["drives"].withColumns({"next_offense": F.lead("offense").over(w), "next_start": F.lead("start_yards_to_goal").over(w)}).filter("next_offense <> offense")
-    zone = F.expr("(next_start + 9) div 10")
-    counted = rows.groupBy("drive_result", zone.alias("zone")).agg(F.count(F.lit(1)).alias("n"))
-    by_result, by_zone, everything = counted.groupBy("drive_result").agg(F.sum("n").alias("t")), counted.groupBy("zone").agg(F.sum("n").alias("z")), counted.agg(F.sum("n").alias("a"))
-    out = by_result.crossJoin(by_zone).crossJoin(everything).join(counted, ["drive_result", "zone"], "left")  # a few results by ten zones
-    return out.select("drive_result", "zone", F.coalesce("n", F.lit(0)).alias("n"), ((F.coalesce("n", F.lit(0)) + alpha * F.col("z") / F.col("a")) / (F.col("t") + alpha)).alias("p"))
-
-
-def chain_gates(t) -> DataFrame:
-    """States whose expected points fall on coming nearer to the goal, by down and distance."""
-    ep = absorbing_chain(shrink(drive_state_transitions(t)))
-    part = lambda i: F.split_part("state", F.lit("|"), F.lit(i))
-    rows = ep.select("era", part(1).alias("down"), part(2).alias("distance"), part(3).cast("long").alias("zone"), "expected_points")
-    w = Window.partitionBy("era", "down", "distance").orderBy("zone")
-    return rows.withColumn("nearer", F.lag("expected_points").over(w)).groupBy("era", "down").agg(F.count("nearer").alias("steps"), count_if(F.col("nearer") < F.col("expected_points")).alias("not_monotone"))
-
-
 def replicate_summary(replicates: DataFrame, key: str, value: str, at: tuple[float, ...] = (0.1, 0.25, 0.5, 0.75, 0.9)) -> DataFrame:
     """Distribution over the full range, mean and lower-interpolated percentiles of a (replicate, key, value) table."""
     counts = replicates.groupBy(key, value).agg(F.count(F.lit(1)).alias("c"))

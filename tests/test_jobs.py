@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from duelbook.functions import exprs as x
 from duelbook.operators import frames, quality
-from duelbook.stats import jobs
+from duelbook.stats import chain, jobs
 
 
 def one(spark, col):
@@ -73,16 +73,74 @@ def test_asof_ridge_sees_only_earlier_weeks(spark):
     assert all(abs(week2[t] - v) < 1e-9 for t, v in early.items())
 
 
+def test_states(spark):
+    """Every down, distance and yard line against the rule told plainly."""
+    cases = [(d, far, y) for d in range(1, 5) for far in range(1, 46) for y in (1, 2, 5, 9, 10, 11, 20, 21, 50, 90, 91, 99)]
+    got = {tuple(r)[:3]: r[3] for r in spark.createDataFrame(cases, "down long, distance long, yards_to_goal long").select("*", chain.state_key()).collect()}
+    for d, far, y in cases:
+        name = "goal" if far >= y else ("standard" if far == 10 else "short" if far < 10 else "long") if d == 1 else "short" if far <= 3 else "med" if far <= 6 else "long" if far <= 10 else "xlong"
+        assert got[d, far, y] == f"d{d}|{name}|z{min(10, max(1, (y + 9) // 10))}"
+
+
 def test_chain(spark):
-    edges = [("e", "1|short|1", "TD", 0.5), ("e", "1|short|1", "1|short|2", 0.5), ("e", "1|short|2", "1|short|1", 0.25), ("e", "1|short|2", "PUNT", 0.75)]
-    got = {r["state"]: r for r in jobs.absorbing_chain(spark.createDataFrame(edges, "era string, from_state string, to_state string, p double")).collect()}
-    assert got["1|short|1"]["p_td"] == pytest.approx(0.5 / 0.875) and got["1|short|1"]["expected_points"] == pytest.approx(6.97 * 0.5 / 0.875)
-    counts = [("e", "1|short|1", "TD", 5), ("e", "1|long|1", "PUNT", 2), ("e", "1|long|2", "FG", 1)]
-    rows = jobs.shrink(spark.createDataFrame(counts, "era string, from_state string, to_state string, n long"))
+    one, two = "d1|standard|z1", "d1|standard|z2"
+    edges = [("e", one, "TD", 0.5), ("e", one, two, 0.5), ("e", two, one, 0.25), ("e", two, "PUNT", 0.5), ("e", two, "SAFETY", 0.25)]
+    got = {r["state"]: r for r in chain.absorbing_chain(spark.createDataFrame(edges, "era string, from_state string, to_state string, p double")).collect()}
+    td, safe = 0.5 / 0.875, 0.5 * 0.25 / 0.875
+    assert got[one]["p_td"] == pytest.approx(td) and got[one]["expected_points"] == pytest.approx(6.97 * td - 2 * safe)
+    counts = [("e", "d1|short|z1", "TD", 5), ("e", "d1|long|z1", "PUNT", 2), ("e", "d1|long|z2", "FG", 1)]
+    rows = chain.shrink(spark.createDataFrame(counts, "era string, from_state string, to_state string, n long"))
     sums = {r[0]: r[1] for r in rows.groupBy("from_state").agg(F.sum("p")).collect()}
     assert all(abs(v - 1) < 1e-12 for v in sums.values()) and len(sums) == 3
 
 
+def test_net_points_solve_the_recursion(spark):
+    """Values put back into their own recursion: points now, less what the other side is worth where it takes over."""
+    rng = np.random.default_rng(4)
+    heads = ["d1|goal|z1", *[f"d1|standard|z{z}" for z in range(2, 11)]]
+    step, given = {}, {}
+    for s in heads:
+        p = rng.dirichlet(np.ones(len(heads) + len(chain.ENDS)))
+        step[s] = dict(zip([*heads, *chain.ENDS], p))
+    for e in chain.HANDED_OVER:
+        for x in range(1, 11):
+            given[e, x] = rng.dirichlet(np.ones(10))
+    probs = spark.createDataFrame([("e", s, to, float(p)) for s, row in step.items() for to, p in row.items()], "era string, from_state string, to_state string, p double")
+    hands = spark.createDataFrame([("e", e, x, z + 1, float(p)) for (e, x), row in given.items() for z, p in enumerate(row)], "era string, ending string, exit_zone long, zone long, p double")
+    net = {r["state"]: r["net_points"] for r in chain.net_expected_points(probs, hands).collect()}
+    for s in heads:
+        want = 0.0
+        for to, p in step[s].items():
+            if to in net:
+                want += p * net[to]
+            elif to in chain.HANDED_OVER:
+                want -= p * sum(q * net[heads[z]] for z, q in enumerate(given[to, int(s.rsplit("z", 1)[1])]))
+            else:
+                want += p * chain.POINTS.get(to, 0.0)
+        assert net[s] == pytest.approx(want)
+
+
+def test_bootstrap_and_unmapped(spark):
+    state = "d1|standard|z3"
+    rows = [("2021+", g, g, state, "TD" if g % 2 else "PUNT", True, "x") for g in range(400)]
+    df = spark.createDataFrame(rows, "era string, game_id long, drive_id long, from_state string, to_state string, first boolean, end string")
+    got = chain.cluster_bootstrap_se(df, 100, alpha=0.0).collect()
+    assert len(got) == 1 and got[0]["replicates"] == 100 and got[0]["se"] == pytest.approx(6.97 * 0.5 / 20, rel=0.3)
+    with pytest.raises(ValueError):
+        chain.check_mapped(df.withColumn("end", F.when(F.col("game_id") > 10, F.col("end"))))
+
+
+def test_ridge_rows(spark):
+    """Garbage time is left out; on neutral sites nobody is at home."""
+    from duelbook.sources.adapter import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    want = t["plays"].join(t["games"].select(F.col("id").alias("game_id"), "neutral_site"), "game_id").filter(F.col("ppa").isNotNull() & ~F.col("play_type").isin("Timeout", "End Period", "End of Half", "End of Game", "Kickoff", "Kickoff Return (Offense)"))
+    want = [r for r in want.collect() if not ((r["period"] == 4 and abs(r["score_diff"]) > 28) or (r["period"] >= 3 and abs(r["score_diff"]) > 35))]
+    cells = jobs.effect_cells(jobs.ridge_plays(t)).agg(F.sum("n"), F.sum(F.when(F.col("at_home") == 1, F.col("n")))).first()
+    assert cells[0] == len(want) and cells[1] == sum(r["offense"] == r["home"] and not r["neutral_site"] for r in want)
+
+
 def test_replicates_of_seasons_stay_apart(spark):
     rows = [(s, w, h, "c", a, "c", x, y, True) for s, w, h, a, x, y in ((2018, 1, "A", "B", 9, 0), (2019, 1, "C", "D", 9, 0), (2019, 2, "A", "C", 0, 9))]
     games = spark.createDataFrame(rows, "season long, week long, home_team string, home_conference string, away_team string, away_conference string, home_points long, away_points long, completed boolean")
