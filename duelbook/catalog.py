@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .plans import marts_base as mb
 from .plans import jobs_catalog
 from .plans import marts_more as mm
-from .plans import oracle_marts, oracle_more, oracle_serve, primitives
+from .plans import oracle_jobs, oracle_marts, oracle_more, oracle_serve, primitives
 from .plans import serve as sv
 from .sources.adapter import Tables, with_views
 
@@ -35,7 +35,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "L42": lambda t: sv.recruiting_class_history(t, TEAM), "L43": lambda t: sv.recruiting_roi_of(t, TEAM), "L44": lambda t: sv.team_portal_activity(t, TEAM, SEASON), "L45": lambda t: sv.team_signees(t, TEAM, SEASON), "L46": lambda t: sv.games_search(t, TEAM, SEASON),
 }
 PLANS |= primitives.PLANS | jobs_catalog.PLANS
-SQL: dict[str, str] = {**oracle_marts.SQL, **oracle_more.SQL, **oracle_serve.SQL, **primitives.SQL, **jobs_catalog.SQL}
+SQL: dict[str, str] = {**oracle_marts.SQL, **oracle_more.SQL, **oracle_serve.SQL, **primitives.SQL, **jobs_catalog.SQL, **oracle_jobs.SQL}
 
 
 def _long(df: DataFrame) -> DataFrame:

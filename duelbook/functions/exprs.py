@@ -130,6 +130,9 @@ def seconds_remaining(period, clock, length: int = 900, periods: int = 4) -> Col
     return F.when(c(period) > periods, F.lit(0)).when(F.size(part) == 2, left + (periods - c(period)) * length)
 
 
+STATE_SECONDS_SQL = "(4 - period) * 900 + clock_minutes * 60 + clock_seconds"
+
+
 def state_hash(*columns, null: str = "") -> Column:
     """md5 of the fields joined by a bar; how null is written is the caller's choice."""
     return F.md5(F.concat_ws("|", *[F.coalesce(c(x).cast("string"), F.lit(null)) for x in columns]))

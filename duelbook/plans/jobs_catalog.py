@@ -86,6 +86,7 @@ add("M19", lambda t: ch.net_expected_points(ch.shrink(ch.drive_state_transitions
 add("M20", lambda t: ch.cluster_bootstrap_se(ch.check_mapped(ch.chain_rows(t))))
 add("M21", ch.chain_gates)
 add("M22", m.live_wp_calibration)
+add("M22_deciles", m.live_wp_deciles)
 _PRED = "(SELECT p.*, home_points, away_points, (home_points - away_points)::DOUBLE AS m FROM {game_predictions} p JOIN {games} g ON g.id = p.game_id AND completed QUALIFY row_number() OVER (PARTITION BY p.game_id, model_version ORDER BY prediction_day DESC) = 1)"
 add("M26", m.projection_eval, f"SELECT model_version, least(floor(home_win_prob * 10), 9)::BIGINT AS bucket, count(*) AS n, avg(abs(expected_margin - m)) AS mae, sqrt(avg((expected_margin - m) ** 2)) AS rmse, avg(expected_margin - m) AS bias, avg(home_win_prob) AS predicted, avg((m > 0)::INT) AS observed FROM {_PRED} GROUP BY 1, 2")
 add("M28", m.residual_sigma, f"SELECT model_version, count(*) AS n, round(stddev_pop(m - expected_margin), 9) AS sigma FROM {_PRED} GROUP BY model_version")
@@ -96,7 +97,8 @@ add("M30", lambda t: m.best_share(m._season_replicates(t), "conference", "team",
 add("M30_seasons", lambda t: m.best_share(m._season_replicates(t).withColumn("conference", F.concat_ws(" ", "season", "conference")), "conference", "team", "wins"), _SHARE.replace("{key}", "season || ' ' || conference").replace("{rows}", _REPL))
 add("M31", m.schedule_strength, "SELECT season, team, avg(rating) AS strength, count(rating) AS rated_games, rank() OVER (PARTITION BY season ORDER BY round(avg(rating), 9) DESC NULLS LAST) AS strength_rank FROM (SELECT season, home_team AS team, away_team AS opp FROM {games} UNION ALL SELECT season, away_team, home_team FROM {games}) g LEFT JOIN {sp_ratings} s ON s.team = opp AND s.year = season GROUP BY season, g.team".replace("SELECT season, team, avg", "SELECT season, g.team, avg"))
 add("M33", lambda t: m.stale_fit_seasons(t, t["games"].filter("season < 2018").select("season").distinct()), "SELECT season, count(*) AS games, avg(completed::INT) AS done FROM {games} WHERE season >= 2018 GROUP BY season HAVING avg(completed::INT) >= 0.99 AND count(*) >= 100")
-add("M35", lambda t: m.match_entities(t["nation"].select(F.concat(C("n_name"), L("s")).alias("name")).unionByName(t["nation"].select(F.lower("n_name").alias("name"))).unionByName(t["nation"].select(C("n_name").alias("name"))), t["nation"].select(C("n_name").alias("name"))))
+_NAMES = lambda t: t["recruits"].select(F.when(C("id") % 3 == 0, F.upper("name")).when(C("id") % 3 == 1, F.concat("name", L("s"))).otherwise(C("name")).alias("name"))
+add("M35", lambda t: m.match_entities(_NAMES(t), t["rosters"].select(C("last_name").alias("name"))))
 add("M36", m.accuracy_rollup)
 
 PLANS = {k: v[0] for k, v in SPECS.items()}

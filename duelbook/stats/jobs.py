@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import count_if, ratio, week_index
+from ..functions.exprs import STATE_SECONDS_SQL, count_if, live_win_probability, ratio, week_index
 from ..operators.frames import latest_per_key, unpivot_sides
 from ..plans import marts_base as mb
 from ..plans import marts_more as mm
@@ -183,7 +183,14 @@ def match_entities(source: DataFrame, canonical: DataFrame, least: float = 0.85)
     rest = s.join(exact, "name", "left_anti")
     same = rest.join(c, normal_name("name") == normal_name("canonical")).groupBy("name").agg(F.min("canonical").alias("canonical")).select("name", "canonical", F.lit("normalised").alias("tier"), F.lit(0.95).alias("confidence"))
     rest = rest.join(same, "name", "left_anti")
-    pairs = rest.withColumn("g", F.explode(trigrams("name"))).join(c.withColumn("g", F.explode(trigrams("canonical"))), "g").select("name", "canonical").distinct()
+    # An edit spoils at most three trigrams, so names that alike share one of the source's rarest ``allowed + 1``: no link is lost,
+    # and common trigrams pair nothing.
+    grams = c.select("canonical", F.explode(trigrams("canonical")).alias("g"))
+    rare = rest.select("name", F.explode(trigrams("name")).alias("g")).join(grams.groupBy("g").agg(F.count(F.lit(1)).alias("df")), "g", "left")
+    rank = F.row_number().over(Window.partitionBy("name").orderBy(F.coalesce("df", F.lit(0)), "g"))
+    allowed = F.ceil(3 * (1 - least) * F.length(normal_name("name")) / least)
+    rare = rare.withColumn("rank", rank).filter(F.col("rank") <= allowed + 1).select("name", "g")
+    pairs = rare.join(grams, "g").select("name", "canonical").distinct()
     near = pairs.withColumn("s", edit_similarity(normal_name("name"), normal_name("canonical"))).filter(F.col("s") >= least)
     fuzzy = latest_per_key(near, ["name"], [F.col("s").desc(), F.col("canonical")]).select("name", "canonical", F.lit("fuzzy").alias("tier"), F.col("s").alias("confidence"))
     return exact.unionByName(same).unionByName(fuzzy)
@@ -208,13 +215,21 @@ def margin_model(t) -> DataFrame:
     return ridge_margin(rows, ["home_pregame_elo", "away_pregame_elo", "neutral"], "margin")
 
 
+def _live_states(t) -> DataFrame:
+    """Every play of finished contests: score_diff, seconds left, whether the home side won."""
+    games = t["games"].filter("completed").select(F.col("id").alias("game_id"), (F.col("home_points") > F.col("away_points")).cast("double").alias("won"))
+    return t["plays"].select("game_id", "score_diff", F.expr(STATE_SECONDS_SQL).alias("seconds")).join(games, "game_id")
+
+
 def live_wp_calibration(t, sigmas: tuple[float, ...] = (10.0, 13.0, 16.0, 19.0)) -> DataFrame:
     """Brier score of the closed-form probability under each spread, and the best one."""
-    from ..functions.exprs import live_win_probability
-
-    games = t["games"].filter("completed").select(F.col("id").alias("game_id"), (F.col("home_points") > F.col("away_points")).cast("double").alias("won"))
-    seconds = (4 - F.col("period")) * 900 + F.col("clock_minutes") * 60 + F.col("clock_seconds")
-    states = t["plays"].select("game_id", "score_diff", seconds.alias("seconds")).join(games, "game_id").withColumn("sigma", F.explode(F.array(*[F.lit(s) for s in sigmas])))
+    states = _live_states(t).withColumn("sigma", F.explode(F.array(*[F.lit(s) for s in sigmas])))
     p = live_win_probability(F.col("score_diff").cast("double"), F.lit(0.0), F.col("seconds"), F.col("sigma"))
     out = states.groupBy("sigma").agg(F.avg(F.pow(p - F.col("won"), F.lit(2.0))).alias("brier"), F.count(F.lit(1)).alias("n"))
     return out.withColumn("is_best", F.rank().over(Window.orderBy("brier")) == 1)  # one row for each spread
+
+
+def live_wp_deciles(t, sigma: float = 16.0) -> DataFrame:
+    """Predicted against observed by tenths of the probability, the last one closed."""
+    states = _live_states(t).select("won", live_win_probability(F.col("score_diff").cast("double"), F.lit(0.0), F.col("seconds"), sigma).alias("p"))
+    return states.groupBy(F.least(F.floor(F.col("p") * 10), F.lit(9)).alias("decile")).agg(F.count(F.lit(1)).alias("n"), F.avg("p").alias("predicted"), F.avg("won").alias("observed"))
