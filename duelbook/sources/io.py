@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from ..operators.frames import numbered
 
 
 def scan_ndjson(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -32,8 +33,7 @@ def wide_matrix_to_long(df: DataFrame, fixed: list[str], values: list[str]) -> D
 
 def pair_consecutive_rows(df: DataFrame, group: list[str], order: list[str], kind: str, values: list[str]) -> tuple[DataFrame, DataFrame]:
     """(pairs, rejects): rows 1-2, 3-4, ... of a group as visitor and home (kinds V H or N N); other pairs are rejects."""
-    rn = F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1
-    rows = df.withColumns({"_pair": F.expr("_r div 2"), "_second": F.expr("_r % 2")}) if "_r" in df.columns else df.withColumn("_r", rn).withColumns({"_pair": F.expr("_r div 2"), "_second": F.expr("_r % 2")})
+    rows = numbered(df, group, order, "_r").withColumns({"_pair": F.expr("_r div 2"), "_second": F.expr("_r % 2")})
     pick = lambda c, k: F.max(F.when(F.col("_second") == k, F.col(c)))
     pairs = rows.groupBy(*group, "_pair").agg(F.concat(pick(kind, 0), pick(kind, 1)).alias("_kinds"), *[pick(v, 0).alias(f"visitor_{v}") for v in values], *[pick(v, 1).alias(f"home_{v}") for v in values])
     good = F.coalesce(F.col("_kinds").isin("VH", "NN"), F.lit(False))
@@ -54,19 +54,40 @@ def merged(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return tagged.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("_new").desc(), *rest))).filter("_rn = 1").drop("_rn", "_new")
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
-def write_merge(df: DataFrame, path: str, keys: list[str]) -> None:
-    """A9 on disk: the result goes to a fresh folder beside the target, and only then replaces its files."""
-    old = _existing(df.sparkSession, path)
-    out = merged(old, df, keys) if old is not None else merged(df.limit(0), df, keys)
-    out.write.mode("overwrite").parquet(path + ".next")
-    df.sparkSession.read.parquet(path + ".next").write.mode("overwrite").parquet(path)
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path's maker."""
+    maker = spark._jvm.org.apache.hadoop.fs.Path
+    return maker(path).getFileSystem(spark._jsc.hadoopConfiguration()), maker
+
+
+def write_merge(df: DataFrame, path: str, keys: list[str], partition: str | None = None) -> None:
+    """A9 on disk. The merged table goes to a fresh folder beside the target and takes its place by renaming; a run that was cut
+    off between the two renames is mended by the next one.
+
+    With ``partition`` (a column whose value a key never changes), only partitions that have new rows are read and replaced.
+    """
+    spark = df.sparkSession
+    files, maker = _files(spark, path)
+    target, fresh, old = maker(path), maker(path + ".next"), maker(path + ".old")
+    if not files.exists(target) and files.exists(old):
+        files.rename(old, target)
+    if not files.exists(target):
+        merged(df.limit(0), df, keys).write.mode("overwrite").partitionBy(*([partition] if partition else [])).parquet(path)
+        return
+    now = spark.read.parquet(path)
+    if partition:
+        touched = df.select(partition).distinct()
+        out = merged(now.join(touched, partition, "left_semi"), df, keys)
+        out.write.mode("overwrite").parquet(path + ".next")
+        write_partition_replace(spark.read.parquet(path + ".next"), path, partition)
+        files.delete(fresh, True)
+        return
+    merged(now, df, keys).write.mode("overwrite").parquet(path + ".next")
+    files.delete(old, True)
+    files.rename(target, old)
+    files.rename(fresh, target)
+    files.delete(old, True)
+    spark.catalog.refreshByPath(path)
 
 
 def write_append(df: DataFrame, path: str) -> None:

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from duelbook.operators import frames
 from duelbook.plans import serve
 from duelbook.sources import adapter, io
 from duelbook.streaming import snapshots
@@ -19,6 +20,14 @@ def test_write_modes(spark, tmp_path):
     io.write_merge(df([(1, 1, "a"), (2, 1, "b")]), path, ["id"])
     io.write_merge(df([(2, 1, "c"), (3, 2, "d")]), path, ["id"])
     assert read() == {1: "a", 2: "c", 3: "d"}
+    (tmp_path / "t").rename(tmp_path / "t.old")  # as if cut off between the renames
+    io.write_merge(df([(3, 2, "e")]), path, ["id"])
+    assert read() == {1: "a", 2: "c", 3: "e"} and not (tmp_path / "t.old").exists()
+    by_season = str(tmp_path / "m")
+    for rows in ([(1, 1, "a"), (2, 2, "b")], [(2, 2, "c"), (3, 2, "d")]):
+        io.write_merge(df(rows), by_season, ["id"], "season")
+    assert {(r["id"], r["season"], r["v"]) for r in spark.read.parquet(by_season).collect()} == {(1, 1, "a"), (2, 2, "c"), (3, 2, "d")}
+    io.write_merge(df([(3, 2, "d")]), path, ["id"])
     io.write_append(df([(4, 2, "e")]), path)
     assert len(read()) == 4
     io.write_replace([df([(9, 1, "x")]), df([(8, 1, "y")])], path)
@@ -47,6 +56,16 @@ def test_flat_files(spark, tmp_path):
     assert [r["path"] for r in io.hash_skip(files, ledger).collect()] == ["q"]
 
 
+def test_numbered(spark):
+    df = spark.range(500).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id % 3 END AS g", "CASE WHEN id % 50 = 0 THEN NULL ELSE id * 7 % 101 END AS a", "id AS b")
+    got = {r["b"]: r["n"] for r in frames.numbered(df, ["g"], ["a", "b"], "n").collect()}
+    want = {}
+    for g in (None, 1, 2):
+        for n, r in enumerate(sorted((r for r in df.collect() if r["g"] == g), key=lambda r: (r["a"] is not None, r["a"] or 0, r["b"]))):
+            want[r["b"]] = n
+    assert got == want and frames.numbered(df.limit(0), ["g"], ["a", "b"], "n").count() == 0
+
+
 def test_reshapes(spark):
     pairs, bad = io.pair_consecutive_rows(spark.createDataFrame([(1, "V", 10), (2, "H", 7), (3, "H", 1), (4, "V", 2)], "n long, kind string, pts long").withColumn("g", F.lit(1)), ["g"], ["n"], "kind", ["pts"])
     assert [(r["visitor_pts"], r["home_pts"]) for r in pairs.collect()] == [(10, 7)] and bad.count() == 1
