@@ -43,6 +43,7 @@ add("I3", lambda t: sv.live_scoreboard(t), "SELECT game_id, captured_at, status,
 add("I4", lambda t: sv.line_movement(t).groupBy("game_id").agg(F.count(L(1)).alias("captures"), F.max("run").alias("runs"), F.max("unmoved_streak").alias("longest_streak")))
 add("I5", lambda t: sn.normal_status(t["captures"]).select("event_id", "status"), "SELECT event_id, lower(status) AS status FROM {captures} WHERE lower(status) IN ('view', 'click', 'purchase')")
 add("I6", lambda t: sn.enriched(t["captures"], t["games"].select(C("id").alias("game_id"), C("excitement_index").alias("expected"))))
+add("N1", lambda t: q.assert_not_empty(t["core_ratings"], "core_ratings"), "SELECT * FROM {core_ratings}")
 add("N2", lambda t: q.parents_without_children(t["games"].select(C("id").alias("game_id")), t["plays"], ["game_id"]), "SELECT count(*) AS parents, count(*) FILTER (bad) AS missing, avg(bad::INT) AS share, CASE WHEN avg(bad::INT) > 0.02 THEN 'FAIL' WHEN avg(bad::INT) > 0 THEN 'WARN' ELSE 'PASS' END AS status FROM (SELECT id NOT IN (SELECT l_orderkey FROM lineitem) AS bad FROM {games})")
 add("N3", lambda t: q.reconcile_counts(t["orders"], t["games"]), "SELECT (SELECT count(*) FROM orders) AS source_rows, (SELECT count(*) FROM {games}) AS loaded_rows, CASE WHEN source_rows = loaded_rows THEN 'PASS' ELSE 'FAIL' END AS status".replace("CASE WHEN source_rows = loaded_rows", "CASE WHEN (SELECT count(*) FROM orders) = (SELECT count(*) FROM {games})"))
 add("N4", lambda t: q.staleness(mm.freshness_of_events(t)).select("table_name", "status"))
@@ -99,6 +100,7 @@ add("M31", m.schedule_strength, "SELECT season, team, avg(rating) AS strength, c
 add("M33", lambda t: m.stale_fit_seasons(t, t["games"].filter("season < 2018").select("season").distinct()), "SELECT season, count(*) AS games, avg(completed::INT) AS done FROM {games} WHERE season >= 2018 GROUP BY season HAVING avg(completed::INT) >= 0.99 AND count(*) >= 100")
 _NAMES = lambda t: t["recruits"].select(F.when(C("id") % 3 == 0, F.upper("name")).when(C("id") % 3 == 1, F.concat("name", L("s"))).otherwise(C("name")).alias("name"))
 add("M35", lambda t: m.match_entities(_NAMES(t), t["rosters"].select(C("last_name").alias("name"))))
+add("M34", lambda t: m.resolve_names(t["games"].select("id", F.concat(L(" "), F.lower("home_team")).alias("name")), t["teams"].select(C("school").alias("source_name"), C("school").alias("canonical")), "name"), "SELECT id, ' ' || lower(home_team) AS name, home_team AS canonical FROM {games}")
 add("M36", m.accuracy_rollup)
 
 PLANS = {k: v[0] for k, v in SPECS.items()}
