@@ -83,7 +83,7 @@ c AS (SELECT {_ERA} AS era, {_ENDS} AS ending, exit_zone, {_ZONE.format("ns")} A
 gr AS (SELECT * FROM (SELECT DISTINCT {_ERA} AS era FROM {{drives}}), (SELECT unnest(['PUNT', 'TURNOVER', 'DOWNS', 'MISSED_FG']) AS ending), (SELECT unnest(range(1, 11)) AS exit_zone), (SELECT unnest(range(1, 11)) AS zone) WHERE era IS NOT NULL),
 f AS (SELECT gr.*, coalesce(n, 0) AS n FROM gr LEFT JOIN c USING (era, ending, exit_zone, zone))
 SELECT era, ending, exit_zone, zone, n, (n + 20 * coalesce(sum(n) OVER (PARTITION BY era, ending, zone) / nullif(sum(n) OVER (PARTITION BY era, ending), 0), 0.1)) / (sum(n) OVER (PARTITION BY era, ending, exit_zone) + 20) AS p FROM f""")
-add("M19", lambda t: ch.net_expected_points(ch.shrink(ch.drive_state_transitions(t)), ch.drive_handoffs(t)))
+add("M19", lambda t: ch.net_expected_points(ch.shrink(ch.drive_state_transitions(t)), ch.drive_handoffs(t), strict=False))
 add("M20", lambda t: ch.cluster_bootstrap_se(ch.check_mapped(ch.chain_rows(t))))
 add("M21", ch.chain_gates)
 add("M22", m.live_wp_calibration)

@@ -167,8 +167,11 @@ def drive_handoffs(t, alpha: float = HANDOFF_ALPHA) -> DataFrame:
     return rows.select("era", "ending", "exit_zone", "zone", "n", ((F.col("n") + alpha * own) / (sums("exit_zone") + alpha)).alias("p"))
 
 
-def net_expected_points(probs: DataFrame, handoffs: DataFrame) -> DataFrame:
-    """(era, state, net_points): value of the next score of the half. The ten states in which a side can take over are solved exactly, the others follow."""
+def net_expected_points(probs: DataFrame, handoffs: DataFrame, strict: bool = True) -> DataFrame:
+    """(era, state, net_points): value of the next score of the half. The ten states in which a side can take over are solved exactly, the others follow.
+
+    An era that lacks one of the ten is an error, or, where that is not asked for, has null values.
+    """
 
     def solve(key, g: pd.DataFrame, h: pd.DataFrame) -> pd.DataFrame:
         states, inverse, r = _matrices(g)
@@ -181,9 +184,10 @@ def net_expected_points(probs: DataFrame, handoffs: DataFrame) -> DataFrame:
             given += inverse @ (r[:, [ENDS.index(end)]] * table[zones])
         # Inside the ten every first down is goal-to-go.
         heads = ["d1|goal|z1" if z == 1 else f"d1|standard|z{z}" for z in range(1, 11)]
-        known = [z for z, s in enumerate(heads) if s in states]
-        if len(known) < 10:
-            raise ValueError(f"no state {sorted(set(heads) - set(states))}")
+        if missing := sorted(set(heads) - set(states)):
+            if strict:
+                raise ValueError(f"no state {missing}")
+            return pd.DataFrame({"era": g["era"].iloc[0], "state": states, "net_points": pd.array([None] * len(states), dtype="Float64")})
         at = np.searchsorted(states, heads)
         taken = np.linalg.solve(np.eye(10) + given[at], scored[at])
         return pd.DataFrame({"era": g["era"].iloc[0], "state": states, "net_points": scored - given @ taken})

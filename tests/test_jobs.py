@@ -120,6 +120,12 @@ def test_net_points_solve_the_recursion(spark):
         assert net[s] == pytest.approx(want)
 
 
+    few = probs.filter(~F.col("from_state").isin(heads[:2]))
+    assert {r["net_points"] for r in chain.net_expected_points(few, hands, strict=False).collect()} == {None}
+    with pytest.raises(Exception, match="no state"):
+        chain.net_expected_points(few, hands).collect()
+
+
 def test_bootstrap_and_unmapped(spark):
     state = "d1|standard|z3"
     rows = [("2021+", g, g, state, "TD" if g % 2 else "PUNT", True, "x") for g in range(400)]
