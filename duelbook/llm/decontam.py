@@ -48,7 +48,7 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 def positional_index(numbers: DataFrame, terms: DataFrame) -> DataFrame:
     """Postings (term, row, pos) of the given terms in ``numbered`` documents, and one (END, row, number of words, doc_id) for each document row."""
-    wanted = terms.select("term").unionByName(terms.sparkSession.createDataFrame([(END,)], "term string"))
+    wanted = terms.select("term").unionByName(terms.sparkSession.range(1).select(F.lit(END).alias("term")))
     exploded = numbers.select("row", "doc_id", F.posexplode(F.concat(words(F.col("text")), F.array(F.lit(END)))).alias("pos", "term"))
     met = exploded.join(maybe_broadcast(wanted, MOST_BROADCAST_ROWS), "term", "left_semi")
     return met.select("term", "row", "pos", F.when(F.col("term") == END, F.col("doc_id")).alias("doc_id"))
