@@ -31,7 +31,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "L10": sv.game_box_score, "L11": sv.game_line_scores, "L12": sv.team_playcalling_profile, "L13": sv.line_movement, "L14": sv.game_drives, "L14_plays": sv.game_plays, "L15": sv.poll_rankings, "L16": sv.game_predictions, "L17": sv.game_win_probability, "L18": sv.live_scoreboard,
     "L20": sv.coach_records, "L23": sv.expected_points_keys, "L24": sv.team_epa_public, "L25": sv.special_teams_sos, "L26": sv.available_seasons, "L27": lambda t: sv.home_away_splits(t, TEAM, SEASON), "L28": lambda t: sv.conference_splits(t, TEAM, SEASON), "L29": lambda t: sv.down_distance_splits(t, TEAM, SEASON),
     "L30": lambda t: sv.field_position_splits(t, TEAM, SEASON), "L31": lambda t: sv.red_zone_splits(t, TEAM, SEASON), "L32": lambda t: sv.player_season_stats_pivoted(t, TEAM, 2017), "L33": lambda t: sv.trajectory_averages(t, CONFERENCE, 2016, 2020), "L34": lambda t: sv.player_search(t, "Customer 10"),
-    "L35": lambda t: sv.conference_h2h(t, "EUROPE", CONFERENCE, 2016), "L36": sv.stale_first, "L37": lambda t: sv.drive_patterns(t, TEAM, SEASON), "L39": lambda t: sv.player_game_log(t, "12", SEASON), "L40": lambda t: sv.player_percentiles(t, "100"), "L41": lambda t: sv.player_season_leaders(t, SEASON, "rushing", limit=20),
+    "L35": lambda t: sv.conference_h2h(t, "EUROPE", CONFERENCE, 2016), "L36": sv.stale_first, "L37": lambda t: sv.drive_patterns(t, TEAM, SEASON), "L38": lambda t: sv.player_season_detail(t, "100"), "L39": lambda t: sv.player_game_log(t, "12", SEASON), "L40": lambda t: sv.player_percentiles(t, "100"), "L41": lambda t: sv.player_season_leaders(t, SEASON, "rushing", limit=20),
     "L42": lambda t: sv.recruiting_class_history(t, TEAM), "L43": lambda t: sv.recruiting_roi_of(t, TEAM), "L44": lambda t: sv.team_portal_activity(t, TEAM, SEASON), "L45": lambda t: sv.team_signees(t, TEAM, SEASON), "L46": lambda t: sv.games_search(t, TEAM, SEASON),
 }
 PLANS |= primitives.PLANS | jobs_catalog.PLANS

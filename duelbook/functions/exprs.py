@@ -143,7 +143,7 @@ def win_expectancy(diff) -> Column:
     return 1 / (1 + F.pow(F.lit(10.0), -c(diff) / 400.0))
 
 
-def carry_over(rating, seed: float = 1500.0, keep: float = 2 / 3) -> Column:
+def carry_over(rating, seed: float = 1500.0, keep: float | Column = 2 / 3) -> Column:
     """A rating at a new season's start: pulled towards the seed."""
     return c(rating) * keep + seed * (1 - keep)
 

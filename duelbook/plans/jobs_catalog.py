@@ -9,6 +9,7 @@ from ..operators import quality as q
 from ..sources import io
 from ..stats import chain as ch
 from ..stats import jobs as m
+from ..stats import predictions as pr
 from ..streaming import snapshots as sn
 from . import marts_more as mm
 from . import serve as sv
@@ -102,6 +103,8 @@ _NAMES = lambda t: t["recruits"].select(F.when(C("id") % 3 == 0, F.upper("name")
 add("M35", lambda t: m.match_entities(_NAMES(t), t["rosters"].select(C("last_name").alias("name"))))
 add("M34", lambda t: m.resolve_names(t["games"].select("id", F.concat(L(" "), F.lower("home_team")).alias("name")), t["teams"].select(C("school").alias("source_name"), C("school").alias("canonical")), "name"), "SELECT id, ' ' || lower(home_team) AS name, home_team AS canonical FROM {games}")
 add("M36", m.accuracy_rollup)
+add("M07", pr.predictions_of_pending)
+add("M08", pr.ratings_of_sides)
 
 PLANS = {k: v[0] for k, v in SPECS.items()}
 SQL = {k: v[1] for k, v in SPECS.items() if v[1]}

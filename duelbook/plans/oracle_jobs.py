@@ -43,6 +43,10 @@ SELECT c.*, weighted_success, percent_rank() OVER (PARTITION BY season ORDER BY
   SELECT sigma, won, {win_probability('score_diff::DOUBLE', '0.0', SECONDS, 'sigma')} AS p FROM {{plays}} JOIN (SELECT id, (home_points > away_points)::INT::DOUBLE AS won FROM {{games}} WHERE completed) g ON g.id = game_id, (SELECT unnest([10.0, 13.0, 16.0, 19.0]::DOUBLE[]) AS sigma)) GROUP BY sigma""",
     "M22_deciles": f"""SELECT least(floor(p * 10), 9)::BIGINT AS decile, count(*) AS n, avg(p) AS predicted, avg(won) AS observed FROM (
   SELECT won, {win_probability('score_diff::DOUBLE', '0.0', SECONDS)} AS p FROM {{plays}} JOIN (SELECT id, (home_points > away_points)::INT::DOUBLE AS won FROM {{games}} WHERE completed) g ON g.id = game_id) GROUP BY 1""",
+    "M08": """WITH s AS (SELECT home_team AS team, season, home_postgame_elo AS r, start_date, game_id FROM {house_elo_game} UNION ALL SELECT away_team, season, away_postgame_elo, start_date, game_id FROM {house_elo_game}),
+  l AS (SELECT team, season AS s, r FROM s WHERE season < (SELECT max(season) FROM {games}) QUALIFY row_number() OVER (PARTITION BY team ORDER BY start_date DESC, game_id DESC) = 1),
+  g AS (SELECT id AS game_id, season, home_team AS team FROM {games} UNION ALL SELECT id, season, away_team FROM {games})
+  SELECT game_id, season, team, coalesce(r * pow(2.0::DOUBLE / 3, greatest(season - s, 0)) + 1500 * (1 - pow(2.0::DOUBLE / 3, greatest(season - s, 0))), 1500) AS rating FROM g LEFT JOIN l USING (team)""",
     "M36": f"""SELECT model_version, edge_threshold, sum(n_games)::BIGINT AS n_games, sum(margin_mae * n_games) / sum(n_games) AS margin_mae, sum(brier * n_scored_win_prob) / nullif(sum(n_scored_win_prob), 0) AS brier,
   sum(ats_wins) / nullif(sum(ats_wins + ats_losses), 0) AS ats_rate FROM ({oracle_more.K38}) GROUP BY model_version, edge_threshold""",
     "N4": f"SELECT table_name, CASE WHEN row_count = 0 THEN 'FAIL' WHEN is_stale THEN 'WARN' ELSE 'PASS' END AS status FROM ({oracle_more.K28})",

@@ -2,7 +2,7 @@
 
 from .marts_more import PLAYER_STATS
 from .oracle_marts import _K03, _K08, _K11, K01, K02, K05, K10, SIDES
-from .oracle_more import _LATEST, _LINE, K20, K24, K27, K28
+from .oracle_more import _LATEST, _LINE, K20, K24, K27, K28, K30
 from .serve import LEAD_BY, LEADERS
 
 TEAM, SEASON = "NATION_3", 2018
@@ -77,6 +77,10 @@ L33 = f"SELECT season, avg(wins) FILTER (own) AS conf_wins, avg(epa_per_play) FI
 L35 = f"SELECT season, 'EUROPE' AS conference, 'AMERICA' AS opponent, total_games, conf2_wins AS wins, conf1_wins AS losses, ties, -avg_point_diff AS avg_point_diff FROM ({K27}) WHERE conference_1 = 'AMERICA' AND conference_2 = 'EUROPE' AND season >= 2016"
 L36 = K28
 L37 = f"SELECT start_yards_to_goal // 10 * 10 AS start_bin, end_yards_to_goal // 10 * 10 AS end_bin, drive_result, count(*) AS drives, avg(plays) AS avg_plays, avg(yards) AS avg_yards FROM {{drives}} WHERE offense = '{TEAM}' AND season = {SEASON} GROUP BY ALL"
+L38 = f"""SELECT pc.player_id, name, pc.team, position, pc.season, jersey, height, weight, stars, recruit_rating, national_ranking, recruit_class, {', '.join(k for k in PLAYER_STATS if k not in ('fgm', 'fga'))}, p.wepa AS wepa_passing, r.wepa AS wepa_rushing, k.paar
+  FROM ({K20}) pc LEFT JOIN ({K30}) p ON p.athlete_id = pc.player_id AND p.season = pc.season AND p.category = 'passing'
+  LEFT JOIN ({K30}) r ON r.athlete_id = pc.player_id AND r.season = pc.season AND r.category = 'rushing' LEFT JOIN ({K30}) k ON k.athlete_id = pc.player_id AND k.season = pc.season AND k.category = 'kicking'
+  WHERE pc.player_id = '100' ORDER BY pc.season DESC, pc.team LIMIT 1"""
 L39 = f"WITH {SIDES} SELECT k.game_id, week, k.team, opp AS opponent, CASE WHEN at_home THEN 'home' ELSE 'away' END AS side, CASE WHEN pf > pa THEN 'W' WHEN pf < pa THEN 'L' ELSE 'T' END AS result, play_category, plays, total_epa FROM ({_K11}) k JOIN sides s ON s.id = k.game_id AND s.team = k.team WHERE athlete_id = '12' AND k.season = {SEASON}"
 L40 = f"SELECT player_id, season, position_group, COLUMNS('.*_pctl') FROM ({K20}) WHERE player_id = '100'"
 L41 = f"SELECT * FROM ({_leaders(f'AND season = {SEASON}')}) WHERE category = 'rushing' ORDER BY leader_rank, player_id LIMIT 20"

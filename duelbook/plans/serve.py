@@ -96,7 +96,7 @@ def player_season_leaders(t, season: int | None = None, category: str | None = N
 
 
 def player_detail(t, player_id: str | None = None) -> DataFrame:
-    """Latest roster row, all categories of its latest season, recruit."""
+    """Latest roster row, all categories of its latest season, recruit."""
     roster = t["rosters"].filter(all_of(optional("id", player_id)))
     roster = latest_per_key(roster, ["id"], [F.col("year").desc(), F.col("team"), F.col("last_name")]).select(F.col("id").alias("player_id"), "first_name", "last_name", "team", "position")
     stats = mm.pivot_stats(t["player_season_stats"].filter(all_of(optional("player_id", player_id))), ["player_id", "season"], mm.PLAYER_STATS)
@@ -105,6 +105,17 @@ def player_detail(t, player_id: str | None = None) -> DataFrame:
     return roster.join(last, "player_id", "left").join(recruit, "player_id", "left")
 
 
+def player_season_detail(t, player_id: str, season: int | None = None) -> DataFrame:
+    """One player's comparison row of a season (the latest without one), with the three categories' adjusted values."""
+    rows = mm.player_comparison(t).filter((F.col("player_id") == player_id) & all_of(optional("season", season)))
+    of = lambda column, k: F.max(F.when(F.col("category") == k, F.col(column)))
+    values = mm.player_wepa_season(t).filter(F.col("athlete_id") == player_id).groupBy(F.col("athlete_id").alias("player_id"), "season")
+    values = values.agg(of("wepa", "passing").alias("wepa_passing"), of("wepa", "rushing").alias("wepa_rushing"), of("paar", "kicking").alias("paar"))
+    own = ["player_id", "name", "team", "position", "season", "jersey", "height", "weight", "stars", "recruit_rating", "national_ranking", "recruit_class"]
+    stats = [k for k in mm.PLAYER_STATS if k not in ("fgm", "fga")]
+    return rows.join(values, ["player_id", "season"], "left").select(*own, *stats, "wepa_passing", "wepa_rushing", "paar").orderBy(F.col("season").desc(), "team").limit(1)
+
+
 def nested_games(t) -> DataFrame:
     """Box scores as the loader gets them: sides in a contest, categories in a side, entries in a category."""
     rows = t["play_stats"].groupBy("game_id", "team", "stat_type", "athlete_id", "athlete_name").agg(F.count(F.lit(1)).alias("stat"))

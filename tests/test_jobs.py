@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from duelbook.functions import exprs as x
 from duelbook.operators import frames, quality
-from duelbook.stats import chain, jobs
+from duelbook.stats import chain, jobs, predictions
 
 
 def one(spark, col):
@@ -183,3 +183,32 @@ def test_quality_and_names(spark):
         jobs.resolve_names(rows, walk.limit(1), "name")
     got = {r["name"]: (r["canonical"], r["tier"]) for r in jobs.match_entities(spark.createDataFrame([("Alabama",), ("alabama ",), ("Alabamma",), ("Xyz",)], "name string"), spark.createDataFrame([("Alabama",), ("Auburn",)], "name string")).collect()}
     assert got == {"Alabama": ("Alabama", "exact"), "alabama ": ("Alabama", "normalised"), "Alabamma": ("Alabama", "fuzzy")}
+
+
+def test_resolve_rating(spark):
+    snapshot = spark.createDataFrame([("a", 1800.0, 2020), ("b", 1200.0, 2018), ("c", 1700.0, 2021)], "team string, rating double, snapshot_season long")
+    sides = spark.createDataFrame([("a", 2020), ("a", 2021), ("b", 2020), ("c", 2020), ("d", 2020), (None, 2020)], "team string, season long")
+    got = {(r["team"], r["season"]): r["rating"] for r in predictions.resolve_rating(sides, snapshot).collect()}
+    assert got == pytest.approx({("a", 2020): 1800.0, ("a", 2021): 1700.0, ("b", 2020): 1500 - 300 * 4 / 9, ("c", 2020): 1700.0, ("d", 2020): 1500.0, (None, 2020): 1500.0})
+
+
+def test_baseline_predictions(spark):
+    games = spark.createDataFrame(
+        [(1, 2021, "a", "b", False), (2, 2021, "a", "b", True), (3, 2021, "a", "d", None), (4, 2021, "b", "a", False)], "game_id long, season long, home_team string, away_team string, neutral_site boolean"
+    )
+    snapshot = spark.createDataFrame([("a", 1600.0, 2021), ("b", 1500.0, 2021)], "team string, rating double, snapshot_season long")
+    # b has no fit of its own season, and of the two earlier ones only the last is in reach.
+    coefs = spark.createDataFrame([("a", 2021, 0.2, -0.1, 0.01), ("a", 2020, 9.0, 9.0, 9.0), ("b", 2020, 0.1, 0.05, 0.02), ("d", 2019, 1.0, 1.0, 1.0)], "team string, season long, off_coef double, def_coef double, hfa double")
+    market = spark.createDataFrame([(1, "consensus", -7.5), (2, "alpha", -100 / 22), (4, "beta", None)], "game_id long, provider string, spread double")
+    got = {(r["game_id"], r["model_version"]): r for r in predictions.baseline_predictions(games, snapshot, coefs, market).collect()}
+    assert len(got) == 8
+    edge = (0.2 + 0.05) - (0.1 - 0.1)
+    for game, rating, fitted in ((1, 165 / 22, (edge + 0.01) * 68), (2, 100 / 22, edge * 68), (3, 165 / 22, None), (4, -35 / 22, (-edge + 0.02) * 68)):
+        alone, blend = got[game, "rating"], got[game, "blend"]
+        assert alone["expected_margin"] == pytest.approx(rating) and alone["fitted_margin"] is None
+        assert blend["expected_margin"] == pytest.approx(rating if fitted is None else 0.6 * rating + 0.4 * fitted)
+        assert blend["fitted_margin"] == (None if fitted is None else pytest.approx(fitted))
+        assert alone["home_win_prob"] == blend["home_win_prob"] == pytest.approx(1 / (1 + 10 ** (-rating * 22 / 400)))
+    assert got[1, "rating"]["edge"] == pytest.approx(0) and got[1, "rating"]["edge_pick"] == "home"
+    assert got[1, "blend"]["edge"] == pytest.approx(0.6 * 7.5 + 0.4 * 0.26 * 68 - 7.5) and got[1, "blend"]["edge_pick"] == "home"
+    assert got[2, "rating"]["edge_pick"] == "home" and got[4, "rating"]["edge"] is None and got[4, "blend"]["edge_pick"] is None and got[3, "rating"]["market_provider"] is None
