@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from itertools import chain
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, StringType
@@ -148,3 +153,42 @@ def prefix_sums(df: DataFrame, order: list[Column], values: dict[str, Column], n
     run = ranged.select("*", *[F.coalesce(F.sum(v).over(inside), F.lit(0)).alias(f"_in_{k}") for k, v in values.items()])
     both = run.join(F.broadcast(starts), "_part")  # one row for each partition of the sort
     return both.select(*df.columns, *[(F.col(f"_from_{k}") + F.col(f"_in_{k}")).alias(k) for k in values])
+
+
+def tasks_for(spark: SparkSession, n_rows: int, per_task: int) -> int:
+    """Number of tasks, so that one sees about ``per_task`` rows however large the table is; at least the session's own number."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_rows / per_task))
+
+
+def grouped(df: DataFrame, keys: list[str], run: Callable[[dict[str, np.ndarray]], dict], schema: str, order: list[str] | None = None, tasks: int = 0) -> DataFrame:
+    """Calls ``run`` with the rows of each key as arrays by column, sorted by ``order``; it returns columns of equal length.
+
+    Many small groups share one batch in and out; a group that goes on in the next batch is held back, so a group
+    must fit in memory. Keys must not be null.
+    """
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def over(batches):
+        held = None
+        for batch in chain(batches, [None]):
+            if batch is not None and not len(batch):
+                continue
+            if held is not None and batch is not None:
+                batch = pd.concat([held, batch], ignore_index=True)
+            last = batch is None
+            batch = held if last else batch
+            if batch is None:
+                return
+            cols = {c: batch[c].to_numpy() for c in batch.columns}
+            change = np.zeros(len(batch) - 1, dtype=bool)
+            for k in keys:
+                change |= cols[k][1:] != cols[k][:-1]
+            cut = np.flatnonzero(change) + 1
+            ends = [*cut, len(batch)] if last else list(cut)
+            if ends:
+                out = [run({c: v[x:y] for c, v in cols.items()}) for x, y in zip([0, *ends[:-1]], ends, strict=True)]
+                yield pd.DataFrame({c: list(chain.from_iterable(o[c] for o in out)) for c in names})
+            held = None if last else batch.iloc[ends[-1] if ends else 0 :]
+
+    dealt = df.repartition(tasks, *keys) if tasks else df.repartition(*keys)
+    return dealt.sortWithinPartitions(*keys, *(order or [])).mapInPandas(over, schema)

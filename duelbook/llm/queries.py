@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, lm, media, mixing, neardup, secrets, substrings, toxicity, warc
+from . import decontam, divergence, itq, langid, lm, media, merkle, mixing, neardup, secrets, substrings, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -121,6 +121,75 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.findings(_table(spark, folder, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.tamper_check(_table(spark, folder, "documents"))
+
+
+_FIELDS = " || ".join(f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", "{text}"))
+OP11_SQL = f"""
+WITH RECURSIVE crc AS (
+  SELECT *, list_transform(range(1, len(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT)) AS bs FROM documents),
+marked AS (
+  SELECT *, coalesce(xor(list_reduce(bs, lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), 4294967295), 4294967295) & 1 = 0, false) AS struck FROM crc),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, source IS NOT NULL AS named, source, sha256({_FIELDS.format(text="text")}) AS leaf,
+         CASE WHEN struck THEN sha256({_FIELDS.format(text="replace(text, chr(10), '')")}) ELSE sha256({_FIELDS.format(text="text")}) END AS tampered FROM marked),
+groups AS (SELECT named, source, row_number() OVER (ORDER BY named, source) - 1 AS g, count(*) OVER () AS n FROM (SELECT DISTINCT named, source FROM d)),
+leaves AS (
+  SELECT d.*, g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM d JOIN groups ON d.source IS NOT DISTINCT FROM groups.source),
+t AS (
+  SELECT g, 0 AS lvl, pos, leaf AS h, n FROM leaves
+  UNION ALL SELECT g, lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 2) // 3) FROM t WHERE n > 1 GROUP BY g, lvl, pos // 3),
+u AS (
+  SELECT 0 AS lvl, g AS pos, h, groups.n FROM t JOIN groups USING (g) WHERE t.n = 1
+  UNION ALL SELECT lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 2) // 3) FROM u WHERE n > 1 GROUP BY lvl, pos // 3),
+nodes AS (SELECT g, lvl, pos, h, n FROM t UNION ALL SELECT -1, lvl, pos, h, n FROM u),
+sib AS (
+  SELECT a.g, a.lvl, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS x, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS y
+  FROM nodes a JOIN nodes b ON a.g = b.g AND a.lvl = b.lvl AND a.pos // 3 = b.pos // 3 WHERE a.n > 1 GROUP BY a.g, a.lvl, a.pos),
+f AS (
+  SELECT r, g, 0 AS lvl, pos, tampered AS cur, '' AS proof FROM leaves
+  UNION ALL SELECT r, f.g, f.lvl + 1, f.pos // 3, sha256(x || cur || y), proof || x || y FROM f JOIN sib ON sib.g = f.g AND sib.lvl = f.lvl AND sib.pos = f.pos),
+f2 AS (
+  SELECT r, 0 AS lvl, f.g AS pos, cur, proof FROM f JOIN t ON t.g = f.g AND t.lvl = f.lvl WHERE t.n = 1
+  UNION ALL SELECT r, f2.lvl + 1, f2.pos // 3, sha256(x || cur || y), proof || x || y FROM f2 JOIN sib ON sib.g = -1 AND sib.lvl = f2.lvl AND sib.pos = f2.pos)
+SELECT doc_id, leaf, t.h AS subroot, u.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = u.h AS verified
+FROM leaves JOIN t ON t.g = leaves.g AND t.n = 1 JOIN u ON u.n = 1 JOIN f2 ON f2.r = leaves.r AND f2.lvl = u.lvl
+"""
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_table(spark, folder, "documents"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT r, lang, source, unnest(ws) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS big FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(big) AS nl FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM w SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY lang, source),
+g AS (SELECT DISTINCT lang, source FROM d),
+f AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 5)) // (coalesce(n.n, 0) + 5 * v.v) AS p, 1 + (1000000000::HUGEINT * (k.big + 5)) // (v.nl + 5 * v.v) AS q
+  FROM g JOIN k ON k.lang = g.lang JOIN v ON v.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term LEFT JOIN n ON n.lang = g.lang AND n.source = g.source),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, CAST(sum(abs(x.p - y.p)) AS BIGINT) AS value FROM f x JOIN f y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) s
+  ON s.lang = a.lang AND s.source = a.source AND s.item = b.source)
+SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INT) AS rank FROM pair
+UNION ALL
+SELECT lang, source, 'term', term, CAST(p - q AS BIGINT), CAST(row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term) AS INT) AS rank FROM f WHERE c > 0 AND p > q QUALIFY rank <= 50
+"""
+
+
+def op13_embedding_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return itq.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -133,8 +202,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_duplicates": op8_near_duplicates,
         "op9_warc": op9_warc,
         "op10_language_id": op10_language_id,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_source_divergence": op12_source_divergence,
+        "op13_embedding_near_duplicates": op13_embedding_near_duplicates,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1_SQL, "op2_decontaminate": OP2_SQL, "op9_warc": OP9_SQL}
+    return {"op1_mix_sources": OP1_SQL, "op2_decontaminate": OP2_SQL, "op9_warc": OP9_SQL, "op11_merkle_manifest": OP11_SQL, "op12_source_divergence": OP12_SQL}
