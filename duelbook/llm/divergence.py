@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ TERM_GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Documents of a language that a kept term is in, the count added to each term, parts of a share, and ranks of the term part.
 LEAST_DOCS, ADDED, SCALE, TOP = 30, 5, 1_000_000_000, 50
 #: Terms and sources in one block of the pair sums: two tiles of sources meet in one group.
-TERM_BLOCK, SOURCE_TILE = 4096, 256
+TERM_BLOCK, SOURCE_TILE = 512, 256
 ROWS_PER_TASK = 2_000_000
 
 
@@ -40,13 +42,30 @@ def share(count: str, total: str, kept: str) -> Column:
 def counted(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """(lang, source, term, c, big): count of each kept term in each group that has it, and in the language. Stored.
 
-    One pass over the texts: a document gives each occurrence, and once more each distinct term for the number of documents.
-    Both are combined before the shuffle; what is shuffled has a row for each task, group and term.
+    One pass over the texts: each batch is counted where it lies, both occurrences (c) and documents (d), and gives a row for each
+    group and term; these are combined again before the shuffle.
     """
+
+    def count(batches):
+        for batch in batches:
+            words = batch.column("words")
+            text = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64))
+            coded = words.flatten().dictionary_encode()
+            if not len(coded):
+                continue
+            lang, source = (batch.column(c).dictionary_encode() for c in ("lang", "source"))
+            group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
+            n_terms = len(coded.dictionary)
+            pair, times = np.unique(text * n_terms + coded.indices.to_numpy(), return_counts=True)  # a document and a term
+            key, at = np.unique(group[pair // n_terms] * n_terms + pair % n_terms, return_inverse=True)
+            group, term = key // n_terms, key % n_terms
+            take = lambda values, where: values.take(pa.array(where))
+            columns = [take(lang.dictionary, group // len(source.dictionary)), take(source.dictionary, group % len(source.dictionary)), take(coded.dictionary, term), pa.array(np.bincount(at, times).astype(np.int64)), pa.array(np.bincount(at).astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "c", "d"])
+
     own = docs.select("lang", "source", terms(F.col("text")).alias("words"))
-    mark = lambda flag: lambda w: F.struct(w.alias("term"), F.lit(flag).alias("once"))
-    each = own.select("lang", "source", F.explode(F.concat(F.transform("words", mark(False)), F.transform(F.array_distinct("words"), mark(True)))).alias("x")).select("lang", "source", "x.*")
-    by_group = each.groupBy("lang", "source", "term").agg(F.sum(F.when(F.col("once"), 0).otherwise(1)).alias("c"), F.sum(F.when(F.col("once"), 1).otherwise(0)).alias("d"))
+    each = own.mapInArrow(count, "lang string, source string, term string, c long, d long")
+    by_group = each.groupBy("lang", "source", "term").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
     # As many rows a term as the language has sources.
     of_term = Window.partitionBy("lang", "term")
     both = by_group.withColumns({"big": F.sum("c").over(of_term), "docs": F.sum("d").over(of_term)})
