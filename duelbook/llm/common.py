@@ -122,6 +122,17 @@ def joined(many: DataFrame, one: DataFrame, keys: list[str], n: str, total: int,
     return many.join(hot, keys).unionByName(rest)
 
 
+def below(share: float) -> int | None:
+    """The signed 64-bit value that a share of all hash values lies below; None for all of them."""
+    return None if share >= 1 else int(max(share, 0.0) * 2.0**64) - (1 << 63)
+
+
+def sampled(share: float, *keys: Column | str) -> Column:
+    """Whether a row is in a share of all rows, drawn by a hash of ``keys``; right to one part in 2^53, however small the share is."""
+    edge = below(share)
+    return F.lit(True) if edge is None else F.xxhash64(*keys) < F.lit(edge)
+
+
 def row_key(text: str = "text", doc_id: str = "doc_id") -> Column:
     """128-bit key of a document row (binary); null and empty are told apart."""
     part = lambda c: F.coalesce(F.concat(F.lit("s"), F.col(c).cast("string")), F.lit("n"))

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, row_key, stored, words
+from .common import fresh, row_key, sampled, stored, words
 
 #: The chain, in order, with what makes a row of ``labels`` positive.
 CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
@@ -142,8 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN) ->
     marks = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(*[F.max(F.coalesce(F.expr(rule), F.lit(False)).cast("int")).alias(f"y_{k}") for k, rule in CATEGORIES.items()])
     n = marks.count()
     # Somewhat more than can be taken, so that the exact cut below sorts few rows.
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, 1.2 * max_train / max(n, 1)))
-    marks = F.broadcast(stored(marks.filter(draw), "toxicity-marks"))  # about max_train rows of a few integers
+    marks = F.broadcast(stored(marks.filter(sampled(1.2 * max_train / max(n, 1), F.lit("sample"), "doc_id")), "toxicity-marks"))  # about max_train rows of a few integers
     met = docs.select("doc_id", "text").join(marks, "doc_id").withColumn("row", row_key())
     chosen = stored(met.select("row").distinct().orderBy(F.xxhash64("row"), "row").limit(max_train), "toxicity-rows")
     sample = met.join(F.broadcast(chosen), "row", "left_semi").dropDuplicates(["row"])
