@@ -16,11 +16,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import sampled, stored
+
 GRAMS, BUCKETS = (2, 3), 1 << 14
 #: Documents, drawn by hash, from which the bits' error rates are taken, by tables counted without their part of the documents.
 CALIBRATION_DOCS = 4_000
-#: Languages that are learned: those with the most training documents.
-MAX_LANGS = 256
+#: Texts that are decoded at once.
+DECODED = 1_000
 CHUNK_CHARS = 2_000_000
 AMBIGUOUS_BELOW = 0.2
 UNKNOWN = "und"
@@ -105,12 +107,20 @@ def margins(table: np.ndarray, texts: list[str | None], letters: np.ndarray) ->
 
 def decode(codes: Codes, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(language number, score, ambiguous): least weighted logistic loss; the score is its share among all languages."""
-    loss = np.logaddexp(0, -codes.code[None, :, :] * margin[:, None, :]) @ codes.bit_weight
-    near = np.exp(-(loss - loss.min(axis=1, keepdims=True)))
-    share = near / near.sum(axis=1, keepdims=True)
-    top = np.sort(share, axis=1)
-    gap = top[:, -1] - (top[:, -2] if share.shape[1] > 1 else 0)
-    return share.argmax(axis=1), share.max(axis=1), gap < AMBIGUOUS_BELOW
+    ones = (codes.code > 0).T * codes.bit_weight[:, None]
+    zeros = (codes.code < 0).T * codes.bit_weight[:, None]
+    which, score, unsure = [], [], []
+    for lo in range(0, len(margin), DECODED):
+        m = margin[lo : lo + DECODED]
+        # A bit's loss depends on its side alone: two products instead of a value for each text, language and bit.
+        loss = np.logaddexp(0, -m) @ ones + np.logaddexp(0, m) @ zeros
+        near = np.exp(-(loss - loss.min(axis=1, keepdims=True)))
+        share = near / near.sum(axis=1, keepdims=True)
+        top = np.partition(share, -2, axis=1) if share.shape[1] > 1 else share
+        which.append(share.argmax(axis=1))
+        score.append(share.max(axis=1))
+        unsure.append(top[:, -1] - (top[:, -2] if share.shape[1] > 1 else 0) < AMBIGUOUS_BELOW)
+    return np.concatenate(which), np.concatenate(score), np.concatenate(unsure)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -118,27 +128,50 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4 == 2
 
 
-def log_odds(seen: np.ndarray, code: np.ndarray) -> np.ndarray:
-    """(bits x buckets): of each bit, log of the mean n-gram share of the languages with a 1 over that of those with a 0."""
-    table = np.zeros((code.shape[1], seen.shape[1]))
-    if len(seen) > 1:
-        share = (seen + 0.5) / (seen + 0.5).sum(axis=1, keepdims=True)
-        for b in range(code.shape[1]):
-            table[b] = np.log(share[code[:, b] > 0].mean(axis=0)) - np.log(share[code[:, b] < 0].mean(axis=0))
-    return table
-
-
-def train(docs: DataFrame) -> Codes:
+def log_odds(counted: DataFrame, langs: list[str], code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bits x buckets) of all rows of (lang, held, bucket, n) and of those not held: of each bit, log of the mean n-gram share
+    of the languages with a 1 over that of those with a 0. Summed on the executors: bits and buckets reach the driver, not languages.
+    """
+    bits = code.shape[1]
+    if len(langs) < 2:
+        return np.zeros((bits, BUCKETS)), np.zeros((bits, BUCKETS))
+    at = {x: i for i, x in enumerate(langs)}
+    total = np.zeros((2, len(langs)))
+    for r in counted.groupBy("lang").agg(F.sum("n").alias("all"), F.sum(F.when(~F.col("held"), F.col("n")).otherwise(0)).alias("tried")).collect():  # one row a language
+        total[:, at[r["lang"]]] = r["all"], r["tried"]
+    scale = 1 / (total + 0.5 * BUCKETS)
+    sides = np.stack([code > 0, code < 0]).astype(float)  # side x langs x bits
+
+    def add(g: pd.DataFrame) -> pd.DataFrame:
+        lang, n = g["lang"].map(at).to_numpy(dtype=int), g["n"].to_numpy(dtype=float)
+        tried = np.where(g["held"].to_numpy(dtype=bool), 0.0, n)
+        sums = [(w * scale[k, lang]) @ side[lang] for k, w in enumerate((n, tried)) for side in sides]
+        return pd.DataFrame({"bucket": [g["bucket"].iloc[0]], "sums": [np.concatenate(sums)]})
+
+    got = counted.groupBy("bucket").applyInPandas(add, "bucket long, sums array<double>").toPandas()  # at most BUCKETS rows
+    sums = np.zeros((BUCKETS, 2, 2, bits))
+    if len(got):
+        sums[got["bucket"].to_numpy(dtype=int)] = np.stack(got["sums"].to_numpy()).reshape(-1, 2, 2, bits)
+    # What the languages that lack an n-gram have of it.
+    sums += 0.5 * np.einsum("kl,slb->ksb", scale, sides)
+    mean = sums / sides.sum(axis=1)
+    table = np.log(mean[:, :, 0]) - np.log(mean[:, :, 1])  # buckets x (all, tried) x bits
+    return table[:, 0].T.copy(), table[:, 1].T.copy()
+
+
+def train(docs: DataFrame, max_langs: int | None = None) -> Codes:
     """Learns from the text and the non-null ``lang`` of all rows of ``docs``; pass no held-out rows.
 
     The bits are weighed by their error rates on a quarter of the texts (at most about CALIBRATION_DOCS of it), under tables
-    counted on the other three; the final tables have all counts.
+    counted on the other three; the final tables have all counts. All languages are learned; ``max_langs`` keeps those with the
+    most documents.
     """
     letters = _letters()
     known = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64(F.lit("bits"), "text").alias("draw"))
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGS).collect()
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang")
+    sizes = (sizes if max_langs is None else sizes.limit(max_langs)).collect()  # one row a language
     langs, n = sorted(r["lang"] for r in sizes), sum(r["n"] for r in sizes)
-    labelled = known.filter(F.col("lang").isin(langs)).withColumn("held", F.pmod("draw", F.lit(4)) == 0)
+    labelled = (known if max_langs is None else known.filter(F.col("lang").isin(langs))).withColumn("held", F.pmod("draw", F.lit(4)) == 0)
 
     def count(batches):
         for batch in batches:
@@ -154,26 +187,24 @@ def train(docs: DataFrame) -> Codes:
                 at = np.flatnonzero(seen)
                 yield pd.DataFrame({"lang": name, "held": h, "bucket": at, "n": seen[at]})
 
-    # At most two rows for each of MAX_LANGS languages and BUCKETS buckets.
-    counted = labelled.select("lang", "text", "held").mapInPandas(count, "lang string, held boolean, bucket long, n long").groupBy("lang", "held", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    # At most two rows for each language and bucket.
+    counted = stored(labelled.select("lang", "text", "held").mapInPandas(count, "lang string, held boolean, bucket long, n long").groupBy("lang", "held", "bucket").agg(F.sum("n").alias("n")), "langid-counts")
     code = codewords(len(langs))
-    seen = np.zeros((2, len(langs), BUCKETS))
-    seen[counted["held"].to_numpy(dtype=int), counted["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(dtype=int), counted["bucket"].to_numpy(dtype=int)] = counted["n"]
-    codes = Codes(langs, code, log_odds(seen.sum(axis=0), code), np.ones(code.shape[1]))
+    table, tried = log_odds(counted, langs, code)
+    codes = Codes(langs, code, table, np.ones(code.shape[1]))
     if len(langs) > 1:
-        tried = log_odds(seen[0], code)
-        share = min(1.0, 4 * CALIBRATION_DOCS / max(n, 1))
-        drawn = labelled.filter(F.col("held") & (F.pmod(F.shiftright("draw", 8), F.lit(1_000_000)) < int(1_000_000 * share)))
+        number = {x: i for i, x in enumerate(langs)}
+        drawn = labelled.filter(F.col("held") & sampled(4 * CALIBRATION_DOCS / max(n, 1), F.lit("calibration"), "text"))
 
         def measure(batches):
             for batch in batches:
                 margin, _ = margins(tried, list(batch["text"]), letters)
                 for name in pd.unique(batch["lang"]):
                     own = (batch["lang"] == name).to_numpy()
-                    wrong = (margin[own] * code[langs.index(name)][None, :] <= 0).sum(axis=0)
+                    wrong = (margin[own] * code[number[name]][None, :] <= 0).sum(axis=0)
                     yield pd.DataFrame({"bit": np.arange(code.shape[1]), "wrong": wrong, "n": int(own.sum())})
 
-        # One row for each bit.
+        # One row for each bit. None, where no text was drawn: then all bits weigh the same.
         got = drawn.select("lang", "text").mapInPandas(measure, "bit long, wrong long, n long").groupBy("bit").agg(F.sum("wrong").alias("wrong"), F.sum("n").alias("n")).toPandas()
         if len(got):
             wrong = np.zeros(code.shape[1])
@@ -205,7 +236,11 @@ def identify(docs: DataFrame, codes: Codes) -> DataFrame:
 
 
 def predicted(docs: DataFrame) -> DataFrame:
-    """Trains on the rows that are not held out and identifies all: doc_id, held_out, lang_pred, score, ambiguous."""
+    """Trains on the rows that are not held out and identifies all: doc_id, held_out, lang_pred, score, ambiguous.
+
+    Texts are used whole, however long. A null id is held out by an empty text's checksum. Languages whose losses tie go to the
+    first by name. An empty table gives no rows; extra columns are left out. ``identify`` tells what has no language.
+    """
     codes = train(docs.filter(~held_out(F.col("doc_id"))).select("lang", "text"))
     got = identify(docs.select("doc_id", "text"), codes)
     return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
