@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CHAR, fresh, joined, maybe_broadcast, row_key, stored, words
+from .common import WORD_CHAR, fresh, joined, maybe_broadcast, row_key, stored, tasks_for, words
 from .graph import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -30,6 +30,8 @@ CHUNK_TOKENS = 400_000
 MOST_BROADCAST_NODES = 500_000
 #: Nodes that meet in one group: a star's members, and half of what is left of a bucket.
 STAR_BLOCK, BLOCK = 64, 512
+#: Rows that one task of such groups sees, however many there are in all.
+ROWS_PER_TASK = 200_000
 U = np.uint64
 
 
@@ -163,13 +165,13 @@ def _agreement(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left == right).mean(axis=-1)
 
 
-def _grouped(df: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
+def _grouped(df: DataFrame, keys: list[str], run, schema: str, n_rows: int) -> DataFrame:
     """Calls ``run`` with each key's rows as arrays by column; it returns an integer array, rows by columns of ``schema``.
 
     Many small groups share one batch in and out; a group that goes on in the next batch is held back.
     """
     names = [x.split()[0] for x in schema.split(",")]
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = tasks_for(df.sparkSession, n_rows, ROWS_PER_TASK)
 
     def over(batches):
         held = None
@@ -237,7 +239,7 @@ def _members(stars: DataFrame) -> DataFrame:
     return stars.select("centre", "block", "node", F.lit(0).cast("long").alias("head")).unionByName(heads)
 
 
-def _near_head(stars: DataFrame, values: DataFrame, column: str, alike) -> DataFrame:
+def _near_head(stars: DataFrame, values: DataFrame, column: str, alike, n_rows: int) -> DataFrame:
     """Of (centre, block, node), those that are ``alike`` to the centre by ``column``: (a column of values, the centre's value) -> flags."""
     met = _members(stars).join(values.select("node", column), "node")
 
@@ -247,7 +249,7 @@ def _near_head(stars: DataFrame, values: DataFrame, column: str, alike) -> DataF
         rest = rest[alike(g[column][rest], g[column][at])] if len(rest) else rest
         return np.stack([np.full(len(rest), g["centre"][at]), np.full(len(rest), g["block"][at]), g["node"][rest]], axis=1)
 
-    return _grouped(met, ["centre", "block"], run, "centre long, block long, node long")
+    return _grouped(met, ["centre", "block"], run, "centre long, block long, node long", n_rows)
 
 
 def _signatures_alike(many: np.ndarray, one: bytes) -> np.ndarray:
@@ -273,9 +275,9 @@ def star_links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFram
     sizes = stored(pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("n")), "neardup-sizes")
     total = sizes.agg(F.sum("n")).first()[0] or 0
     stars = joined(pairs, sizes, ["centre"], "n", total).select("centre", "node", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / STAR_BLOCK)).alias("block"))
-    near = stored(_near_head(stars, nodes, "sig", _signatures_alike), "neardup-near")
+    near = stored(_near_head(stars, nodes, "sig", _signatures_alike, total), "neardup-near")
     bag = bags_of(near.select(F.explode(F.array("centre", "node")).alias("node")), nodes, texts)
-    alike = _near_head(near, bag, "bag", _bags_alike)
+    alike = _near_head(near, bag, "bag", _bags_alike, near.count())
     return stored(alike.select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")), "neardup-links")
 
 
@@ -296,6 +298,7 @@ def open_nodes(buckets: DataFrame, nodes: DataFrame, links: DataFrame, total: in
     parts = with_comp.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"))
     open_ = parts.groupBy("bucket").agg(F.max_by("comp", F.struct("k", "comp")).alias("major"), F.max("k").alias("most"), F.sum("k").alias("n")).filter("n > most").withColumn("even", 2 * F.col("most") < F.col("n"))
     open_ = stored(open_.select("bucket", "major", "n", "even", F.ceil((F.col("n") - F.col("most")) / BLOCK).alias("few"), F.ceil(F.col("n") / BLOCK).alias("all")), "neardup-open-buckets")
+    dealt_rows = open_.agg(F.sum(F.when(F.col("even"), F.col("n") * F.col("all")).otherwise(2 * F.col("n") * F.col("few")))).first()[0] or 0
     rows = joined(with_comp, open_, ["bucket"], "n", total)
     deal = lambda c: F.pmod(F.xxhash64("node"), c)
     span = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
@@ -327,7 +330,7 @@ def open_nodes(buckets: DataFrame, nodes: DataFrame, links: DataFrame, total: in
         at = at[first]
         return np.stack([np.full(len(at), bucket), np.full(len(at), i), np.full(len(at), j), node[at], comp[at]], axis=1)
 
-    return _grouped(dealt, ["bucket", "i", "j"], run, "bucket long, i long, j long, node long, comp long")
+    return _grouped(dealt, ["bucket", "i", "j"], run, "bucket long, i long, j long, node long, comp long", int(dealt_rows))
 
 
 def _merging(g: dict[str, np.ndarray]) -> np.ndarray:
@@ -360,19 +363,22 @@ def _merging(g: dict[str, np.ndarray]) -> np.ndarray:
 def leftover_links(buckets: DataFrame, nodes: DataFrame, links: DataFrame, texts: DataFrame, total: int) -> DataFrame:
     """Links that the stars missed, between nodes of one bucket; as few as join the same components."""
     left = stored(open_nodes(buckets, nodes, links, total), "neardup-open")
-    return _grouped(left.join(bags_of(left, nodes, texts), "node"), ["bucket", "i", "j"], _merging, "a long, b long").distinct()
+    return _grouped(left.join(bags_of(left, nodes, texts), "node"), ["bucket", "i", "j"], _merging, "a long, b long", left.count()).distinct()
 
 
 def classified(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """(doc_id, row, k1, k2 of each document row; the class of each distinct bag; number of rows).
+    """(doc_id, row, uid, k1, k2 of each document row; the class of each distinct bag; number of rows).
 
     Equal bags are one node, however many documents share it. All links are between nodes; classes are counted over nodes,
-    and only then carried back to rows. The table of bags has k1, k2, n_rows, class_id, class_size and kept (row key that stays).
+    and only then carried back to rows. The table of bags has k1, k2, n_rows, class_id, class_size, kept (row key that stays) and kept_uid (number of the one row that stays).
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", row_key().alias("row"))
-    signed = stored(signatures(rows.select(F.col("doc_id").cast("string").alias("doc_id"), "row", token_hashes("text").alias("tokens"))), "neardup-signed")
-    first = F.min(F.struct(F.col("doc_id").cast(kind).alias("doc_id"), "row"))
+    signed = signatures(rows.select(F.col("doc_id").cast("string").alias("doc_id"), "row", token_hashes("text").alias("tokens")))
+    # Stored, so that the numbers of rows stay.
+    signed = stored(signed.withColumn("uid", F.monotonically_increasing_id()), "neardup-signed")
+    # A null doc_id comes after all others when the kept row is chosen.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast(kind).alias("doc_id"), "row", "uid"))
     known = signed.filter("k1 IS NOT NULL")
     least = F.min(F.col("doc_id").cast(kind))
     nodes = known.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n_rows"), first.alias("first"), least.alias("least"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
@@ -389,27 +395,25 @@ def classified(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     links = links.unionByName(stored(leftover_links(buckets, nodes, links, texts, n_nodes * BANDS), "neardup-more"))
     comps = stored(components(links), "neardup-components")
     of_node = stored(nodes.select("node", "k1", "k2", "n_rows", "first", "least").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "neardup-of-node")
-    # A null doc_id comes after all others when the kept row is chosen.
-    kept = F.min(F.struct(F.col("first.doc_id").isNull().alias("none"), F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row")))["row"]
-    heads = stored(of_node.groupBy("comp").agg(F.min("least").alias("class_id"), F.sum("n_rows").alias("class_size"), F.count(F.lit(1)).alias("n_nodes"), kept.alias("kept")), "neardup-heads")
-    classes = joined(of_node, heads, ["comp"], "n_nodes", n_nodes).select("k1", "k2", "n_rows", "class_id", "class_size", "kept")
-    return signed.select("doc_id", "row", "k1", "k2"), stored(classes, "neardup-classes"), n_rows
+    heads = of_node.groupBy("comp").agg(F.min("least").alias("class_id"), F.sum("n_rows").alias("class_size"), F.count(F.lit(1)).alias("n_nodes"), F.min("first").alias("stays"))
+    classes = joined(of_node, stored(heads, "neardup-heads"), ["comp"], "n_nodes", n_nodes)
+    classes = classes.select("k1", "k2", "n_rows", "class_id", "class_size", F.col("stays.row").alias("kept"), F.col("stays.uid").alias("kept_uid"))
+    return signed.select("doc_id", "row", "uid", "k1", "k2"), stored(classes, "neardup-classes"), n_rows
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, class_id (the least doc_id of its class), class_size, is_duplicate (not the kept one).
+    """One row per document: doc_id, class_id (the least doc_id of its class), class_size, is_duplicate (not the row of its class that is kept).
 
-    Texts without words, null or empty, are alike to nothing: each is a class of its own. Texts of
+    Of each class one row is no duplicate: the one with the least doc_id, null last, then the least row key, then the first of equal rows. Texts without words, null or empty, are alike to nothing: each is a class of its own. Texts of
     under five words are one shingle. Repeated rows and exact copies are in one class; ties go to the
     least doc_id. A null doc_id gets the class of its text. An empty table gives no rows; extra
     columns are left out.
     """
     rows, classes, n_rows = classified(docs)
     rows = rows.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
-    out = joined(rows.filter("k1 IS NOT NULL"), classes, ["k1", "k2"], "n_rows", n_rows).select("doc_id", "class_id", "class_size")
-    alone = rows.filter("k1 IS NULL").select("doc_id", F.lit(None).cast(rows.schema["doc_id"].dataType).alias("class_id"), F.lit(1).cast("long").alias("class_size"))
-    every = out.unionByName(alone)
-    return every.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "class_size", F.coalesce(F.col("doc_id") != F.col("class_id"), F.lit(False)).alias("is_duplicate"))
+    out = joined(rows.filter("k1 IS NOT NULL"), classes, ["k1", "k2"], "n_rows", n_rows).select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "class_size", (F.col("uid") != F.col("kept_uid")).alias("is_duplicate"))
+    alone = rows.filter("k1 IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(False).alias("is_duplicate"))
+    return out.unionByName(alone)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from duelbook.llm import common, decontam, graph, langid, lm, media, mixing, neardup, secrets, substrings, toxicity, warc
 
@@ -460,10 +461,27 @@ def test_near_duplicates(rows, docs, empty):
         for k in ids:
             want[(k, min((x for x in ids if x is not None), default=None), len(ids))] += 1
     assert Counter((r["doc_id"], r["class_id"], r["class_size"]) for r in got) == want
+    assert sum(not r["is_duplicate"] for r in got) == len(brute_classes(rows[0]))  # one row of each class
     kept = neardup.keep_one(docs)
     assert kept.columns == docs.columns and kept.count() == len(brute_classes(rows[0])) and neardup.near_duplicates(empty).count() == 0
 
 
+def test_one_row_of_a_class_is_no_duplicate(spark):
+    """Repeated rows and null ids: the least id's first row is kept, null comes last."""
+    text = "one two three four five six"
+    df = spark.createDataFrame([(3, text), (3, text), (None, text), (None, "all alone here with these words"), (None, "all alone here with these words"), (4, ""), (4, "")], "doc_id long, text string")
+    got = neardup.near_duplicates(df).collect()
+    assert Counter((r["doc_id"], r["class_size"], r["is_duplicate"]) for r in got) == Counter({(3, 3, False): 1, (3, 3, True): 1, (None, 3, True): 1, (None, 2, False): 1, (None, 2, True): 1, (4, 1, False): 2})
+
+
+def test_draws_never_vanish():
+    """A sample's threshold is right for tables of any size: the expected number of drawn rows is the one asked for."""
+    for n in (10**4, 10**11, 10**15):
+        edge = common.below(12_000 / n)
+        assert edge is None if n <= 12_000 else abs((edge + 2**63) / 2**64 * n - 12_000) < 1
+    assert common.below(0.0) == -(2**63)
+
+
 def test_bag_minhash_is_unbiased():
     rng = np.random.default_rng(2)
     a = np.sort(rng.integers(1, 2**62, 60)).astype(np.uint64)
@@ -558,6 +576,7 @@ def test_language(spark):
     words = {"aa": ["kala", "lama", "naka"], "bb": ["str", "grüß", "platz"], "cc": ["ción", "lleno", "que"], "dd": ["thing", "the", "wha"], "ee": ["ыва", "про", "олд"], "ff": ["zq", "xz", "qzx"]}
     rows = [(i, " ".join(rng.choice(words[x]) for _ in range(12)), x) for i in range(300) for x in [list(words)[i % 6]]]
     docs = spark.createDataFrame([*rows, (900, None, "aa"), (901, "12 !", "aa"), (902, "", None), (None, "the thing", None), rows[0]], "doc_id long, text string, lang string")
+    docs = docs.select("*", F.lit("x").alias("held"), F.lit(1).alias("n"), F.lit(2).alias("bucket"), F.lit("y").alias("draw"))  # extra columns
     got = langid.predicted(docs).collect()
     truth = {r[0]: r[2] for r in rows}
     assert all(r["lang_pred"] == truth[r["doc_id"]] and 0 < r["score"] <= 1 for r in got if r["doc_id"] in truth)
@@ -565,7 +584,7 @@ def test_language(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got if r["doc_id"] is not None)
     assert langid.predicted(docs.limit(0)).count() == 0
     code = langid.codewords(6)
-    assert len({tuple(c) for c in code}) == 6 and langid.codewords(langid.MAX_LANGS).shape[0] == langid.MAX_LANGS
+    assert len({tuple(c) for c in code}) == 6 and langid.codewords(300).shape[0] == 300
     # Tables, weights and decoding against a plain version.
     known = [(t, x) for i, t, x in [*rows, rows[0]] if zlib.crc32(str(i).encode()) % 4 != 2]
     codes = langid.train(spark.createDataFrame(known, "text string, lang string"))
@@ -587,6 +606,19 @@ def test_language(spark):
     share = seen / seen.sum(axis=1, keepdims=True)
     table = np.stack([np.log(share[c > 0].mean(axis=0)) - np.log(share[c < 0].mean(axis=0)) for c in codes.code.T])
     assert np.allclose(table, codes.table)
+    # Bit weights: error rates on the quarter of the texts that the tried tables were not counted on.
+    held = {r["text"]: r["h"] for r in spark.createDataFrame(known, "text string, lang string").select("text", (F.pmod(F.xxhash64(F.lit("bits"), "text"), F.lit(4)) == 0).alias("h")).distinct().collect()}
+    tried = np.full((6, langid.BUCKETS), 0.5)
+    for t, x in known:
+        if not held[t]:
+            for g in plain_grams(t):
+                tried[codes.langs.index(x), g] += 1
+    part = tried / tried.sum(axis=1, keepdims=True)
+    tried = np.stack([np.log(part[c > 0].mean(axis=0)) - np.log(part[c < 0].mean(axis=0)) for c in codes.code.T])
+    wrong = np.mean([codes.code[codes.langs.index(x)] * tried[:, list(plain_grams(t))].sum(axis=1) <= 0 for t, x in known if held[t]], axis=0).clip(1e-3, 0.49)
+    weight = np.log((1 - wrong) / wrong)
+    assert np.allclose(codes.bit_weight, weight / weight.mean())
+    assert langid.train(spark.createDataFrame(known, "text string, lang string"), max_langs=2).langs == sorted(x for x, _ in Counter(x for _, x in known).most_common(2))
     by_id = {r["doc_id"]: r for r in got}
     for i, t, _ in rows[:40]:
         g = list(plain_grams(t))
