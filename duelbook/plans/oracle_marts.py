@@ -21,8 +21,8 @@ LEFT JOIN {{team_recruiting}} tr ON tr.team = rec.team AND tr.year = season"""
 K02 = f"""SELECT game_id, offense AS team, avg(ppa) FILTER (NOT g) AS epa_per_play, avg((ppa > 0)::INT) FILTER (NOT g) AS success_rate, avg(ppa) FILTER (NOT g AND ppa > 0) AS explosiveness,
   count(*) FILTER (NOT g) AS plays_non_garbage, count(*) AS plays_total FROM (SELECT *, {GARBAGE} AS g FROM {{plays}} WHERE ppa IS NOT NULL) GROUP BY game_id, offense"""
 
-_K03 = f"""SELECT team, season, avg(epa_per_play) AS epa_per_play, avg(success_rate) AS success_rate, avg(explosiveness) AS explosiveness, sum(plays_non_garbage)::BIGINT AS total_plays, count(*) AS games_played,
-  CASE WHEN avg(epa_per_play) >= 0.16 THEN 'elite' WHEN avg(epa_per_play) >= 0.05 THEN 'above_avg' WHEN avg(epa_per_play) >= -0.05 THEN 'average' WHEN avg(epa_per_play) >= -0.15 THEN 'below_avg' ELSE 'struggling' END AS epa_tier
+_K03 = f"""SELECT team, season, round(avg(epa_per_play), 12) AS epa_per_play, avg(success_rate) AS success_rate, avg(explosiveness) AS explosiveness, sum(plays_non_garbage)::BIGINT AS total_plays, count(*) AS games_played,
+  CASE WHEN round(avg(epa_per_play), 9) >= 0.16 THEN 'elite' WHEN round(avg(epa_per_play), 9) >= 0.05 THEN 'above_avg' WHEN round(avg(epa_per_play), 9) >= -0.05 THEN 'average' WHEN round(avg(epa_per_play), 9) >= -0.15 THEN 'below_avg' ELSE 'struggling' END AS epa_tier
 FROM ({K02}) e JOIN {{games}} g ON g.id = e.game_id GROUP BY team, season"""
 K03 = _K03
 

@@ -125,6 +125,16 @@ SELECT CAST(p.p_partkey AS VARCHAR(20)) AS athlete_id, p.p_name AS athlete_name,
 FROM {part} p JOIN {nation} n ON n.n_nationkey = p.p_partkey % 25 CROSS JOIN {seasons} y WHERE (p.p_partkey + y.year) % 7 = 0""",
     "returning_production": "SELECT year AS season, team, conference, CASE WHEN k % 2 = 0 THEN CAST((k * 11 + year) % 100 AS BIGINT) END AS total_ppa, CASE WHEN k % 2 = 1 THEN CAST((k * 11 + year) % 100 AS DOUBLE) / 4 END AS total_ppa_v_double, CAST((k * 13 + year) % 100 AS DOUBLE) / 128 AS percent_ppa FROM {team_years}",
     "player_usage": "SELECT athlete_id AS id, year AS season, team, athlete_name AS name, CASE WHEN plays % 2 = 0 THEN CAST(plays AS BIGINT) END AS usage_overall, CASE WHEN plays % 2 = 1 THEN CAST(plays AS DOUBLE) / 128 END AS usage_overall_v_double FROM {player_wepa}",
+    "drive_scores": """
+SELECT id, game_id, season, offense, CASE WHEN plays % 5 = 4 THEN NULL ELSE drive_number END AS start_offense_score,
+  drive_number + CASE drive_result WHEN 'TD' THEN 7 WHEN 'FG' THEN 3 ELSE 0 END AS end_offense_score FROM {drives}""",
+    "havoc_allowed": """
+SELECT game_id, team, season, total_havoc, total_havoc_v_double, total_plays, CASE WHEN game_id % 3 = 1 THEN NULL ELSE (total_plays * 3) % 11 END AS allowed,
+  CASE WHEN game_id % 3 = 1 THEN CAST((total_plays * 3) % 11 AS DOUBLE) / 2 END AS allowed_v_double, total_plays + 3 AS allowed_plays FROM {game_havoc}""",
+    "returning_detail": """
+SELECT season, team, percent_ppa, CASE WHEN season % 4 = 0 THEN NULL ELSE percent_ppa / 2 END AS percent_passing_ppa, 1 - percent_ppa AS percent_rushing_ppa, percent_ppa / 4 AS usage FROM {returning_production}""",
+    "advanced_team_stats": """
+SELECT year AS season, team, CAST((k * 7 + year * 3) % 50 AS DOUBLE) / 16 AS defense_line_yards, CAST((k * 3 + year * 5) % 40 AS DOUBLE) / 128 AS defense_stuff_rate FROM {team_years} WHERE (k + year) % 8 <> 0""",
     "team_ats": "SELECT year, team, conference, CAST(12 AS BIGINT) AS games, (k * 3 + year) % 11 AS ats_wins, (k * 5 + year) % 9 AS ats_losses, (k + year) % 3 AS ats_pushes FROM {team_years}",
     "game_predictions": """
 SELECT g.id AS game_id, g.season, m.model_version, CAST(v.d AS BIGINT) AS prediction_day, CAST((g.id * (3 + m.k) + v.d) % 41 - 20 AS DOUBLE) AS expected_margin, CAST((g.id * (7 + m.k) + v.d) % 127 + 1 AS DOUBLE) / 128 AS home_win_prob,

@@ -29,7 +29,7 @@ RESULTS = {
     "TURNOVER": ["INT", "FUMBLE"],
     "TURNOVER_TD": ["MISSED FG TD", "PUNT RETURN TD", "PUNT TD", "BLOCKED PUNT TD", "INT TD", "FUMBLE TD", "FUMBLE RETURN TD", "INT RETURN TOUCH", "PUNT RETURN TD TD", "DOWNS TD"],
     "DOWNS": ["DOWNS", "TURNOVER ON DOWNS", "POSS. ON DOWNS"],
-    "SAFETY": ["SAFETY", "SF"],
+    "SAFETY": ["SF"],
     "END_OF_HALF": ["END OF HALF", "END OF HALF TD", "END OF GAME", "END OF 4TH QUARTER"],
 }
 #: Points of the absorbing states (others are worth 0), and those that hand the ball over without a score.
@@ -86,35 +86,58 @@ def chain_rows(t) -> DataFrame:
     return rows.select("era", "game_id", "drive_id", "from_state", follow.alias("to_state"), F.lag("from_state").over(order).isNull().alias("first"), "end").filter("era IS NOT NULL")
 
 
-def check_mapped(rows: DataFrame) -> DataFrame:
-    """The rows, if no era has too many drives with an unmapped result; else an error."""
-    for r in rows.filter("first").groupBy("era").agg(F.count(F.lit(1)).alias("n"), count_if(F.col("end").isNull()).alias("bad")).collect():  # one row for each era
-        if r["bad"] > MAX_UNMAPPED[r["era"]] * r["n"]:
-            raise ValueError(f"{r['bad']} of {r['n']} drives of {r['era']} have an unmapped result")
-    return rows
+def guarded(counts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, from_state, to_state, n, starts, scored) from rows that also count a state's first snaps with an unmapped result.
+
+    If an era has too many of those, reading any count is an error; else drives with an unmapped result are left out.
+    """
+    of_era = Window.partitionBy(*keys)
+    limit = F.create_map(*[F.lit(x) for kv in MAX_UNMAPPED.items() for x in kv])[F.col("era")]
+    bad, all_ = F.sum("unmapped").over(of_era), F.sum(F.col("starts") + F.col("unmapped")).over(of_era)
+    text = F.concat(bad.cast("string"), F.lit(" of "), all_.cast("string"), F.lit(" drives have an unmapped result in "), F.col("era"))
+    n = F.when(bad > limit * all_, F.raise_error(text).cast("long")).otherwise(F.col("n"))
+    return counts.withColumn("n", n).filter("to_state IS NOT NULL").drop("unmapped")
 
 
 def transitions(rows: DataFrame, keys: tuple[str, ...] = ("era",)) -> DataFrame:
-    """(keys, from_state, to_state, n); drives with an unmapped result are left out."""
-    return rows.filter("to_state IS NOT NULL").groupBy(*keys, "from_state", "to_state").agg(F.count(F.lit(1)).alias("n"))
+    """(keys, from_state, to_state, n, and of the state's first snaps: starts, scored (those of drives that end in TD), unmapped); one aggregate."""
+    first = F.col("first")
+    return rows.groupBy(*keys, "from_state", "to_state").agg(F.count(F.lit(1)).alias("n"), count_if(first & F.col("end").isNotNull()).alias("starts"), count_if(first & (F.col("end") == "TD")).alias("scored"), count_if(first & F.col("end").isNull()).alias("unmapped"))
 
 
 def drive_state_transitions(t) -> DataFrame:
-    return transitions(check_mapped(chain_rows(t)))
+    """(era, from_state, to_state, n)."""
+    return guarded(transitions(chain_rows(t)), ("era",)).select("era", "from_state", "to_state", "n")
+
+
+def _shrunk(g: pd.DataFrame, alpha: float) -> pd.DataFrame:
+    """(from_state, to_state, p) of one down's counts."""
+    froms, at = np.unique(g["from_state"], return_inverse=True)
+    ends, to = np.unique(g["to_state"], return_inverse=True)
+    n = np.zeros((len(froms), len(ends)))
+    np.add.at(n, (at, to), g["n"].to_numpy(dtype=float))
+    parts = [s.split("|") for s in froms]
+    _, parent = np.unique([f"{x[0]}|{x[2]}" for x in parts], return_inverse=True)
+    own = np.zeros((parent.max() + 1, len(ends)))
+    np.add.at(own, parent, n)
+    above = n.sum(axis=0) / n.sum()
+    pulled = (own + alpha * above) / (own.sum(axis=1, keepdims=True) + alpha)
+    p = (n + alpha * pulled[parent]) / (n.sum(axis=1, keepdims=True) + alpha)
+    return pd.DataFrame({"from_state": np.repeat(froms, len(ends)), "to_state": np.tile(ends, len(froms)), "p": p.ravel()})
 
 
 def shrink(counts: DataFrame, alpha: float = SHRINK_ALPHA, keys: tuple[str, ...] = ("era",)) -> DataFrame:
-    """Each row pulled to its parent (down and zone), the parent to the grandparent (down), over all of the grandparent's targets."""
-    keys = list(keys)
-    rows = counts.withColumns({"g": part_of("from_state", 1), "p": F.concat_ws("|", part_of("from_state", 1), part_of("from_state", 3))})
-    total = lambda key, name: rows.groupBy(*keys, key).agg(F.sum("n").alias(name))
-    pair = lambda key, name: rows.groupBy(*keys, key, "to_state").agg(F.sum("n").alias(name))
-    states = rows.groupBy(*keys, "from_state", "p", "g").agg(F.sum("n").alias("n_from"))
-    out = states.join(pair("g", "n_g"), [*keys, "g"]).join(total("g", "t_g"), [*keys, "g"]).join(total("p", "t_p"), [*keys, "p"])
-    out = out.join(pair("p", "n_p"), [*keys, "p", "to_state"], "left").join(counts.select(*keys, "from_state", "to_state", "n"), [*keys, "from_state", "to_state"], "left")
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    parent = (zero("n_p") + alpha * F.col("n_g") / F.col("t_g")) / (F.col("t_p") + alpha)
-    return out.select(*keys, "from_state", "to_state", ((zero("n") + alpha * parent) / (F.col("n_from") + alpha)).alias("p"))
+    """Each row pulled to its parent (down and zone), the parent to the grandparent (down), over all of the grandparent's targets.
+
+    One down's counts, at most some 60 states by 70 targets, meet in one group; the counts are read once.
+    """
+    names = [*keys, "from_state", "to_state", "p"]
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        return _shrunk(g, alpha).assign(**{k: g[k].iloc[0] for k in keys})[names]
+
+    schema = ", ".join([*[f"{k} {counts.schema[k].dataType.simpleString()}" for k in keys], "from_state string, to_state string, p double"])
+    return counts.withColumn("down", part_of("from_state", 1)).groupBy(*keys, "down").applyInPandas(run, schema)
 
 
 def _matrices(g: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -152,19 +175,28 @@ def drive_handoffs(t, alpha: float = HANDOFF_ALPHA) -> DataFrame:
     """
     last = snaps(t["plays"]).groupBy("game_id", "drive_id").agg(F.max_by(zone("yards_to_goal"), F.struct("play_number", "id")).alias("exit_zone"))
     half = F.when(F.col("start_period") <= 2, 1).otherwise(2)
-    w = Window.partitionBy("game_id").orderBy("drive_number", "offense", "id")
-    seq = t["drives"].filter("start_period BETWEEN 1 AND 4").withColumn("half", half)
+    regular = F.col("start_period").between(1, 4)
+    # Drives outside regulation stand in sequences of their own: they only tell which eras there are.
+    w = Window.partitionBy("game_id", regular).orderBy("drive_number", "offense", "id")
+    seq = t["drives"].withColumn("half", half)
     seq = seq.withColumns({"next_offense": F.lead("offense").over(w), "next_start": F.lead("start_yards_to_goal").over(w), "next_half": F.lead("half").over(w)})
-    seq = seq.filter("next_offense <> offense AND next_half = half AND next_start BETWEEN 1 AND 99")
-    pairs = seq.select(era_of().alias("era"), "game_id", F.col("id").alias("drive_id"), absorbed(F.col("drive_result")).alias("ending"), zone("next_start").alias("zone")).filter(F.col("ending").isin(HANDED_OVER) & F.col("era").isNotNull())
-    counted = pairs.join(last, ["game_id", "drive_id"]).groupBy("era", "ending", "exit_zone", "zone").agg(F.count(F.lit(1)).alias("n"))
-    zones = F.sequence(F.lit(1).cast("long"), F.lit(10).cast("long"))
-    grid = t["drives"].select(era_of().alias("era")).filter("era IS NOT NULL").distinct().select("era", F.explode(F.array(*[F.lit(x) for x in HANDED_OVER])).alias("ending"))
-    grid = grid.select("era", "ending", F.explode(zones).alias("exit_zone")).select("*", F.explode(zones).alias("zone"))  # 400 rows an era
-    rows = grid.join(counted, ["era", "ending", "exit_zone", "zone"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    sums = lambda *keys: F.sum("n").over(Window.partitionBy("era", "ending", *keys))
-    own = F.coalesce(sums("zone") / F.nullif(sums(), F.lit(0)), F.lit(0.1))
-    return rows.select("era", "ending", "exit_zone", "zone", "n", ((F.col("n") + alpha * own) / (sums("exit_zone") + alpha)).alias("p"))
+    paired = regular & (F.col("next_offense") != F.col("offense")) & (F.col("next_half") == F.col("half")) & F.col("next_start").between(1, 99) & absorbed(F.col("drive_result")).isin(HANDED_OVER)
+    rows = seq.select(era_of().alias("era"), "game_id", F.col("id").alias("drive_id"), F.when(paired, absorbed(F.col("drive_result"))).alias("ending"), F.when(paired, zone("next_start")).alias("zone")).filter("era IS NOT NULL")
+    counted = rows.join(last, ["game_id", "drive_id"], "left").groupBy("era", "ending", "exit_zone", "zone").agg(F.count(F.lit(1)).alias("n"))
+    names = ["era", "ending", "exit_zone", "zone", "n", "p"]
+
+    def fill(g: pd.DataFrame) -> pd.DataFrame:
+        n = np.zeros((len(HANDED_OVER), 10, 10))
+        g_ = g[g["ending"].notna() & g["exit_zone"].notna()]
+        np.add.at(n, ([HANDED_OVER.index(x) for x in g_["ending"]], g_["exit_zone"].to_numpy(dtype=int) - 1, g_["zone"].to_numpy(dtype=int) - 1), g_["n"].to_numpy(dtype=float))
+        by_zone, total = n.sum(axis=1, keepdims=True), n.sum(axis=(1, 2), keepdims=True)
+        own = np.where(total > 0, by_zone / np.maximum(total, 1), 0.1)
+        p = (n + alpha * own) / (n.sum(axis=2, keepdims=True) + alpha)
+        at = np.indices(n.shape)
+        return pd.DataFrame({"era": g["era"].iloc[0], "ending": np.array(HANDED_OVER)[at[0].ravel()], "exit_zone": at[1].ravel() + 1, "zone": at[2].ravel() + 1, "n": n.ravel().astype("int64"), "p": p.ravel()})[names]
+
+    # 400 rows an era, also for endings and zones that never occur.
+    return counted.groupBy("era").applyInPandas(fill, "era string, ending string, exit_zone long, zone long, n long, p double")
 
 
 def net_expected_points(probs: DataFrame, handoffs: DataFrame, strict: bool = True) -> DataFrame:
@@ -209,24 +241,44 @@ def cluster_bootstrap_se(rows: DataFrame, replicates: int = 200, alpha: float =
     each = per_game.withColumn("replicate", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(replicates - 1).cast("long"))))
     u = F.pmod(F.xxhash64("game_id", "replicate"), F.lit(1_000_000_000)) / 1e9
     times = reduce(lambda a, b: a + b, [(u >= p).cast("long") for p in POISSON])
-    counts = each.groupBy("era", "replicate", "from_state", "to_state").agg(F.sum(F.col("n") * times).alias("n")).filter("n > 0")
+    counts = each.groupBy("era", "replicate", "from_state", "to_state").agg(F.sum(F.col("n") * times).alias("n"), F.sum("starts").alias("starts"), F.sum("unmapped").alias("unmapped"))
+    counts = guarded(counts, ("era", "replicate")).filter("n > 0")
     solved = absorbing_chain(shrink(counts, alpha, ("era", "replicate")), {"era": "string", "replicate": "long"})
     return solved.groupBy("era", "state").agg(F.stddev_samp("expected_points").alias("se"), F.count(F.lit(1)).alias("replicates")).filter("replicates > 1")
 
 
+def chain_states(counts: DataFrame, alpha: float = SHRINK_ALPHA) -> DataFrame:
+    """(era, state, expected_points, p_td, starts, scored) from an era's guarded counts: M16 and M17 in one group."""
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        probs = pd.concat([_shrunk(own, alpha) for _, own in g.groupby(g["from_state"].str.split("|").str[0])])
+        states, inverse, r = _matrices(probs)
+        b = inverse @ r
+        seen = g.groupby("from_state")[["starts", "scored"]].sum().reindex(states, fill_value=0)
+        points = b @ np.array([POINTS.get(e, 0.0) for e in ENDS])
+        return pd.DataFrame({"era": g["era"].iloc[0], "state": states, "expected_points": points, "p_td": b[:, ENDS.index("TD")], "starts": seen["starts"].to_numpy(), "scored": seen["scored"].to_numpy()})
+
+    return counts.groupBy("era").applyInPandas(run, "era string, state string, expected_points double, p_td double, starts long, scored long")
+
+
 def chain_gates(t) -> DataFrame:
     """(era, gate, cases, violations, error): points that rise with the distance from the goal, later downs that are worth more, and the
     mean error of touchdown probabilities on drive starts."""
-    rows = check_mapped(chain_rows(t))
-    solved = absorbing_chain(shrink(transitions(rows)))
-    states = solved.select("era", part_of("state", 1).alias("down"), part_of("state", 2).alias("bucket"), F.regexp_extract("state", r"z(\d+)$", 1).cast("long").alias("zone"), "expected_points")
+    solved = chain_states(guarded(transitions(chain_rows(t)), ("era",)))
+    states = solved.select("*", part_of("state", 1).alias("down"), part_of("state", 2).alias("bucket"), F.regexp_extract("state", r"z(\d+)$", 1).cast("long").alias("zone"))
     asked = (F.col("down") == "d1") & (F.col("bucket") == "standard") | (F.col("down") == "d2") & (F.col("bucket") == "med") | (F.col("down") == "d3") & F.col("bucket").isin("med", "short")
-    nearer = F.lag("expected_points").over(Window.partitionBy("era", "down", "bucket").orderBy("zone"))
-    by_zone = states.filter(asked).withColumn("before", nearer).filter("before IS NOT NULL")
-    earlier = F.lag("expected_points").over(Window.partitionBy("era", "zone").orderBy("down"))
-    by_down = states.filter("bucket = 'med' AND down IN ('d2', 'd3') AND zone BETWEEN 2 AND 9").withColumn("before", earlier).filter("before IS NOT NULL")
-    gate = lambda df, name: df.groupBy("era").agg(F.lit(name).alias("gate"), F.count(F.lit(1)).alias("cases"), count_if(F.col("expected_points") > F.col("before") + TOLERANCE).alias("violations"), F.lit(None).cast("double").alias("error"))
-    starts = rows.filter("first AND end IS NOT NULL").groupBy("era", F.col("from_state").alias("state")).agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("end") == "TD").cast("double")).alias("seen")).filter(F.col("n") >= LEAST_STARTS)
-    met = starts.join(solved.select("era", "state", "p_td"), ["era", "state"])
-    calibration = met.groupBy("era").agg(F.lit("calibration").alias("gate"), F.count(F.lit(1)).alias("cases"), F.lit(0).cast("long").alias("violations"), (F.sum(F.col("n") * F.abs(F.col("p_td") - F.col("seen"))) / F.sum("n")).alias("error"))
-    return gate(by_zone, "zone").unionByName(gate(by_down, "down")).unionByName(calibration)
+    later = (F.col("bucket") == "med") & F.col("down").isin("d2", "d3") & F.col("zone").between(2, 9)
+    before = lambda keys, order: F.lag("expected_points").over(Window.partitionBy("era", *keys).orderBy(order))
+    # States that are not asked for stand in partitions of their own.
+    states = states.withColumns({"asked": asked, "later": later}).withColumns({"nearer": before(["asked", "down", "bucket"], "zone"), "earlier": before(["later", "zone"], "down")})
+    lost = lambda cond, c: count_if(cond & (F.col("expected_points") > F.col(c) + TOLERANCE))
+    met, n = F.col("starts") >= LEAST_STARTS, F.when(F.col("starts") >= LEAST_STARTS, F.col("starts"))
+    error = F.sum(n * F.abs(F.col("p_td") - F.col("scored") / F.nullif("starts", F.lit(0)))) / F.sum(n)
+    row = lambda name, cases, violations, e: F.struct(F.lit(name).alias("gate"), cases.alias("cases"), violations.alias("violations"), e.alias("error"))
+    none, zero = F.lit(None).cast("double"), F.lit(0).cast("long")
+    gates = F.array(
+        row("zone", count_if(F.col("asked") & F.col("nearer").isNotNull()), lost(F.col("asked"), "nearer"), none),
+        row("down", count_if(F.col("later") & F.col("earlier").isNotNull()), lost(F.col("later"), "earlier"), none),
+        row("calibration", count_if(met), zero, error),
+    )
+    return states.groupBy("era").agg(gates.alias("x")).select("era", F.explode("x").alias("x")).select("era", "x.*").filter("cases > 0")

@@ -18,7 +18,8 @@ def plain(v):
     if isinstance(v, bool) or v is None:
         return v
     if isinstance(v, (float, decimal.Decimal)):
-        return float(f"{float(v):.8g}") if v == v and v else 0.0 if v == v else "nan"
+        # Eight digits, and nothing below 1e-13: sums in another order may leave that much of a 0.
+        return float(f"{round(float(v), 13):.8g}") + 0.0 if v == v else "nan"
     if isinstance(v, int):
         return float(f"{v:.8g}")
     if isinstance(v, datetime.datetime):

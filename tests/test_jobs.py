@@ -132,8 +132,49 @@ def test_bootstrap_and_unmapped(spark):
     df = spark.createDataFrame(rows, "era string, game_id long, drive_id long, from_state string, to_state string, first boolean, end string")
     got = chain.cluster_bootstrap_se(df, 100, alpha=0.0).collect()
     assert len(got) == 1 and got[0]["replicates"] == 100 and got[0]["se"] == pytest.approx(6.97 * 0.5 / 20, rel=0.3)
-    with pytest.raises(ValueError):
-        chain.check_mapped(df.withColumn("end", F.when(F.col("game_id") > 10, F.col("end"))))
+    few = lambda n: df.withColumn("end", F.when(F.col("game_id") >= n, F.col("end"))).withColumn("to_state", F.when(F.col("end").isNotNull(), F.col("to_state")))
+    # 8 of 400 unmapped drives are left out, 9 are too many.
+    assert chain.guarded(chain.transitions(few(8)), ("era",)).agg(F.sum("n")).first()[0] == 392
+    for over in (lambda: chain.guarded(chain.transitions(few(9)), ("era",)), lambda: chain.cluster_bootstrap_se(few(9), 5)):
+        with pytest.raises(Exception, match="unmapped result"):
+            over().collect()
+
+
+@pytest.mark.parametrize(("name", "most"), [("M15", 2), ("M16", 2), ("M17", 2), ("M18", 2), ("M19", 4), ("M20", 2), ("M21", 2)])
+def test_chain_plans_scan_plays_once(spark, name, most):
+    """Plays and drives (here a view over plays) are read once each, M19's two parts once each; building the query runs no job."""
+    from duelbook import catalog
+
+    df = catalog.queries()[name](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    assert sum("FileScan" in x and "l_returnflag" in x for x in plan.splitlines()) <= most
+
+
+def test_gates_are_those_of_the_solved_chain(spark):
+    """M21 against M16 and M17 put together in plain Python."""
+    from duelbook import catalog
+    from duelbook.sources.adapter import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    solved = {(r["era"], r["state"]): r for r in chain.absorbing_chain(chain.shrink(chain.drive_state_transitions(t))).collect()}
+    starts = {}
+    for r in chain.chain_rows(t).filter("first AND end IS NOT NULL").collect():
+        starts.setdefault((r["era"], r["from_state"]), []).append(r["end"] == "TD")
+    want = {}
+    for era in {e for e, _ in solved}:
+        points = {s: r["expected_points"] for (e, s), r in solved.items() if e == era}
+        for gate, steps in (
+            ("zone", [(f"{d}|{b}", [f"{d}|{b}|z{z}" for z in range(1, 11) if f"{d}|{b}|z{z}" in points]) for d, b in (("d1", "standard"), ("d2", "med"), ("d3", "med"), ("d3", "short"))]),
+            ("down", [(z, [f"{d}|med|z{z}" for d in ("d2", "d3") if f"{d}|med|z{z}" in points]) for z in range(2, 10)]),
+        ):
+            pairs = [(points[a], points[b]) for _, own in steps for a, b in zip(own, own[1:])]
+            if pairs:
+                want[era, gate] = (len(pairs), sum(b > a + chain.TOLERANCE for a, b in pairs), None)
+        met = [(len(v), abs(solved[k]["p_td"] - sum(v) / len(v))) for k, v in starts.items() if k[0] == era and len(v) >= chain.LEAST_STARTS]
+        if met:
+            want[era, "calibration"] = (len(met), 0, sum(n * e for n, e in met) / sum(n for n, _ in met))
+    got = {(r["era"], r["gate"]): (r["cases"], r["violations"], r["error"]) for r in catalog.queries()["M21"](spark, "/root/testdata/sf0.001").collect()}
+    assert got.keys() == want.keys() and all(got[k][:2] == want[k][:2] and got[k][2] == pytest.approx(want[k][2]) for k in want)
 
 
 def test_ridge_rows(spark):
