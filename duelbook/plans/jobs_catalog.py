@@ -12,6 +12,7 @@ from ..stats import features as ft
 from ..stats import fitted as fi
 from ..stats import jobs as m
 from ..stats import predictions as pr
+from ..stats import preseason as ps
 from ..streaming import snapshots as sn
 from . import marts_more as mm
 from . import serve as sv
@@ -131,6 +132,11 @@ add("K38_fitted", lambda t: fi.over_fitted(mm.prediction_accuracy, t))
 add("M26_fitted", lambda t: fi.over_fitted(m.projection_eval, t))
 add("M28_fitted", lambda t: fi.over_fitted(m.residual_sigma, t))
 add("M36_fitted", lambda t: fi.over_fitted(m.accuracy_rollup, t))
+add("M23", ps.screened)
+add("M24", ps.preseason_frame, ps.FRAME_SQL)
+add("M27", ps.backtest_rows)
+add("M26_wins", ps.win_report)
+add("L22", ps.latest_backtests)
 
 PLANS = {k: v[0] for k, v in SPECS.items()}
 SQL = {k: v[1] for k, v in SPECS.items() if v[1]}

@@ -1,6 +1,7 @@
 """Reference SQL (DuckDB) of jobs, probabilities and similarity queries, over the adapter's views."""
 
 from ..functions.exprs import STATE_SECONDS_SQL as SECONDS
+from ..stats.preseason import screen_sql
 from . import oracle_marts, oracle_more, oracle_serve
 
 
@@ -47,6 +48,7 @@ SELECT c.*, weighted_success, percent_rank() OVER (PARTITION BY season ORDER BY
   l AS (SELECT team, season AS s, r FROM s WHERE season < (SELECT max(season) FROM {games}) QUALIFY row_number() OVER (PARTITION BY team ORDER BY start_date DESC, game_id DESC) = 1),
   g AS (SELECT id AS game_id, season, home_team AS team FROM {games} UNION ALL SELECT id, season, away_team FROM {games})
   SELECT game_id, season, team, coalesce(r * pow(2.0::DOUBLE / 3, greatest(season - s, 0)) + 1500 * (1 - pow(2.0::DOUBLE / 3, greatest(season - s, 0))), 1500) AS rating FROM g LEFT JOIN l USING (team)""",
+    "M23": screen_sql(normal_cdf),
     "M36": f"""SELECT model_version, edge_threshold, sum(n_games)::BIGINT AS n_games, sum(margin_mae * n_games) / sum(n_games) AS margin_mae, sum(brier * n_scored_win_prob) / nullif(sum(n_scored_win_prob), 0) AS brier,
   sum(ats_wins) / nullif(sum(ats_wins + ats_losses), 0) AS ats_rate FROM ({oracle_more.K38}) GROUP BY model_version, edge_threshold""",
     "N4": f"SELECT table_name, CASE WHEN row_count = 0 THEN 'FAIL' WHEN is_stale THEN 'WARN' ELSE 'PASS' END AS status FROM ({oracle_more.K28})",

@@ -89,12 +89,12 @@ def class_events(t) -> DataFrame:
     return points.join(signed, ["team", "season"], "full")
 
 
-def coach_events(t) -> DataFrame:
-    """(team, season, first_year, unproven): whether the coach is new, and new without a record.
+def coach_spells(t) -> DataFrame:
+    """(team, season, start, seasons, mean): when the coach's spell began, and number and mean rating of the coach's earlier years.
 
-    A year with several coaches says nothing, as the change may have come of that very year's results: its tenure is null. A
-    coach's record are strictly earlier years at any school, alone in charge; years without a rating count as experience. Of a
-    year's coaches the one with most contests counts, ties by name.
+    A year with several coaches says nothing, as the change may have come of that very year's results: it has no row. A coach's
+    record are strictly earlier years at any school, alone in charge; years without a rating count as experience. Of a year's
+    coaches the one with most contests counts, ties by name.
     """
     who = F.struct("first_name", "last_name")
     listed = t["coach_seasons"].groupBy("school", "year").agg(F.count(F.lit(1)).alias("n"), F.min_by(who, F.struct((-F.coalesce("games", F.lit(-1))).alias("g"), "first_name", "last_name")).alias("coach"))
@@ -103,11 +103,15 @@ def coach_events(t) -> DataFrame:
     alone = F.col("n") == 1
     rated = rated.withColumns({"seasons": F.count(F.when(alone, 1)).over(before), "mean": F.avg(F.when(alone, F.col("rating"))).over(before)})
     spell = islands(rated, ["school", "coach"], "year", name="spell")
-    start = F.when(alone, F.min("year").over(Window.partitionBy("school", "coach", "spell")))
-    rows = spell.withColumn("start", start).filter("start IS NOT NULL")
-    new = F.col("start") >= F.col("year")
+    rows = spell.withColumn("start", F.min("year").over(Window.partitionBy("school", "coach", "spell"))).filter(alone)
+    return rows.select(F.col("school").alias("team"), F.col("year").alias("season"), "start", "seasons", "mean")
+
+
+def coach_events(t) -> DataFrame:
+    """(team, season, first_year, unproven): whether the coach is new, and new without a record; null where that is not known."""
+    new = F.col("start") >= F.col("season")
     unproven = F.when(~new, 0.0).when(F.col("seasons") == 0, 1.0).when(F.col("mean") < PROVEN, 1.0).when(F.col("mean").isNotNull(), 0.0)
-    return rows.select(F.col("school").alias("team"), F.col("year").alias("season"), F.when(new, 1.0).otherwise(0.0).alias("first_year"), unproven.alias("unproven"))
+    return coach_spells(t).select("team", "season", F.when(new, 1.0).otherwise(0.0).alias("first_year"), unproven.alias("unproven"))
 
 
 def draft_events(t) -> DataFrame:
