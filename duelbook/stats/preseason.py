@@ -15,6 +15,8 @@ from .predictions import market_lines
 
 #: How strong a candidate must be, the false discoveries that are put up with, and the freedom that the normal curve needs.
 LEAST_PARTIAL, MOST_FALSE, LEAST_FREEDOM = 0.08, 0.10, 200
+#: What rounding leaves beside a control that tells all: a column given itself.
+NOTHING_LEFT = 1e-6
 #: Contests of a slate that are known before the season, wins of a bowl and of a great season.
 SLATE, BOWL, GREAT = 12, 6, 10
 CANDIDATES = ["recruiting_points", "recruiting_points_regime", "blue_chips", "net_transfers", "draft_capital", "draft_picks_3yr", "returning_ppa", "first_year", "unproven", "line_yards", "stuff_rate"]
@@ -66,9 +68,9 @@ def preseason_frame(t) -> DataFrame:
 
 
 def _partial(xy: Column, xz: Column, yz: Column) -> Column:
-    """First-order partial correlation; 0 where a control tells all."""
+    """First-order partial correlation; 0 where a control tells all, up to rounding."""
     below = F.sqrt(F.greatest(F.lit(0.0), (1 - xz * xz) * (1 - yz * yz)))
-    return F.when(below == 0, 0.0).otherwise((xy - xz * yz) / below)
+    return F.when(below < NOTHING_LEFT, 0.0).otherwise((xy - xz * yz) / below)
 
 
 def p_value(r: Column, n: Column, controls: int, least: int) -> Column:
@@ -256,7 +258,11 @@ def screen_sql(cdf: Callable[[str], str]) -> str:
     """Reference SQL of ``screened``; ``cdf`` writes the normal curve."""
     r = lambda a, b, ok: f"coalesce(corr({a}, {b}) FILTER ({ok}), 0)"
     first, second = "x IS NOT NULL", "x IS NOT NULL AND w IS NOT NULL"
-    part = lambda xy, xz, yz: f"coalesce(({xy} - {xz} * {yz}) / nullif(sqrt(greatest(0, (1 - {xz} * {xz}) * (1 - {yz} * {yz}))), 0), 0)"
+
+    def part(xy: str, xz: str, yz: str) -> str:
+        below = f"sqrt(greatest(0, (1 - {xz} * {xz}) * (1 - {yz} * {yz})))"
+        return f"CASE WHEN {below} < {NOTHING_LEFT} THEN 0 ELSE ({xy} - {xz} * {yz}) / {below} END"
+
     safe = lambda a, b, ok, n: f"CASE WHEN isnan({r(a, b, ok)}) THEN 0 ELSE {r(a, b, ok)} END AS {n}"
     cols = [safe(a, b, ok, f"{k}{a}{b}") for k, ok, own in (("f", first, ("xy", "xz", "yz")), ("s", second, ("xy", "xz", "yz", "xw", "yw", "wz"))) for a, b in own]
     t = "(abs(partial_r) * sqrt((n - 3) / (1 - partial_r * partial_r)))"
