@@ -13,6 +13,7 @@ from ..stats import fitted as fi
 from ..stats import jobs as m
 from ..stats import predictions as pr
 from ..stats import preseason as ps
+from ..stats import weekly as wk
 from ..streaming import snapshots as sn
 from . import marts_more as mm
 from . import serve as sv
@@ -137,6 +138,9 @@ add("M24", ps.preseason_frame, ps.FRAME_SQL)
 add("M27", ps.backtest_rows)
 add("M26_wins", ps.win_report)
 add("L22", ps.latest_backtests)
+add("M25", wk.frame_of_contests)
+add("M25_candidates", wk.candidates_of_contests, wk.FRAME_SQL)
+add("M25_screen", wk.screen_of_contests)
 
 PLANS = {k: v[0] for k, v in SPECS.items()}
 SQL = {k: v[1] for k, v in SPECS.items() if v[1]}

@@ -126,7 +126,8 @@ FROM {part} p JOIN {nation} n ON n.n_nationkey = p.p_partkey % 25 CROSS JOIN {se
     "returning_production": "SELECT year AS season, team, conference, CASE WHEN k % 2 = 0 THEN CAST((k * 11 + year) % 100 AS BIGINT) END AS total_ppa, CASE WHEN k % 2 = 1 THEN CAST((k * 11 + year) % 100 AS DOUBLE) / 4 END AS total_ppa_v_double, CAST((k * 13 + year) % 100 AS DOUBLE) / 128 AS percent_ppa FROM {team_years}",
     "player_usage": "SELECT athlete_id AS id, year AS season, team, athlete_name AS name, CASE WHEN plays % 2 = 0 THEN CAST(plays AS BIGINT) END AS usage_overall, CASE WHEN plays % 2 = 1 THEN CAST(plays AS DOUBLE) / 128 END AS usage_overall_v_double FROM {player_wepa}",
     "drive_scores": """
-SELECT id, game_id, season, offense, CASE WHEN plays % 5 = 4 THEN NULL ELSE drive_number END AS start_offense_score,
+SELECT id, game_id, season, offense, defense, CASE WHEN plays % 7 = 6 THEN NULL ELSE start_yards_to_goal END AS start_yards_to_goal,
+  CASE WHEN plays % 5 = 4 THEN NULL ELSE drive_number END AS start_offense_score,
   drive_number + CASE drive_result WHEN 'TD' THEN 7 WHEN 'FG' THEN 3 ELSE 0 END AS end_offense_score FROM {drives}""",
     "havoc_allowed": """
 SELECT game_id, team, season, total_havoc, total_havoc_v_double, total_plays, CASE WHEN game_id % 3 = 1 THEN NULL ELSE (total_plays * 3) % 11 END AS allowed,

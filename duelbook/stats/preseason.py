@@ -80,14 +80,15 @@ def p_value(r: Column, n: Column, controls: int, least: int) -> Column:
     return F.when(freedom < least, None).when(F.abs(r) >= 1, 0.0).otherwise(F.round(2 * (1 - normal_cdf(t)), 9))
 
 
-def feature_screen(frame: DataFrame, candidates: list[str], control: str = "recruiting_points", *, least_freedom: int = LEAST_FREEDOM, least_partial: float = LEAST_PARTIAL, most_false: float = MOST_FALSE) -> DataFrame:
-    """Candidate, n, partial_r (given the prior rating), n_second, partial_r_second (given ``control`` too), p_value, q_value, verdict.
+def feature_screen(frame: DataFrame, candidates: list[str], control: str = "recruiting_points", *, target: str = "rating", given: str = "prior_rating", judged: str = "first", least_freedom: int = LEAST_FREEDOM, least_partial: float = LEAST_PARTIAL, most_false: float = MOST_FALSE) -> DataFrame:
+    """Candidate, n, partial_r (of ``target`` given ``given``), n_second, partial_r_second (given ``control`` too), p_value, q_value, verdict.
 
     Each candidate is measured on the rows that it, the ratings and, for the second, the control have: all candidates' moments come
-    from one aggregate. A constant correlates with nothing. Q-values are Benjamini and Hochberg's over the first partials.
+    from one aggregate. A constant correlates with nothing. Q-values are Benjamini and Hochberg's over the partials that are
+    ``judged``: the first ones, or the second.
     """
     each = F.array(*[F.struct(F.lit(c).alias("candidate"), F.col(c).cast("double").alias("x")) for c in candidates])
-    rows = frame.select(F.col("rating").cast("double").alias("y"), F.col("prior_rating").cast("double").alias("z"), F.col(control).cast("double").alias("w"), F.explode(each).alias("e")).select("y", "z", "w", "e.*")
+    rows = frame.select(F.col(target).cast("double").alias("y"), F.col(given).cast("double").alias("z"), F.col(control).cast("double").alias("w"), F.explode(each).alias("e")).select("y", "z", "w", "e.*")
     finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < float("inf"))
     first = finite("x") & finite("y") & finite("z")
     second = first & finite("w")
@@ -106,13 +107,14 @@ def feature_screen(frame: DataFrame, candidates: list[str], control: str = "recr
     c = F.col
     xw, yw = _partial(c("1xw"), c("1xz"), c("1wz")), _partial(c("1yw"), c("1yz"), c("1wz"))
     out = sums.select("candidate", "n", _partial(c("0xy"), c("0xz"), c("0yz")).alias("partial_r"), "n_second", _partial(_partial(c("1xy"), c("1xz"), c("1yz")), xw, yw).alias("partial_r_second"))
-    out = out.withColumn("p_value", p_value(c("partial_r"), c("n"), 1, least_freedom))
+    told = ("partial_r", "n", 1) if judged == "first" else ("partial_r_second", "n_second", 2)
+    out = out.withColumn("p_value", p_value(c(told[0]), c(told[1]), told[2], least_freedom))
     # One row a candidate.
     tested = F.count("p_value").over(Window.partitionBy())
     order = Window.orderBy(F.col("p_value").asc_nulls_last(), "candidate")
     scaled = out.withColumn("scaled", c("p_value") * tested / F.row_number().over(order))
     q = F.when(c("p_value").isNotNull(), F.least(F.lit(1.0), F.min("scaled").over(order.rowsBetween(0, Window.unboundedFollowing))))
-    ships = (F.abs("partial_r") >= least_partial) & F.coalesce(c("q_value") <= most_false, F.lit(False))
+    ships = (F.abs(told[0]) >= least_partial) & F.coalesce(c("q_value") <= most_false, F.lit(False))
     return scaled.withColumn("q_value", F.round(q, 9)).withColumn("verdict", F.when(ships, "ship").otherwise("reject")).drop("scaled")
 
 
