@@ -8,6 +8,7 @@ from ..functions.exprs import GARBAGE_SQL, height_inches
 from ..operators import quality as q
 from ..sources import io
 from ..stats import chain as ch
+from ..stats import facts as fa
 from ..stats import features as ft
 from ..stats import fitted as fi
 from ..stats import jobs as m
@@ -138,6 +139,8 @@ add("M24", ps.preseason_frame, ps.FRAME_SQL)
 add("M27", ps.backtest_rows)
 add("M26_wins", ps.win_report)
 add("L22", ps.latest_backtests)
+add("M32", fa.facts_of_contests)
+add("L19", fa.ledger_of_contests)
 add("M25", wk.frame_of_contests)
 add("M25_candidates", wk.candidates_of_contests, wk.FRAME_SQL)
 add("M25_screen", wk.screen_of_contests)

@@ -29,7 +29,26 @@ def similarity(a: str, b: str) -> str:
     return f"len(list_intersect({x}, {y}))::DOUBLE / nullif(len(list_distinct(list_concat({x}, {y}))), 0)"
 
 
+_LEAD = lambda name, kind: f"{name} AS (SELECT * FROM (SELECT game_id, team, athlete_id, athlete_name, count(*) AS stat FROM {{play_stats}} WHERE stat_type = '{kind}' GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY game_id ORDER BY stat DESC, athlete_id, team) = 1)"
+_OT = ", ".join(f"CASE WHEN id % 9 = 0 THEN {s}_points // 5 END AS {s}_ot" for s in ("home", "away"))
+_RESULT = lambda x, up, down: f"CASE sign({x}) WHEN 1 THEN '{up}' WHEN -1 THEN '{down}' WHEN 0 THEN 'push' END"
+M32 = f"""WITH g AS (SELECT * FROM {{games}} WHERE completed AND season >= 2014 AND home_classification = 'fbs'),
+ls AS (SELECT * EXCLUDE (home_ot, away_ot), {_OT} FROM ({oracle_serve.L11}) x JOIN (SELECT id, home_points, away_points FROM {{games}}) y ON y.id = x.game_id),
+l AS (SELECT * FROM {{lines}} QUALIFY row_number() OVER (PARTITION BY game_id ORDER BY provider <> 'consensus', provider) = 1),
+tp AS (SELECT game_id, list(play_id ORDER BY abs(epa) DESC, play_id)[1:5] AS ids, list(epa ORDER BY abs(epa) DESC, play_id)[1] AS e, list(period ORDER BY abs(epa) DESC, play_id)[1] AS ep FROM ({oracle_marts.K10}) GROUP BY game_id),
+w AS (SELECT p.game_id, p.id, play_number, {win_probability('score_diff::DOUBLE', '(-spread)', SECONDS)} AS p FROM {{plays}} p JOIN l ON l.game_id = p.game_id WHERE spread IS NOT NULL),
+sw AS (SELECT game_id, round(max(abs(p - q)), 4) AS max_swing, round(min(p), 4) AS min_wp, round(max(p), 4) AS max_wp, count(*) FILTER (p <> 0.5 AND q <> 0.5 AND (p > 0.5) <> (q > 0.5)) AS lead_changes
+  FROM (SELECT *, lag(p) OVER (PARTITION BY game_id ORDER BY play_number, id) AS q FROM w) GROUP BY game_id HAVING count(*) >= 2),
+{', '.join(_LEAD(f'{c}_l', k) for c, k in (('passing', 'Completion'), ('rushing', 'Rush'), ('receiving', 'Reception')))}
+SELECT g.id AS game_id, season, week, home_team, away_team, g.home_points, g.away_points, spread, {_RESULT('g.home_points - g.away_points + spread', 'home', 'away')} AS spread_result, over_under, {_RESULT('g.home_points + g.away_points - over_under', 'over', 'under')} AS ou_result, excitement_index,
+  {', '.join(f'{s}_{q}' for s in ('home', 'away') for q in ('q1', 'q2', 'q3', 'q4', 'ot'))}, coalesce(array_to_string(ids, ','), '') AS top_plays, max_swing, min_wp, max_wp, lead_changes,
+  CASE WHEN sw.game_id IS NULL THEN e END AS largest_epa_play_epa, CASE WHEN sw.game_id IS NULL THEN ep END AS largest_epa_play_period,
+  {', '.join(f'{c}_l.athlete_name AS {c}_player_name, {c}_l.team AS {c}_team, {c}_l.stat AS {c}_stat' for c in ('passing', 'rushing', 'receiving'))}, sw.game_id IS NOT NULL AS wp_available
+FROM g JOIN ls ON ls.game_id = g.id LEFT JOIN l ON l.game_id = g.id LEFT JOIN tp ON tp.game_id = g.id LEFT JOIN sw ON sw.game_id = g.id LEFT JOIN passing_l ON passing_l.game_id = g.id LEFT JOIN rushing_l ON rushing_l.game_id = g.id LEFT JOIN receiving_l ON receiving_l.game_id = g.id"""
+
 SQL = {
+    "M32": M32,
+    "L19": f"SELECT game_id, season, week, wp_available, home_points, away_points, CASE WHEN top_plays = '' THEN 0 ELSE len(string_split(top_plays, ',')) END AS n_top_plays FROM ({M32})",
     "H6": f"SELECT p_partkey, round({similarity('p_name', repr('Part 12'))}, 9) AS s FROM part",
     "H15": f"SELECT id, {win_probability('home_points - away_points', 'excitement_index', 'attendance % 3600')} AS p FROM {{games}}",
     "I4": f"SELECT game_id, count(*) AS captures, max(run) AS runs, max(unmoved_streak) AS longest_streak FROM ({oracle_serve.L13}) GROUP BY game_id",
