@@ -12,6 +12,7 @@ from ..stats import facts as fa
 from ..stats import features as ft
 from ..stats import fitted as fi
 from ..stats import jobs as m
+from ..stats import outlook as ol
 from ..stats import predictions as pr
 from ..stats import preseason as ps
 from ..stats import weekly as wk
@@ -141,6 +142,7 @@ add("M26_wins", ps.win_report)
 add("L22", ps.latest_backtests)
 add("M32", fa.facts_of_contests)
 add("L19", fa.ledger_of_contests)
+add("L21", ol.outlook_of_seasons, ol.SQL)
 add("M25", wk.frame_of_contests)
 add("M25_candidates", wk.candidates_of_contests, wk.FRAME_SQL)
 add("M25_screen", wk.screen_of_contests)
