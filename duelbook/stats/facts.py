@@ -60,18 +60,19 @@ def best_of(rows: Column, none: Column, most: int) -> Column:
     return F.aggregate(rows, none, lambda best, x: F.slice(F.array_sort(F.concat(best, F.array(x))), 1, most))
 
 
-def swings(path: Column) -> Column:
-    """Of the probabilities in order of plays: largest step, least, most, and how often the favourite changes; null for fewer than two.
+def swings(rows: DataFrame, path: Column) -> DataFrame:
+    """Adds ``swing``: of the probabilities in order of plays the largest step, least, most, and how often the favourite changes; null for
+    fewer than two. A step from or to exactly a half changes nothing.
 
-    A step from or to exactly a half changes nothing.
+    Path and steps are columns of their own, as functions of arrays would be worked out anew at each mention.
     """
-    n = F.size(path)
-    step = F.zip_with(F.slice(path, 1, F.greatest(n - 1, F.lit(0))), F.slice(path, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: F.struct(F.abs(b - a).alias("d"), ((a != 0.5) & (b != 0.5) & ((a > 0.5) != (b > 0.5))).cast("long").alias("x")))
+    n = F.size("_path")
+    steps = F.zip_with(F.slice("_path", 1, F.greatest(n - 1, F.lit(0))), F.slice("_path", 2, F.greatest(n - 1, F.lit(0))), lambda a, b: F.struct(F.abs(b - a).alias("d"), ((a != 0.5) & (b != 0.5) & ((a > 0.5) != (b > 0.5))).cast("long").alias("x")))
     value = F.struct(
-        F.round(F.array_max(F.transform(step, lambda s: s["d"])), DECIMALS).alias("max_swing"), F.round(F.array_min(path), DECIMALS).alias("min_wp"), F.round(F.array_max(path), DECIMALS).alias("max_wp"),
-        F.aggregate(step, F.lit(0).cast("long"), lambda a, s: a + s["x"]).alias("lead_changes"),
+        F.round(F.array_max("_steps")["d"], DECIMALS).alias("max_swing"), F.round(F.array_min("_path"), DECIMALS).alias("min_wp"), F.round(F.array_max("_path"), DECIMALS).alias("max_wp"),
+        F.aggregate("_steps", F.lit(0).cast("long"), lambda a, s: a + s["x"]).alias("lead_changes"),
     )
-    return F.when(n >= 2, value)
+    return rows.withColumn("_path", path).withColumn("_steps", steps).withColumn("swing", F.when(n >= 2, value)).drop("_path", "_steps")
 
 
 def play_facts(plays: DataFrame) -> DataFrame:
@@ -102,8 +103,8 @@ def game_facts(t, games: DataFrame) -> DataFrame:
     line = mm.best_line(of("lines")).select("game_id", "spread", "over_under")
     rows = games.withColumnRenamed("id", "game_id").join(line, "game_id", "left").join(play_facts(of("plays")), "game_id", "left").join(leaders(of("play_stats")), "game_id", "left")
     path = F.transform("states", lambda s: live_win_probability(s["margin"], -F.col("spread"), s["seconds"]))
-    rows = rows.withColumns({"_swing": swings(F.when(F.col("spread").isNotNull(), path)), "top": F.coalesce("top", F.array())})
-    swing, first = F.col("_swing"), F.try_element_at("top", F.lit(1))
+    rows = swings(rows, F.when(F.col("spread").isNotNull(), path)).withColumn("top", F.coalesce("top", F.array()))
+    swing, first = F.col("swing"), F.try_element_at("top", F.lit(1))
     known = swing.isNotNull()
     section = F.struct(known.alias("available"), *[swing[c].alias(c) for c in ("max_swing", "min_wp", "max_wp", "lead_changes")], F.when(~known, first["epa"]).alias("largest_epa_play_epa"), F.when(~known, first["period"]).alias("largest_epa_play_period"))
     total, margin = F.col("home_points") + F.col("away_points"), F.col("home_points") - F.col("away_points")

@@ -67,7 +67,7 @@ def test_fold_keeps_the_best(spark):
 
 def test_swings(spark):
     paths = [[0.4, 0.6, 0.5, 0.7, 0.2], [0.5, 0.5], [0.9], [], None, [0.1, 0.9, 0.1]]
-    got = [r["s"] for r in spark.createDataFrame(list(enumerate(paths)), "i int, p array<double>").orderBy("i").select(fa.swings(F.col("p")).alias("s")).collect()]
+    got = [r["s"] for r in fa.swings(spark.createDataFrame(list(enumerate(paths)), "i int, p array<double>"), F.col("p")).orderBy("i").select(F.col("swing").alias("s")).collect()]
     assert tuple(got[0]) == (0.5, 0.2, 0.7, 2) and tuple(got[1]) == (0.0, 0.5, 0.5, 0) and tuple(got[5]) == (0.8, 0.1, 0.9, 2)
     assert got[2] is None and got[3] is None and got[4] is None
 
