@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from .common import sampled, stored
 
 GRAMS, BUCKETS = (2, 3), 1 << 14
+#: Buckets whose tables are summed in one call.
+RANGE = 256
 #: Documents, drawn by hash, from which the bits' error rates are taken, by tables counted without their part of the documents.
 CALIBRATION_DOCS = 4_000
 #: Texts that are decoded at once.
@@ -143,12 +145,19 @@ def log_odds(counted: DataFrame, langs: list[str], code: np.ndarray) -> tuple[np
     sides = np.stack([code > 0, code < 0]).astype(float)  # side x langs x bits
 
     def add(g: pd.DataFrame) -> pd.DataFrame:
+        own, row = np.unique(g["bucket"].to_numpy(dtype=int), return_inverse=True)
         lang, n = g["lang"].map(at).to_numpy(dtype=int), g["n"].to_numpy(dtype=float)
-        tried = np.where(g["held"].to_numpy(dtype=bool), 0.0, n)
-        sums = [(w * scale[k, lang]) @ side[lang] for k, w in enumerate((n, tried)) for side in sides]
-        return pd.DataFrame({"bucket": [g["bucket"].iloc[0]], "sums": [np.concatenate(sums)]})
-
-    got = counted.groupBy("bucket").applyInPandas(add, "bucket long, sums array<double>").toPandas()  # at most BUCKETS rows
+        out = np.zeros((len(own), 2, 2, bits))
+        for k, w in enumerate((n, np.where(g["held"].to_numpy(dtype=bool), 0.0, n))):
+            cells = np.zeros((len(own), len(langs)))
+            np.add.at(cells, (row, lang), w)
+            for s, side in enumerate(sides):
+                out[:, k, s] = (cells * scale[k]) @ side
+        return pd.DataFrame({"bucket": own, "sums": list(out.reshape(len(own), -1))})
+
+    # Ranges of buckets, as one call a bucket would cost more than its sums; a range is at most RANGE x languages cells.
+    ranged = counted.groupBy(F.floor(F.col("bucket") / RANGE).alias("range"))
+    got = ranged.applyInPandas(add, "bucket long, sums array<double>").toPandas()  # at most BUCKETS rows
     sums = np.zeros((BUCKETS, 2, 2, bits))
     if len(got):
         sums[got["bucket"].to_numpy(dtype=int)] = np.stack(got["sums"].to_numpy()).reshape(-1, 2, 2, bits)
