@@ -12,6 +12,7 @@ from .plans import jobs_catalog
 from .plans import marts_more as mm
 from .plans import oracle_jobs, oracle_marts, oracle_more, oracle_serve, primitives
 from .plans import serve as sv
+from .sources import store
 from .sources.adapter import Tables, with_views
 
 #: What the lookups are asked for.
@@ -36,6 +37,13 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 PLANS |= primitives.PLANS | jobs_catalog.PLANS
 SQL: dict[str, str] = {**oracle_marts.SQL, **oracle_more.SQL, **oracle_serve.SQL, **primitives.SQL, **jobs_catalog.SQL, **oracle_jobs.SQL}
+#: Marts and lookups that are served from the store of marts as well, with the marts they read from it.
+SERVED = {"K13": ["team_season_trajectory"], "K23": ["coaching_tenure"], "K26": ["conference_comparison"], "L05": ["team_season_summary", "team_epa_season"], "L27": [], "L29": ["play_epa"], "L30": ["play_epa"], "L31": ["play_epa"], "L37": [], "L39": ["player_game_epa"]}
+PLANS |= {f"{name}_stored": store.over_store(PLANS[name], *marts) for name, marts in SERVED.items()} | {"marts_refreshed": store.refreshed}
+SQL |= {f"{name}_stored": SQL[name] for name in SERVED}
+_LAYER = {name: i + 1 for i, names in enumerate(store.layers()) for name in names}
+_QUERY = {f.__name__: name for name, f in PLANS.items() if f.__name__ in store.MARTS}
+SQL["marts_refreshed"] = " UNION ALL ".join(f"SELECT '{m}' AS name, {_LAYER[m]} AS layer, (SELECT count(*) FROM ({SQL[_QUERY[m]]})) AS n_rows" for m in sorted(store.MARTS))
 
 
 def _long(df: DataFrame) -> DataFrame:

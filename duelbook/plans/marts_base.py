@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import avg_if, bucket, count_if, contains, down_situation, enough, floor_bucket, is_garbage_time, play_category, ratio, score_state, share, share_if
 from ..operators.frames import islands, latest_per_key, unpivot_sides
+from ..sources.store import mart
 
 NOT_PLAYS = ["Timeout", "End Period", "End of Half", "End of Game", "Kickoff", "Kickoff Return (Offense)"]
 
@@ -20,6 +21,7 @@ def team_rows(games: DataFrame) -> DataFrame:
     return unpivot_sides(games.filter("completed"))
 
 
+@mart(by="season")
 def team_season_summary(t) -> DataFrame:
     """K01."""
     same = F.col("conference") == F.col("opp_conference")
@@ -39,6 +41,7 @@ def team_season_summary(t) -> DataFrame:
     return record
 
 
+@mart(by="game")
 def game_epa(t) -> DataFrame:
     """K02."""
     live = ~is_garbage_time()
@@ -48,6 +51,7 @@ def game_epa(t) -> DataFrame:
     )
 
 
+@mart("game_epa", by="season")
 def team_epa_season(t) -> DataFrame:
     """Means of means at twelve decimals, so that neither a value nor its tier depends on the order of a sum."""
     tier = floor_bucket(F.round("epa_per_play", 9), [(0.16, "elite"), (0.05, "above_avg"), (-0.05, "average"), (-0.15, "below_avg")], "struggling")
@@ -57,6 +61,7 @@ def team_epa_season(t) -> DataFrame:
     ).withColumn("epa_tier", tier)
 
 
+@mart(by="season")
 def situational_splits(t) -> DataFrame:
     """One pass over the plays, all splits as conditional aggregates."""
     live, ppa, good = ~is_garbage_time(), F.col("ppa"), F.col("ppa") > 0
@@ -86,6 +91,7 @@ def situational_splits(t) -> DataFrame:
     return rows.groupBy("team", "season").agg(*out).withColumn("rush_rate", ratio("rush_plays", F.col("rush_plays") + F.col("pass_plays")))
 
 
+@mart(by="season")
 def defensive_havoc(t) -> DataFrame:
     """Counts from play texts, and official rates whose columns come in two types."""
     live, kind = ~is_garbage_time(), F.col("play_type")
@@ -108,6 +114,7 @@ TD, FG = ["TD", "Touchdown"], ["FG", "Field Goal"]
 LOST = ["INT", "FUMBLE", "Interception", "Fumble", "Fumble Lost", "Interception Return"]
 
 
+@mart(by="season")
 def scoring_opportunities(t) -> DataFrame:
     """K06."""
     result, n = F.col("drive_result"), F.count(F.lit(1))
@@ -122,6 +129,7 @@ def scoring_opportunities(t) -> DataFrame:
     )
 
 
+@mart()
 def matchup_history(t, recent_from: int = 2015) -> DataFrame:
     """Unordered pairs. The last winner's date ties are broken by game id."""
     rows = t["games"].filter("completed AND home_points IS NOT NULL AND away_points IS NOT NULL")
@@ -143,6 +151,7 @@ def matchup_history(t, recent_from: int = 2015) -> DataFrame:
 GROUPS = {"qb": ["QB"], "rb": ["RB", "FB", "APB"], "receiver": ["WR", "TE"], "oline": ["OT", "OG", "OC", "OL"], "dline": ["DE", "DT", "DL", "EDGE", "SDE", "WDE"], "lb": ["ILB", "OLB", "LB"], "db": ["CB", "S", "DB"], "specialist": ["K", "P", "LS"]}
 
 
+@mart()
 def recruiting_class(t) -> DataFrame:
     """K08. The most frequent position group's ties go to the first by name."""
     group = F.lit("ath")
@@ -164,6 +173,7 @@ def _spells(t) -> DataFrame:
     return t["coach_seasons"].filter("school IS NOT NULL").withColumn("coach_name", F.concat_ws(" ", "first_name", "last_name")).withColumnsRenamed({"school": "team", "year": "season"})
 
 
+@mart()
 def coach_record(t) -> DataFrame:
     """K09."""
     rows = _spells(t).groupBy("coach_name", "first_name", "last_name", "team").agg(
@@ -177,6 +187,7 @@ def coach_record(t) -> DataFrame:
     return rows.join(mean, ["coach_name", "team"], "left").withColumn("win_pct", ratio("total_wins", F.col("total_wins") + F.col("total_losses")))
 
 
+@mart(by="season")
 def play_epa(t) -> DataFrame:
     """K10."""
     return t["plays"].filter(F.col("ppa").isNotNull() & ~F.col("play_type").isin(NOT_PLAYS)).select(
@@ -205,6 +216,7 @@ def player_game_rows(t, least_plays: int = 3) -> DataFrame:
     return out.filter(F.col("plays") >= least_plays).join(names, ["game_id", "athlete_id"], "left")
 
 
+@mart("play_epa", by="season")
 def player_game_epa(t, history: DataFrame | None = None, horizon: int = 2018, least_plays: int = 3) -> DataFrame:
     """Stored history up to the horizon, live rows after it. Without stored rows all are live."""
     live = player_game_rows(t, least_plays)
@@ -213,6 +225,7 @@ def player_game_epa(t, history: DataFrame | None = None, horizon: int = 2018, le
     return history.filter(F.col("season") <= horizon).unionByName(live.filter(F.col("season") > horizon))
 
 
+@mart("player_game_epa", may_be_empty=True)
 def player_season_epa(t, least_plays: int = 20) -> DataFrame:
     """K12."""
     out = player_game_epa(t).groupBy("season", "team", "athlete_id", "play_category").agg(
@@ -244,6 +257,7 @@ def eras_of(t) -> DataFrame:
     return t["eras"]
 
 
+@mart("team_season_summary", "defensive_havoc", "team_epa_season")
 def team_season_trajectory(t) -> DataFrame:
     """K13. Ranks look at nine decimals."""
     record = team_season_summary(t).select("team", "season", "wins", "losses", "conf_wins", "conf_losses", "recruiting_rank", "recruiting_points")
@@ -263,6 +277,7 @@ def team_season_trajectory(t) -> DataFrame:
     )
 
 
+@mart("team_epa_season")
 def conference_era_summary(t) -> DataFrame:
     """K14. A team counts once for each home contest, and a season in each era it falls in."""
     era = F.broadcast(t["eras"])  # four fixed rows
@@ -278,6 +293,7 @@ def conference_era_summary(t) -> DataFrame:
     return out.withColumn("era_rank", F.rank().over(Window.partitionBy("era_code").orderBy(F.round("avg_epa", 9).desc())))
 
 
+@mart("play_epa", by="season")
 def team_style_profile(t) -> DataFrame:
     """Offence and defence each in one aggregate."""
     plays = play_epa(t).filter("NOT is_garbage_time")
@@ -296,6 +312,7 @@ def team_style_profile(t) -> DataFrame:
     })
 
 
+@mart("team_style_profile", by="season")
 def matchup_edges(t, first_season: int = 2014) -> DataFrame:
     """K16."""
     style = team_style_profile(t).select("season", "team", "run_rate", "pass_rate", "offensive_identity", "epa_rushing", "epa_passing", "tempo_category", "plays_per_game", "def_epa_vs_run", "def_epa_vs_pass")
@@ -312,6 +329,7 @@ def matchup_edges(t, first_season: int = 2014) -> DataFrame:
     )
 
 
+@mart()
 def team_talent_composite(t, window: int = 5) -> DataFrame:
     """K17. The recruit join is an equality on the id with a residual year range."""
     roster, rec = t["rosters"].select(F.col("id").alias("athlete_id"), "team", F.col("year").alias("season")), t["recruits"].filter("athlete_id IS NOT NULL").select("athlete_id", F.col("year").alias("class_year"), "stars", "rating")
@@ -326,6 +344,7 @@ def team_talent_composite(t, window: int = 5) -> DataFrame:
     return talent.join(moved, ["team", "season"], "left").withColumn("transfers_in", F.coalesce("transfers_in", F.lit(0))).withColumn("talent_score", ratio(points, "roster_size"))
 
 
+@mart("team_epa_season", by="season")
 def team_tempo_metrics(t, least_games: int = 5, first_season: int = 2014) -> DataFrame:
     """K19."""
     plays = t["plays"].filter(~F.col("play_type").isin(NOT_PLAYS[:5]) & ~is_garbage_time() & (F.col("season") >= first_season))
@@ -342,12 +361,14 @@ def _cells(t) -> DataFrame:
     return play_epa(t).filter("NOT is_garbage_time AND play_category IN ('rush', 'pass')").withColumn("score_diff_bucket", score_state()).withColumnRenamed("offense", "team")
 
 
+@mart("play_epa", by="season")
 def team_playcalling_tendencies(t) -> DataFrame:
     """K21."""
     rush, pass_ = F.col("play_category") == "rush", F.col("play_category") == "pass"
     return _cells(t).groupBy(*CELL).agg(F.count(F.lit(1)).alias("total_plays"), count_if(rush).alias("rush_plays"), count_if(pass_).alias("pass_plays"), share(rush).alias("run_rate"), share(pass_).alias("pass_rate"))
 
 
+@mart("play_epa", by="season")
 def team_situational_success(t, least: int = 10) -> DataFrame:
     """Rates of fewer than ``least`` plays are null."""
     n = F.count(F.lit(1))
@@ -359,6 +380,7 @@ def team_situational_success(t, least: int = 10) -> DataFrame:
     return _cells(t).groupBy(*CELL).agg(*out).withColumn("yardage_success_rate", F.when(F.col("down").isin(3, 4), F.col("_made"))).drop("_made")
 
 
+@mart("team_season_summary", "recruiting_class")
 def coaching_tenure(t) -> DataFrame:
     """Spells of a coach at a team, split where a season is missing."""
     key = ["coach_name", "first_name", "last_name", "team", "tenure_id"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import avg_if, count_if, matched, ratio, share
 from ..operators.frames import latest_per_key, percent_ranks, range_join_years, unpivot_sides
+from ..sources.store import mart
 from . import marts_base as mb
 
 
@@ -58,6 +59,7 @@ def position_group() -> Column:
     return out
 
 
+@mart()
 def player_comparison(t) -> DataFrame:
     """Exact roster match, else any of that year's, only where the first missed; percentiles with nulls first."""
     wanted = {k: v for k, v in PLAYER_STATS.items() if k not in ("fgm", "fga")}
@@ -77,6 +79,7 @@ def player_comparison(t) -> DataFrame:
     return out.withColumns({f"{m}_pctl": F.when(F.col("position_group").isNotNull(), F.col(f"{m}_pctl")) for m in ranked})
 
 
+@mart("team_season_summary", "recruiting_class", "team_epa_season")
 def recruiting_roi(t) -> DataFrame:
     """Classes of the four years before, bucket medians, and what a side made of them."""
     record = mb.team_season_summary(t).select("team", "season", "conference", "games", "wins", "losses", "sp_rating", "sp_rank").withColumns({"first": F.col("season") - 4, "last": F.col("season") - 1})
@@ -96,6 +99,7 @@ def recruiting_roi(t) -> DataFrame:
     return percent_ranks(out, ["season"], {"win_pct": "win_pct_pctl", "recruiting_efficiency": "recruiting_efficiency_pctl"}, "last", mask=True)
 
 
+@mart("team_season_summary")
 def transfer_portal_impact(t) -> DataFrame:
     """K25."""
     moves = t["transfer_portal"]
@@ -114,6 +118,7 @@ def transfer_portal_impact(t) -> DataFrame:
     return percent_ranks(out, ["season"], {"net_transfers": "net_transfers_pctl", "win_delta": "win_delta_pctl", "portal_dependency": "portal_dependency_pctl"}, "last", mask=True)
 
 
+@mart("team_season_summary", "team_epa_season", "recruiting_class")
 def conference_comparison(t, least_members: int = 4) -> DataFrame:
     """K26. Ties for the best and worst side go to the first by name."""
     member = latest_per_key(t["teams"].filter("conference IS NOT NULL"), ["school"], [F.col("classification").asc_nulls_last(), F.col("id")]).select(F.col("school").alias("team"), F.col("conference").alias("conf"))
@@ -136,6 +141,7 @@ def conference_comparison(t, least_members: int = 4) -> DataFrame:
     return percent_ranks(out, ["season"], {"avg_recruiting_rank": "avg_recruiting_pctl"}, "first", descending=True, mask=True)
 
 
+@mart(by="season")
 def conference_head_to_head(t) -> DataFrame:
     """Contests between conferences, seen from the first by name."""
     rows = mb.team_rows(t["games"]).filter("conference < opp_conference AND points IS NOT NULL AND opp_points IS NOT NULL")
@@ -199,6 +205,7 @@ def team_ats_records(t) -> DataFrame:
     return t["team_ats"].select(F.col("year").alias("season"), "team", "conference", "games", "ats_wins", "ats_losses", "ats_pushes", ratio("ats_wins", F.col("ats_wins") + F.col("ats_losses")).alias("cover_pct"))
 
 
+@mart()
 def house_elo(t, least_games: int = 4) -> DataFrame:
     """The last rating of each side and season."""
     rows = unpivot_sides(t["house_elo_game"])
@@ -208,6 +215,7 @@ def house_elo(t, least_games: int = 4) -> DataFrame:
     return last.join(n, ["team", "season"]).withColumns({"elo_rank": _rank(["season"], F.col("elo").desc()), "low_confidence": F.col("games") < least_games})
 
 
+@mart(by="season")
 def house_elo_game(t) -> DataFrame:
     """K35."""
     return t["house_elo_game"].select("game_id", "season", "week", "season_type", "home_team", "away_team", "home_pregame_elo", "away_pregame_elo", "home_postgame_elo", "away_postgame_elo", "expected_home_margin", "actual_home_margin", (F.col("actual_home_margin") - F.col("expected_home_margin")).alias("margin_error"), F.abs(F.col("actual_home_margin") - F.col("expected_home_margin")).alias("abs_margin_error"))
@@ -222,11 +230,13 @@ def latest_predictions(t, completed: bool | None) -> DataFrame:
     return rows if completed is None else rows.filter(F.col("completed") == completed)
 
 
+@mart()
 def scored_matchup_edges(t) -> DataFrame:
     """K37."""
     return latest_predictions(t, False).select("game_id", "season", "week", "start_date", "home_team", "away_team", "model_version", "prediction_day", "expected_margin", "home_win_prob", "market_spread", "edge", "edge_pick", F.abs("edge").alias("abs_edge"))
 
 
+@mart()
 def prediction_accuracy(t, thresholds: tuple[int, ...] = (0, 3, 6, 10)) -> DataFrame:
     """Each prediction counts under every threshold that its edge reaches."""
     rows = latest_predictions(t, True).withColumn("edge_threshold", F.explode(F.array(*[F.lit(x).cast("long") for x in thresholds])))
@@ -273,6 +283,7 @@ def _named_in(text: Column, side: str) -> Column:
     return F.coalesce(hit, F.lit(False)) | F.coalesce(more, F.lit(False))
 
 
+@mart(by="season")
 def penalty_log(t) -> DataFrame:
     """Text mining of penalties. A text that names both sides, or neither, has no penalised side."""
     text = F.col("play_text")
@@ -293,6 +304,7 @@ def penalty_log(t) -> DataFrame:
     )
 
 
+@mart()
 def team_penalty_box(t) -> DataFrame:
     """Penalties and yards kept as "n-yards" text, beside the opponent's."""
     rows = unpivot_sides(t["games"]).select(F.col("id").alias("game_id"), "season", "team", F.concat_ws("-", F.col("points") % 12, F.col("opp_points") % 90).alias("stat"))
@@ -309,6 +321,7 @@ def core_ratings(t) -> DataFrame:
     )
 
 
+@mart()
 def analytics_team_season(t) -> DataFrame:
     """Season record with splits by home and away."""
     won, lost, home, same = F.col("points") > F.col("opp_points"), F.col("points") < F.col("opp_points"), F.col("side") == "home", F.col("conference") == F.col("opp_conference")
@@ -327,6 +340,7 @@ def player_career_stats(t) -> DataFrame:
     return out.select(*key, "l.*", "seasons_played", "first_season", "last_season", "total_stat", ratio("total_stat", "seasons_played").alias("avg_stat_per_season"))
 
 
+@mart("analytics_team_season")
 def conference_standings(t) -> DataFrame:
     """K46."""
     sp, elo, rec = t["sp_ratings"].select("team", F.col("year").alias("season"), F.col("rating").alias("sp_rating")), t["elo_ratings"].select("team", F.col("year").alias("season"), F.col("elo").alias("elo_rating")), t["team_recruiting"].select("team", F.col("year").alias("season"), F.col("rank").alias("recruiting_rank"))

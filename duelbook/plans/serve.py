@@ -320,11 +320,12 @@ def stale_first(t) -> DataFrame:
 def drive_patterns(t, team: str, season: int, side: str = "offense") -> DataFrame:
     """Start and end in bins of ten yards, by outcome."""
     ten = lambda c: (F.floor(F.col(c) / 10) * 10).cast("long")
-    return t["drives"].filter((F.col(side) == team) & (F.col("season") == season)).groupBy(ten("start_yards_to_goal").alias("start_bin"), ten("end_yards_to_goal").alias("end_bin"), "drive_result").agg(F.count(F.lit(1)).alias("drives"), F.avg("plays").alias("avg_plays"), F.avg("yards").alias("avg_yards"))
+    return t.of_team(team, season)["drives"].filter((F.col(side) == team) & (F.col("season") == season)).groupBy(ten("start_yards_to_goal").alias("start_bin"), ten("end_yards_to_goal").alias("end_bin"), "drive_result").agg(F.count(F.lit(1)).alias("drives"), F.avg("plays").alias("avg_plays"), F.avg("yards").alias("avg_yards"))
 
 
 def player_game_log(t, athlete: str, season: int) -> DataFrame:
     """Contest by contest, with result and opponent."""
+    t = t.of_seasons([season])
     rows = mb.player_game_epa(t).filter((F.col("athlete_id") == athlete) & (F.col("season") == season))
     games = unpivot_sides(t["games"]).select(F.col("id").alias("game_id"), "team", "week", F.col("opp_team").alias("opponent"), "side", "points", "opp_points")
     return rows.join(games, ["game_id", "team"]).withColumn("result", F.when(F.col("points") > F.col("opp_points"), "W").when(F.col("points") < F.col("opp_points"), "L").otherwise("T")).select("game_id", "week", "team", "opponent", "side", "result", "play_category", "plays", "total_epa")

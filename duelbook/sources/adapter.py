@@ -170,6 +170,18 @@ class Tables:
         sql = VIEWS[name]
         return self.spark.sql(sql.replace("VARCHAR(9)", "STRING").replace("VARCHAR(20)", "STRING"), **{n: self[n] for n in _needs(sql)})
 
+    def mart(self, name: str) -> DataFrame | None:
+        """A mart's stored rows; these tables have none."""
+        return None
+
+    def of_seasons(self, seasons: list[int]) -> Tables:
+        """The tables over the contests of some seasons."""
+        out = Tables(self.spark, self.folder, {k: v for k, v in self._made.items() if k in BASE})
+        for name in ("games", "plays", "drives"):
+            if name == "games" or name in self._made:
+                out._made[name] = self[name].filter(F.col("season").isin(*seasons))
+        return out
+
     def of_team(self, team: str | None, season: int | None) -> Tables:
         """The tables over one side's contests of one season: a date range that the scan of contests can use, and its
         few contests before plays and drives are joined or grouped."""

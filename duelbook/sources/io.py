@@ -54,7 +54,7 @@ def merged(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return tagged.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("_new").desc(), *rest))).filter("_rn = 1").drop("_rn", "_new")
 
 
-def _files(spark: SparkSession, path: str):
+def files_of(spark: SparkSession, path: str):
     """Hadoop's file system of a path, and the path's maker."""
     maker = spark._jvm.org.apache.hadoop.fs.Path
     return maker(path).getFileSystem(spark._jsc.hadoopConfiguration()), maker
@@ -67,7 +67,7 @@ def write_merge(df: DataFrame, path: str, keys: list[str], partition: str | None
     With ``partition`` (a column whose value a key never changes), only partitions that have new rows are read and replaced.
     """
     spark = df.sparkSession
-    files, maker = _files(spark, path)
+    files, maker = files_of(spark, path)
     target, fresh, old = maker(path), maker(path + ".next"), maker(path + ".old")
     if not files.exists(target) and files.exists(old):
         files.rename(old, target)

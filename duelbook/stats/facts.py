@@ -138,7 +138,7 @@ def refresh_facts(t, path: str, season: int | None = None, most: int | None = No
     games = finished(t["games"])
     games = games if season is None else games.filter(F.col("season") == season)
     kind = game_facts(t, games).schema["facts"].dataType.simpleString()
-    files, maker = io._files(spark, path)
+    files, maker = io.files_of(spark, path)
     there = files.exists(maker(path))
     stored = spark.read.schema(STORED.format(facts=kind)).parquet(path) if there else spark.createDataFrame([], STORED.format(facts=kind))
     todo = due(games, fingerprints(t, games), stored, most)
