@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import decontam, divergence, itq, langid, lm, media, merkle, mixing, neardup, secrets, substrings, toxicity, warc
 
@@ -114,7 +115,27 @@ def op4_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return substrings.repeats(_table(spark, folder, "documents"))
+    got = substrings.repeats(_table(spark, folder, "documents"))
+    return got.withColumn("removed", F.array_join(F.transform("removed", lambda s: F.concat_ws("-", s["start"], s["end"])), ","))
+
+
+#: Rows are told apart by number, and rows that repeat doc_id and text (one ``row``) have the same places, as in the operator. Units are compared whole.
+OP5_SQL = r"""
+WITH rows AS (
+  SELECT row_number() OVER () AS r, doc_id, text, md5(coalesce('s' || CAST(doc_id AS VARCHAR), 'n') || chr(10) || coalesce('s' || text, 'n')) AS row FROM documents),
+cut AS (SELECT r, doc_id, row, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS u, len(string_split(text, chr(10))) AS n FROM rows WHERE text IS NOT NULL),
+units AS (
+  SELECT *, raw || CASE WHEN u < n THEN chr(10) ELSE '' END AS whole, trim(regexp_replace(lower(raw), '[\s\x{0B}\x{85}\p{Z}]+', ' ', 'g')) AS unit FROM cut),
+placed AS (SELECT *, coalesce(sum(length(whole)) OVER (PARTITION BY r ORDER BY u ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins FROM units),
+first AS (SELECT unit, min({'a': doc_id IS NOT NULL, 'b': doc_id, 'c': row, 'd': u}) AS f FROM units WHERE unit <> '' GROUP BY unit),
+told AS (SELECT p.*, coalesce(f.f <> {'a': doc_id IS NOT NULL, 'b': doc_id, 'c': row, 'd': u}, false) AS gone FROM placed p LEFT JOIN first f ON f.unit = p.unit),
+each AS (
+  SELECT r, count(*) FILTER (gone) AS n_removed, string_agg(CAST(begins AS VARCHAR) || '-' || CAST(begins + length(whole) AS VARCHAR), ',' ORDER BY u) FILTER (gone) AS removed,
+    sum(length(whole)) FILTER (gone) AS chars_removed, string_agg(whole, '' ORDER BY u) FILTER (NOT gone) AS clean FROM told GROUP BY r)
+SELECT doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed, CAST(coalesce(chars_removed, 0) AS BIGINT) AS chars_removed,
+  sha256(coalesce(clean, '')) AS clean_sha256, coalesce(n_removed, 0) > 0 AS has_repeats
+FROM rows LEFT JOIN each USING (r)
+"""
 
 
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,4 +230,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1_SQL, "op2_decontaminate": OP2_SQL, "op9_warc": OP9_SQL, "op11_merkle_manifest": OP11_SQL, "op12_source_divergence": OP12_SQL}
+    return {"op1_mix_sources": OP1_SQL, "op2_decontaminate": OP2_SQL, "op5_substring_dedup": OP5_SQL, "op9_warc": OP9_SQL, "op11_merkle_manifest": OP11_SQL, "op12_source_divergence": OP12_SQL}
