@@ -66,13 +66,16 @@ def candidates(docs: DataFrame) -> DataFrame:
 def dictionary_coverage(found: DataFrame, docs: DataFrame) -> DataFrame:
     """(value, n: rows of ``found`` with it, coverage): share of a candidate's characters in letter runs that the corpus uses as words.
 
-    Words are counted over all documents; only runs that some candidate has are kept while counting.
+    Words are counted over all documents before they meet the candidates' runs, so that meeting makes a row a word and not one a place of it.
     """
     values = stored(found.groupBy("value").agg(F.count(F.lit(1)).alias("n")), "secret-values")
     runs = values.select("value", F.explode(F.regexp_extract_all(F.lower("value"), F.lit("[a-z]{3,}"), F.lit(0))).alias("term"))
     terms = stored(runs.select("term").distinct(), "secret-terms")
-    each = docs.select(F.explode(words(F.col("text"))).alias("term"))
-    known = each.join(maybe_broadcast(terms, MOST_BROADCAST_TERMS), "term", "left_semi").groupBy("term").count().filter(F.col("count") >= DICTIONARY_MIN)
+    # No run has other characters, or fewer.
+    each = docs.select(F.explode(words(F.col("text"))).alias("term")).filter(F.col("term").rlike("^[a-z]{3,}$"))
+    often = each.groupBy("term").count().filter(F.col("count") >= DICTIONARY_MIN)
+    # An inner join with distinct terms: Spark would push a semi-join below the count.
+    known = often.join(maybe_broadcast(terms, MOST_BROADCAST_TERMS), "term")
     share = runs.join(known.select("term"), "term").groupBy("value").agg((F.sum(F.length("term")) / F.max(F.length("value"))).alias("coverage"))
     return values.join(share, "value", "left")
 

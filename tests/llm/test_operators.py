@@ -145,6 +145,18 @@ def test_secrets(spark):
     assert secrets.findings(docs.limit(0)).count() == 0
 
 
+def test_words_are_counted_before_they_meet_candidates(spark):
+    """A frequent word meets the candidates' runs once, not once a place."""
+    docs = spark.createDataFrame([(i, "token the lamp The x9 " * 50 + "lone") for i in range(2)], "doc_id long, text string")
+    found = spark.createDataFrame([("theLamp9x",), ("the-lamp-1",), ("lone1234567",), ("the-lamp-1",)], "value string")
+    got = secrets.dictionary_coverage(found, docs)
+    assert {tuple(r) for r in got.collect()} == {("theLamp9x", 1, None), ("the-lamp-1", 2, 0.7), ("lone1234567", 1, None)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "Generate explode(filter(split(" in line)
+    above = [line.lstrip(" :+-") for line in reversed(plan[:at]) if line.lstrip(" :+-").startswith(("Aggregate", "Join"))]
+    assert above[0].startswith("Aggregate")
+
+
 def test_secrets_by_context(spark):
     hidden = ["Tr0ub4dor&3", "hunter2", "abcdefghijklmnopqrst", "correct zebra: battery staple", "it\\'s_s3cret", "pa.ss,wd", "S3cr3t(x)", "=q9Zx"]
     forms = ['password = "{}"', "pwd: {}, ok", 'api_key = "{}"', 'passwd="{}"', "'secret': '{}'", "password={}; next", "token := {}", "access-key: {}"]
