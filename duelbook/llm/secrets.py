@@ -67,6 +67,7 @@ def dictionary_coverage(found: DataFrame, docs: DataFrame) -> DataFrame:
     """(value, n: rows of ``found`` with it, coverage): share of a candidate's characters in letter runs that the corpus uses as words.
 
     Words are counted over all documents before they meet the candidates' runs, so that meeting makes a row a word and not one a place of it.
+    Stored: ``joined`` reads it three times, and each would be a plan of its own over all documents.
     """
     values = stored(found.groupBy("value").agg(F.count(F.lit(1)).alias("n")), "secret-values")
     runs = values.select("value", F.explode(F.regexp_extract_all(F.lower("value"), F.lit("[a-z]{3,}"), F.lit(0))).alias("term"))
@@ -77,7 +78,7 @@ def dictionary_coverage(found: DataFrame, docs: DataFrame) -> DataFrame:
     # An inner join with distinct terms: Spark would push a semi-join below the count.
     known = often.join(maybe_broadcast(terms, MOST_BROADCAST_TERMS), "term")
     share = runs.join(known.select("term"), "term").groupBy("value").agg((F.sum(F.length("term")) / F.max(F.length("value"))).alias("coverage"))
-    return values.join(share, "value", "left")
+    return stored(values.join(share, "value", "left"), "secret-coverage")
 
 
 def with_features(found: DataFrame, docs: DataFrame) -> DataFrame:

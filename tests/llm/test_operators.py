@@ -337,6 +337,15 @@ def test_substrings(spark, rows, empty, unit):
     assert substrings.repeats(empty, unit).count() == 0
 
 
+def test_secret_features_count_words_once(spark):
+    """The join with the coverage of candidates, which reads it three times, reads stored rows: no word is split off in its plan."""
+    docs = spark.createDataFrame([(i, f"horse token = 'horse{i}Battery9' horse") for i in range(4)], "doc_id long, text string")
+    features = secrets.with_features(common.stored(secrets.candidates(docs), "t"), docs)
+    plan = features._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Aggregate" not in plan
+    assert [round(r["coverage"], 6) for r in features.orderBy("doc_id").collect()] == [round(5 / 14, 6)] * 4
+
+
 def test_substrings_min_words(spark):
     docs = spark.createDataFrame([(1, "one two\nthree four five"), (2, "One  two\nthree four five\nsix")], "doc_id long, text string")
     for least, want in ((1, "six"), (3, "One  two\nsix")):
