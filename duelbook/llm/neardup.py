@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CHAR, fresh, joined, maybe_broadcast, row_key, stored, tasks_for, words
+from .common import WORD_CHAR, fresh, joined, maybe_broadcast, row_key, small_batches, stored, tasks_for, words
 from .graph import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -26,7 +26,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, BAND_ROWS = 20, 4
 #: Four standard deviations of the estimate below the threshold.
 ESTIMATE_MARGIN = 4 * (THRESHOLD * (1 - THRESHOLD) / (BANDS * BAND_ROWS)) ** 0.5
-CHUNK_TOKENS = 400_000
+#: Words that a worker takes apart at once; it holds some twenty numbers a word meanwhile.
+CHUNK_TOKENS = 100_000
 MOST_BROADCAST_NODES = 500_000
 #: Nodes that meet in one group: a star's members, and half of what is left of a bucket.
 STAR_BLOCK, BLOCK = 64, 512
@@ -117,38 +118,39 @@ def _chunks(rows: list[np.ndarray]):
         yield at, len(rows)
 
 
-def signatures(hashed: DataFrame) -> DataFrame:
-    """(doc_id, row, tokens) -> doc_id, row, k1 and k2 (128-bit digest of the bag, null without words), sig, bands."""
+def _signed(batches):
+    """Batches of (doc_id, row, tokens) -> those of ``signatures``."""
     m = BANDS * BAND_ROWS
+    for batch in batches:
+        tokens = list(batch["tokens"])
+        for lo, hi in _chunks(tokens):
+            text, shingle, count = bags(tokens[lo:hi])
+            sig = bag_minhash(text, shingle, count, hi - lo, m)
+            digest = np.zeros((2, hi - lo), dtype=np.uint64)
+            with np.errstate(over="ignore"):
+                each = mix64(shingle * U(0x9E3779B97F4A7C15) + mix64(count.astype(np.uint64)))
+                np.add.at(digest[0], text, each)
+                np.add.at(digest[1], text, mix64(each ^ U(0xA0761D6478BD642F)))
+                band = sig.reshape(hi - lo, BANDS, BAND_ROWS)
+                key = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], hi - lo, axis=0)
+                for r in range(BAND_ROWS):
+                    key = mix64(key * U(0x9E3779B97F4A7C15) + band[:, :, r])
+            none = np.bincount(text, minlength=hi - lo) == 0
+            yield pd.DataFrame(
+                {
+                    "doc_id": batch["doc_id"].iloc[lo:hi].to_numpy(),
+                    "row": batch["row"].iloc[lo:hi].to_numpy(),
+                    "k1": pd.arrays.IntegerArray(digest[0].view(np.int64).copy(), none),
+                    "k2": pd.arrays.IntegerArray(digest[1].view(np.int64).copy(), none),
+                    "sig": [x.tobytes() for x in (sig & U(0xFFFF)).astype(np.uint16)],
+                    "bands": list(key.view(np.int64)),
+                }
+            )
 
-    def run(batches):
-        for batch in batches:
-            tokens = list(batch["tokens"])
-            for lo, hi in _chunks(tokens):
-                text, shingle, count = bags(tokens[lo:hi])
-                sig = bag_minhash(text, shingle, count, hi - lo, m)
-                digest = np.zeros((2, hi - lo), dtype=np.uint64)
-                with np.errstate(over="ignore"):
-                    each = mix64(shingle * U(0x9E3779B97F4A7C15) + mix64(count.astype(np.uint64)))
-                    np.add.at(digest[0], text, each)
-                    np.add.at(digest[1], text, mix64(each ^ U(0xA0761D6478BD642F)))
-                    band = sig.reshape(hi - lo, BANDS, BAND_ROWS)
-                    key = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], hi - lo, axis=0)
-                    for r in range(BAND_ROWS):
-                        key = mix64(key * U(0x9E3779B97F4A7C15) + band[:, :, r])
-                none = np.bincount(text, minlength=hi - lo) == 0
-                yield pd.DataFrame(
-                    {
-                        "doc_id": batch["doc_id"].iloc[lo:hi].to_numpy(),
-                        "row": batch["row"].iloc[lo:hi].to_numpy(),
-                        "k1": pd.arrays.IntegerArray(digest[0].view(np.int64).copy(), none),
-                        "k2": pd.arrays.IntegerArray(digest[1].view(np.int64).copy(), none),
-                        "sig": [x.tobytes() for x in (sig & U(0xFFFF)).astype(np.uint16)],
-                        "bands": list(key.view(np.int64)),
-                    }
-                )
-
-    return hashed.mapInPandas(run, "doc_id string, row binary, k1 long, k2 long, sig binary, bands array<long>")
+
+def signatures(hashed: DataFrame) -> DataFrame:
+    """(doc_id, row, tokens) -> doc_id, row, k1 and k2 (128-bit digest of the bag, null without words), sig, bands."""
+    return hashed.mapInPandas(_signed, "doc_id string, row binary, k1 long, k2 long, sig binary, bands array<long>")
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -372,6 +374,12 @@ def classified(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     Equal bags are one node, however many documents share it. All links are between nodes; classes are counted over nodes,
     and only then carried back to rows. The table of bags has k1, k2, n_rows, class_id, class_size, kept (row key that stays) and kept_uid (number of the one row that stays).
     """
+    with small_batches(docs.sparkSession):
+        return _classified(docs)
+
+
+def _classified(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """``classified`` with the session's batches; all that goes through Python is stored when it returns."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", row_key().alias("row"))
     signed = signatures(rows.select(F.col("doc_id").cast("string").alias("doc_id"), "row", token_hashes("text").alias("tokens")))
