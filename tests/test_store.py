@@ -1,7 +1,9 @@
 """The store of marts: served rows equal planned ones, layers hold, runs make only what changed, seasons are replaced alone."""
 
+import dataclasses
 import os
 import shutil
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,3 +94,24 @@ def test_a_mart_without_rows_keeps_its_last_ones(spark, copy, tmp_path):
     with pytest.raises(ValueError, match="no rows"):
         store.refresh(spark, copy, target, ["recruiting_class"])
     assert store.entries(spark, target)["recruiting_class"] == good["recruiting_class"]
+
+
+def test_marts_of_a_layer_are_made_at_once(spark, tmp_path, monkeypatch):
+    """Two plans that wait for each other: one after another, the first would wait in vain."""
+    both, own = threading.Barrier(2, timeout=60), {}
+
+    def waiting(name):
+        def plan(t):
+            both.wait()
+            return own[name].plan(t)
+
+        return plan
+
+    for name in ("recruiting_class", "coach_record"):
+        own[name] = store.MARTS[name]
+        monkeypatch.setitem(store.MARTS, name, dataclasses.replace(own[name], plan=waiting(name)))
+    got = {e["name"]: e for e in store.refresh(spark, FOLDER, str(tmp_path / "store"), list(own), views=[]).collect()}
+    served, planned = store.Stored(spark, FOLDER, got), Tables(spark, FOLDER)
+    assert set(got) == set(own)
+    for name, one in own.items():
+        assert rows(served.mart(name)) == rows(one.plan(planned))
